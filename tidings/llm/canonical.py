@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Characters that cannot be seen, and blanks other than the usual one (ranges of the Unicode standard).
@@ -96,7 +97,10 @@ def has_foreign_shared(c: Column) -> Column:
     return c.rlike(_CROSSING) & c.rlike(_FOREIGN)
 
 
-_WORDISH = re.compile(rf"[\w{_UNSTABLE}]*(?:[{_UNSTABLE}]|{_MIXED})[\w{_UNSTABLE}]*")
+_HIT = re.compile(f"[{_UNSTABLE}]")
+_HIT_OR_MIXED = re.compile(f"[{_UNSTABLE}]|{_MIXED}")
+_OTHER_SCRIPT = re.compile("[\u0370-\u052f]")
+_PART = re.compile(rf"[\w{_UNSTABLE}]")
 _RUN = re.compile(f"[{''.join(_CLASS.values())}{MARKS}]+")
 _OWN = {k: re.compile(f"[{v}]") for k, v in _CLASS.items()}
 _HIDDEN = re.compile(f"[{INVISIBLE}]")
@@ -138,7 +142,19 @@ def canonical_text(text: str | None, usual: dict[str, str] | None = None) -> str
     """The whole text with its unstable segments replaced. `usual` has the usual form of words made of shared letters."""
     if not text:
         return text
-    out = _WORDISH.sub(lambda m: canonical_segment(m.group(0), text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]), text)
+    hits = _HIT_OR_MIXED if _OTHER_SCRIPT.search(text) else _HIT
+    out, done, part = [], 0, _PART.match
+    for m in hits.finditer(text):
+        a, z = m.span()
+        if a < done:
+            continue
+        while a > done and part(text, a - 1):
+            a -= 1
+        while z < len(text) and part(text, z):
+            z += 1
+        out += [text[done:a], canonical_segment(text[a:z], text[a - 1 : a], text[z : z + 1])]
+        done = z
+    out = "".join(out) + text[done:]
     if usual:
         out = _RUN.sub(lambda m: usual.get(m.group(0), m.group(0)), out)
     return out
@@ -168,8 +184,9 @@ def usual_forms(df: DataFrame, columns: list[str]) -> DataFrame:
         .count()
         .withColumn("skeleton", F.translate("form", "".join(other), "".join(latin)))
     )
-    best = counted.groupBy("ctx", "skeleton").agg(F.max_by("form", "count").alias("usual"), F.max("count").alias("most"), F.count("*").alias("forms")).where("forms > 1")
-    return counted.join(best, ["ctx", "skeleton"]).where("form <> usual AND count < most").select("ctx", "form", "usual")
+    forms = W.partitionBy("ctx", "skeleton")
+    ranked = counted.withColumn("most", F.max("count").over(forms)).withColumn("usual", F.max_by("form", "count").over(forms))
+    return ranked.where("form <> usual AND count < most").select("ctx", "form", "usual")
 
 
 def _canonical_udf(usual: dict[tuple[str, str], str]):

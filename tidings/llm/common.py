@@ -38,6 +38,12 @@ def kept(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
 
 
+def if_small(df: DataFrame, most: int = 20_000) -> DataFrame:
+    """The rows as a kept table, marked for broadcast if they are at most `most`; else the join is left to the planner."""
+    df = kept(df)
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def unique_reports(reports: DataFrame, *columns: str) -> DataFrame:
     """Rows stored twice count once, by id (rows of one id are equal); rows without an id are left out."""
     return reports.select("id", *[c for c in columns if c != "id"]).where(F.col("id").isNotNull()).dropDuplicates(["id"])
@@ -45,7 +51,8 @@ def unique_reports(reports: DataFrame, *columns: str) -> DataFrame:
 
 def blank_trim(c: Column | str) -> Column:
     """Without outer white space of any kind, carriage returns included."""
-    return F.regexp_replace(c if isinstance(c, Column) else F.col(c), r"(?U)^\s+|\s+$", "")
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(c.rlike(r"(?U)^\s|\s$"), F.regexp_replace(c, r"(?U)^\s+|\s+$", "")).otherwise(c)
 
 
 def usable_source(df: DataFrame, sources: DataFrame) -> DataFrame:

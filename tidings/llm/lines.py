@@ -17,20 +17,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank_trim
+from .common import if_small
 
 MIN_REPORTS, MIN_SHARE = 4, 0.1
 
 
-def line_key(line: Column) -> Column:
-    """Equal for lines that differ only in the amount of blanks, letter case or the digits of their numbers; null for blank lines."""
-    plain = F.regexp_replace(F.regexp_replace(F.lower(blank_trim(line)), r"(?U)\s+", " "), r"\p{Nd}+", "0")
-    return F.when(plain != "", F.xxhash64(plain))
+# Fixed value: white space within a line, other than the usual blank.
+_OTHER_BLANK = r"\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_UNEVEN = f"[{_OTHER_BLANK}][ {_OTHER_BLANK}]*| [ {_OTHER_BLANK}]+"
 
 
 def line_keys(text: Column) -> Column:
-    """The key of every line of a text, null at blank lines."""
-    return F.transform(F.split(text, "\n"), line_key)
+    """The key of every line of a text, null at blank lines: equal for lines that differ only in the amount of blanks,
+    letter case or the digits of their numbers. The rules are applied to the whole text at once, before it is split."""
+    even = F.regexp_replace(F.regexp_replace(F.lower(text), _UNEVEN, " "), r"\p{Nd}+", "0")
+    return F.transform(F.split(even, "\n"), lambda line: F.when(F.trim(line) != "", F.xxhash64(F.trim(line))))
 
 
 def _supports(keyed: DataFrame, item: str) -> DataFrame:
@@ -101,8 +102,11 @@ def keyed(docs: DataFrame, text: str) -> DataFrame:
 
 
 def per_source(nodes: DataFrame) -> DataFrame:
-    """(source, lines): the kept lines of a source as one array; at most some tens of lines per source."""
-    return nodes.groupBy("source").agg(F.collect_set("line").alias("lines"))
+    """(source, lines): the kept lines of a source as one array; at most some tens of lines per source.
+
+    Marked for broadcast if the count, taken here, shows that it is small.
+    """
+    return if_small(nodes.groupBy("source").agg(F.collect_set("line").alias("lines")))
 
 
 def without_lines(docs: DataFrame, text: str, lines: str = "lines", keys: str = "keys") -> Column:

@@ -24,17 +24,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept
+from .common import if_small, kept
 
-THRESHOLD, MISS = 0.6, 0.05
-WIDEST, PROBE_COST = 9, 0.5
+THRESHOLD, MISS = 0.6, 0.02
+#: The widest partition tried; how many candidates cost as much as one probe row.
+WIDEST, PROBE_COST = 9, 8
 #: Hamming distance of two 128-bit sketches: its mean at similarity s is 64 * (1 - s); this many deviations are allowed.
 DEVIATIONS = 4.5
 
 
 def words_of(text: Column) -> Column:
-    """Sorted distinct hashes of the runs of letters and digits, in lower case."""
-    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w: F.xxhash64(w))))
+    """Sorted distinct 32-bit hashes of the runs of letters and digits, in lower case.
+
+    Two different words of a pair of records share a hash about once in a million pairs.
+    """
+    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w: F.hash(w))))
 
 
 def _factors(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -53,7 +57,7 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = batch.column("class").to_numpy(zero_copy_only=False)
     lists = batch.column("words")
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    values = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64, copy=False).view(np.uint64)
+    values = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64).view(np.uint64)
     return ids, values, offsets[:-1] - offsets[0]
 
 
@@ -152,8 +156,9 @@ def candidates(probed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def verified(pairs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, jaccard): the pairs whose word sets are as similar as the threshold, exactly."""
-    w = classes.select("class", "words")
+    """(a, b, jaccard): the pairs whose word sets are as similar as the threshold, exactly. pairs is a kept table."""
+    ends = if_small(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), 500_000)
+    w = classes.join(ends, "class", "left_semi").select("class", "words")
     both = pairs.join(w.withColumnsRenamed({"class": "a", "words": "wa"}), "a").join(w.withColumnsRenamed({"class": "b", "words": "wb"}), "b")
     shared = F.size(F.array_intersect("wa", "wb"))
     union = F.size("wa") + F.size("wb") - shared
@@ -161,18 +166,17 @@ def verified(pairs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD)
 
 
 def word_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """docs: (id, words). Returns members (id, class) and classes (class, words); both are kept tables. Equal word sets are one class."""
-    members = kept(docs.where(F.size("words") > 0).dropDuplicates(["id"]).select("id", F.xxhash64("words").alias("class"), "words"))
-    classes = members.groupBy("class").agg(F.first("words").alias("words"))
-    return members.select("id", "class"), classes
+    """docs: (id, words), rows of one id being equal. Returns members (id, class) and classes (class, words), the latter a
+    kept table. Equal word sets are one class."""
+    docs = kept(docs.where(F.size("words") > 0).select("id", F.xxhash64("words").alias("class"), "words"))
+    return docs.select("id", "class").distinct(), kept(docs.groupBy("class").agg(F.first("words").alias("words")))
 
 
 def similar_classes(classes: DataFrame, threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:
-    """(a, b, jaccard) of all pairs of classes found; each class once."""
-    classes = kept(classes)
+    """(a, b, jaccard) of all pairs of classes found; each class once. classes is a kept table."""
     n = classes.count()
     parts = allocate(agreeing_pairs(classes), n, threshold, miss)
-    return verified(candidates(probes(classes, parts), threshold), classes, threshold)
+    return verified(kept(candidates(probes(classes, parts), threshold)), classes, threshold)
 
 
 def expanded(members: DataFrame, links: DataFrame) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import canonical as _canonical
+from . import encoding as _encoding
 from . import lines as _lines
+from . import mapping as _mapping
 from . import near as _near
 from . import survivors as _survivors
 from .common import kept, table, usable_source
@@ -67,6 +69,25 @@ def p4_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _canonical.canonical(table(spark, sf_dir, "reports").select("id", "title", "content"), ["title", "content"])
 
 
+# --- 5: free values mapped to the list of places
+def p5_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value, place_id, jaccard) of each distinct location_name that is not blank and no name of the list as it stands."""
+    places = table(spark, sf_dir, "places")
+    values = table(spark, sf_dir, "reports").select(F.col("location_name").alias("value")).where(F.col("value").rlike(r"(?U)\S")).distinct()
+    values = kept(values.join(places.select(F.col("name").alias("value")), "value", "left_anti"))
+    return _mapping.mapped(values, places, table(spark, sf_dir, "place_aliases"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reports = table(spark, sf_dir, "reports").select("id", F.col("location_name").alias("value")).where("id IS NOT NULL AND value IS NOT NULL").dropDuplicates(["id"])
+    return reports.join(p5_values(spark, sf_dir).select("value", "place_id"), "value").select("id", "place_id")
+
+
+def p5_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value, reports): values that mean no place of the list, and in how many reports they stand."""
+    return p5_found(spark, sf_dir).where("place_id = -1").join(table(spark, sf_dir, "reports").select("id", F.col("location_name").alias("value")).dropDuplicates(["id"]), "id").groupBy("value").agg(F.count("*").alias("reports"))
+
+
 # --- 6: near-duplicate records
 def _word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = table(spark, sf_dir, "sources")
@@ -88,5 +109,10 @@ def p6_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near.similar_classes(classes)
 
 
+# --- 7: token ids
+def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit() and callable(v)}
