@@ -40,12 +40,21 @@ def _canonical(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def plain(c: Column) -> Column:
-    """Lower case, words of letters and digits parted by one blank, letters that are written once or twice once."""
+    """Lower case, words of letters and digits parted by one blank."""
     c = F.regexp_replace(F.lower(c), r"\p{M}+", "")
-    c = F.trim(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " "))
+
+
+def once(c: Column) -> Column:
+    """Letters that are written once or twice, once."""
     return F.regexp_replace(c, DOUBLED, "$1")
 
 
+def spellings(head: Column, tail: Column) -> Column:
+    """The two parts as one form, as they are and with letters written once: in both parts, or in the first."""
+    return F.array_distinct(F.array(F.concat(head, tail), once(F.concat(head, tail)), F.concat(once(head), tail)))
+
+
 def pairs_of(form: Column) -> Column:
     padded = F.concat(F.lit("^"), form, F.lit("$"))
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(form) + 1), lambda i: F.substring(padded, i, F.lit(2))))
@@ -77,25 +86,27 @@ def similar_forms(left: DataFrame, right: DataFrame, threshold: float = THRESHOL
 
 
 def entry_forms(places: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(entry, place_id, whole): the forms of the list's entries. whole: the full name; else a part that one entry alone has."""
-    names = places.select("place_id", F.explode(F.array("name", "name_en")).alias("n")).select("place_id", plain(F.col("n")).alias("n")).where("n <> ''")
-    words = F.split("n", " ")
-    parts = names.where(F.size(words) > 1).select("place_id", F.array_join(F.slice(words, 2, 100), "").alias("rest"), F.substring("n", 1, 1).alias("initial"))
-    short = parts.select("place_id", F.col("rest").alias("entry"), F.lit(False).alias("whole"))
-    initials = parts.select("place_id", F.concat("initial", "rest").alias("entry"), F.lit(True).alias("whole"))
-    # A name of one word is not told from a part of another name by itself: a word of some kind beside it makes another place of it.
-    full = names.select("place_id", F.array_join(words, "").alias("entry"), (F.size(words) > 1).alias("whole"))
-    known = aliases.select("place_id", plain(F.col("alias")).alias("a")).where("a <> ''").select("place_id", F.regexp_replace("a", " ", "").alias("entry"), F.col("a").contains(" ").alias("whole"))
-    sure = full.unionByName(known).withColumn("rank", F.lit(0))
-    ranked = sure.unionByName(short.unionByName(initials).withColumn("rank", F.lit(1)))
-    own = ranked.withColumn("best", F.min("rank").over(W.partitionBy("entry"))).where("rank = best")
-    return own.groupBy("entry").agg(F.min("place_id").alias("place_id"), F.max("place_id").alias("other"), F.max("whole").alias("whole")).where("place_id = other").drop("other")
+    """(entry, place_id, whole, exact): the forms of the list's entries. whole: the full name; else a part that one entry
+    alone has, or a name of one word, which a word of some kind beside it makes another place. exact: no edit is allowed."""
+    names = places.select("place_id", F.explode(F.array("name", "name_en")).alias("n")).select("place_id", F.split(plain(F.col("n")), " ").alias("w")).where("w[0] <> ''")
+    first, rest, several = F.col("w")[0], F.array_join(F.slice("w", 2, 100), ""), F.size("w") > 1
+    none = F.lit("")
+    full = names.select("place_id", F.explode(spellings(first, rest)).alias("entry"), several.alias("whole"), F.lit(False).alias("exact"), F.lit(0).alias("rank"))
+    known = aliases.select("place_id", F.split(plain(F.col("alias")), " ").alias("w")).where("w[0] <> ''")
+    known = known.select("place_id", F.explode(spellings(first, rest)).alias("entry"), several.alias("whole"), F.lit(False).alias("exact"), F.lit(0).alias("rank"))
+    parts = names.where(several)
+    short = parts.select("place_id", F.explode(spellings(rest, none)).alias("entry"), F.lit(False).alias("whole"), F.lit(False).alias("exact"), F.lit(1).alias("rank"))
+    initials = parts.select("place_id", F.explode(spellings(F.substring(first, 1, 1), rest)).alias("entry"), F.lit(True).alias("whole"), F.lit(True).alias("exact"), F.lit(1).alias("rank"))
+    every = full.unionByName(known).unionByName(short).unionByName(initials)
+    own = every.withColumn("best", F.min("rank").over(W.partitionBy("entry"))).where("rank = best")
+    made = own.groupBy("entry").agg(F.min("place_id").alias("place_id"), F.max("place_id").alias("other"), F.max("whole").alias("whole"), F.min("exact").alias("exact"))
+    return made.where("place_id = other").drop("other")
 
 
 def kind_words(places: DataFrame) -> DataFrame:
     """(kind): first words of names of several words, as in `plain`."""
     names = places.select(F.explode(F.array("name", "name_en")).alias("n")).select(F.split(plain(F.col("n")), " ").alias("w")).where(F.size("w") > 1)
-    return names.select(F.col("w")[0].alias("kind")).distinct()
+    return names.select(once(F.col("w")[0]).alias("kind")).distinct()
 
 
 def _attached(word: Column) -> Column:
@@ -113,9 +124,10 @@ def value_forms(values: DataFrame) -> DataFrame:
     w = words.select("value", F.split("p", " ").alias("w"))
     spans = w.select("value", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("a")).select("value", "w", "a", F.explode(F.sequence(F.lit(1), F.least(F.lit(MOST_WORDS), F.size("w") - F.col("a") + 1))).alias("n"))
     rest = F.concat(F.slice("w", 1, F.col("a") - 1), F.slice("w", F.col("a") + F.col("n"), 1000))
-    spans = spans.select("value", F.slice("w", F.col("a"), F.col("n")).alias("s"), F.flatten(F.transform(rest, _attached)).alias("beside"))
+    spans = spans.select("value", F.slice("w", F.col("a"), F.col("n")).alias("s"), F.transform(F.flatten(F.transform(rest, _attached)), once).alias("beside"))
     tail = F.array_join(F.slice("s", 2, 100), "")
-    return spans.select("value", "beside", F.explode(_attached(F.col("s")[0])).alias("head"), tail.alias("tail")).select("value", "beside", F.concat("head", "tail").alias("form")).where("length(form) >= 2")
+    heads = spans.select("value", "beside", F.explode(_attached(F.col("s")[0])).alias("head"), tail.alias("tail"))
+    return heads.select("value", "beside", F.explode(spellings(F.col("head"), F.col("tail"))).alias("form")).where("length(form) >= 2").distinct()
 
 
 def mapped(values: DataFrame, places: DataFrame, aliases: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -129,6 +141,6 @@ def mapped(values: DataFrame, places: DataFrame, aliases: DataFrame, threshold:
     close = close.withColumn("edits", F.when(edits >= 0, F.when(edits < 2, edits).when(swapped, 1))).where("edits = 0 OR (edits = 1 AND length(entry) >= 5)")
     kinds = kind_words(places).agg(F.collect_set("kind").alias("kinds"))
     found = forms.join(close, "form").join(entries, "entry").join(F.broadcast(kinds))  # one row: the kinds of places are a handful
-    found = found.where(F.col("whole") | ~F.arrays_overlap("beside", "kinds"))
-    best = found.groupBy("value").agg(F.min(F.struct("edits", (~F.col("whole")).alias("part"), (-F.length("entry")).alias("l"), (-F.col("jaccard")).alias("j"), "place_id")).alias("b"))
+    found = found.where("edits = 0 OR NOT exact").where(F.col("whole") | ~F.arrays_overlap("beside", "kinds"))
+    best = found.groupBy("value").agg(F.min(F.struct("edits", "exact", (~F.col("whole")).alias("part"), (-F.length("entry")).alias("l"), (-F.col("jaccard")).alias("j"), "place_id")).alias("b"))
     return values.join(best, "value", "left").select("value", F.coalesce(F.col("b.place_id"), F.lit(-1)).cast("int").alias("place_id"), (-F.col("b.j")).alias("jaccard"))
