@@ -11,6 +11,7 @@ from . import lines as _lines
 from . import mapping as _mapping
 from . import near as _near
 from . import survivors as _survivors
+from . import truncation as _truncation
 from .common import kept, table, usable_source
 
 
@@ -59,6 +60,33 @@ def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.join(_source_lines(spark, sf_dir), "source", "left").select("id", _lines.without_lines(reports, "content").alias("content"))
 
 
+# --- 3: text cut off by field limits
+def _cut_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = table(spark, sf_dir, "sources")
+    reports = table(spark, sf_dir, "reports").where("id IS NOT NULL AND content IS NOT NULL").select("id", "content", "source_name", "source_id", _lines.line_keys(F.col("content")).alias("keys"))
+    lines = _truncation.kept(_truncation.furniture(reports.select("keys")))
+    docs = _report_source(reports, sources).join(_source_lines(spark, sf_dir), "source", "left")
+    docs = _truncation.without_furniture(docs, "content", "keys", "lines", lines)
+    excerpts = table(spark, sf_dir, "report_sources").where("id IS NOT NULL AND excerpt IS NOT NULL")
+    own = F.array().cast("array<bigint>")
+    excerpts = excerpts.select("id", "excerpt", _lines.line_keys(F.col("excerpt")).alias("keys"), own.alias("lines"))
+    excerpts = _truncation.without_furniture(excerpts, "excerpt", "keys", "lines", lines)
+    both = docs.select(F.lit("reports").alias("tbl"), "id", F.col("content").alias("text")).unionByName(excerpts.select(F.lit("report_sources").alias("tbl"), "id", F.col("excerpt").alias("text")))
+    return _truncation.cut_values(both)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cut_values(spark, sf_dir).where("cut").select("tbl", "id")
+
+
+def p3_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tbl, source_id, values, cut, share) of each source; values without a message don't count."""
+    names = [table(spark, sf_dir, t).select(F.lit(t).alias("tbl"), "id", "source_id").dropDuplicates(["id"]) for t in ("reports", "report_sources")]
+    seen = _cut_values(spark, sf_dir).join(names[0].unionByName(names[1]), ["tbl", "id"])
+    made = seen.groupBy("tbl", "source_id").agg(F.count("*").alias("values"), F.count_if("cut").alias("cut"))
+    return made.withColumn("share", F.col("cut") / F.col("values"))
+
+
 # --- 4: visually identical text
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _canonical.look_alike_cases(table(spark, sf_dir, "reports"), "id", ["title", "content"])
