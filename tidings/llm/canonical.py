@@ -83,9 +83,9 @@ _SHARED = "^(?:" + "|".join(f"[{_ONLY[k]}]+" for k in "LCG") + ")$"
 _FOREIGN = f"(?<!{_RUN_CLASS})(?:[{_ONLY['C']}]+|[{_ONLY['G']}]+)(?!{_RUN_CLASS})"
 
 
-def unstable(c: Column) -> Column:
-    """The quick check: may hold something that the canonical form changes, words of shared letters aside."""
-    return c.rlike(f"[^{STABLE}]") | (c.rlike(_CROSSING) & c.rlike(_MIXED))
+def unstable(c: Column, foreign: bool = False) -> Column:
+    """The quick check: may hold something that the canonical form changes; words of shared letters only if `foreign`."""
+    return c.rlike(f"[^{STABLE}]") | (c.rlike(_CROSSING) & (c.rlike(_MIXED) | c.rlike(_FOREIGN) if foreign else c.rlike(_MIXED)))
 
 
 def shared_words(c: Column) -> Column:
@@ -214,7 +214,7 @@ def canonical(df: DataFrame, columns: list[str], corpus: DataFrame | None = None
         run = _canonical_udf({(r.ctx, r.form): r.usual for r in rows})
         for c in columns:
             t = F.col(c)
-            need = unstable(t) | has_foreign_shared(t) if rows else unstable(t)
+            need = unstable(t, foreign=bool(rows))
             sent = F.when(need, t)
             df = df.withColumn(c, F.coalesce(run(sent, F.when(need, main_script(t))), t))
         return df

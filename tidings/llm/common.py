@@ -29,7 +29,7 @@ def kept(df: DataFrame, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tidings-{uuid.uuid4().hex}"
-    writer = df.write
+    writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

@@ -8,8 +8,8 @@ threshold is missed by all partitions with a chance of at most `miss`. The candi
 classes (how many pairs agree in 1, 2, 3 ... symbols), so partitions grow wider as the collection grows.
 
 Probing is an equi-join on the partitions' keys. A candidate is first held against a second sketch of 128 single bits
-(Hamming distance), then verified exactly on the word sets. Nothing is capped: a hot key is a hot join key, which the
-adaptive skew join splits; copies were collapsed before.
+(Hamming distance), then verified exactly on the word sets. Nothing is capped: keys that many rows share are known
+from a count beforehand and go another, splittable way; copies were collapsed before.
 
 Reports without words are in no pair. Null title or content counts as empty.
 """
@@ -31,6 +31,8 @@ THRESHOLD, MISS = 0.6, 0.02
 WIDEST, PROBE_COST = 9, 8
 #: Hamming distance of two 128-bit sketches: its mean at similarity s is 64 * (1 - s); this many deviations are allowed.
 DEVIATIONS = 4.5
+#: Probes that a slot of keys has on average, and beyond which it is hot.
+PER_SLOT, HOT = 64, 20_000
 
 
 def words_of(text: Column) -> Column:
@@ -114,7 +116,7 @@ def allocate(pairs: dict[int, float], classes: int, threshold: float = THRESHOLD
     return sorted(out)
 
 
-def probes(classes: DataFrame, partitions: list[tuple[int, int]], seed: int = 23) -> DataFrame:
+def probes(classes: DataFrame, partitions: list[tuple[int, int]], seed: int = 23, sketched: bool = True) -> DataFrame:
     """(key, class, h1, h2): one row per class and probe of each partition; h1, h2 are the 128-bit sketch."""
     symbols = _factors(sum(w for w, _ in partitions), seed)
     bits = _factors(128, seed + 1)
@@ -125,7 +127,7 @@ def probes(classes: DataFrame, partitions: list[tuple[int, int]], seed: int = 23
                 batch = whole.slice(lo, 2000)
                 ids, values, starts = _flat(batch)
                 sketch = [np.zeros(len(ids), np.uint64), np.zeros(len(ids), np.uint64)]
-                for i in range(128):
+                for i in range(128 if sketched else 0):
                     sketch[i // 64] |= (_minima(values, starts, bits[0][i], bits[1][i]) & np.uint64(1)) << np.uint64(i % 64)
                 keys, at = [], 0
                 for i, (width, free) in enumerate(partitions):
@@ -138,21 +140,86 @@ def probes(classes: DataFrame, partitions: list[tuple[int, int]], seed: int = 23
                                 key = _mix(key, own[j])
                         keys.append(key)
                 n = len(keys)
+                if not sketched:
+                    yield pa.record_batch({"key": np.concatenate(keys).view(np.int64)})
+                    continue
                 yield pa.record_batch({
                     "key": np.concatenate(keys).view(np.int64), "class": np.tile(ids, n),
                     "h1": np.tile(sketch[0].view(np.int64), n), "h2": np.tile(sketch[1].view(np.int64), n),
                 })
 
-    return classes.select("class", "words").mapInArrow(run, "key bigint, class bigint, h1 bigint, h2 bigint")
+    return classes.select("class", "words").mapInArrow(run, "key bigint, class bigint, h1 bigint, h2 bigint" if sketched else "key bigint")
 
 
-def candidates(probed: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b): distinct pairs of classes that meet in a partition and are near in the 128-bit sketch."""
+def slot_of(slots: int) -> Column:
+    return F.col("key").bitwiseAND(F.lit(slots - 1))
+
+
+def hot_slots(classes: DataFrame, partitions: list[tuple[int, int]], slots: int, most: int, seed: int = 23) -> list[int]:
+    """Slots of keys (their low bits) that more than `most` probes fall into: a few, as a slot has PER_SLOT probes on average."""
+    counts = probes(classes, partitions, seed, sketched=False).groupBy(slot_of(slots).alias("slot")).count()
+    return [r.slot for r in counts.where(F.col("count") > most).select("slot").collect()]
+
+
+def _near_pairs(most: int):
+    """Pairs of neighbours in sorted runs of one key; a run never crosses into another batch unseen: its open end is carried on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carried: list[np.ndarray] | None = None
+
+        def pairs(key: np.ndarray, ids: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBatch:
+            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            at, step = np.arange(len(key)), 1
+            while len(at):
+                at = at[at + step < len(key)]
+                at = at[key[at] == key[at + step]]
+                other = at + step
+                near = np.bitwise_count(h1[at] ^ h1[other]).astype(np.int64) + np.bitwise_count(h2[at] ^ h2[other]) <= most
+                near &= ids[at] != ids[other]
+                left.append(ids[at[near]])
+                right.append(ids[other[near]])
+                step += 1
+            a, b = np.concatenate(left), np.concatenate(right)
+            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
+            return pa.record_batch({"a": both[0], "b": both[1]})
+
+        for batch in batches:
+            rows = [batch.column(i).to_numpy().view(np.int64 if i < 2 else np.uint64) for i in range(4)]
+            if carried is not None:
+                rows = [np.concatenate([c, r]) for c, r in zip(carried, rows)]
+            if not len(rows[0]):
+                continue
+            whole = int(np.searchsorted(rows[0], rows[0][-1]))
+            if whole:
+                yield pairs(*[r[:whole] for r in rows])
+            carried = [r[whole:] for r in rows]
+        if carried is not None:
+            yield pairs(*carried)
+
+    return run
+
+
+def candidates(classes: DataFrame, n: int, partitions: list[tuple[int, int]], threshold: float = THRESHOLD, seed: int = 23, hot: int = HOT) -> DataFrame:
+    """(a, b): distinct pairs of classes that meet in a partition and are near in the 128-bit sketch.
+
+    Keys are brought together by one exchange and sorted; runs of equal keys, which the count beforehand shows to be at
+    most `hot` rows, are paired in memory. Keys in slots beyond that go through a join of the rows with themselves, which
+    can be split where it is skewed.
+    """
     p = (1 - threshold) / 2
     most = int(128 * p + DEVIATIONS * math.sqrt(128 * p * (1 - p)))
-    a, b = probed.select("key", F.col("class").alias("a"), F.col("h1").alias("a1"), F.col("h2").alias("a2")), probed.select("key", F.col("class").alias("b"), F.col("h1").alias("b1"), F.col("h2").alias("b2"))
-    apart = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
-    return a.join(b, "key").where((F.col("a") < F.col("b")) & (apart <= most)).select("a", "b").distinct()
+    size = 1 << max(8, math.ceil(math.log2(max(1, n * sum(w if free else 1 for w, free in partitions)) / PER_SLOT)))
+    slots = hot_slots(classes, partitions, size, hot, seed)
+    probed = probes(classes, partitions, seed)
+    is_hot = slot_of(size).isin(slots) if slots else F.lit(False)
+    parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    met = probed.where(~is_hot).repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near_pairs(most), "a bigint, b bigint")
+    if slots:
+        rows = kept(probed.where(is_hot))
+        a, b = (rows.select("key", F.col("class").alias(n), F.col("h1").alias(f"{n}1"), F.col("h2").alias(f"{n}2")) for n in "ab")
+        apart = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
+        met = met.unionByName(a.join(b, "key").where((F.col("a") < F.col("b")) & (apart <= most)).select("a", "b"))
+    return met.distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -176,7 +243,7 @@ def similar_classes(classes: DataFrame, threshold: float = THRESHOLD, miss: floa
     """(a, b, jaccard) of all pairs of classes found; each class once. classes is a kept table."""
     n = classes.count()
     parts = allocate(agreeing_pairs(classes), n, threshold, miss)
-    return verified(kept(candidates(probes(classes, parts), threshold)), classes, threshold)
+    return verified(kept(candidates(classes, n, parts, threshold)), classes, threshold)
 
 
 def expanded(members: DataFrame, links: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def p2_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = kept(_keyed_reports(spark, sf_dir).where("source IS NOT NULL"))
+    docs = kept(_keyed_reports(spark, sf_dir).where("source IS NOT NULL").select("source", "keys"))
     return _lines.per_source(_lines.repeated_lines(docs))
 
 
