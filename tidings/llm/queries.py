@@ -9,6 +9,7 @@ from . import canonical as _canonical
 from . import encoding as _encoding
 from . import lines as _lines
 from . import mapping as _mapping
+from . import mixing as _mixing
 from . import near as _near
 from . import survivors as _survivors
 from . import truncation as _truncation
@@ -142,5 +143,25 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _encoding.encode(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+# --- 8: sources mixed to target shares
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, sf_dir, "mix_targets")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text").join(targets.select("source").distinct(), "source", "left_semi")
+    sizes = kept(_encoding.token_counts(docs, "doc_id", "text", "source"))
+    tokens = sizes.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("source_tokens"), F.count("*").alias("documents"))
+    plan = kept(_mixing.scales(targets, tokens))
+    return kept(_mixing.select_documents(sizes, plan)), plan
+
+
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(mix, source, doc_id, tokens, repeats) of each document of each mix."""
+    return _mix(spark, sf_dir)[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(mix, source, target_share, share, tokens, documents, most_repeats) of each source of each mix."""
+    return _mixing.reached(*_mix(spark, sf_dir))
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit() and callable(v)}
