@@ -173,7 +173,7 @@ def usual_forms(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     texts = None
     for c in columns:
-        one = df.select(F.col(c).alias("t"))
+        one = df.select(F.col(c).alias("t")).where(F.col("t").rlike("[A-Za-z\u0370-\u052f]"))
         texts = one if texts is None else texts.unionByName(one)
     other, latin = zip(*[(b, a) for b, a in _TO_LATIN.items()])
     counted = (

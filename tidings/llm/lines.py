@@ -31,7 +31,12 @@ def line_keys(text: Column) -> Column:
     """The key of every line of a text, null at blank lines: equal for lines that differ only in the amount of blanks,
     letter case or the digits of their numbers. The rules are applied to the whole text at once, before it is split."""
     even = F.regexp_replace(F.regexp_replace(F.lower(text), _UNEVEN, " "), r"\p{Nd}+", "0")
-    return F.transform(F.split(even, "\n"), lambda line: F.when(F.trim(line) != "", F.xxhash64(F.trim(line))))
+    return F.transform(F.split(even, "\n"), lambda line: F.when(F.trim(line) != "", F.xxhash64(F.trim(line)).bitwiseAND(F.lit(~0xFFFF)).bitwiseOR(_first(F.trim(line)))))
+
+
+def _first(line: Column) -> Column:
+    """The first character's code; it is the key's low 16 bits, the rest is a hash of the line."""
+    return F.ascii(line).bitwiseAND(F.lit(0xFFFF)).cast("bigint")
 
 
 def _supports(keyed: DataFrame, item: str) -> DataFrame:
@@ -109,8 +114,16 @@ def per_source(nodes: DataFrame) -> DataFrame:
     return if_small(nodes.groupBy("source").agg(F.collect_set("line").alias("lines")))
 
 
-def without_lines(docs: DataFrame, text: str, lines: str = "lines", keys: str = "keys") -> Column:
-    """The text without its repeated lines; the others stay as they are."""
-    pairs = F.arrays_zip(F.split(F.col(text), "\n").alias("line"), F.col(keys).alias("key"))
-    stay = F.filter(pairs, lambda x: x["key"].isNull() | ~F.array_contains(F.col(lines), x["key"]))
-    return F.when(F.col(lines).isNull(), F.col(text)).otherwise(F.array_join(F.transform(stay, lambda x: x["line"]), "\n"))
+def without_lines(text: Column, lines: Column) -> Column:
+    """The text without the lines whose key is in `lines` (null: none); the others stay as they are.
+
+    A key is only made of a line that starts as one of `lines` does, or with a blank or a digit, which keys don't tell apart.
+    """
+    firsts = F.array_distinct(F.transform(lines, lambda key: key.bitwiseAND(F.lit(0xFFFF))))
+
+    def repeated(line: Column) -> Column:
+        start = F.substring(F.ltrim(line), 1, 1)
+        may = F.array_contains(firsts, _first(F.lower(start))) | start.rlike(f"[{_OTHER_BLANK}\\p{{Nd}}]")
+        return F.when(may, F.coalesce(F.array_contains(lines, line_keys(line)[0]), F.lit(False))).otherwise(False)
+
+    return F.when(lines.isNull(), text).otherwise(F.array_join(F.filter(F.split(text, "\n"), lambda line: ~repeated(line)), "\n"))

@@ -7,9 +7,9 @@ differ: none or one) by a dynamic programme: least estimated candidates and prob
 threshold is missed by all partitions with a chance of at most `miss`. The candidate estimates are counts over all
 classes (how many pairs agree in 1, 2, 3 ... symbols), so partitions grow wider as the collection grows.
 
-Probing is an equi-join on the partitions' keys. A candidate is first held against a second sketch of 128 single bits
-(Hamming distance), then verified exactly on the word sets. Nothing is capped: keys that many rows share are known
-from a count beforehand and go another, splittable way; copies were collapsed before.
+Probing is an equi-join on the partitions' keys. A candidate is first held against a second sketch of single bits
+(Hamming distance), then verified exactly on the word sets. Nothing is capped: keys that very many rows share go another,
+splittable way; copies were collapsed before.
 
 Reports without words are in no pair. Null title or content counts as empty.
 """
@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 
 from .common import if_small, kept
 
-THRESHOLD, MISS = 0.6, 0.02
+THRESHOLD, MISS = 0.6, 0.05
 #: The widest partition tried; how many candidates cost as much as one probe row.
 WIDEST, PROBE_COST = 9, 8
-#: Hamming distance of two 128-bit sketches: its mean at similarity s is 64 * (1 - s); this many deviations are allowed.
-DEVIATIONS = 4.5
-#: Probes that a slot of keys has on average, and beyond which it is hot.
-PER_SLOT, HOT = 64, 20_000
+#: The Hamming distance of two sketches of BITS bits has the mean BITS * (1 - s) / 2 at similarity s; so many deviations above it pass.
+BITS, DEVIATIONS = 192, 3.5
+#: Rows of one key that are paired in memory; beyond that the key is hot.
+HOT = 20_000
 
 
 def words_of(text: Column) -> Column:
@@ -45,21 +45,19 @@ def words_of(text: Column) -> Column:
 
 def _factors(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     r = np.random.default_rng(seed)
-    return r.integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1), r.integers(0, 2**63, n, dtype=np.uint64)
+    return r.integers(0, 2**31, n).astype(np.uint32) * np.uint32(2) + np.uint32(1), r.integers(0, 2**32, n).astype(np.uint32)
 
 
-def _minima(values: np.ndarray, starts: np.ndarray, a: np.uint64, b: np.uint64) -> np.ndarray:
-    x = values * a + b
-    x ^= x >> np.uint64(29)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    return np.minimum.reduceat(x >> np.uint64(32), starts)
+def _minima(values: np.ndarray, starts: np.ndarray, a: np.uint32, b: np.uint32) -> np.ndarray:
+    """Minwise hash values: the words' hashes are random already, so that an odd factor modulo 2^32 orders them anew."""
+    return np.minimum.reduceat(values * a + b, starts)
 
 
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = batch.column("class").to_numpy(zero_copy_only=False)
     lists = batch.column("words")
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    values = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].astype(np.int64).view(np.uint64)
+    values = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].view(np.uint32)
     return ids, values, offsets[:-1] - offsets[0]
 
 
@@ -79,7 +77,7 @@ def agreeing_pairs(classes: DataFrame, widest: int = WIDEST, seed: int = 11) ->
             _, values, starts = _flat(batch)
             key = np.zeros(batch.num_rows, np.uint64)
             for w in range(widest):
-                key = _mix(key, _minima(values, starts, factors[0][w], factors[1][w]))
+                key = _mix(key, _minima(values, starts, factors[0][w], factors[1][w]).astype(np.uint64))
                 uniq, n = np.unique(key, return_counts=True)
                 yield pa.record_batch({"width": np.full(len(uniq), w + 1, np.int32), "key": uniq.view(np.int64), "n": n.astype(np.int64)})
 
@@ -116,22 +114,27 @@ def allocate(pairs: dict[int, float], classes: int, threshold: float = THRESHOLD
     return sorted(out)
 
 
-def probes(classes: DataFrame, partitions: list[tuple[int, int]], seed: int = 23, sketched: bool = True) -> DataFrame:
-    """(key, class, h1, h2): one row per class and probe of each partition; h1, h2 are the 128-bit sketch."""
+SKETCH = [f"h{i}" for i in range(BITS // 64)]
+
+
+def probes(classes: DataFrame, partitions: list[tuple[int, int]], seed: int = 23) -> DataFrame:
+    """(key, class, h0 ...): one row per class and probe of each partition; h0 ... are the sketch of BITS bits."""
     symbols = _factors(sum(w for w, _ in partitions), seed)
-    bits = _factors(128, seed + 1)
+    bits = _factors(BITS, seed + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 2000):
                 batch = whole.slice(lo, 2000)
                 ids, values, starts = _flat(batch)
-                sketch = [np.zeros(len(ids), np.uint64), np.zeros(len(ids), np.uint64)]
-                for i in range(128 if sketched else 0):
-                    sketch[i // 64] |= (_minima(values, starts, bits[0][i], bits[1][i]) & np.uint64(1)) << np.uint64(i % 64)
+                sketch = [np.zeros(len(ids), np.uint64) for _ in SKETCH]
+                for i in range(BITS):
+                    # A middle bit: the high ones of a minimum are mostly 0, the lowest ones hardly depend on the factor.
+                    bit = (_minima(values, starts, bits[0][i], bits[1][i]) >> np.uint32(9)) & np.uint32(1)
+                    sketch[i // 64] |= bit.astype(np.uint64) << np.uint64(i % 64)
                 keys, at = [], 0
                 for i, (width, free) in enumerate(partitions):
-                    own = [_minima(values, starts, symbols[0][at + j], symbols[1][at + j]) for j in range(width)]
+                    own = [_minima(values, starts, symbols[0][at + j], symbols[1][at + j]).astype(np.uint64) for j in range(width)]
                     at += width
                     for out in range(width) if free else (-1,):
                         key = np.full(len(ids), (i * 16 + out + 1) * 0x2545F4914F6CDD1D % 2**64, np.uint64)
@@ -140,86 +143,75 @@ def probes(classes: DataFrame, partitions: list[tuple[int, int]], seed: int = 23
                                 key = _mix(key, own[j])
                         keys.append(key)
                 n = len(keys)
-                if not sketched:
-                    yield pa.record_batch({"key": np.concatenate(keys).view(np.int64)})
-                    continue
-                yield pa.record_batch({
-                    "key": np.concatenate(keys).view(np.int64), "class": np.tile(ids, n),
-                    "h1": np.tile(sketch[0].view(np.int64), n), "h2": np.tile(sketch[1].view(np.int64), n),
-                })
-
-    return classes.select("class", "words").mapInArrow(run, "key bigint, class bigint, h1 bigint, h2 bigint" if sketched else "key bigint")
-
-
-def slot_of(slots: int) -> Column:
-    return F.col("key").bitwiseAND(F.lit(slots - 1))
-
-
-def hot_slots(classes: DataFrame, partitions: list[tuple[int, int]], slots: int, most: int, seed: int = 23) -> list[int]:
-    """Slots of keys (their low bits) that more than `most` probes fall into: a few, as a slot has PER_SLOT probes on average."""
-    counts = probes(classes, partitions, seed, sketched=False).groupBy(slot_of(slots).alias("slot")).count()
-    return [r.slot for r in counts.where(F.col("count") > most).select("slot").collect()]
-
-
-def _near_pairs(most: int):
-    """Pairs of neighbours in sorted runs of one key; a run never crosses into another batch unseen: its open end is carried on."""
+                yield pa.record_batch({"key": np.concatenate(keys).view(np.int64), "class": np.tile(ids, n)} | {c: np.tile(h.view(np.int64), n) for c, h in zip(SKETCH, sketch)})
+
+    return classes.select("class", "words").mapInArrow(run, "key bigint, class bigint, " + ", ".join(f"{c} bigint" for c in SKETCH))
+
+
+def _near_pairs(most: int, hot: int):
+    """Pairs of rows of one key whose sketches are near; of a key with more than `hot` rows, the key itself as (key, key, true)."""
+    kinds = [np.int64, np.int64] + [np.uint64] * len(SKETCH)
+
+    def pairs(rows: list[np.ndarray]) -> pa.RecordBatch:
+        key, ids, *sketch = rows
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        at, step = np.arange(len(key)), 1
+        while len(at):
+            at = at[at + step < len(key)]
+            at = at[key[at] == key[at + step]]
+            apart = sum(np.bitwise_count(h[at] ^ h[at + step]).astype(np.int64) for h in sketch)
+            close = at[(apart <= most) & (ids[at] != ids[at + step])]
+            left.append(ids[close])
+            right.append(ids[close + step])
+            step += 1
+        a, b = np.concatenate(left), np.concatenate(right)
+        return pa.record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b), "hot": np.zeros(len(a), bool)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried: list[np.ndarray] | None = None
-
-        def pairs(key: np.ndarray, ids: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> pa.RecordBatch:
-            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            at, step = np.arange(len(key)), 1
-            while len(at):
-                at = at[at + step < len(key)]
-                at = at[key[at] == key[at + step]]
-                other = at + step
-                near = np.bitwise_count(h1[at] ^ h1[other]).astype(np.int64) + np.bitwise_count(h2[at] ^ h2[other]) <= most
-                near &= ids[at] != ids[other]
-                left.append(ids[at[near]])
-                right.append(ids[other[near]])
-                step += 1
-            a, b = np.concatenate(left), np.concatenate(right)
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-            return pa.record_batch({"a": both[0], "b": both[1]})
-
+        # Rows come sorted by key. The last run of a batch may go on: it is carried to the next one, unless it is hot already.
+        carried, skipped = [np.zeros(0, k) for k in kinds], None
         for batch in batches:
-            rows = [batch.column(i).to_numpy().view(np.int64 if i < 2 else np.uint64) for i in range(4)]
-            if carried is not None:
-                rows = [np.concatenate([c, r]) for c, r in zip(carried, rows)]
+            rows = [np.concatenate([c, batch.column(i).to_numpy().view(k)]) for i, (c, k) in enumerate(zip(carried, kinds))]
+            if skipped is not None:
+                rows = [r[np.searchsorted(rows[0], skipped, "right") :] for r in rows]
             if not len(rows[0]):
+                carried = rows
                 continue
             whole = int(np.searchsorted(rows[0], rows[0][-1]))
+            last = [r[whole:] for r in rows]
             if whole:
-                yield pairs(*[r[:whole] for r in rows])
-            carried = [r[whole:] for r in rows]
-        if carried is not None:
-            yield pairs(*carried)
+                yield pairs([r[:whole] for r in rows])
+            if len(last[0]) > hot:
+                skipped, carried = last[0][0], [r[:0] for r in last]
+                yield pa.record_batch({"a": [skipped], "b": [skipped], "hot": [True]})
+            else:
+                skipped, carried = None, last
+        if len(carried[0]):
+            yield pairs(carried)
 
     return run
 
 
-def candidates(classes: DataFrame, n: int, partitions: list[tuple[int, int]], threshold: float = THRESHOLD, seed: int = 23, hot: int = HOT) -> DataFrame:
-    """(a, b): distinct pairs of classes that meet in a partition and are near in the 128-bit sketch.
+def candidates(classes: DataFrame, partitions: list[tuple[int, int]], threshold: float = THRESHOLD, hot: int = HOT) -> DataFrame:
+    """(a, b): distinct pairs of classes that meet in a partition and are near in their sketches.
 
-    Keys are brought together by one exchange and sorted; runs of equal keys, which the count beforehand shows to be at
-    most `hot` rows, are paired in memory. Keys in slots beyond that go through a join of the rows with themselves, which
-    can be split where it is skewed.
+    Keys are brought together by one exchange and sorted; the rows of a key are paired in memory if they are few. A key of
+    more than `hot` rows (never held in memory) is named instead; such keys go through a join of their rows with
+    themselves, which the engine splits where it is skewed.
     """
     p = (1 - threshold) / 2
-    most = int(128 * p + DEVIATIONS * math.sqrt(128 * p * (1 - p)))
-    size = 1 << max(8, math.ceil(math.log2(max(1, n * sum(w if free else 1 for w, free in partitions)) / PER_SLOT)))
-    slots = hot_slots(classes, partitions, size, hot, seed)
-    probed = probes(classes, partitions, seed)
-    is_hot = slot_of(size).isin(slots) if slots else F.lit(False)
-    parts = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    met = probed.where(~is_hot).repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_near_pairs(most), "a bigint, b bigint")
-    if slots:
-        rows = kept(probed.where(is_hot))
-        a, b = (rows.select("key", F.col("class").alias(n), F.col("h1").alias(f"{n}1"), F.col("h2").alias(f"{n}2")) for n in "ab")
-        apart = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
-        met = met.unionByName(a.join(b, "key").where((F.col("a") < F.col("b")) & (apart <= most)).select("a", "b"))
-    return met.distinct()
+    most = int(BITS * p + DEVIATIONS * math.sqrt(BITS * p * (1 - p)))
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_rows = probes(classes, partitions).repartition(parts, "key").sortWithinPartitions("key")
+    met = kept(sorted_rows.mapInArrow(_near_pairs(most, hot), "a bigint, b bigint, hot boolean"))
+    found = met.where("NOT hot").select("a", "b")
+    keys = met.where("hot").select(F.col("a").alias("key")).distinct()
+    if not keys.isEmpty():
+        rows = kept(probes(classes, partitions).join(keys, "key", "left_semi"))
+        a, b = (rows.select("key", F.col("class").alias(n), *[F.col(h).alias(n + h) for h in SKETCH]) for n in "ab")
+        apart = sum((F.bit_count(F.col("a" + h).bitwiseXOR(F.col("b" + h))) for h in SKETCH), F.lit(0))
+        found = found.unionByName(a.join(b, "key").where((F.col("a") < F.col("b")) & (apart <= most)).select("a", "b"))
+    return found.distinct()
 
 
 def verified(pairs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -243,7 +235,7 @@ def similar_classes(classes: DataFrame, threshold: float = THRESHOLD, miss: floa
     """(a, b, jaccard) of all pairs of classes found; each class once. classes is a kept table."""
     n = classes.count()
     parts = allocate(agreeing_pairs(classes), n, threshold, miss)
-    return verified(kept(candidates(classes, n, parts, threshold)), classes, threshold)
+    return verified(kept(candidates(classes, parts, threshold)), classes, threshold)
 
 
 def expanded(members: DataFrame, links: DataFrame) -> DataFrame:

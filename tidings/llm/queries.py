@@ -11,6 +11,7 @@ from . import lines as _lines
 from . import mapping as _mapping
 from . import mixing as _mixing
 from . import near as _near
+from . import quality as _quality
 from . import survivors as _survivors
 from . import truncation as _truncation
 from .common import kept, table, usable_source
@@ -57,8 +58,8 @@ def _report_source(reports: DataFrame, sources: DataFrame) -> DataFrame:
 
 def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, content) of each report, without the repeated lines of its source."""
-    reports = usable_source(table(spark, sf_dir, "reports").select("id", "source_name", "content", _lines.line_keys(F.col("content")).alias("keys")), table(spark, sf_dir, "sources"))
-    return reports.join(_source_lines(spark, sf_dir), "source", "left").select("id", _lines.without_lines(reports, "content").alias("content"))
+    reports = usable_source(table(spark, sf_dir, "reports").select("id", "source_name", "content"), table(spark, sf_dir, "sources"))
+    return reports.join(_source_lines(spark, sf_dir), "source", "left").select("id", _lines.without_lines(F.col("content"), F.col("lines")).alias("content"))
 
 
 # --- 3: text cut off by field limits
@@ -121,8 +122,8 @@ def p5_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = table(spark, sf_dir, "sources")
     reports = table(spark, sf_dir, "reports").where("id IS NOT NULL").select("id", "title", "content", "source_name", "source_id")
-    docs = _report_source(reports, sources).withColumn("keys", _lines.line_keys(F.col("content")))
-    docs = docs.join(_source_lines(spark, sf_dir), "source", "left").withColumn("content", _lines.without_lines(docs, "content"))
+    docs = _report_source(reports, sources).join(_source_lines(spark, sf_dir), "source", "left")
+    docs = docs.withColumn("content", _lines.without_lines(F.col("content"), F.col("lines")))
     docs = docs.select("id", F.concat_ws("\n", "title", "content").alias("text"))
     return _canonical.canonical(docs, ["text"], corpus=table(spark, sf_dir, "reports").select(F.concat_ws("\n", "title", "content").alias("text"))).select("id", _near.words_of(F.col("text")).alias("words"))
 
@@ -163,5 +164,26 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixing.reached(*_mix(spark, sf_dir))
 
 
+# --- 9: text quality statistics
+def p9_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, words, word_length, symbol_ratio, lines_ended, common_share, and the other statistics) of each document."""
+    made = _quality.measured(table(spark, sf_dir, "documents"))
+    more = [F.get("f", F.lit(i)).alias(n) for i, n in enumerate(_quality.STATISTICS) if n not in ("common", "symbols", "word_length")]
+    return made.select("doc_id", "words", "word_length", "symbol_ratio", "lines_ended", "common_share", *more)
+
+
+def p9_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, kind, prose) of each document with a text that is not blank."""
+    features = kept(_quality.measured(table(spark, sf_dir, "documents")).where("f IS NOT NULL").select("doc_id", "f"))
+    model = _quality.fitted(features, _quality.examples(features, table(spark, sf_dir, "doc_labels")))
+    if model is None:
+        return features.select("doc_id", F.lit("prose").alias("kind"), F.lit(1.0).alias("prose"))
+    return _quality.classified(features, model)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_kinds(spark, sf_dir).where("kind <> 'prose'").select("doc_id")
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit() and callable(v)}
