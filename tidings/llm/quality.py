@@ -6,7 +6,7 @@ statistic. The start is taken from hand-labelled examples, of which at most LABE
 documented bound for the classifier only); after the last pass each component is mapped to the kind that most of the
 examples it explains have, so single wrong labels don't matter. A document gets the kind of most of its responsibility.
 
-Common words are those in at least COMMON of the documents of a main script; as a document has so many distinct words on
+Common words are those in at least COMMON of the documents of a script; as a document has so many distinct words on
 average, there are at most that average / COMMON of them, whatever the number of documents.
 
 Null, empty and blank texts have a word count of 0, no other statistic and no kind.
@@ -53,7 +53,7 @@ def statistics(text: str, common: frozenset[str] | set[str]) -> tuple[int, float
         if _ENDED.search(line):
             ended += 1
             ended_chars += len(line)
-        if len(_WORD.findall(line)) <= 4:
+        elif len(_WORD.findall(line)) <= 4:
             short += len(line)
     lower = text.lower()
     low = _WORD.findall(lower)
@@ -79,7 +79,7 @@ def statistics(text: str, common: frozenset[str] | set[str]) -> tuple[int, float
 
 
 def common_words(docs: DataFrame, share: float = COMMON) -> dict[str, set[str]]:
-    """The common words of each main script. docs: (text, script), texts not blank."""
+    """The common words of each script. docs: (text, script), texts not blank."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,14 +108,15 @@ def measured(docs: DataFrame) -> DataFrame:
     docs: (doc_id, text). f is the array of STATISTICS, null for blank texts.
     """
     blank = ~F.coalesce(F.col("text").rlike(r"(?U)\S"), F.lit(False))
+    # A text's script is the first of Hebrew, Arabic, Cyrillic and others that it holds, so rare scripts have common words, too.
     full = docs.select("doc_id", "text").where(~blank).withColumn("script", main_script(F.col("text")))
-    common = common_words(full)
+    common = set().union(*common_words(full).values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 2000):
                 batch = whole.slice(lo, 2000)
-                rows = [statistics(t, common.get(s, set())) for t, s in zip(batch.column("text").to_pylist(), batch.column("script").to_pylist())]
+                rows = [statistics(t, common) for t in batch.column("text").to_pylist()]
                 flat = np.array([r[4] for r in rows])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[i] for r in rows], pa.float64()) for i in (1, 2, 3)], pa.array(flat[:, 1]),
