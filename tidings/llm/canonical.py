@@ -75,8 +75,9 @@ for _row, _goal in ((GREEK, "C"), (CYRILLIC, "G")):
 _CLASS = {"L": "A-Za-zÀ-ɏ", "C": "Ѐ-ԯ", "G": "Ͱ-Ͽ"}
 _MIXED = "|".join(f"[{_CLASS[a]}][{_CLASS[b]}]" for a in "LCG" for b in "LCG" if a != b)
 _ONLY = {k: re.escape("".join(sorted({c for c in row if c != " "}))) for k, row in (("L", "".join(a for a, b, c in zip(LATIN, CYRILLIC, GREEK) if (b + c).strip())), ("C", CYRILLIC), ("G", GREEK))}
-# Ranges of characters that are stable in themselves; a text of these needs at most a look at its scripts.
-STABLE = "\\x00-\\x7e\u0430-\u044f\u05d0-\u05ea\u0621-\u064a\u0591-\u05c7\u0400-\u042f\u0450-\u052f\u00c0-\u024f\u2010-\u2027\u2030-\u205e\u2600-\u27bf\ufe0f\U0001f300-\U0001faff"
+# Ranges of characters that are stable in themselves, most texts being made of the first few alone.
+PLAIN = "\\x00-\\x7e\u05d0-\u05ea\u0621-\u064a\u0591-\u05c7\u05f3\u05f4\u00c0-\u024f\u2010-\u2027\u2030-\u205e\u2600-\u27bf\ufe0f\U0001f300-\U0001faff"
+STABLE = PLAIN + "\u0400-\u052f"
 _CROSSING = "[\u0370-\u052f]"
 _RUN_CLASS = f"[{_CLASS['L']}\u0370-\u052f{MARKS}]"
 _SHARED = "^(?:" + "|".join(f"[{_ONLY[k]}]+" for k in "LCG") + ")$"
@@ -85,7 +86,7 @@ _FOREIGN = f"(?<!{_RUN_CLASS})(?:[{_ONLY['C']}]+|[{_ONLY['G']}]+)(?!{_RUN_CLASS}
 
 def unstable(c: Column, foreign: bool = False) -> Column:
     """The quick check: may hold something that the canonical form changes; words of shared letters only if `foreign`."""
-    return c.rlike(f"[^{STABLE}]") | (c.rlike(_CROSSING) & (c.rlike(_MIXED) | c.rlike(_FOREIGN) if foreign else c.rlike(_MIXED)))
+    return c.rlike(f"[^{PLAIN}]") & (c.rlike(f"[^{STABLE}]") | c.rlike(_MIXED) | (c.rlike(_FOREIGN) if foreign else F.lit(False)))
 
 
 def shared_words(c: Column) -> Column:
