@@ -161,10 +161,18 @@ def canonical_text(text: str | None, usual: dict[str, str] | None = None) -> str
     return out
 
 
+_OWN_LETTERS = {"H": "[\u05d0-\u05ea]", "A": "[\u0621-\u064a]", "C": f"(?![{_ONLY['C']}])[\u0400-\u052f]", "G": f"(?![{_ONLY['G']}])[\u0370-\u03ff]"}
+_OWN_RX = {k: re.compile(p) for k, p in _OWN_LETTERS.items()}
+
+
 def main_script(c: Column) -> Column:
     """H, A, C, G or L: the first of these scripts that the text has a letter of which no other script shares; L if none."""
-    own = {"H": "[\u05d0-\u05ea]", "A": "[\u0621-\u064a]", "C": f"[\u0400-\u052f&&[^{_ONLY['C']}]]", "G": f"[\u0370-\u03ff&&[^{_ONLY['G']}]]"}
-    return F.coalesce(*[F.when(c.rlike(p), F.lit(k)) for k, p in own.items()], F.lit("L"))
+    return F.coalesce(*[F.when(c.rlike(p), F.lit(k)) for k, p in _OWN_LETTERS.items()], F.lit("L"))
+
+
+def script_of(text: str) -> str:
+    """main_script() of one text."""
+    return next((k for k, rx in _OWN_RX.items() if rx.search(text)), "L")
 
 
 def usual_forms(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -196,9 +204,9 @@ def _canonical_udf(usual: dict[tuple[str, str], str]):
         by_ctx.setdefault(ctx, {})[form] = goal
 
     @F.pandas_udf("string")
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for texts, ctx in parts:
-            yield pd.Series([canonical_text(t, by_ctx.get(c)) if t is not None else None for t, c in zip(texts, ctx)], dtype=object)
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in parts:
+            yield pd.Series([canonical_text(t, by_ctx.get(script_of(t))) if t is not None else None for t in texts], dtype=object)
 
     return run
 
@@ -216,13 +224,12 @@ def canonical(df: DataFrame, columns: list[str], corpus: DataFrame | None = None
         for c in columns:
             t = F.col(c)
             need = unstable(t, foreign=bool(rows))
-            sent = F.when(need, t)
-            df = df.withColumn(c, F.coalesce(run(sent, F.when(need, main_script(t))), t))
+            df = df.withColumn(c, F.coalesce(run(F.when(need, t)), t))
         return df
     run = _canonical_udf({})
     for c in columns:
         t = F.col(c)
-        df = df.withColumn(c, F.coalesce(run(F.when(unstable(t), t), F.lit("")), t)).withColumn("_row", F.monotonically_increasing_id())
+        df = df.withColumn(c, F.coalesce(run(F.when(unstable(t), t)), t)).withColumn("_row", F.monotonically_increasing_id())
         found = (
             df.where(has_foreign_shared(t))
             .select("_row", main_script(t).alias("ctx"), F.explode(shared_words(t)).alias("form"))

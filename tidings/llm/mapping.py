@@ -22,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .canonical import canonical_text, unstable
 from .common import kept
@@ -33,7 +34,7 @@ DOUBLED = "(י|ו)\\1+"
 MOST_WORDS = 3
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _canonical(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for texts in parts:
         yield pd.Series([canonical_text(t) for t in texts], dtype=object)

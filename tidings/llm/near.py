@@ -35,16 +35,12 @@ BITS, DEVIATIONS = 192, 3.5
 HOT = 20_000
 
 
-# The letters that are most frequent first; the rest by their properties.
-WORD = r"[0-9a-z\x{5d0}-\x{5ea}\x{430}-\x{44f}[\p{L}\p{N}]]+"
-
-
 def words_of(text: Column) -> Column:
     """Sorted distinct 32-bit hashes of the runs of letters and digits, in lower case.
 
     Two different words of a pair of records share a hash about once in a million pairs.
     """
-    return F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0)), lambda w: F.hash(w))))
+    return F.sort_array(F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w: F.hash(w))))
 
 
 def _factors(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:

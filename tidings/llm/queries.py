@@ -187,3 +187,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit() and callable(v)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
