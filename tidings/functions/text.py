@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import lexicon as X
 
@@ -17,7 +20,7 @@ EXCERPT_CHARS, ERROR_CHARS, DETAIL_CHARS = 280, 500, 200
 _KEPT_BY_NFKC = r"\x00-\x7e\x{5d0}-\x{5ea}\x{430}-\x{44f}\x{621}-\x{64a}\x{591}-\x{5c7}\x{400}-\x{42f}\x{5f3}\x{5f4}\x{2013}\x{2014}\x{201c}-\x{201e}\x{1f300}-\x{1faff}"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in parts:
         yield s.map(lambda t: unicodedata.normalize("NFKC", t), na_action="ignore")
@@ -63,20 +66,24 @@ def matchable(cleaned: Column) -> Column:
     return F.lower(collapse(t))
 
 
-def matchable_literal(text: str) -> str:
-    """matchable(clean()) of a word of a list, on the driver: lists go through the same steps as texts."""
-    import re
+@lru_cache(None)
+def _steps() -> tuple:
+    """The patterns of clean() for Python's dialect."""
+
+    def own(p: str, flags: int = 0) -> re.Pattern:
+        p = re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: f"\\U{int(m.group(1), 16):08x}", p)
+        return re.compile(p.replace(r"\p{L}\p{N}_", r"\w").replace(r"\p{Nd}", r"\d"), flags)
+
+    signatures = [(own(p, re.M), "") for p in X.BOILERPLATE]
+    return ((own(X.INVISIBLE), ""), (own(X.MARKS), ""), (own(X.INLINE_TIME), "-"), *signatures, (own(X.URL), ""), (own(X.EMOJI), " "), *signatures)
 
-    java = lambda p: re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: f"\\U{int(m.group(1), 16):08x}", p).replace(r"\p{L}\p{N}_", r"\w").replace(r"\p{Nd}", r"\d")
+
+@lru_cache(100_000)
+def matchable_literal(text: str) -> str:
+    """matchable(clean()) of one text outside a plan: word lists go through the same steps as texts."""
     t = unicodedata.normalize("NFKC", text)
-    for p in (X.INVISIBLE, X.MARKS):
-        t = re.sub(java(p), "", t)
-    t = re.sub(java(X.INLINE_TIME), "-", t)
-    for i in range(2):
-        for p in X.BOILERPLATE:
-            t = re.sub(java(p), "", t, flags=re.M)
-        if not i:
-            t = re.sub(java(X.EMOJI), " ", re.sub(java(X.URL), "", t))
+    for pattern, by in _steps():
+        t = pattern.sub(by, t)
     t = " ".join(t.split()).replace("\u05f3", " ").replace("\u05f4", " ")
     t = re.sub(r"[^\w\u0590-\u05ff\s]", " ", t)
     return " ".join(t.split()).lower()

@@ -67,7 +67,8 @@ def gallery(items: DataFrame, key: str, url: str, order: str, most: int = MEDIA)
 def closed_if_stale(reports: DataFrame, as_of: Column, hours: int = STALE_HOURS) -> DataFrame:
     """reports with status dismissed and severity low where the last publication is older; a null status or time stays."""
     stale = F.coalesce((F.col("published_at") < as_of - F.expr(f"INTERVAL {hours} HOURS")) & (F.col("status") != "dismissed"), F.lit(False))
-    return reports.withColumn("severity", F.when(stale, F.lit("low")).otherwise(F.col("severity"))).withColumn("status", F.when(stale, F.lit("dismissed")).otherwise(F.col("status"))).withColumn("closed", stale)
+    df = reports.withColumn("closed", stale)
+    return df.withColumn("severity", F.when(F.col("closed"), F.lit("low")).otherwise(F.col("severity"))).withColumn("status", F.when(F.col("closed"), F.lit("dismissed")).otherwise(F.col("status")))
 
 
 # --- the ordered fold -------------------------------------------------------------------------------------------------
@@ -109,8 +110,7 @@ class Event:
     def add(self, item: dict, note: bool = False) -> None:
         text = (item.get("content") or "").strip()
         at = item.get("published_at")
-        key = (item.get("source_id"), item.get("external_id"))
-        new = not self.seen and not self.sources
+        key = tuple("" if item.get(k) is None else str(item[k]) for k in ("source_id", "external_id"))
         if key not in self.seen:
             self.seen.add(key)
             self.sources += 1
@@ -121,11 +121,11 @@ class Event:
             if self.first_at is None or at < self.first_at < at + timedelta(hours=GUARD_HOURS):
                 self.first_at, self.first_source = at, item.get("source_name")
             self.last_at = at if self.last_at is None else max(self.last_at, at)
-        self._tell(text, item, at, note, new)
+        self._tell(text, item, at, note)
         if any(m in (text or (item.get("title") or "")) for m in X.RESOLVED):
             self.status, self.severity = "dismissed", "low"
 
-    def _tell(self, text: str, item: dict, at: datetime | None, note: bool, new: bool) -> None:
+    def _tell(self, text: str, item: dict, at: datetime | None, note: bool) -> None:
         if not text or text in self.content:
             return
         own = tokens_of(text)

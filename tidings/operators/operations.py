@@ -52,8 +52,9 @@ def health(log: DataFrame) -> DataFrame:
     ok = F.max(F.when(F.col("ok"), F.col("run_at"))).alias("last_success_at")
     last = F.max(F.struct("run_at", "id", "ok", F.substring("error", 1, ERROR_CHARS).alias("error"))).alias("last")
     by = runs.groupBy("source_id").agg(ok, last)
-    since = runs.where("NOT ok").join(by.select("source_id", "last_success_at"), F.expr("true") & runs.source_id.eqNullSafe(by.source_id)).where(F.col("last_success_at").isNull() | (F.col("run_at") > F.col("last_success_at"))).groupBy(runs.source_id).agg(F.count("*").alias("failures"))
-    out = by.join(since.withColumnRenamed("source_id", "s"), F.col("source_id").eqNullSafe(F.col("s")), "left")
+    failed = runs.where("NOT ok").select(F.col("source_id").alias("_s"), "run_at").join(by.select("source_id", "last_success_at"), F.col("_s").eqNullSafe(F.col("source_id")))
+    since = failed.where(F.col("last_success_at").isNull() | (F.col("run_at") > F.col("last_success_at"))).groupBy("_s").agg(F.count("*").alias("failures"))
+    out = by.join(since, F.col("source_id").eqNullSafe(F.col("_s")), "left")
     return out.select("source_id", F.col("last.run_at").alias("last_fetched_at"), "last_success_at", F.when(~F.col("last.ok"), F.col("last.error")).alias("last_error"), F.coalesce("failures", F.lit(0)).alias("failures"))
 
 

@@ -58,7 +58,7 @@ class EventMerger(StatefulProcessor):
         return Event(content, severity, status, sources, first_at, first_source, last_at, {tuple(s.split("\x1f", 1)) for s in seen}, [tokens_of(line) for line in content.split("\n")])
 
     def _keep(self, e: Event) -> None:
-        seen = ["\x1f".join(str(x) if x is not None else "" for x in k) for k in e.seen]
+        seen = ["\x1f".join(k) for k in e.seen]
         self.state.update((e.content, e.severity, e.status, e.sources, e.first_at, e.first_source, e.last_at, seen))
 
     def _row(self, key: Any, e: Event, closed: bool) -> pd.DataFrame:
