@@ -18,7 +18,6 @@ Null stays null, an empty text stays empty; punctuation, emoji, line ends and da
 from __future__ import annotations
 
 import re
-import sys
 import unicodedata
 from collections.abc import Iterator
 
@@ -27,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .common import kept
+
 # Characters that cannot be seen, and blanks other than the usual one (ranges of the Unicode standard).
 INVISIBLE = "\u00ad\u034f\u061c\u115f\u1160\u17b4\u17b5\u180b-\u180f\u200b-\u200f\u202a-\u202e\u2060-\u206f\u3164\ufe00-\ufe0e\ufeff\uffa0\ufff0-\ufffb"
 BLANKS = "\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
@@ -38,7 +39,9 @@ LATIN = "ABEKMHOPCTXYIJSZNaeocpxyijskhg"
 CYRILLIC = "АВЕКМНОРСТХУІЈЅ  аеосрхуіјѕ һ "
 GREEK = "ΑΒΕΚΜΗΟΡ ΤΧΥΙ  ΖΝ  ο     ι   "
 KINDS_THAT_DIFFER = ("<super>", "<sub>", "<circle>", "<fraction>", "<square>", "<vertical>", "<small>")
-TABLE_LIMIT = 20_000
+# The blocks of the Unicode standard that hold letters and digits with compatible forms.
+COMPATIBLE_BLOCKS = ((0x80, 0x3400), (0xA640, 0xAC00), (0xF900, 0x10000), (0x10780, 0x107C0), (0x1D400, 0x1D800), (0x1E030, 0x1E070), (0x1EE00, 0x1EF00), (0x1F100, 0x1F200), (0x1FBF0, 0x1FBFA), (0x2F800, 0x2FA20))
+TABLE_LIMIT, WORD_LIMIT = 20_000, 40
 
 
 def _ranges(codes: list[int]) -> str:
@@ -53,9 +56,9 @@ def _ranges(codes: list[int]) -> str:
 def _compatible() -> dict[str, str]:
     """Letters and digits whose compatible form looks the same."""
     out = {}
-    for code in range(0x80, sys.maxunicode + 1):
+    for code in (c for a, b in COMPATIBLE_BLOCKS for c in range(a, b)):
         c = chr(code)
-        if unicodedata.category(c)[0] in "LN" and not unicodedata.is_normalized("NFKC", c) and not 0xAC00 <= code <= 0xD7A3:
+        if unicodedata.category(c)[0] in "LN" and not unicodedata.is_normalized("NFKC", c) :
             if unicodedata.decomposition(c).split(" ")[0] not in KINDS_THAT_DIFFER:
                 out[c] = unicodedata.normalize("NFKC", c)
     return out | PAIRED
@@ -180,21 +183,33 @@ def usual_forms(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Forms of one skeleton compete among texts of one main script. A tie keeps both.
     """
-    texts = None
-    for c in columns:
-        one = df.select(F.col(c).alias("t")).where(F.col("t").rlike("[A-Za-z\u0370-\u052f]"))
-        texts = one if texts is None else texts.unionByName(one)
     other, latin = zip(*[(b, a) for b, a in _TO_LATIN.items()])
-    counted = (
-        texts.select("t", shared_words(F.col("t")).alias("forms"))
-        .where(F.size("forms") > 0)
-        .select(main_script(F.col("t")).alias("ctx"), F.explode("forms").alias("form"))
-        .groupBy("ctx", "form")
-        .count()
-        .withColumn("skeleton", F.translate("form", "".join(other), "".join(latin)))
-    )
+
+    def counted(where) -> DataFrame:
+        texts = None
+        for c in columns:
+            one = df.select(F.col(c).alias("t")).where(where(F.col("t")))
+            texts = one if texts is None else texts.unionByName(one)
+        forms = texts.select("t", shared_words(F.col("t")).alias("forms")).where(F.size("forms") > 0)
+        counts = forms.select(main_script(F.col("t")).alias("ctx"), F.explode("forms").alias("form")).groupBy("ctx", "form").count()
+        return counts.withColumn("skeleton", F.translate("form", "".join(other), "".join(latin)))
+
+    # Texts with a Greek or Cyrillic letter tell which words may be unusual. Of the others, those count that hold the same
+    # word in Latin letters; if there are many such words, all texts are looked at instead.
+    foreign = kept(counted(lambda t: t.rlike(_CROSSING)))
+    asked = foreign.where(F.col("form") != F.col("skeleton")).select("ctx", "skeleton").distinct()
+    words = [r.skeleton for r in asked.where("ctx <> 'C' AND ctx <> 'G'").select("skeleton").distinct().limit(WORD_LIMIT + 1).collect()]
+
+    def same_word(t: Column) -> Column:
+        hit = t.rlike("[A-Za-z]") if len(words) > WORD_LIMIT else F.lit(False)
+        for w in words if len(words) <= WORD_LIMIT else ():
+            hit = hit | (t.contains(w) if len(w) > 3 else t.rlike(f"(?<!{_RUN_CLASS}){w}(?!{_RUN_CLASS})"))
+        return hit & ~t.rlike(_CROSSING)
+
+    every = foreign.unionByName(counted(same_word)) if words else foreign
+    every = every.groupBy("ctx", "form", "skeleton").agg(F.sum("count").alias("count"))
     forms = W.partitionBy("ctx", "skeleton")
-    ranked = counted.withColumn("most", F.max("count").over(forms)).withColumn("usual", F.max_by("form", "count").over(forms))
+    ranked = every.withColumn("most", F.max("count").over(forms)).withColumn("usual", F.max_by("form", "count").over(forms))
     return ranked.where("form <> usual AND count < most").select("ctx", "form", "usual")
 
 

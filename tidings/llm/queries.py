@@ -15,6 +15,7 @@ from . import quality as _quality
 from . import survivors as _survivors
 from . import truncation as _truncation
 from .common import kept, table, usable_source
+from .oracles import oracle_sql  # noqa: F401
 
 
 # --- 1: best representative of each duplicate group
@@ -187,7 +188,3 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1].isdigit() and callable(v)}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
