@@ -41,7 +41,7 @@ GREEK = "ΑΒΕΚΜΗΟΡ ΤΧΥΙ  ΖΝ  ο     ι   "
 KINDS_THAT_DIFFER = ("<super>", "<sub>", "<circle>", "<fraction>", "<square>", "<vertical>", "<small>")
 # The blocks of the Unicode standard that hold letters and digits with compatible forms.
 COMPATIBLE_BLOCKS = ((0x80, 0x3400), (0xA640, 0xAC00), (0xF900, 0x10000), (0x10780, 0x107C0), (0x1D400, 0x1D800), (0x1E030, 0x1E070), (0x1EE00, 0x1EF00), (0x1F100, 0x1F200), (0x1FBF0, 0x1FBFA), (0x2F800, 0x2FA20))
-TABLE_LIMIT, WORD_LIMIT = 20_000, 40
+TABLE_LIMIT, WORD_LIMIT = 20_000, 1_000
 
 
 def _ranges(codes: list[int]) -> str:
@@ -185,28 +185,25 @@ def usual_forms(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     other, latin = zip(*[(b, a) for b, a in _TO_LATIN.items()])
 
-    def counted(where) -> DataFrame:
+    def counted(where, found) -> DataFrame:
         texts = None
         for c in columns:
             one = df.select(F.col(c).alias("t")).where(where(F.col("t")))
             texts = one if texts is None else texts.unionByName(one)
-        forms = texts.select("t", shared_words(F.col("t")).alias("forms")).where(F.size("forms") > 0)
+        forms = texts.select("t", found(F.col("t")).alias("forms")).where(F.size("forms") > 0)
         counts = forms.select(main_script(F.col("t")).alias("ctx"), F.explode("forms").alias("form")).groupBy("ctx", "form").count()
         return counts.withColumn("skeleton", F.translate("form", "".join(other), "".join(latin)))
 
-    # Texts with a Greek or Cyrillic letter tell which words may be unusual. Of the others, those count that hold the same
-    # word in Latin letters; if there are many such words, all texts are looked at instead.
-    foreign = kept(counted(lambda t: t.rlike(_CROSSING)))
-    asked = foreign.where(F.col("form") != F.col("skeleton")).select("ctx", "skeleton").distinct()
-    words = [r.skeleton for r in asked.where("ctx <> 'C' AND ctx <> 'G'").select("skeleton").distinct().limit(WORD_LIMIT + 1).collect()]
-
-    def same_word(t: Column) -> Column:
-        hit = t.rlike("[A-Za-z]") if len(words) > WORD_LIMIT else F.lit(False)
-        for w in words if len(words) <= WORD_LIMIT else ():
-            hit = hit | (t.contains(w) if len(w) > 3 else t.rlike(f"(?<!{_RUN_CLASS}){w}(?!{_RUN_CLASS})"))
-        return hit & ~t.rlike(_CROSSING)
-
-    every = foreign.unionByName(counted(same_word)) if words else foreign
+    # Texts with a Greek or Cyrillic letter tell which words may be unusual; of the others, the same words in Latin letters
+    # count. If there are very many such words, all words of shared letters are counted and the rest falls away later.
+    foreign = kept(counted(lambda t: t.rlike(_CROSSING), shared_words))
+    asked = foreign.where("form <> skeleton AND ctx <> 'C' AND ctx <> 'G'").select("skeleton").distinct()
+    words = [r.skeleton for r in asked.limit(WORD_LIMIT + 1).collect()]
+    every = foreign
+    if words:
+        known = F.array(*map(F.lit, words))
+        same = shared_words if len(words) > WORD_LIMIT else lambda t: F.array_intersect(F.regexp_extract_all(t, F.lit(f"[{_CLASS['L']}{MARKS}]+"), F.lit(0)), known)
+        every = foreign.unionByName(counted(lambda t: t.rlike("[A-Za-z]") & ~t.rlike(_CROSSING), same))
     every = every.groupBy("ctx", "form", "skeleton").agg(F.sum("count").alias("count"))
     forms = W.partitionBy("ctx", "skeleton")
     ranked = every.withColumn("most", F.max("count").over(forms)).withColumn("usual", F.max_by("form", "count").over(forms))
