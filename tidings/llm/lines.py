@@ -30,7 +30,9 @@ _UNEVEN = f"[{_OTHER_BLANK}][ {_OTHER_BLANK}]*| [ {_OTHER_BLANK}]+"
 def line_keys(text: Column) -> Column:
     """The key of every line of a text, null at blank lines: equal for lines that differ only in the amount of blanks,
     letter case or the digits of their numbers. The rules are applied to the whole text at once, before it is split."""
-    even = F.regexp_replace(F.regexp_replace(F.lower(text), _UNEVEN, " "), r"\p{Nd}+", "0")
+    low = F.lower(text)
+    even = F.when(low.contains("  ") | low.rlike(f"[{_OTHER_BLANK}]"), F.regexp_replace(low, _UNEVEN, " ")).otherwise(low)
+    even = F.regexp_replace(even, r"\p{Nd}+", "0")
     return F.transform(F.split(even, "\n"), lambda line: F.when(F.trim(line) != "", F.xxhash64(F.trim(line)).bitwiseAND(F.lit(~0xFFFF)).bitwiseOR(_first(F.trim(line)))))
 
 
