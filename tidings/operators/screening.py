@@ -112,7 +112,7 @@ def screened(df: DataFrame, pack: RulePack, place: str | None = None, verdicts:
     v = F.col("_v")
     text_of = lambda c: matchable(clean(F.coalesce(c, F.lit(""))))
     fake = F.coalesce(invented(text_of(v["summary"]), m, pack), F.lit(False)) if verdicts is not None else F.lit(False)
-    use = v.isNotNull() & ~fake
+    use = v["relevant"].isNotNull() & ~fake
     meta = has_any(text_of(F.concat_ws(" ", v["reason"], v["summary"])), pack.meta) if verdicts is not None else F.lit(False)
     keep = F.col("_reject").isNull() & F.when(use, v["relevant"] | (F.col("promoted") & ~meta)).otherwise(F.col("_good") | F.col("promoted"))
     final = summary(F.when(use, F.coalesce(F.nullif(v["summary"], F.lit("")), F.col("content"))).otherwise(F.col("content")))
@@ -120,7 +120,7 @@ def screened(df: DataFrame, pack: RulePack, place: str | None = None, verdicts:
         df.withColumn("keep", F.coalesce(keep, F.lit(False)))
         .withColumn("reason", F.coalesce("_reject", F.when(use, v["reason"]), F.col("_why")))
         .withColumn("status", F.when(has_any(m, pack.review) | (fake & F.col("keep")), F.lit("reviewing")).otherwise(F.col("status")))
-        .withColumn("filter", F.when(F.col("_reject").isNotNull(), F.lit("rule")).when(use, F.lit("judge")).when(v.isNotNull() | F.lit(verdicts is not None), F.lit("fallback")).otherwise(F.lit("heuristic")))
+        .withColumn("filter", F.when(F.col("_reject").isNotNull(), F.lit("rule")).when(use, F.lit("judge")).when(F.lit(verdicts is not None), F.lit("fallback")).otherwise(F.lit("heuristic")))
         .withColumn("content", F.when(F.col("keep") & (final != ""), final).otherwise(F.col("content")))
         .withColumn("severity", F.when(use & v["severity"].isin("low", "medium", "high", "critical"), v["severity"]).otherwise(F.col("severity")))
     )

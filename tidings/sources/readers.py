@@ -21,13 +21,14 @@ def feed_entries(spark: SparkSession, path: str, tag: str = "item") -> DataFrame
 
 def feed_time(*candidates: Column, now: Column) -> Column:
     """The first candidate that is a time, RFC 822 or ISO, in UTC; else now."""
-    formats = ("EEE, d MMM yyyy HH:mm:ss Z", "EEE, d MMM yyyy HH:mm:ss z", "yyyy-MM-dd'T'HH:mm:ssXXX")
-    return F.coalesce(*[F.try_to_timestamp(strip(c), F.lit(f)) for c in candidates for f in formats], now)
+    formats = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "yyyy-MM-dd'T'HH:mm:ssXXX")
+    bare = [F.regexp_replace(strip(c), "^[A-Za-z]{3},[ ]*", "") for c in candidates]
+    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for c in bare for f in formats], now)
 
 
 def feed_items(entries: DataFrame, now: Column, most: int = FEED_ENTRIES) -> DataFrame:
     """Items of the first entries of each feed; entries without title and text are dropped. entries as of feed_entries()."""
-    at = entries.withColumn("published_at", feed_time("pubDate", "published", "updated", now=now)) if isinstance(entries, DataFrame) else entries
+    at = entries.withColumn("published_at", feed_time(F.col("pubDate"), F.col("published"), F.col("updated"), now=now))
     df = newest_per_key(at, "feed", [F.desc("published_at"), F.col("guid"), F.col("link"), F.col("title")], most)
     enclosed = F.when(F.col("enclosure._type").isNull() | F.col("enclosure._type").rlike("^(image|video)/"), F.col("enclosure._url"))
     df = df.select(

@@ -66,7 +66,8 @@ class EventMerger(StatefulProcessor):
 
 
 def merged_events(items: DataFrame) -> DataFrame:
-    """Updates of events: a row for each key with new items, and one when it was closed for silence.
+    """Updates of events: a row for each key with new items, and one when it was closed for silence. Repeated messages
+    don't count again, as the state knows them.
 
     Needs the RocksDB state store: spark.sql.streaming.stateStore.providerClass.
     """
