@@ -129,6 +129,10 @@ def _one_script(m: re.Match) -> str:
     return "".join(_TO[goal].get(c, c) for c in word)
 
 
+def _composed(segment: str) -> str:
+    return _MARKED.sub(lambda m: unicodedata.normalize("NFC", m.group(0)), segment)
+
+
 def canonical_segment(segment: str, before: str = "", after: str = "") -> str:
     """One unstable segment; `before` and `after` are the characters beside it."""
     def hide(m: re.Match) -> str:
@@ -138,8 +142,8 @@ def canonical_segment(segment: str, before: str = "", after: str = "") -> str:
     segment = _HIDDEN.sub(hide, segment)
     segment = _BLANK.sub(" ", segment)
     segment = _COMPAT.sub(lambda m: COMPATIBLE[m.group(0)], segment)
-    segment = _MARKED.sub(lambda m: unicodedata.normalize("NFC", m.group(0)), segment)
-    return _RUN.sub(_one_script, segment)
+    segment = _composed(segment)
+    return _composed(_RUN.sub(_one_script, segment))
 
 
 def canonical_text(text: str | None, usual: dict[str, str] | None = None) -> str | None:
