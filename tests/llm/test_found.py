@@ -122,6 +122,17 @@ def test_repeated_lines_match_brute_force(spark, tables):
     assert clean == want
 
 
+def test_line_keys_agree_in_and_outside_the_jvm(spark):
+    r = random.Random(14)
+    texts = ["", "a", " A  b", "12:30 x", "\t tab\r", "\u00a0nb\u2003 ", "٣ ３", "אב  ג"] + ["".join(r.choice("aB1 \t\r\u00a0é９א") for _ in range(r.randint(1, 12))) for _ in range(500)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("t", lines.line_keys(F.col("t"))[0].alias("k")).collect()
+    assert [lines.line_key(x.t) for x in rows] == [x.k for x in rows]
+    keys = [x.k for x in rows[1:200:7] if x.k is not None]
+    joined = "\n".join(texts)
+    got = spark.createDataFrame([(joined, keys)], "t string, k array<bigint>").select(lines.without_lines(F.col("t"), F.col("k"))).first()[0]
+    assert got == lines.Remover(keys)(joined) == "\n".join(t for t in texts if lines.line_key(t) not in set(keys))
+
+
 def test_blocks_are_components(spark):
     nodes = spark.createDataFrame([("s", i, 5, 9) for i in (1, 2, 3, -4)] + [("t", 1, 5, 9)], "source string, line bigint, reports bigint, all bigint").select("source", "line", "reports")
     edges = spark.createDataFrame([("s", 1, 2, 5), ("s", 2, -4, 5), ("s", 1, 99, 5)], "source string, a bigint, b bigint, reports bigint")

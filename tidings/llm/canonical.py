@@ -115,7 +115,7 @@ _JOINED = "\u200d"
 
 
 def _pictorial(c: str) -> bool:
-    return c in "\ufe0f\u200d⃣" or unicodedata.category(c) in ("So", "Sk")
+    return c in "\ufe0f\u20e3" or unicodedata.category(c) in ("So", "Sk")
 
 
 def _one_script(m: re.Match) -> str:
@@ -215,18 +215,29 @@ def usual_forms(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _canonical_udf(usual: dict[tuple[str, str], str]):
-    by_ctx: dict[str, dict[str, str]] = {}
-    for (ctx, form), goal in usual.items():
-        by_ctx.setdefault(ctx, {})[form] = goal
+    by_ctx = by_script(usual)
 
     @F.pandas_udf("string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
-            yield pd.Series([canonical_text(t, by_ctx.get(script_of(t))) if t is not None else None for t in texts], dtype=object)
+            yield pd.Series([canonical_text(t, by_ctx.get(script_of(t)) if by_ctx else None) if t is not None else None for t in texts], dtype=object)
 
     return run
 
 
+def bounded(forms: DataFrame) -> dict[tuple[str, str], str] | None:
+    """The table of unusual forms as (ctx, form) -> usual, if it has at most TABLE_LIMIT entries."""
+    rows = forms.limit(TABLE_LIMIT + 1).collect()
+    return {(r.ctx, r.form): r.usual for r in rows} if len(rows) <= TABLE_LIMIT else None
+
+
+def by_script(usual: dict[tuple[str, str], str]) -> dict[str, dict[str, str]]:
+    out: dict[str, dict[str, str]] = {}
+    for (ctx, form), goal in usual.items():
+        out.setdefault(ctx, {})[form] = goal
+    return out
+
+
 def canonical(df: DataFrame, columns: list[str], corpus: DataFrame | None = None) -> DataFrame:
     """df with the columns in one consistent form. `corpus` (df itself if not given) decides on words of shared letters.
 
@@ -234,13 +245,12 @@ def canonical(df: DataFrame, columns: list[str], corpus: DataFrame | None = None
     looked up by a join instead.
     """
     forms = usual_forms(df if corpus is None else corpus, columns)
-    rows = forms.limit(TABLE_LIMIT + 1).collect()
-    if len(rows) <= TABLE_LIMIT:
-        run = _canonical_udf({(r.ctx, r.form): r.usual for r in rows})
+    usual = bounded(forms)
+    if usual is not None:
+        run = _canonical_udf(usual)
         for c in columns:
             t = F.col(c)
-            need = unstable(t, foreign=bool(rows))
-            df = df.withColumn(c, F.coalesce(run(F.when(need, t)), t))
+            df = df.withColumn(c, F.coalesce(run(F.when(unstable(t, foreign=bool(usual)), t)), t))
         return df
     run = _canonical_udf({})
     for c in columns:

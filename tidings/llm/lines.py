@@ -13,7 +13,10 @@ Null and empty contents have no lines; a report without a usable source keeps al
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +39,37 @@ def line_keys(text: Column) -> Column:
     return F.transform(F.split(even, "\n"), lambda line: F.when(F.trim(line) != "", F.xxhash64(F.trim(line)).bitwiseAND(F.lit(~0xFFFF)).bitwiseOR(_first(F.trim(line)))))
 
 
+_ODD_BLANK = re.compile("[\t\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_EVEN = re.compile(f"{_ODD_BLANK.pattern}[ {_ODD_BLANK.pattern[1:-1]}]*| [ {_ODD_BLANK.pattern[1:-1]}]+")
+_DIGITS = re.compile(r"\d+")
+
+
+def line_key(line: str) -> int | None:
+    """line_keys() of one line, outside the JVM."""
+    plain = _DIGITS.sub("0", _EVEN.sub(" ", line.lower())).strip(" ")
+    if not plain:
+        return None
+    key = (xxhash.xxh64_intdigest(plain.encode(), 42) & ~0xFFFF) | (ord(plain[0]) & 0xFFFF)
+    return key - 2**64 if key >= 2**63 else key
+
+
+class Remover:
+    """without_lines() outside the JVM, for one source's lines."""
+
+    def __init__(self, keys) -> None:
+        self.keys = frozenset(keys)
+        self.firsts = frozenset(k & 0xFFFF for k in keys)
+
+    def __call__(self, text: str) -> str:
+        return "\n".join([line for line in text.split("\n") if not self._repeated(line)])
+
+    def _repeated(self, line: str) -> bool:
+        start = line.lstrip(" ")[:1]
+        if not start or not (ord(start.lower()[0]) & 0xFFFF in self.firsts or start.isdigit() or _ODD_BLANK.match(start)):
+            return False
+        return line_key(line) in self.keys
+
+
 def _first(line: Column) -> Column:
     """The first character's code; it is the key's low 16 bits, the rest is a hash of the line."""
     return F.ascii(line).bitwiseAND(F.lit(0xFFFF)).cast("bigint")

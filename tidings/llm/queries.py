@@ -124,9 +124,13 @@ def _word_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = table(spark, sf_dir, "sources")
     reports = table(spark, sf_dir, "reports").where("id IS NOT NULL").select("id", "title", "content", "source_name", "source_id")
     docs = _report_source(reports, sources).join(_source_lines(spark, sf_dir), "source", "left")
-    docs = docs.withColumn("content", _lines.without_lines(F.col("content"), F.col("lines")))
-    docs = docs.select("id", F.concat_ws("\n", "title", "content").alias("text"))
-    return _canonical.canonical(docs, ["text"], corpus=table(spark, sf_dir, "reports").select(F.concat_ws("\n", "title", "content").alias("text"))).select("id", _near.words_of(F.col("text")).alias("words"))
+    corpus = table(spark, sf_dir, "reports").select(F.concat_ws("\n", "title", "content").alias("text"))
+    forms = kept(_canonical.usual_forms(corpus, ["text"]))
+    usual = _canonical.bounded(forms)
+    if usual is not None:
+        return _near.word_sets(docs, usual)
+    docs = docs.select("id", F.concat_ws("\n", "title", _lines.without_lines(F.col("content"), F.col("lines"))).alias("text"))
+    return _canonical.canonical(docs, ["text"], corpus=corpus).select("id", _near.words_of(F.col("text")).alias("words"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
