@@ -26,7 +26,7 @@ UNION ALL SELECT dedup_key, 'occurred_at', arg_max(id, (happened, id)) FROM r WH
 """
 
 _LINES = rf"""
-WITH d AS (SELECT DISTINCT id, s.name AS source, content FROM reports JOIN sources s ON s.name = {_strip("source_name")} WHERE id IS NOT NULL),
+WITH d AS (SELECT DISTINCT reports.id, s.name AS source, content FROM reports JOIN sources s ON s.name = {_strip("source_name")} WHERE reports.id IS NOT NULL),
 l AS (SELECT id, source, unnest(string_split(content, chr(10))) AS line, unnest(range(len(string_split(content, chr(10))))) AS line_no FROM d),
 k AS (SELECT id, source, line_no, trim(regexp_replace(regexp_replace(lower(line), '{_BLANK}+', ' ', 'g'), '\p{{Nd}}+', '0', 'g')) AS k FROM l),
 n AS (SELECT source, count(*) AS docs FROM d GROUP BY source),

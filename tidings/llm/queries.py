@@ -29,25 +29,25 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- 2: lines repeated across one source's documents
 def _keyed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, source, keys) of each report; line keys are made before the rows stored twice are dropped, so that texts aren't shuffled."""
-    reports = table(spark, sf_dir, "reports").select("id", "source_name", _lines.line_keys(F.col("content")).alias("keys"))
-    return usable_source(reports, table(spark, sf_dir, "sources")).select("id", "source", "keys").where("id IS NOT NULL").dropDuplicates(["id"])
+    """(id, source, keys) of each report with a usable source; keys are made before the rows stored twice are dropped, so that texts aren't shuffled."""
+    reports = table(spark, sf_dir, "reports").where("id IS NOT NULL").select("id", "source_name", "content")
+    return _lines.keyed(usable_source(reports, table(spark, sf_dir, "sources")).where("source IS NOT NULL"), "content").dropDuplicates(["id"])
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = kept(_keyed_reports(spark, sf_dir).where("source IS NOT NULL"))
+    docs = kept(_keyed_reports(spark, sf_dir))
     marks = _lines.blocks(_lines.repeated_lines(docs), _lines.repeated_edges(docs))
     own = docs.join(_lines.per_source(marks), "source").select("id", F.posexplode("keys").alias("line_no", "key"), "lines")
     return own.where(F.array_contains("lines", F.col("key"))).select("id", "line_no")
 
 
 def p2_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = kept(_keyed_reports(spark, sf_dir).where("source IS NOT NULL"))
+    docs = kept(_keyed_reports(spark, sf_dir))
     return _lines.blocks(_lines.repeated_lines(docs), _lines.repeated_edges(docs))
 
 
 def _source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = kept(_keyed_reports(spark, sf_dir).where("source IS NOT NULL").select("source", "keys"))
+    docs = kept(_keyed_reports(spark, sf_dir).select("source", "keys"))
     return _lines.per_source(_lines.repeated_lines(docs))
 
 
