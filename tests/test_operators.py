@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions import text, tokens
 from tidings.functions.lexicon import Reject, RulePack
-from tidings.operators import duplicates, events, operations, places, screening, severity
+from tidings.operators import duplicates, enrich, events, operations, places, screening, severity
 
 T = datetime(2026, 1, 1, 12)
 
@@ -176,3 +176,20 @@ def test_health(spark):
 def test_near_line(spark):
     note, lines = F.array(F.lit("a"), F.lit("b")), F.array(F.array(F.lit("x")), F.array(F.lit("a"), F.lit("c")))
     assert spark.range(1).select(tokens.near_line(note, lines), tokens.near_line(note, F.array(F.array(F.lit("x"))))).first()[:] == (True, False)
+
+
+def test_enriched(spark, gazetteer):
+    df = spark.createDataFrame([(1, "פיגוע בקריית שמונה! פרטים בהמשך", "x"), (2, None, "y"), (3, "plain words here", "z")], "id int, t string, extra string")
+    got = {r.id: r for r in enrich.enriched(df, "id", "t", places.gazetteer(*gazetteer)).collect()}
+    assert (got[1].location_name, got[1].severity, got[1].title, got[1].lang, got[1].extra) == ("קריית שמונה", "critical", "פיגוע בקריית שמונה!", "he", "x")
+    assert (got[2].content, got[2].title, got[3].lang) == ("", "דיווח ללא כותרת", "other") and len({r.dedup_key for r in got.values()}) == 3
+
+
+def test_judged_same(spark):
+    columns = "id string, ts timestamp, content string, place string, tokens array<string>"
+    items = spark.createDataFrame([("a", T, "one", "p", ["x"]), ("b", T, "two", "p", ["y"]), ("c", T + timedelta(hours=5), "three", None, []), ("d", None, "four", None, [])], columns)
+    seen = spark.createDataFrame([(f"e{i}", T + timedelta(minutes=3 * i), f"c{i}", "p" if i == 5 else "q", ["x"] if i == 4 else []) for i in range(9)], columns)
+    def judge(content, candidates):
+        return candidates.index("c5") if content == "one" else 9
+
+    assert [tuple(r) for r in enrich.judged_same(items, seen, judge).collect()] == [("a", "e5")]

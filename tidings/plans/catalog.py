@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import language, lexicon, text, tokens
 from ..functions.lexicon import Reject, RulePack
-from ..operators import duplicates, events, operations, places, screening, severity
+from ..operators import duplicates, enrich, events, operations, places, screening, severity
 from ..sources import readers, sinks
 from . import oracle as O
 
@@ -181,17 +181,28 @@ def _geo_sql() -> str:
         f"WITH {_TERMS} {cleaned_terms}, "
         f"g2 AS (SELECT rank, name, latitude, longitude, string_split(m, ' ')[1] AS w, array_to_string(string_split(m, ' ')[2:], ' ') AS rest, contains(m, ' ') AS several FROM g1 JOIN terms USING (k) WHERE m <> ''), "
         f"g3 AS MATERIALIZED (SELECT rank, name, latitude, longitude, '(?:^| )' || CASE WHEN length({core}) >= 4 OR several THEN '[{lexicon.ATTACHED_TO_NAMES}]{{0,2}}ה?' || {core} ELSE w END || CASE WHEN rest <> '' THEN ' ' || rest ELSE '' END || '(?: |$)' AS p, {core} AS core FROM g2), "
-        f"{O.clean_steps('documents', 'doc_id', 'text')} "
-        "SELECT doc_id, arg_min(name, rank) AS name, arg_min(latitude, rank) AS latitude, arg_min(longitude, rank) AS longitude FROM cleaned JOIN g3 ON contains(m, core) AND regexp_matches(m, p) GROUP BY doc_id"
+        f"{O.clean_steps('documents', 'doc_id', 'text')}, "
+        "found AS (SELECT doc_id, arg_min(name, rank) AS name, arg_min(latitude, rank) AS latitude, arg_min(longitude, rank) AS longitude FROM cleaned JOIN g3 ON contains(m, core) AND regexp_matches(m, p) GROUP BY doc_id) "
     )
 
 
-@query(_geo_sql())
+@query(_geo_sql() + "SELECT * FROM found")
 def geo_longest_match(spark, sf_dir):
     terms = places.gazetteer(table(spark, sf_dir, "places"), table(spark, sf_dir, "place_aliases"))
     return places.located(_docs(spark, sf_dir), "doc_id", "m", terms)
 
 
+@query(
+    _geo_sql()
+    + f", k AS (SELECT doc_id, c, m, name, latitude, longitude, {_FIRST} AS f, list_distinct({O.tokens('m')}) AS t FROM cleaned LEFT JOIN found USING (doc_id)), l AS (SELECT *, list_sort(list_transform(list_sort(list_transform(t, lambda w: {{'n': -length(w), 'w': w}}))[:3], lambda x: x.w)) AS o FROM k) "
+    f"SELECT doc_id, c AS content, CASE WHEN c = '' THEN {O.lit(lexicon.NO_TITLE)} WHEN length(f) > 90 THEN {_CUT.format(t='f', n=90)} ELSE f END AS title, {O.severity('m')} AS severity, name AS location_name, latitude, longitude, "
+    "sha1(CASE WHEN name IS NOT NULL THEN 'loc:' || name WHEN len(o) > 0 THEN 'tok:' || array_to_string(o, '|') ELSE coalesce(nullif(c[:60], ''), 'empty') END)[:20] AS dedup_key, CASE WHEN regexp_matches(c, '[\\x{590}-\\x{5ff}]') THEN 'he' ELSE 'other' END AS lang FROM l"
+)
+def enriched_documents(spark, sf_dir):
+    terms = places.gazetteer(table(spark, sf_dir, "places"), table(spark, sf_dir, "place_aliases"))
+    return enrich.enriched(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", terms).drop("text")
+
+
 @query(
     "WITH a AS (SELECT alias, min(name) AS n FROM place_aliases JOIN places USING (place_id) GROUP BY alias), r AS (SELECT DISTINCT id, " + O.strip("location_name") + " AS g FROM reports) "
     "SELECT id, coalesce(a.n, g) AS place, p.latitude, p.longitude FROM r LEFT JOIN a ON g = alias LEFT JOIN places p ON p.name = coalesce(a.n, g)"
