@@ -154,11 +154,37 @@ def test_cut_values_held_out(spark):
         rows.append((r.choice(["reports", "report_sources"]), str(i), text))
         truth[str(i)] = cut
     rows += [("reports", "empty", ""), ("reports", "null", None), ("reports", "marks", " … 🚒 ")]
-    got = {x.id: x.cut for x in truncation.cut_values(spark.createDataFrame(rows, "tbl string, id string, text string")).collect()}
+    df = spark.createDataFrame(rows, "tbl string, id string, text string").where("text IS NOT NULL").withColumn("lines", F.lit(None).cast("array<bigint>"))
+    got = {x.id: x.cut for x in truncation.cut_values(df).collect()}
     assert set(got) == set(truth)
     assert sum(got[i] == truth[i] for i in truth) >= 0.99 * len(truth)
 
 
+@pytest.mark.parametrize(
+    "given, want",
+    [("a. #b https://c.d 🚒 ", "a."), ("a […]", "a"), ("a (...)", "a"), ("a...", "a"), ("a….", "a…."), ("a b@c", "a b@c"), ("a @c", "a"), ("#x", ""), ("", ""), ("a \ufffd…\n#t_1", "a"), ("a? www.x.y", "a?")],
+)
+def test_messages(given, want):
+    assert truncation.message_of(given) == want
+
+
+def test_many_lines_of_furniture_are_joined(spark, tables, monkeypatch):
+    r = random.Random(15)
+    words = ["אזעקה", "בצפון", "הכוחות", "סורקים", "שריפה", "ליד", "הכביש", "נפצע", "בדרך", "לעיר", "מכולה", "גדר"]
+    rows, want = [], set()
+    for i in range(400):
+        body = " ".join(r.choice(words) for _ in range(r.randint(6, 12)))
+        if i % 4:
+            body += "."
+        else:
+            body, want = body[: r.randint(len(body) // 2, len(body) - 2)].rstrip(), want | {f"r{i}"}
+        rows.append(report(f"r{i}", content=f"{body}\nכתבת: רות", source_name="?"))
+    d = tables(reports=rows)
+    for limit in (truncation.FURNITURE_LIMIT, 0):
+        monkeypatch.setattr(truncation, "FURNITURE_LIMIT", limit)
+        assert {x.id for x in queries.p3_found(spark, d).collect()} == want
+
+
 def test_threshold_lies_between_the_clusters():
     n = np.zeros(60)
     n[[10, 11, 40, 41]] = [5, 5, 30, 9]

@@ -272,6 +272,6 @@ def look_alike_cases(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """(key, field) of each value that the canonical form changes, blanks at the ends and line ends aside."""
     made = canonical(df.select(key, *columns, *[F.col(c).alias(f"_was_{c}") for c in columns]), columns)
     changed = F.array_compact(
-        F.array(*[F.when(F.regexp_replace(F.col(f"_was_{c}"), r"(?U)^[\s\x{FEFF}]+|[\s\x{FEFF}]+$|\r", "") != F.regexp_replace(F.col(c), r"(?U)^\s+|\s+$|\r", ""), F.lit(c)) for c in columns])
+        F.array(*[F.when(F.regexp_replace(F.col(f"_was_{c}"), r"(?U)^\s+|\s+$|\r", "") != F.regexp_replace(F.col(c), r"(?U)^\s+|\s+$|\r", ""), F.lit(c)) for c in columns])
     )
     return made.select(key, F.explode(changed).alias("field")).distinct()

@@ -37,7 +37,7 @@ WIDEST, PROBE_COST = 9, 8
 #: The Hamming distance of two sketches of BITS bits has the mean BITS * (1 - s) / 2 at similarity s; so many deviations above it pass.
 BITS, DEVIATIONS = 192, 3.5
 #: Rows of one key that are paired in memory; beyond that the key is hot.
-HOT = 20_000
+HOT = 5_000
 
 
 def words_of(text: Column) -> Column:

@@ -66,16 +66,15 @@ def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- 3: text cut off by field limits
 def _cut_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = table(spark, sf_dir, "sources")
-    reports = table(spark, sf_dir, "reports").where("id IS NOT NULL AND content IS NOT NULL").select("id", "content", "source_name", "source_id", _lines.line_keys(F.col("content")).alias("keys"))
-    lines = _truncation.kept(_truncation.furniture(reports.select("keys")))
-    docs = _report_source(reports, sources).join(_source_lines(spark, sf_dir), "source", "left")
-    docs = _truncation.without_furniture(docs, "content", "keys", "lines", lines)
+    reports = table(spark, sf_dir, "reports").where("id IS NOT NULL").select("id", "content", "source_name", "source_id")
+    keyed = kept(_lines.keyed(usable_source(reports, sources), "content").dropDuplicates(["id"]))
+    own = _lines.per_source(_lines.repeated_lines(keyed.where("source IS NOT NULL")))
+    lines = kept(_truncation.furniture(keyed.select("keys")))
+    docs = _report_source(reports.where("content IS NOT NULL"), sources).join(own, "source", "left").select(F.lit("reports").alias("tbl"), "id", F.col("content").alias("text"), "lines")
     excerpts = table(spark, sf_dir, "report_sources").where("id IS NOT NULL AND excerpt IS NOT NULL")
-    own = F.array().cast("array<bigint>")
-    excerpts = excerpts.select("id", "excerpt", _lines.line_keys(F.col("excerpt")).alias("keys"), own.alias("lines"))
-    excerpts = _truncation.without_furniture(excerpts, "excerpt", "keys", "lines", lines)
-    both = docs.select(F.lit("reports").alias("tbl"), "id", F.col("content").alias("text")).unionByName(excerpts.select(F.lit("report_sources").alias("tbl"), "id", F.col("excerpt").alias("text")))
-    return _truncation.cut_values(both)
+    both = docs.unionByName(excerpts.select(F.lit("report_sources").alias("tbl"), "id", F.col("excerpt").alias("text"), F.lit(None).cast("array<bigint>").alias("lines")))
+    known = _truncation.known_furniture(lines)
+    return _truncation.cut_values(_truncation.without_furniture(both, "text", lines) if known is None else both, known)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

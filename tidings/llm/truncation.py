@@ -15,6 +15,7 @@ Null and blank values, and values of nothing but lines and marks, are no cases.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .canonical import main_script
+from .canonical import script_of
 from .common import kept
+from .lines import Remover, line_keys, without_lines
 
 #: A line of furniture follows at least so many different lines; how much weight the pooled estimate has; bins of the histogram.
 FOLLOWS, WEIGHT, BINS, BOUND = 20, 20.0, 60, 8.0
@@ -33,19 +35,6 @@ MOST = 1.0
 FURNITURE_LIMIT = 20_000
 #: Below this many values, a language's threshold is the one of all languages together.
 ENOUGH = 200
-# Marks of omission and damage, links, hashtags, emoji, blanks and unseen characters at an end.
-_SYMBOLS = r"[\x{1f000}-\x{1faff}\x{2600}-\x{27bf}\x{2190}-\x{21ff}\x{2b00}-\x{2bff}\x{fe0f}\x{20e3}]"
-_UNSEEN = r"[\s\x{85}\x{a0}\x{ad}\x{1680}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}-\x{206f}\x{3000}\x{feff}]"
-_MARKS = r"\x{fffd}|\x{2026}|\.{2,}|\[(?:\x{2026}|\.{3})\]|\((?:\x{2026}|\.{3})\)"
-_LINKS = r"(?<=\s|^)(?:https?://|www\.)\S+|(?<=\s|^)[#@][\p{L}\p{M}\p{N}_]+"
-TAIL = f"(?:{_UNSEEN}|{_MARKS}|{_LINKS}|{_SYMBOLS})+$"
-
-
-def message(text: Column) -> Column:
-    """Without what may follow the end of a message."""
-    return F.regexp_replace(text, TAIL, "")
-
-
 def furniture(keys: DataFrame, follows: int = FOLLOWS) -> DataFrame:
     """(line): lines that return after at least `follows` different lines. keys: (keys), line keys of a text each, null at blank lines."""
     k = F.array_compact("keys")
@@ -53,19 +42,18 @@ def furniture(keys: DataFrame, follows: int = FOLLOWS) -> DataFrame:
     return pairs.select("p.line", "p.before").distinct().groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= follows).select("line")
 
 
-def without_furniture(df: DataFrame, text: str, keys: str, own: str, lines: DataFrame) -> DataFrame:
-    """df with `text` less its lines in `lines` (a kept table) and in the array column `own`."""
+def known_furniture(lines: DataFrame) -> frozenset[int] | None:
+    """The lines as a set, if they are at most FURNITURE_LIMIT."""
     known = [r.line for r in lines.limit(FURNITURE_LIMIT + 1).collect()]
-    pairs = F.arrays_zip(F.split(F.col(text), "\n").alias("line"), F.col(keys).alias("key"))
-    if len(known) <= FURNITURE_LIMIT:
-        general = lambda k: k.isin(known) if known else F.lit(False)
-    else:
-        df = df.withColumn("_n", F.monotonically_increasing_id())
-        hit = df.select("_n", F.explode(keys).alias("line")).join(lines, "line").groupBy("_n").agg(F.collect_set("line").alias("_hit"))
-        df = df.join(hit, "_n", "left")
-        general = lambda k: F.coalesce(F.array_contains("_hit", k), F.lit(False))
-    stay = F.filter(pairs, lambda x: x["key"].isNull() | ~(general(x["key"]) | F.coalesce(F.array_contains(F.col(own), x["key"]), F.lit(False))))
-    return df.withColumn(text, F.array_join(F.transform(stay, lambda x: x["line"]), "\n"))
+    return frozenset(known) if len(known) <= FURNITURE_LIMIT else None
+
+
+def without_furniture(df: DataFrame, text: str, lines: DataFrame) -> DataFrame:
+    """df with `text` less its lines in `lines`, by a join: for more lines than a task should be sent."""
+    df = df.withColumn("_n", F.monotonically_increasing_id()).withColumn("_k", line_keys(F.col(text)))
+    hit = df.select("_n", F.explode("_k").alias("line")).join(lines, "line").groupBy("_n").agg(F.collect_set("line").alias("_hit"))
+    df = df.join(hit, "_n", "left")
+    return df.withColumn(text, F.when(F.col("_hit").isNull(), F.col(text)).otherwise(without_lines(F.col(text), F.col("_hit")))).drop("_n", "_k", "_hit")
 
 
 def _alphabet() -> np.ndarray:
@@ -85,17 +73,60 @@ _CLASSES = _alphabet()
 SIZE = 256
 
 
-def contexts(df: DataFrame) -> DataFrame:
-    """df: (tbl, id, lang, text). Rows with an id: its final context; rows without: how often a context is inside and at the end.
-
-    One pass over the texts: (tbl, id, lang, context, inside, ending).
+# Emoji, blanks, unseen characters and marks of omission or damage that may stand at an end; links and hashtags.
+_ENDS = "".join(map(chr, [*range(0x1F000, 0x1FB00), *range(0x2600, 0x27C0), *range(0x2190, 0x2200), *range(0x2B00, 0x2C00), 0xFE0F, 0x20E3, 0x85, 0xA0, 0xAD, 0x1680, *range(0x2000, 0x2010), *range(0x2028, 0x2030), *range(0x205F, 0x2070), 0x3000, 0xFEFF, 0xFFFD, 0x2026])) + " \t\n\x0b\f\r"
+_OMITTED = ("[\u2026]", "[...]", "(\u2026)", "(...)")
+_LAST = re.compile(r"(?:https?://|www\.)\S+|[#@][^\W][\w\u0300-\u036f\u0591-\u05c7]*")
+_DOTS = re.compile(r"\.{2,}$")
+
+
+def message_of(text: str) -> str:
+    """The text without what may follow the end of a message, taken off piece by piece."""
+    while True:
+        before = len(text)
+        text = text.rstrip(_ENDS)
+        if text.endswith(_OMITTED):
+            text = text[: -3 if text[-2] == "\u2026" else -5]
+        elif text.endswith(".."):
+            text = _DOTS.sub("", text)
+        else:
+            at = max(text.rfind(" "), text.rfind("\n"), text.rfind("\t")) + 1
+            if at < len(text) and text[at] in "hw#@" and _LAST.fullmatch(text, at):
+                text = text[:at]
+        if len(text) == before:
+            return text
+
+
+def contexts(df: DataFrame, general: frozenset[int] | None = None) -> DataFrame:
+    """Rows with an id: its final context; rows without: how often a context is inside and at the end.
+
+    df: (tbl, id, text, lines); one pass over the texts gives (tbl, id, lang, context, inside, ending). With `general`, the
+    lines of a text that are in it or in its `lines` go first, and what may follow a message is taken off; without, that
+    has been done.
     """
+    everywhere = Remover(general) if general is not None else None
+
+    def messages(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray]:
+        texts = batch.column("text").to_pylist()
+        if everywhere is not None:
+            removers: dict[tuple, Remover] = {}
+            for i, lines in enumerate(batch.column("lines").to_pylist()):
+                text = everywhere(texts[i])
+                if lines:
+                    key = tuple(lines)
+                    text = (removers.get(key) or removers.setdefault(key, Remover(key)))(text)
+                texts[i] = message_of(text)
+        full = np.array([bool(t) for t in texts])
+        return [t for t in texts if t], full
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 4000):
                 batch = whole.slice(lo, 4000)
-                texts = batch.column("text").to_pylist()
+                texts, full = messages(batch)
+                if not texts:
+                    continue
+                ids, tables, langs = batch.column("id").filter(pa.array(full)), batch.column("tbl").filter(pa.array(full)), [script_of(t) for t in texts]
                 lengths = np.fromiter(map(len, texts), np.int64, len(texts))
                 # Two signs of their own kind before each text: contexts at its start don't reach into the text before.
                 codes = np.frombuffer(("\x00\x00" + "\x00\x00".join(texts)).encode("utf-32-le", "replace"), np.uint32)
@@ -103,9 +134,9 @@ def contexts(df: DataFrame) -> DataFrame:
                 last = np.cumsum(lengths + 2) - 1
                 grams = c[2:] | (c[1:-1] << 8) | (c[:-2] << 16)
                 final = grams[last - 2]
-                group = batch.column("tbl").to_numpy(zero_copy_only=False).astype(str), batch.column("lang").to_numpy(zero_copy_only=False).astype(str)
+                group = tables.to_numpy(zero_copy_only=False).astype(str), np.array(langs)
                 yield pa.record_batch({
-                    "tbl": batch.column("tbl"), "id": batch.column("id"), "lang": batch.column("lang"), "context": pa.array(final),
+                    "tbl": tables, "id": ids, "lang": pa.array(langs), "context": pa.array(final),
                     "inside": pa.array(np.zeros(len(texts), np.int64)), "ending": pa.array(np.zeros(len(texts), np.int64)),
                 })
                 both = np.char.add(group[0], group[1])
@@ -127,7 +158,7 @@ def contexts(df: DataFrame) -> DataFrame:
                         "context": pa.array(every), "inside": pa.array(inside), "ending": pa.array(ending),
                     })
 
-    return df.select("tbl", "id", "lang", "text").mapInArrow(run, "tbl string, id string, lang string, context int, inside bigint, ending bigint")
+    return df.select("tbl", "id", "text", "lines").mapInArrow(run, "tbl string, id string, lang string, context int, inside bigint, ending bigint")
 
 
 def log_odds(counts: DataFrame) -> DataFrame:
@@ -173,10 +204,9 @@ def thresholds(odds: DataFrame) -> dict[tuple[str, str], float]:
     return {k: cut[k] if by[k].sum() >= ENOUGH else cut[k[0], ""] for k in by if k[1]}
 
 
-def cut_values(df: DataFrame) -> DataFrame:
-    """(tbl, id, cut) of each value with a message. df: (tbl, id, text), text without the lines that are no part of the message."""
-    texts = df.withColumn("text", message(F.col("text"))).where("text <> ''").withColumn("lang", main_script(F.col("text")))
-    seen = kept(contexts(texts))
+def cut_values(df: DataFrame, general: frozenset[int] | None = None) -> DataFrame:
+    """(tbl, id, cut) of each value with a message. df: (tbl, id, text, lines), text not null; general: as for contexts()."""
+    seen = kept(contexts(df, general if general is not None else frozenset()))
     counts = seen.where("id IS NULL").groupBy("tbl", "lang", "context").agg(F.sum("inside").alias("inside"), F.sum("ending").alias("ending"))
     odds = kept(log_odds(counts))
     limit = F.coalesce(*[F.when((F.col("tbl") == t) & (F.col("lang") == lang), F.lit(x)) for (t, lang), x in thresholds(odds).items()], F.lit(0.0))
