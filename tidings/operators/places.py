@@ -55,8 +55,11 @@ def located(df: DataFrame, key: str, text: str, places: DataFrame, ambiguous: tu
     first mention of a name in a text is looked at, as a veto skips the name, not the mention.
     """
     terms = gazetteer_checked(places)
-    words = df.select(key, F.split(text, " ").alias("w")).select(key, "w", F.posexplode("w").alias("at", "word")).where("word <> ''")
-    cut = words.select(key, "at", "word", F.slice("w", F.col("at") + 2, 8).alias("after"), F.explode(_cores(F.col("word"))).alias("c"))
+    longest = terms.agg(F.max(F.size("rest"))).first()[0] or 0
+    # Each word with as many words after it as the longest name needs; the text itself is not carried along.
+    spots = F.transform("w", lambda word, i: F.struct(i.alias("at"), word.alias("word"), F.slice("w", i + 2, F.lit(longest)).alias("after")))
+    words = df.select(key, F.split(text, " ").alias("w")).select(key, F.inline(spots)).where("word <> ''")
+    cut = words.select(key, "at", "word", "after", F.explode(_cores(F.col("word"))).alias("c"))
     cut = cut.select(key, "at", "word", "after", F.col("c.core").alias("core"), F.col("c.bare").alias("bare"))
     fits = (F.col("bare") | F.col("tolerant")) & (F.slice(F.col("after"), F.lit(1), F.size("rest")) == F.col("rest"))
     met = cut.join(terms, "core").where(fits)
