@@ -286,6 +286,22 @@ def test_similar_pairs_match_brute_force(spark, monkeypatch, hot):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
 
 
+def test_similar_classes_miss_no_pair_at_the_threshold(spark):
+    r = random.Random(60)
+    sets = []
+    for _ in range(250):
+        words = r.sample(range(4000), 50)
+        sets += [words[:40], words[10:], words[:30] + words[45:]]
+    rows = [(str(i), sorted(x - 2000 for x in w)) for i, w in enumerate(sets)] + [("1500", [1]), ("1501", [1, 2]), ("1502", [1, 2, 3])]
+    _, classes = near.word_classes(spark.createDataFrame(rows, "id string, words array<int>"))
+    held = [(x["class"], set(x.words)) for x in classes.collect()]
+    want = {tuple(sorted((a, b))) for i, (a, x) in enumerate(held) for b, y in held[:i] if 10 * len(x & y) >= 6 * len(x | y)}
+    assert len(want) >= 500
+    got = [(x.a, x.b) for x in near.similar_classes(classes).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {(x.a, x.b) for x in near.verified(near.kept(near.prefix_candidates(classes, block=3)), classes).collect()} == want
+
+
 def test_allocation_reaches_the_wanted_recall():
     pairs = {w: 10.0 ** (9 - w) for w in range(1, 10)}
     for miss in (0.2, 0.05, 0.01):

@@ -1,15 +1,19 @@
-"""Problem 6: records that share most of their words, found by a generalised pigeonhole search over sketches.
-
-Every report becomes its set of distinct words; equal sets are one class from here on. A class has a sketch of minwise
-hash values. The bits of one hash value are fully correlated (all agree or they differ at random), so they stay together
-as one symbol, and a partition is a group of symbols. Partition i gets its width and its threshold (symbols that may
-differ: none or one) by a dynamic programme: least estimated candidates and probes such that a pair at the similarity
-threshold is missed by all partitions with a chance of at most `miss`. The candidate estimates are counts over all
-classes (how many pairs agree in 1, 2, 3 ... symbols), so partitions grow wider as the collection grows.
-
-Probing is an equi-join on the partitions' keys. A candidate is first held against a second sketch of single bits
-(Hamming distance), then verified exactly on the word sets. Nothing is capped: keys that very many rows share go another,
-splittable way; copies were collapsed before.
+"""Problem 6: records that share most of their words, all of them: an exact prefix-filter join on the word sets.
+
+Every report becomes its set of distinct words; equal sets are one class from here on. Words are ordered by how often
+they occur, rarest first. Two sets at the similarity threshold share a word within their prefixes, so only rows of one
+prefix word are paired, and only those that the filters of length, of position and of the parities' distance (a lower bound
+of the number of words in which two sets differ) leave. No filter excludes a pair at the threshold; what is left is verified
+exactly on the word sets. Nothing is capped: words that very many rows share are paired block by block.
+
+`similar_classes` with a `miss` takes a generalised pigeonhole search over sketches instead, which may lose that share of the
+pairs at the threshold; no query does. A class has a sketch of minwise hash values. The bits of one hash value are fully
+correlated (all agree or they differ at random), so they stay together as one symbol, and a partition is a group of symbols.
+Partition i gets its width and its threshold (symbols that may differ: none or one) by a dynamic programme: least estimated
+candidates and probes such that a pair at the similarity threshold is missed by all partitions with a chance of at most
+`miss`. The candidate estimates are counts over all classes (how many pairs agree in 1, 2, 3 ... symbols), so partitions grow
+wider as the collection grows. Probing is an equi-join on the partitions' keys. A candidate is first held against a second
+sketch of single bits (Hamming distance), then verified exactly.
 
 Reports without words are in no pair. Null title or content counts as empty.
 """
@@ -38,6 +42,8 @@ WIDEST, PROBE_COST = 9, 8
 BITS, DEVIATIONS = 192, 3.5
 #: Rows of one key that are paired in memory; beyond that the key is hot.
 HOT = 5_000
+#: Hash buckets that words are counted in; rows of one word that are paired in memory.
+BUCKETS, BLOCK = 2**20, 100_000
 
 
 def words_of(text: Column) -> Column:
@@ -279,6 +285,145 @@ def verified(pairs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD)
     return both.select("a", "b", shared.alias("s"), union.alias("u")).where(F.col("s") * 1000 >= F.col("u") * round(threshold * 1000)).select("a", "b", (F.col("s") / F.col("u")).alias("jaccard"))
 
 
+def word_counts(classes: DataFrame) -> np.ndarray:
+    """How often the words of each of BUCKETS hash buckets occur: a table of fixed size, whatever the vocabulary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                counts += np.bincount(_bucket(_flat(batch)[1]), minlength=BUCKETS)
+        some = np.nonzero(counts)[0]
+        yield pa.record_batch({"bucket": some.astype(np.int32), "n": counts[some]})
+
+    rows = classes.select("class", "words").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(BUCKETS, np.uint32)
+    counts[rows.column("bucket").to_numpy()] = np.minimum(rows.column("n").to_numpy(), 2**32 - 1)
+    return counts
+
+
+def _bucket(words: np.ndarray) -> np.ndarray:
+    return (words * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+
+
+def prefixes(classes: DataFrame, counts: np.ndarray, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """(key, class, at, h0 ...): one row per class and word of its prefix, the rarest words first.
+
+    at packs the number of words, the word's position and the side (1: as the smaller set, 2: as the larger one, 3: both).
+    h0 ... are the parities of the words' bits: two sets differ in at least as many words as their parities in bits. A word
+    that may have more than `block` rows gets a key for each pair of blocks, so that no group outgrows memory or a task.
+    """
+    t = round(threshold * 1000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 2000):
+                ids, words, starts = _flat(whole.slice(lo, 2000))
+                sizes = np.diff(np.append(starts, len(words)))
+                row = np.repeat(np.arange(len(ids)), sizes)
+                bits = (words * np.uint32(0x85EBCA6B)) >> np.uint32(16)
+                at_bit = (bits % np.uint32(BITS)).astype(np.uint64)
+                one = np.uint64(1) << (at_bit & np.uint64(63))
+                sketch = [np.bitwise_xor.reduceat(np.where(at_bit >> np.uint64(6) == i, one, np.uint64(0)), starts) for i in range(len(SKETCH))]
+                often = counts[_bucket(words)]
+                order = np.lexsort((words, often, row))
+                words, often = words[order], often[order]
+                place = np.arange(len(words)) - starts[row]
+                n = sizes[row]
+                use = (often > 1) & (place <= n - -(-t * n // 1000))
+                words, often, place, n, row = words[use], often[use].astype(np.int64), place[use], n[use], row[use]
+                blocks = -(-often // block)
+                one_block = blocks == 1
+                word = words.astype(np.int64) << 32
+                out = [(word[one_block], row[one_block], (n << 32 | place << 2 | 3)[one_block])]
+                for i in np.nonzero(~one_block)[0]:
+                    every, own = np.arange(blocks[i]), int(ids[row[i]]) % int(blocks[i])
+                    for side, keys in ((1, own << 16 | every), (2, every << 16 | own)):
+                        out.append((word[i] | keys, np.full(len(every), row[i]), np.full(len(every), n[i] << 32 | place[i] << 2 | side)))
+                key, row, at = (np.concatenate(x) for x in zip(*out))
+                yield pa.record_batch({"key": key, "class": ids[row], "at": at} | {c: h[row].view(np.int64) for c, h in zip(SKETCH, sketch)})
+
+    return classes.select("class", "words").mapInArrow(run, "key bigint, class bigint, at bigint, " + ", ".join(f"{c} bigint" for c in SKETCH))
+
+
+def _prefix_pairs(t: int):
+    """Pairs of rows of one key that no filter excludes: of length, of position, and of the parities' distance."""
+    kinds = [np.int64] * 3 + [np.uint64] * len(SKETCH)
+    rows_at_once, columns_at_once = 128, 1024
+
+    def pairs(rows: list[np.ndarray], found: list) -> None:
+        _, ids, at, *sketch = rows
+        n, place, side = at >> 32, (at & 0xFFFFFFFF) >> 2, at & 3
+        # Of two sets the rarest common word has all other common ones after it: both sizes together are at most `cap`.
+        cap = (n - place) * (1000 + t) // t
+        small = np.nonzero((side & 1 > 0) & (cap >= 2 * n))[0]
+        large = np.nonzero(side & 2)[0]
+        if not len(small) or len(ids) < 2:
+            return
+        small = small[np.argsort(n[small], kind="stable")]
+        most = np.minimum(n, cap - n)
+        large = large[np.lexsort((n[large], 8 * most[large] // n[large]))]
+        sizes, left = n[small], [h[small] for h in sketch]
+        for lo in range(0, len(large), rows_at_once):
+            own = large[lo : lo + rows_at_once]
+            first = int(np.searchsorted(sizes, -(-t * int(n[own].min()) // 1000)))
+            last = int(np.searchsorted(sizes, int(most[own].max()), "right"))
+            right, widest = [h[own][:, None] for h in sketch], int(n[own].max())
+            for c in range(first, last, columns_at_once):
+                end = min(c + columns_at_once, last)
+                apart = np.bitwise_count(left[0][c:end] ^ right[0])
+                for x, y in zip(left[1:2], right[1:2]):
+                    apart += np.bitwise_count(x[c:end] ^ y)
+                near = np.flatnonzero(apart <= (int(sizes[end - 1]) + widest) * (1000 - t) // (1000 + t))
+                if not len(near):
+                    continue
+                a, b, d = small[c + near % (end - c)], own[near // (end - c)], apart.ravel()[near].astype(np.int64)
+                for h in sketch[2:]:
+                    d += np.bitwise_count(h[a] ^ h[b])
+                both = n[a] + n[b]
+                ok = (n[a] <= n[b]) & (n[a] * 1000 >= n[b] * t) & (both <= cap[a]) & (both <= cap[b]) & (d * (1000 + t) <= both * (1000 - t)) & (ids[a] != ids[b])
+                if ok.any():
+                    x, y = ids[a[ok]], ids[b[ok]]
+                    found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come sorted by key. The last run of a batch may go on: its pieces are carried until the key ends.
+        carried: list[list[np.ndarray]] = []
+
+        def of(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            found: list[np.ndarray] = []
+            ends = np.append(np.flatnonzero(np.diff(rows[0])) + 1, len(rows[0]))
+            for a, b in zip(np.append(0, ends[:-1]), ends):
+                if b - a > 1:
+                    pairs([r[a:b] for r in rows], found)
+            if found:
+                a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.record_batch({"a": a, "b": b})
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(i).to_numpy().view(k) for i, k in enumerate(kinds)]
+            if carried and rows[0][-1] == carried[0][0][0]:
+                carried.append(rows)
+                continue
+            whole = int(np.searchsorted(rows[0], rows[0][-1]))
+            done = [*carried, [r[:whole] for r in rows]]
+            carried = [[r[whole:].copy() for r in rows]]
+            yield from of([np.concatenate(x) for x in zip(*done)])
+        if carried:
+            yield from of([np.concatenate(x) for x in zip(*carried)])
+
+    return run
+
+
+def prefix_candidates(classes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """(a, b): distinct pairs of classes, among them every pair at the threshold; the filters exclude no such pair."""
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = prefixes(classes, word_counts(classes), threshold, block).repartition(parts, "key").sortWithinPartitions("key")
+    return rows.mapInArrow(_prefix_pairs(round(threshold * 1000)), "a bigint, b bigint").distinct()
+
+
 def word_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """docs: (id, words) or (id, class, words), rows of one id being equal. Returns members (id, class) and classes (class, words), the latter a
     kept table. Equal word sets are one class."""
@@ -288,8 +433,13 @@ def word_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return docs.select("id", "class").distinct(), kept(docs.groupBy("class").agg(F.first("words").alias("words")))
 
 
-def similar_classes(classes: DataFrame, threshold: float = THRESHOLD, miss: float = MISS) -> DataFrame:
-    """(a, b, jaccard) of all pairs of classes found; each class once. classes is a kept table."""
+def similar_classes(classes: DataFrame, threshold: float = THRESHOLD, miss: float = 0.0) -> DataFrame:
+    """(a, b, jaccard) of all pairs of classes at the threshold; each class once. classes is a kept table.
+
+    With `miss`, the pigeonhole search, which may miss that share of the pairs at the threshold itself.
+    """
+    if not miss:
+        return verified(kept(prefix_candidates(classes, threshold)), classes, threshold)
     n = classes.count()
     parts = allocate(agreeing_pairs(classes), n, threshold, miss)
     return verified(kept(candidates(classes, parts, threshold)), classes, threshold)
