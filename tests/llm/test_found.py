@@ -185,6 +185,26 @@ def test_many_lines_of_furniture_are_joined(spark, tables, monkeypatch):
         assert {x.id for x in queries.p3_found(spark, d).collect()} == want
 
 
+def test_furniture_is_told_from_copies_at_every_size(spark, tables):
+    r = random.Random(16)
+    words = ["אזעקה", "בצפון", "הכוחות", "סורקים", "שריפה", "ליד", "הכביש", "נפצע", "בדרך", "לעיר", "מכולה", "גדר"] + [f"מילה{chr(0x5D0 + i)}{chr(0x5D0 + k)}" for i in range(15) for k in range(15)]
+    rows, want = [], set()
+    for i in range(600):
+        body = " ".join(r.choice(words) for _ in range(r.randint(8, 14)))
+        if i % 4:
+            body += "."
+        else:
+            body, want = body[: r.randint(len(body) // 2, len(body) - 2)].rstrip(), want | {f"r{i}"}
+        rows.append(report(f"r{i}", content=body + "\nזהו דיווח מתפתח." * (i % 50 == 0), source_name="?"))
+    first = "שריפה גדולה פרצה ליד הכביש בדרך לעיר והכוחות סורקים בצפון את הגדר".split()
+    for i in range(60):
+        own = [w if k != i % len(first) else r.choice(words) for k, w in enumerate(first)]
+        rows, want = [*rows, report(f"c{i}", content=" ".join(own) + ".\nבמקום נמצאה מכולה שלמה והכו", source_name="?")], want | {f"c{i}"}
+    got = {x.id for x in queries.p3_found(spark, tables(reports=rows)).collect()}
+    assert {i for i in want if i[0] == "c" or int(i[1:]) % 50 == 0} <= got
+    assert len(got ^ want) <= 0.02 * len(rows)
+
+
 def test_threshold_lies_between_the_clusters():
     n = np.zeros(60)
     n[[10, 11, 40, 41]] = [5, 5, 30, 9]

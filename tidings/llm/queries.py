@@ -69,8 +69,8 @@ def _cut_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = table(spark, sf_dir, "reports").where("id IS NOT NULL").select("id", "content", "source_name", "source_id")
     keyed = kept(_lines.keyed(usable_source(reports, sources), "content").dropDuplicates(["id"]))
     own = _lines.per_source(_lines.repeated_lines(keyed.where("source IS NOT NULL")))
-    lines = kept(_truncation.furniture(keyed.select("keys")))
     docs = _report_source(reports.where("content IS NOT NULL"), sources).join(own, "source", "left").select(F.lit("reports").alias("tbl"), "id", F.col("content").alias("text"), "lines")
+    lines = kept(_truncation.furniture(docs, _truncation.returning(keyed.select("id", "keys"))))
     excerpts = table(spark, sf_dir, "report_sources").where("id IS NOT NULL AND excerpt IS NOT NULL")
     both = docs.unionByName(excerpts.select(F.lit("report_sources").alias("tbl"), "id", F.col("excerpt").alias("text"), F.lit(None).cast("array<bigint>").alias("lines")))
     known = _truncation.known_furniture(lines)

@@ -1,7 +1,7 @@
 """Problem 3: values that stop before their sender's text ended.
 
 What follows the message is taken off first: the lines that the source repeats (problem 2), lines that return all over
-the corpus after many different lines, links, hashtags, emoji and marks of omission or damage. The last three characters
+the corpus in texts that have little else in common, links, hashtags, emoji and marks of omission or damage. The last three characters
 of what is left are the value's final context.
 
 A backward character model of order three - last character, the one before it given the last, the third given both -
@@ -16,6 +16,7 @@ Null and blank values, and values of nothing but lines and marks, are no cases.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,20 +27,63 @@ from pyspark.sql import functions as F
 
 from .canonical import script_of
 from .common import kept
-from .lines import Remover, line_keys, without_lines
-
-#: A line of furniture follows at least so many different lines; how much weight the pooled estimate has; bins of the histogram.
-FOLLOWS, WEIGHT, BINS, BOUND = 20, 20.0, 60, 8.0
+from .lines import Remover, line_key, line_keys, without_lines
+from .near import _WORD, _factors, _minima
+
+#: A line of furniture follows another line in at least this share of all reports, and in so many (fewer can't be told from chance).
+SHARE, LEAST = 0.001, 3
+#: The texts around a line of furniture have on average less than this share of their words in common; copies have more.
+ALIKE, SAMPLES = 0.5, 8
+#: How much weight the pooled estimate has; bins of the histogram.
+WEIGHT, BINS, BOUND = 20.0, 60, 8.0
 #: The most that the second and the third character may each add or take: a slip of the pen there must not decide alone.
 MOST = 1.0
 FURNITURE_LIMIT = 20_000
 #: Below this many values, a language's threshold is the one of all languages together.
 ENOUGH = 200
-def furniture(keys: DataFrame, follows: int = FOLLOWS) -> DataFrame:
-    """(line): lines that return after at least `follows` different lines. keys: (keys), line keys of a text each, null at blank lines."""
+
+
+def returning(keys: DataFrame, share: float = SHARE) -> frozenset[int]:
+    """Lines that follow another line in at least `share` of the texts: at most 1 / share times the lines of a text on average.
+    keys: (id, keys), one row per text, keys being line keys, null at blank lines."""
     k = F.array_compact("keys")
-    pairs = keys.select(F.explode(F.arrays_zip(k.alias("line"), F.concat(F.array(F.lit(0).cast("bigint")), k).alias("before"))).alias("p")).where("p.line IS NOT NULL")
-    return pairs.select("p.line", "p.before").distinct().groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= follows).select("line")
+    total = keys.count()
+    follow = keys.select(F.explode(F.array_distinct(F.slice(k, 2, F.greatest(F.size(k) - 1, F.lit(0))))).alias("line"))
+    return frozenset(r.line for r in follow.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= max(LEAST, share * total)).select("line").collect())
+
+
+def furniture(docs: DataFrame, lines: frozenset[int], alike: float = ALIKE) -> DataFrame:
+    """(line): those of `lines` whose texts have little in common. docs: (id, text, lines), rows of one id being equal.
+
+    A text's own words are those of its lines that neither its source nor the corpus repeats. How similar the own words of a
+    line's texts are on average is the chance that two of them agree in a minwise value, over all pairs of texts and SAMPLES
+    values: counts only, and the same at every size. Texts without own words agree: what stands there is the message itself.
+    """
+    factors = _factors(SAMPLES, 31)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 2000):
+                found, words, starts = [], [], []
+                for id_, text, own in zip(*(c.to_pylist() for c in whole.slice(lo, 2000).columns)):
+                    parts = [(line_key(x), x) for x in text.split("\n")] if "\n" in text else []
+                    parts = [x for x in parts if x[0] is not None]
+                    hit = {k for k, _ in parts[1:] if k in lines}
+                    if hit:
+                        starts.append(len(words))
+                        known = lines.union(own) if own else lines
+                        words += {zlib.crc32(w.encode()) for k, x in parts if k not in known for w in _WORD.findall(x.lower())} or {0}
+                        found.append((id_, hit))
+                if found:
+                    flat, at = np.array(words, np.uint32), np.array(starts)
+                    minima = np.stack([_minima(flat, at, a, b) for a, b in zip(*factors)], axis=1).astype(np.int64)
+                    rows = [(k, id_, i) for i, (id_, hit) in enumerate(found) for k in hit]
+                    yield pa.record_batch({"line": [r[0] for r in rows], "id": [r[1] for r in rows], "values": pa.array([minima[r[2]] for r in rows], pa.list_(pa.int64()))})
+
+    met = docs.select("id", "text", "lines").mapInArrow(run, "line bigint, id string, values array<bigint>").dropDuplicates(["line", "id"])
+    same = met.select("line", F.posexplode("values").alias("i", "v")).groupBy("line", "i", "v").agg(F.count("*").cast("double").alias("n"))
+    by = same.groupBy("line", "i").agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("agree"), F.sum("n").alias("n"))
+    return by.groupBy("line").agg(F.sum("agree").alias("agree"), F.sum(F.col("n") * (F.col("n") - 1)).alias("pairs")).where(F.col("agree") < F.col("pairs") * alike).select("line")
 
 
 def known_furniture(lines: DataFrame) -> frozenset[int] | None:
