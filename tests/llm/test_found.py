@@ -331,6 +331,12 @@ def test_allocation_reaches_the_wanted_recall():
     assert max(w for w, _ in near.allocate({w: p * 1e6 for w, p in pairs.items()}, 10_000)) > max(w for w, _ in near.allocate(pairs, 10_000))
 
 
+def test_allocation_does_not_overstate_wide_partitions():
+    parts = near.allocate({w: 1e30 / 1e3**w for w in range(1, 10)}, 10)
+    assert {w for w, _ in parts} == {9}
+    assert np.prod([1 - (0.6**w + (w * 0.6 ** (w - 1) * 0.4 if t else 0)) for w, t in parts]) <= near.MISS
+
+
 # --- 7
 def test_ids_equal_the_library(spark, tables):
     from tokenizers import Tokenizer

@@ -9,7 +9,8 @@ exactly on the word sets. Nothing is capped: words that very many rows share are
 `similar_classes` with a `miss` takes a generalised pigeonhole search over sketches instead, which may lose that share of the
 pairs at the threshold; no query does. A class has a sketch of minwise hash values. The bits of one hash value are fully
 correlated (all agree or they differ at random), so they stay together as one symbol, and a partition is a group of symbols.
-Partition i gets its width and its threshold (symbols that may differ: none or one) by a dynamic programme: least estimated
+Partition i gets its width and its threshold (symbols that may differ: none or one; with these costs always none, see
+`allocate`) by a dynamic programme: least estimated
 candidates and probes such that a pair at the similarity threshold is missed by all partitions with a chance of at most
 `miss`. The candidate estimates are counts over all classes (how many pairs agree in 1, 2, 3 ... symbols), so partitions grow
 wider as the collection grows. Probing is an equi-join on the partitions' keys. A candidate is first held against a second
@@ -152,7 +153,9 @@ def allocate(pairs: dict[int, float], classes: int, threshold: float = THRESHOLD
     """(width, threshold) of each partition, by dynamic programming over the chance of a miss.
 
     Cost of a partition: the pairs it is expected to bring, and the probes it needs. A partition of width w and threshold
-    0 is passed by a pair of similarity s with chance s^w, one of threshold 1 with s^w + w s^(w-1) (1-s).
+    0 is passed by a pair of similarity s with chance s^w, one of threshold 1 with s^w + w s^(w-1) (1-s). The latter costs w
+    times what a partition of width w - 1 and threshold 0 does and brings less than w times its chance, so it is dearer
+    wherever minwise symbols are used: the outcome are partitions of threshold 0, in effect banded minwise hashing.
     """
     need, s = -math.log(miss), threshold
     options = []
@@ -160,8 +163,10 @@ def allocate(pairs: dict[int, float], classes: int, threshold: float = THRESHOLD
         options.append((w, 0, s**w, pairs[w] + PROBE_COST * classes))
         if w > 2:
             options.append((w, 1, s**w + w * s ** (w - 1) * (1 - s), w * pairs[w - 1] + w * PROBE_COST * classes))
+    # Gains are rounded down, so the chance is never understated; steps so small that it costs the rarest partition an eighth at most.
+    steps = max(steps, math.ceil(8 * need / min(-math.log1p(-p) for _, _, p, _ in options if p < 1)))
     unit = need / steps
-    gains = [(max(1, math.floor(-math.log1p(-p) / unit)) if p < 1 else steps, cost, (w, t)) for w, t, p, cost in options]
+    gains = [(math.floor(-math.log1p(-p) / unit) if p < 1 else steps, cost, (w, t)) for w, t, p, cost in options]
     least: list[float] = [0.0] + [math.inf] * steps
     via: list[tuple[int, tuple[int, int]] | None] = [None] * (steps + 1)
     for q in range(1, steps + 1):
