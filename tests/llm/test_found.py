@@ -211,6 +211,17 @@ def test_threshold_lies_between_the_clusters():
     assert 11 <= truncation._between(n) < 40
 
 
+def test_threshold_does_not_jump_with_the_number_of_values(spark):
+    big = [("t", "he", -3.0, 9000), ("t", "he", 3.0, 9000)]
+
+    def own(n):
+        rows = big + [("t", "ru", -6.0, n // 2), ("t", "ru", -1.0, n - n // 2)]
+        return truncation.thresholds(spark.createDataFrame(rows, "tbl string, lang string, odds double, ending long"))["t", "ru"]
+
+    assert abs(own(199) - own(201)) < 0.5
+    assert abs(own(4)) < 1.5 and own(20_000) < -1.5
+
+
 # --- 4
 @pytest.mark.parametrize(
     "given, want",

@@ -8,7 +8,8 @@ A backward character model of order three - last character, the one before it gi
 is trained twice for each language and column: on the contexts at the texts' ends, and on the contexts inside texts, where
 the text continues. All positions of all texts are counted. The log-odds of a context is the difference of its two
 log-likelihoods; rare contexts shrink towards none. Per language and column the log-odds of the values fall into two
-clusters, and the threshold is put between them (largest variance between the two sides). Values below it are cut.
+clusters, and the threshold is put between them (largest variance between the two sides), the fewer values there are, the
+more by those of all languages together. Values below it are cut.
 
 Null and blank values, and values of nothing but lines and marks, are no cases.
 """
@@ -39,7 +40,7 @@ WEIGHT, BINS, BOUND = 20.0, 60, 8.0
 #: The most that the second and the third character may each add or take: a slip of the pen there must not decide alone.
 MOST = 1.0
 FURNITURE_LIMIT = 20_000
-#: Below this many values, a language's threshold is the one of all languages together.
+#: A language's histogram is filled up with the one of all languages together, which weighs as much as so many values.
 ENOUGH = 200
 
 
@@ -228,24 +229,25 @@ def log_odds(counts: DataFrame) -> DataFrame:
 def _between(n: np.ndarray) -> int:
     """The bin that parts a histogram with the largest variance between both sides; the middle of equally good ones."""
     x = np.arange(len(n))
-    left, total = np.cumsum(n), n.sum()
-    mean = np.cumsum(n * x)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        v = np.nan_to_num((mean[-1] * left / total - mean) ** 2 / (left * (total - left)))
+    left, mean = np.cumsum(n), np.cumsum(n * x)
+    total = left[-1]
+    parts = (left > 0) & (left < total)  # counts may be fractions: where one side is empty, rounding must not decide
+    v = np.where(parts, (mean[-1] * left / total - mean) ** 2 / np.where(parts, left * (total - left), 1), 0)
     best = np.nonzero(v >= v.max() * (1 - 1e-12))[0]
     return int(round(best.mean()))
 
 
 def thresholds(odds: DataFrame) -> dict[tuple[str, str], float]:
-    """The threshold of each (tbl, lang). The histograms are a bounded number of rows whatever the data's size."""
+    """The threshold of each (tbl, lang), from its own histogram plus the pooled one at the weight of ENOUGH values: one rule for
+    languages of any size. The histograms are a bounded number of rows whatever the data's size."""
     bins = F.floor((F.greatest(F.least(F.col("odds"), F.lit(BOUND - 1e-6)), F.lit(-BOUND)) + BOUND) * (BINS / (2 * BOUND))).cast("int")
     rows = odds.groupBy("tbl", "lang", bins.alias("bin")).agg(F.sum("ending").alias("n")).collect()
     by: dict[tuple[str, str], np.ndarray] = {}
     for r in rows:
         for k in {(r.tbl, r.lang), (r.tbl, "")}:
             by.setdefault(k, np.zeros(BINS))[r.bin] += r.n
-    cut = {k: (_between(n) + 1) * 2 * BOUND / BINS - BOUND for k, n in by.items()}
-    return {k: cut[k] if by[k].sum() >= ENOUGH else cut[k[0], ""] for k in by if k[1]}
+    pooled = {t: n * (ENOUGH / n.sum()) for (t, lang), n in by.items() if not lang}
+    return {k: (_between(n + pooled[k[0]]) + 1) * 2 * BOUND / BINS - BOUND for k, n in by.items() if k[1]}
 
 
 def cut_values(df: DataFrame, general: frozenset[int] | None = None) -> DataFrame:
