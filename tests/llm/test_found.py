@@ -205,6 +205,18 @@ def test_furniture_is_told_from_copies_at_every_size(spark, tables):
     assert len(got ^ want) <= 0.02 * len(rows)
 
 
+def test_lines_of_the_source_hide_no_cut_excerpt(spark, tables):
+    r = random.Random(17)
+    words = ["אזעקה", "בצפון", "הכוחות", "סורקים", "שריפה", "ליד", "הכביש", "נפצע", "בדרך", "לעיר", "מכולה", "גדר"]
+    bodies = [" ".join(r.choice(words) for _ in range(r.randint(6, 12))) for _ in range(300)]
+    rows = [report(f"r{i}", content=f"{bodies[0]}.\nכל הזכויות שמורות." if i < 5 else f"{b}.", source_name="ערוץ" if i < 5 else "?") for i, b in enumerate(bodies)]
+    cuts = [b[: r.randint(len(b) // 2, len(b) - 2)].rstrip() for b in bodies[:75]]
+    excerpts = [(f"e{i}", "s1", None, b + "\nכל הזכויות שמורות." * (i < 10)) for i, b in enumerate([*cuts, *(b + "." for b in bodies[75:])])]
+    d = tables(reports=rows, sources=[("s1", "ערוץ", 1, "x")], report_sources=excerpts)
+    got = {x.id for x in queries.p3_found(spark, d).collect()}
+    assert {f"e{i}" for i in range(10)} <= got and got <= {f"e{i}" for i in range(75)}
+
+
 def test_threshold_lies_between_the_clusters():
     n = np.zeros(60)
     n[[10, 11, 40, 41]] = [5, 5, 30, 9]

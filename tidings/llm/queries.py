@@ -71,8 +71,8 @@ def _cut_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = _lines.per_source(_lines.repeated_lines(keyed.where("source IS NOT NULL")))
     docs = _report_source(reports.where("content IS NOT NULL"), sources).join(own, "source", "left").select(F.lit("reports").alias("tbl"), "id", F.col("content").alias("text"), "lines")
     lines = kept(_truncation.furniture(docs, _truncation.returning(keyed.select("id", "keys"))))
-    excerpts = table(spark, sf_dir, "report_sources").where("id IS NOT NULL AND excerpt IS NOT NULL")
-    both = docs.unionByName(excerpts.select(F.lit("report_sources").alias("tbl"), "id", F.col("excerpt").alias("text"), F.lit(None).cast("array<bigint>").alias("lines")))
+    excerpts = table(spark, sf_dir, "report_sources").where("id IS NOT NULL AND excerpt IS NOT NULL").select("id", "excerpt", "source_name", "source_id")
+    both = docs.unionByName(_report_source(excerpts, sources).join(own, "source", "left").select(F.lit("report_sources").alias("tbl"), "id", F.col("excerpt").alias("text"), "lines"))
     known = _truncation.known_furniture(lines)
     return _truncation.cut_values(_truncation.without_furniture(both, "text", lines) if known is None else both, known)
 
