@@ -267,6 +267,12 @@ def test_usual_forms_come_from_the_corpus(spark, monkeypatch):
         assert got["c"] == "עם BETOX כאן" and "ВЕТОХ" in got["r"] and got["n"] is None and got["d"] == "עם BETOX כאן "
 
 
+def test_the_quick_check_knows_every_compatible_letter(spark):
+    rows = [(f"a{c}b",) for c in canonical.COMPATIBLE] + [("é",), ("ő",)]
+    got = {x.t: x.u for x in spark.createDataFrame(rows, "t string").select("t", canonical.unstable(F.col("t")).alias("u")).collect()}
+    assert [t for t, u in got.items() if u != (canonical.canonical_text(t) != t)] == []
+
+
 # --- 5
 PLACES = [(1, "קריית בייררה", "Kiryat Biyerra"), (2, "נווה אשריית", "Neve Ashriit"), (3, "רמת אשריית", "Ramat Ashriit"), (4, "תיפלאן", "Tipelaan"), (5, "גבעת גלרינה", "Givat Galrina")]
 

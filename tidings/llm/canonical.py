@@ -79,7 +79,7 @@ _CLASS = {"L": "A-Za-zÀ-ɏ", "C": "Ѐ-ԯ", "G": "Ͱ-Ͽ"}
 _MIXED = "|".join(f"[{_CLASS[a]}][{_CLASS[b]}]" for a in "LCG" for b in "LCG" if a != b)
 _ONLY = {k: re.escape("".join(sorted({c for c in row if c != " "}))) for k, row in (("L", "".join(a for a, b, c in zip(LATIN, CYRILLIC, GREEK) if (b + c).strip())), ("C", CYRILLIC), ("G", GREEK))}
 # Ranges of characters that are stable in themselves, most texts being made of the first few alone.
-PLAIN = "\\x00-\\x7e\u05d0-\u05ea\u0621-\u064a\u0591-\u05c7\u05f3\u05f4\u00c0-\u024f\u2010-\u2027\u2030-\u205e\u2600-\u27bf\ufe0f\U0001f300-\U0001faff"
+PLAIN = "\\x00-\\x7e\u05d0-\u05ea\u0621-\u064a\u0591-\u05c7\u05f3\u05f4" + _ranges([c for c in range(0xC0, 0x250) if chr(c) not in COMPATIBLE]) + "\u2010-\u2027\u2030-\u205e\u2600-\u27bf\ufe0f\U0001f300-\U0001faff"
 STABLE = PLAIN + "\u0400-\u052f"
 _CROSSING = "[\u0370-\u052f]"
 _RUN_CLASS = f"[{_CLASS['L']}\u0370-\u052f{MARKS}]"
