@@ -288,6 +288,13 @@ def test_mapped_values(spark, tables):
     assert {names[k]: v for k, v in got.items()} == cases and len(got) == len(names)
 
 
+def test_names_of_many_words_are_mapped(spark):
+    places = spark.createDataFrame([(1, "תל נווה עין גדרה", "Tel Neve Ein Gedera"), (2, "תיפלאן", "Tipelaan")], "place_id int, name string, name_en string")
+    aliases = spark.createDataFrame([("the old quarter of upper tipelaan", 2)], "alias string, place_id int")
+    values = spark.createDataFrame([("ליד תל נווה עין גדרה",), ("near Tel Neve Ein Gedera",), ("in the old quarter of upper tipelaan today",)], "value string")
+    assert [x.place_id for x in mapping.mapped(values, places, aliases).orderBy("value").collect()] == [2, 1, 1]
+
+
 def test_set_similarity_join_is_exact(spark):
     r = random.Random(9)
     words = lambda n: ["".join(r.choice("abcd") for _ in range(r.randint(2, 8))) for _ in range(n)]

@@ -7,7 +7,7 @@ of what is left is verified exactly. Of the verified candidates of a value the c
 at most one letter is wrong, missing, added or swapped with its neighbour; a value without such a candidate means no entry.
 
 Only distinct values are joined, so a value that fills a third of the rows costs as much as one that stands there once.
-A value's forms are its runs of up to three words, with and without the one or two letters that Hebrew attaches to a
+A value's forms are its runs of up to as many words as the longest entry has (three at least), with and without the one or two letters that Hebrew attaches to a
 word's start. A form that is only part of an entry's name counts if that part belongs to one entry and if no word of
 another kind of place stands beside it.
 
@@ -117,13 +117,19 @@ def _attached(word: Column) -> Column:
     return F.array_compact(F.array(word, one, two))
 
 
-def value_forms(values: DataFrame) -> DataFrame:
+def most_words(places: DataFrame, aliases: DataFrame) -> int:
+    """The words of the list's longest name or alias, MOST_WORDS at least: entered names may hold blanks too many."""
+    names = places.select(F.explode(F.array("name", "name_en")).alias("n")).unionByName(aliases.select(F.col("alias").alias("n")))
+    return max(MOST_WORDS, names.agg(F.max(F.size(F.split(plain(F.col("n")), " "))).alias("m")).first().m or 0)
+
+
+def value_forms(values: DataFrame, most: int = MOST_WORDS) -> DataFrame:
     """(value, form, beside): the forms of each distinct value; beside: its other words, with and without attached letters."""
     clean = values.select("value", F.coalesce(_canonical(F.when(unstable(F.col("value")), F.col("value"))), F.col("value")).alias("c"))
     turned = F.when(F.col("c").rlike(r"\(.*\)"), F.regexp_replace("c", r"^(.*?)\((.*?)\)(.*)$", "$2 $1 $3"))
     words = clean.select("value", F.explode(F.array_distinct(F.array_compact(F.array(plain(F.col("c")), plain(turned))))).alias("p")).where("p <> ''")
     w = words.select("value", F.split("p", " ").alias("w"))
-    spans = w.select("value", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("a")).select("value", "w", "a", F.explode(F.sequence(F.lit(1), F.least(F.lit(MOST_WORDS), F.size("w") - F.col("a") + 1))).alias("n"))
+    spans = w.select("value", "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("a")).select("value", "w", "a", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), F.size("w") - F.col("a") + 1))).alias("n"))
     rest = F.concat(F.slice("w", 1, F.col("a") - 1), F.slice("w", F.col("a") + F.col("n"), 1000))
     spans = spans.select("value", F.slice("w", F.col("a"), F.col("n")).alias("s"), F.transform(F.flatten(F.transform(rest, _attached)), once).alias("beside"))
     tail = F.array_join(F.slice("s", 2, 100), "")
@@ -133,7 +139,7 @@ def value_forms(values: DataFrame) -> DataFrame:
 
 def mapped(values: DataFrame, places: DataFrame, aliases: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(value, place_id, jaccard): the closest entry of each distinct value, -1 if it means none. values: (value), distinct, not blank."""
-    forms = kept(value_forms(values))
+    forms = kept(value_forms(values, most_words(places, aliases)))
     entries = entry_forms(places, aliases)
     close = similar_forms(forms.select("form").distinct(), entries.select(F.col("entry").alias("form")), threshold)
     letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
