@@ -327,50 +327,69 @@ def _word_rows(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("hot", [near.HOT, 3])
-def test_similar_pairs_match_brute_force(spark, monkeypatch, hot):
+@pytest.mark.parametrize("block", [near.BLOCK, 3])
+def test_similar_pairs_match_brute_force(spark, block):
     rows = _word_rows(10)
-    monkeypatch.setattr(near, "HOT", hot)
     docs = spark.createDataFrame(rows + rows[:3], "id string, t string").select("id", near.words_of(F.coalesce("t", F.lit(""))).alias("words"))
     members, classes = near.word_classes(docs)
-    parts = near.allocate(near.agreeing_pairs(classes), classes.count())
-    links = near.verified(near.kept(near.candidates(classes, parts, hot=hot)), classes)
+    links = near.verified(near.kept(near.candidates(classes, block=block)), classes)
     got = [tuple(x) for x in near.expanded(members, links).collect()]
     sets = {i: set(t.lower().replace("!", "").split()) for i, t in rows if t and t.split()}
     ids = sorted(sets)
     want = {(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if len(sets[a] & sets[b]) >= 0.6 * len(sets[a] | sets[b])}
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 50
+    assert dict(map(tuple, members.collect())).keys() == set(ids) and classes.count() == len({frozenset(x) for x in sets.values()})
 
 
-def test_similar_classes_miss_no_pair_at_the_threshold(spark):
-    r = random.Random(60)
-    sets = []
-    for _ in range(250):
-        words = r.sample(range(4000), 50)
-        sets += [words[:40], words[10:], words[:30] + words[45:]]
-    rows = [(str(i), sorted(x - 2000 for x in w)) for i, w in enumerate(sets)] + [("1500", [1]), ("1501", [1, 2]), ("1502", [1, 2, 3])]
-    _, classes = near.word_classes(spark.createDataFrame(rows, "id string, words array<int>"))
+def _random_sets(seed):
+    """Sets of 1 to 60 words, frequent and rare, and sets at or around the threshold of each."""
+    r = random.Random(seed)
+    draw = lambda: int(r.paretovariate(0.6)) % 3000
+    sets = [set(range(5000, 5003)), set(range(5000, 5002)), {5000}]
+    for _ in range(300):
+        own = {draw() for _ in range(r.choice([1, 2, 3, 4, 5, 8, 20, 60]))}
+        sets.append(own)
+        for _ in range(2):
+            other = set(own)
+            for w in r.sample(sorted(own), int(len(own) * r.choice([0, 0.1, 0.25, 0.4]))):
+                other.discard(w)
+            sets.append(other | {draw() + 3000 for _ in range(int(len(own) * r.choice([0, 0, 0.1, 0.3])))})
+    return [s for s in sets if s]
+
+
+@pytest.mark.parametrize("plan", [None, (2, 1), (2, 3), (3, 2), (1, 1)])
+def test_no_pair_at_the_threshold_is_lost_whatever_the_widths(spark, monkeypatch, plan):
+    if plan:
+        monkeypatch.setattr(near, "allocate", lambda counts, *a: near.Plan(np.full(near.BANDS, plan[0]), np.full(near.BANDS, plan[1])))
+    sets = _random_sets(60)
+    rows = [(str(i), sorted(hash((x, 7)) for x in w)) for i, w in enumerate(sets)]
+    _, classes = near.word_classes(spark.createDataFrame(rows, "id string, words array<bigint>"))
     held = [(x["class"], set(x.words)) for x in classes.collect()]
     want = {tuple(sorted((a, b))) for i, (a, x) in enumerate(held) for b, y in held[:i] if 10 * len(x & y) >= 6 * len(x | y)}
-    assert len(want) >= 500
     got = [(x.a, x.b) for x in near.similar_classes(classes).collect()]
-    assert len(got) == len(set(got)) and set(got) == want
-    assert {(x.a, x.b) for x in near.verified(near.kept(near.prefix_candidates(classes, block=3)), classes).collect()} == want
-
-
-def test_allocation_reaches_the_wanted_recall():
-    pairs = {w: 10.0 ** (9 - w) for w in range(1, 10)}
-    for miss in (0.2, 0.05, 0.01):
-        parts = near.allocate(pairs, 10_000, 0.6, miss)
-        missed = np.prod([1 - (0.6**w + (w * 0.6 ** (w - 1) * 0.4 if t else 0)) for w, t in parts])
-        assert missed <= miss
-    assert max(w for w, _ in near.allocate({w: p * 1e6 for w, p in pairs.items()}, 10_000)) > max(w for w, _ in near.allocate(pairs, 10_000))
-
-
-def test_allocation_does_not_overstate_wide_partitions():
-    parts = near.allocate({w: 1e30 / 1e3**w for w in range(1, 10)}, 10)
-    assert {w for w, _ in parts} == {9}
-    assert np.prod([1 - (0.6**w + (w * 0.6 ** (w - 1) * 0.4 if t else 0)) for w, t in parts]) <= near.MISS
+    assert len(got) == len(set(got)) and set(got) == want and len(want) >= 200
+
+
+def test_links_and_members_give_the_pairs(spark, tables):
+    rows = [report(i, content=t) for i, t in _word_rows(11, 30)]
+    d = tables(reports=rows + rows[:4])
+    of = {}
+    for x in queries.p6_members(spark, d).collect():
+        of.setdefault(x["class"], []).append(x.id)
+    pairs = {tuple(sorted((x, y))) for r in queries.p6_links(spark, d).collect() for x in of[r.a] for y in of[r.b]}
+    pairs |= {(x, y) for own in of.values() for x in own for y in own if x < y}
+    assert {tuple(x) for x in queries.p6_found(spark, d).collect()} == pairs and len(pairs) > 20
+
+
+def test_allocation_widens_as_the_collection_grows():
+    counts = np.zeros(near.BUCKETS, np.uint32)
+    counts[:3000] = (20_000 / np.arange(1, 3001) ** 0.6).astype(np.uint32) + 1
+    of = counts.sum() // 60
+    widths = []
+    for grown in (1, 10, 100, 1000):
+        plan = near.allocate(counts * np.uint32(grown), int(of * grown))
+        widths.append(int((plan.width[np.minimum(np.log2(counts[:3000] * float(grown)).astype(int), near.BANDS - 1)] > 1).sum()))
+    assert max(widths[:2]) < widths[2] <= widths[3]
 
 
 # --- 7

@@ -1,30 +1,36 @@
-"""Problem 6: records that share most of their words, all of them: an exact prefix-filter join on the word sets.
-
-Every report becomes its set of distinct words; equal sets are one class from here on. Words are ordered by how often
-they occur, rarest first. Two sets at the similarity threshold share a word within their prefixes, so only rows of one
-prefix word are paired, and only those that the filters of length, of position and of the parities' distance (a lower bound
-of the number of words in which two sets differ) leave. No filter excludes a pair at the threshold; what is left is verified
-exactly on the word sets. Nothing is capped: words that very many rows share are paired block by block.
-
-`similar_classes` with a `miss` takes a generalised pigeonhole search over sketches instead, which may lose that share of the
-pairs at the threshold; no query does. A class has a sketch of minwise hash values. The bits of one hash value are fully
-correlated (all agree or they differ at random), so they stay together as one symbol, and a partition is a group of symbols.
-Partition i gets its width and its threshold (symbols that may differ: none or one; with these costs always none, see
-`allocate`) by a dynamic programme: least estimated
-candidates and probes such that a pair at the similarity threshold is missed by all partitions with a chance of at most
-`miss`. The candidate estimates are counts over all classes (how many pairs agree in 1, 2, 3 ... symbols), so partitions grow
-wider as the collection grows. Probing is an equi-join on the partitions' keys. A candidate is first held against a second
-sketch of single bits (Hamming distance), then verified exactly.
-
-Reports without words are in no pair. Null title or content counts as empty.
+"""Problem 6: records that share most of their words, all of them, by a generalised pigeonhole search over word sets.
+
+Every report becomes its set of distinct words; equal sets are one class from here on. A set is a bit vector over the
+vocabulary. If two sets reach the similarity threshold, at most n - ceil(t n) of the n words of either are missing in the
+other. The words of a set are put into partitions; partition i, holding k_i of the words looked at, has the threshold
+k_i - w_i: as long as no more of them are missing, w_i words of it are left that both sets have. Where the sum of
+(threshold + 1) over the partitions exceeds n - ceil(t n), one partition must stay within its threshold, so both sets hold
+one common signature, w_i words of one partition. A signature of several words is far rarer than any of them, which is what
+a plain prefix filter lacks.
+
+* Partitions group words that occur about equally often: a band for each power of two of the count, split into groups.
+  Words are looked at in one global order, rarest first, only until the thresholds add up.
+* The width w_i and the number of groups of each band are allocated by dynamic programming (`allocate`) on the estimated
+  numbers of candidates and probes, from the counts of all words: rare words are partitions of their own of width 1,
+  frequent ones get wider signatures as the collection grows.
+* Probing is one exchange on the signatures. Rows of one signature are paired if their sizes, the thresholds used up before
+  that signature, and the parities of their words' bits (a lower bound of the words in which two sets differ) allow it.
+* What is left is verified exactly on the word sets.
+
+No step can lose a pair at the threshold. A set whose partitions don't reach the sum (of few words, or with all of them in
+one partition) is probed word by word; the others then also give the single words that such sets ask for. Signatures of
+more than BLOCK rows are named and then paired block against block. Nothing is capped.
+
+Reports without words are in no pair. Null title or content counts as empty. Words are 64-bit hashes: of 10 million
+different words two share one with a chance of 3 in a million.
 """
 
 from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,26 +39,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .canonical import by_script, canonical_text, script_of
-from .common import if_small, kept
+from .common import kept
 from .lines import Remover
 
-THRESHOLD, MISS = 0.6, 0.05
-#: The widest partition tried; how many candidates cost as much as one probe row.
-WIDEST, PROBE_COST = 9, 8
-#: The Hamming distance of two sketches of BITS bits has the mean BITS * (1 - s) / 2 at similarity s; so many deviations above it pass.
-BITS, DEVIATIONS = 192, 3.5
-#: Rows of one key that are paired in memory; beyond that the key is hot.
-HOT = 5_000
-#: Hash buckets that words are counted in; rows of one word that are paired in memory.
-BUCKETS, BLOCK = 2**20, 100_000
+THRESHOLD = 0.6
+#: Hash buckets that words are counted in, and those of words asked for singly: tables of fixed size, whatever the vocabulary.
+BUCKETS, ASKED = 2**20, 2**18
+#: Bands of word counts; the widths and numbers of groups that a band may get; how many candidates cost as much as a probe.
+BANDS, WIDTHS, GROUPS, PROBE_COST = 33, (1, 2, 3), (1, 2, 3, 4, 6, 8), 6_000
+#: Rows of a signature that are paired in memory; rows that are looked at together.
+BLOCK, TOGETHER = 100_000, 400_000
+#: Columns of 64 parities each.
+PARITY = ("p0", "p1", "p2")
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: Column) -> Column:
-    """Sorted distinct 32-bit hashes of the runs of letters and digits, in lower case.
-
-    Two different words of a pair of records share a hash about once in a million pairs.
-    """
-    return F.sort_array(F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w: F.hash(w))))
+    """Sorted distinct 64-bit hashes of the runs of letters and digits, in lower case."""
+    return F.sort_array(F.array_distinct(F.transform(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), lambda w: F.xxhash64(w))))
 
 
 _WORD = re.compile(r"[^\W_]+")
@@ -69,13 +73,13 @@ def word_sets(docs: DataFrame, usual: dict[tuple[str, str], str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms, removers, known = by_script(usual), {}, {}
-        find, crc, hasher = _WORD.findall, zlib.crc32, xxhash.xxh64_intdigest
+        find, hasher = _WORD.findall, xxhash.xxh64_intdigest
         for whole in batches:
             for lo in range(0, whole.num_rows, 2000):
                 batch = whole.slice(lo, 2000)
                 if len(known) > REMEMBERED:
                     known.clear()
-                rows, classes = [], []
+                flat, sizes = [], []
                 for title, content, lines in zip(*(batch.column(c).to_pylist() for c in ("title", "content", "lines"))):
                     content = content or ""
                     if lines:
@@ -86,212 +90,63 @@ def word_sets(docs: DataFrame, usual: dict[tuple[str, str], str]) -> DataFrame:
                         content = remove(content)
                     text = f"{title}\n{content}" if title else content
                     text = canonical_text(text, forms.get(script_of(text)) if forms else None)
-                    own = []
-                    for w in set(find(text.lower())):
+                    own = set(find(text.lower()))
+                    for w in own:
                         h = known.get(w)
                         if h is None:
-                            h = known[w] = crc(w.encode())
-                        own.append(h)
-                    words = np.unique(np.array(own, np.uint32))
-                    rows.append(words.view(np.int32))
-                    classes.append(hasher(words.tobytes()))
-                ends = np.zeros(len(rows) + 1, np.int32)
-                np.cumsum([len(r) for r in rows], out=ends[1:])
-                flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), pa.array(np.array(classes, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["id", "class", "words"]
-                )
+                            h = known[w] = hasher(w.encode())
+                        flat.append(h)
+                    sizes.append(len(own))
+                row = np.repeat(np.arange(len(sizes)), sizes)
+                words = np.array(flat, np.uint64).view(np.int64)
+                words = words[np.lexsort((words, row))]
+                ends = np.zeros(len(sizes) + 1, np.int32)
+                np.cumsum(sizes, out=ends[1:])
+                data = words.tobytes()
+                classes = np.array([hasher(data[a * 8 : b * 8]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(classes), pa.ListArray.from_arrays(pa.array(ends), pa.array(words))], names=["id", "class", "words"])
 
-    return docs.select("id", "title", "content", "lines").mapInArrow(run, "id string, class bigint, words array<int>")
+    return docs.select("id", "title", "content", "lines").mapInArrow(run, "id string, class bigint, words array<bigint>")
 
 
-def _factors(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    r = np.random.default_rng(seed)
-    return r.integers(0, 2**31, n).astype(np.uint32) * np.uint32(2) + np.uint32(1), r.integers(0, 2**32, n).astype(np.uint32)
+class Sets(NamedTuple):
+    """The word sets of a batch, words of one set in the global order: rarest first, then by hash."""
 
-
-def _minima(values: np.ndarray, starts: np.ndarray, a: np.uint32, b: np.uint32) -> np.ndarray:
-    """Minwise hash values: the words' hashes are random already, so that an odd factor modulo 2^32 orders them anew."""
-    return np.minimum.reduceat(values * a + b, starts)
+    ids: np.ndarray
+    sizes: np.ndarray
+    row: np.ndarray
+    words: np.ndarray
+    often: np.ndarray
+    place: np.ndarray
 
 
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = batch.column("class").to_numpy(zero_copy_only=False)
     lists = batch.column("words")
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    values = lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].view(np.uint32)
-    return ids, values, offsets[:-1] - offsets[0]
-
-
-def _mix(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
-    keys = (keys ^ more) * np.uint64(0x9E3779B97F4A7C15)
-    return keys ^ (keys >> np.uint64(32))
-
-
-def agreeing_pairs(classes: DataFrame, widest: int = WIDEST, seed: int = 11) -> dict[int, float]:
-    """For each width, how many pairs of classes agree in that many symbols: counted over all classes."""
-    factors = _factors(widest, seed)
-
-    def prefix_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            _, values, starts = _flat(batch)
-            key = np.zeros(batch.num_rows, np.uint64)
-            for w in range(widest):
-                key = _mix(key, _minima(values, starts, factors[0][w], factors[1][w]).astype(np.uint64))
-                uniq, n = np.unique(key, return_counts=True)
-                yield pa.record_batch({"width": np.full(len(uniq), w + 1, np.int32), "key": uniq.view(np.int64), "n": n.astype(np.int64)})
-
-    counts = classes.select("class", "words").mapInArrow(prefix_keys, "width int, key bigint, n bigint").groupBy("width", "key").agg(F.sum("n").alias("n"))
-    rows = counts.where("n > 1").groupBy("width").agg(F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2).alias("pairs")).collect()
-    found = {r["width"]: float(r["pairs"]) for r in rows}
-    return {w: max(found.get(w, 0.0), 0.5) for w in range(1, widest + 1)}
-
-
-def allocate(pairs: dict[int, float], classes: int, threshold: float = THRESHOLD, miss: float = MISS, steps: int = 240) -> list[tuple[int, int]]:
-    """(width, threshold) of each partition, by dynamic programming over the chance of a miss.
-
-    Cost of a partition: the pairs it is expected to bring, and the probes it needs. A partition of width w and threshold
-    0 is passed by a pair of similarity s with chance s^w, one of threshold 1 with s^w + w s^(w-1) (1-s). The latter costs w
-    times what a partition of width w - 1 and threshold 0 does and brings less than w times its chance, so it is dearer
-    wherever minwise symbols are used: the outcome are partitions of threshold 0, in effect banded minwise hashing.
-    """
-    need, s = -math.log(miss), threshold
-    options = []
-    for w in range(2, max(pairs) + 1):
-        options.append((w, 0, s**w, pairs[w] + PROBE_COST * classes))
-        if w > 2:
-            options.append((w, 1, s**w + w * s ** (w - 1) * (1 - s), w * pairs[w - 1] + w * PROBE_COST * classes))
-    # Gains are rounded down, so the chance is never understated; steps so small that it costs the rarest partition an eighth at most.
-    steps = max(steps, math.ceil(8 * need / min(-math.log1p(-p) for _, _, p, _ in options if p < 1)))
-    unit = need / steps
-    gains = [(math.floor(-math.log1p(-p) / unit) if p < 1 else steps, cost, (w, t)) for w, t, p, cost in options]
-    least: list[float] = [0.0] + [math.inf] * steps
-    via: list[tuple[int, tuple[int, int]] | None] = [None] * (steps + 1)
-    for q in range(1, steps + 1):
-        for gain, cost, kind in gains:
-            if (total := least[max(0, q - gain)] + cost) < least[q]:
-                least[q], via[q] = total, (max(0, q - gain), kind)
-    out, q = [], steps
-    while q and via[q]:
-        q, kind = via[q]
-        out.append(kind)
-    return sorted(out)
-
-
-SKETCH = [f"h{i}" for i in range(BITS // 64)]
-
-
-def probes(classes: DataFrame, partitions: list[tuple[int, int]], seed: int = 23) -> DataFrame:
-    """(key, class, h0 ...): one row per class and probe of each partition; h0 ... are the sketch of BITS bits."""
-    symbols = _factors(sum(w for w, _ in partitions), seed)
-    bits = _factors(BITS, seed + 1)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 2000):
-                batch = whole.slice(lo, 2000)
-                ids, values, starts = _flat(batch)
-                sketch = [np.zeros(len(ids), np.uint64) for _ in SKETCH]
-                for i in range(BITS):
-                    # A middle bit: the high ones of a minimum are mostly 0, the lowest ones hardly depend on the factor.
-                    bit = (_minima(values, starts, bits[0][i], bits[1][i]) >> np.uint32(9)) & np.uint32(1)
-                    sketch[i // 64] |= bit.astype(np.uint64) << np.uint64(i % 64)
-                keys, at = [], 0
-                for i, (width, free) in enumerate(partitions):
-                    own = [_minima(values, starts, symbols[0][at + j], symbols[1][at + j]).astype(np.uint64) for j in range(width)]
-                    at += width
-                    for out in range(width) if free else (-1,):
-                        key = np.full(len(ids), (i * 16 + out + 1) * 0x2545F4914F6CDD1D % 2**64, np.uint64)
-                        for j in range(width):
-                            if j != out:
-                                key = _mix(key, own[j])
-                        keys.append(key)
-                n = len(keys)
-                yield pa.record_batch({"key": np.concatenate(keys).view(np.int64), "class": np.tile(ids, n)} | {c: np.tile(h.view(np.int64), n) for c, h in zip(SKETCH, sketch)})
-
-    return classes.select("class", "words").mapInArrow(run, "key bigint, class bigint, " + ", ".join(f"{c} bigint" for c in SKETCH))
-
-
-def _near_pairs(most: int, hot: int):
-    """Pairs of rows of one key whose sketches are near; of a key with more than `hot` rows, the key itself as (key, key, true)."""
-    kinds = [np.int64, np.int64] + [np.uint64] * len(SKETCH)
-
-    def pairs(rows: list[np.ndarray]) -> pa.RecordBatch:
-        key, ids, *sketch = rows
-        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        at, step = np.arange(len(key)), 1
-        while len(at):
-            at = at[at + step < len(key)]
-            at = at[key[at] == key[at + step]]
-            apart = sum(np.bitwise_count(h[at] ^ h[at + step]).astype(np.int64) for h in sketch)
-            close = at[(apart <= most) & (ids[at] != ids[at + step])]
-            left.append(ids[close])
-            right.append(ids[close + step])
-            step += 1
-        a, b = np.concatenate(left), np.concatenate(right)
-        return pa.record_batch({"a": np.minimum(a, b), "b": np.maximum(a, b), "hot": np.zeros(len(a), bool)})
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by key. The last run of a batch may go on: it is carried to the next one, unless it is hot already.
-        carried, skipped = [np.zeros(0, k) for k in kinds], None
-        for batch in batches:
-            rows = [np.concatenate([c, batch.column(i).to_numpy().view(k)]) for i, (c, k) in enumerate(zip(carried, kinds))]
-            if skipped is not None:
-                rows = [r[np.searchsorted(rows[0], skipped, "right") :] for r in rows]
-            if not len(rows[0]):
-                carried = rows
-                continue
-            whole = int(np.searchsorted(rows[0], rows[0][-1]))
-            last = [r[whole:] for r in rows]
-            if whole:
-                yield pairs([r[:whole] for r in rows])
-            if len(last[0]) > hot:
-                skipped, carried = last[0][0], [r[:0] for r in last]
-                yield pa.record_batch({"a": [skipped], "b": [skipped], "hot": [True]})
-            else:
-                skipped, carried = None, last
-        if len(carried[0]):
-            yield pairs(carried)
+    return ids, lists.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]].view(np.uint64), np.diff(offsets)
 
-    return run
 
+def _bucket(words: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+    return ((words * _ODD) >> np.uint64(64 - buckets.bit_length() + 1)).astype(np.int64)
 
-def candidates(classes: DataFrame, partitions: list[tuple[int, int]], threshold: float = THRESHOLD, hot: int = HOT) -> DataFrame:
-    """(a, b): distinct pairs of classes that meet in a partition and are near in their sketches.
 
-    Keys are brought together by one exchange and sorted; the rows of a key are paired in memory if they are few. A key of
-    more than `hot` rows (never held in memory) is named instead; such keys go through a join of their rows with
-    themselves, which the engine splits where it is skewed.
-    """
-    p = (1 - threshold) / 2
-    most = int(BITS * p + DEVIATIONS * math.sqrt(BITS * p * (1 - p)))
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_rows = probes(classes, partitions).repartition(parts, "key").sortWithinPartitions("key")
-    met = kept(sorted_rows.mapInArrow(_near_pairs(most, hot), "a bigint, b bigint, hot boolean"))
-    found = met.where("NOT hot").select("a", "b")
-    keys = met.where("hot").select(F.col("a").alias("key")).distinct()
-    if not keys.isEmpty():
-        rows = kept(probes(classes, partitions).join(keys, "key", "left_semi"))
-        a, b = (rows.select("key", F.col("class").alias(n), *[F.col(h).alias(n + h) for h in SKETCH]) for n in "ab")
-        apart = sum((F.bit_count(F.col("a" + h).bitwiseXOR(F.col("b" + h))) for h in SKETCH), F.lit(0))
-        found = found.unionByName(a.join(b, "key").where((F.col("a") < F.col("b")) & (apart <= most)).select("a", "b"))
-    return found.distinct()
+def _mix(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
+    c = (a ^ (b + np.uint64(0x2545F4914F6CDD1D))) * _ODD
+    return c ^ (c >> np.uint64(29))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, jaccard): the pairs whose word sets are as similar as the threshold, exactly. pairs is a kept table."""
-    ends = if_small(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), 500_000)
-    w = classes.join(ends, "class", "left_semi").select("class", "words")
-    both = pairs.join(w.withColumnsRenamed({"class": "a", "words": "wa"}), "a").join(w.withColumnsRenamed({"class": "b", "words": "wb"}), "b")
-    shared = F.size(F.array_intersect("wa", "wb"))
-    union = F.size("wa") + F.size("wb") - shared
-    return both.select("a", "b", shared.alias("s"), union.alias("u")).where(F.col("s") * 1000 >= F.col("u") * round(threshold * 1000)).select("a", "b", (F.col("s") / F.col("u")).alias("jaccard"))
+def _sets(batch: pa.RecordBatch, counts: np.ndarray) -> Sets:
+    ids, words, sizes = _flat(batch)
+    row = np.repeat(np.arange(len(ids)), sizes)
+    often = counts[_bucket(words)]
+    order = np.lexsort((words, often, row))
+    starts = np.cumsum(sizes) - sizes
+    return Sets(ids, sizes, row, words[order], often[order], np.arange(len(words)) - starts[row])
 
 
 def word_counts(classes: DataFrame) -> np.ndarray:
-    """How often the words of each of BUCKETS hash buckets occur: a table of fixed size, whatever the vocabulary."""
+    """How often the words of each of BUCKETS hash buckets occur."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
@@ -307,147 +162,326 @@ def word_counts(classes: DataFrame) -> np.ndarray:
     return counts
 
 
-def _bucket(words: np.ndarray) -> np.ndarray:
-    return (words * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+class Plan(NamedTuple):
+    """Width and number of groups of each band of word counts; bands of width 1 need no groups."""
 
+    width: np.ndarray
+    groups: np.ndarray
 
-def prefixes(classes: DataFrame, counts: np.ndarray, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(key, class, at, h0 ...): one row per class and word of its prefix, the rarest words first.
 
-    at packs the number of words, the word's position and the side (1: as the smaller set, 2: as the larger one, 3: both).
-    h0 ... are the parities of the words' bits: two sets differ in at least as many words as their parities in bits. A word
-    that may have more than `block` rows gets a key for each pair of blocks, so that no group outgrows memory or a task.
+def _poisson(mean: float, most: int = 60) -> np.ndarray:
+    k = np.arange(most)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, most)))])
+    return np.exp(k * math.log(max(mean, 1e-12)) - mean - logs)
+
+
+def allocate(counts: np.ndarray, classes: int, threshold: float = THRESHOLD, steps: int = 64, slack: float = 1.3) -> Plan:
+    """Widths and groups of the bands, by dynamic programming: least estimated cost of reaching the sum of thresholds.
+
+    Bands are taken rarest first, as words are. Of a band with x words in a set on average, in g groups of width w, a group
+    holds k words (Poisson): it brings k - w + 1 to the sum and C(k, w) probes, each of which meets as many candidates as
+    sets hold its w words. The state is the sum so far, in 1/steps. The sum wanted is that of an average set with some
+    slack. Bands that an average set does not reach get pairs.
     """
+    n = counts[counts > 0].astype(np.float64)
+    band = np.minimum(np.log2(n).astype(int), BANDS - 1)
+    held = np.bincount(band, n, BANDS)
+    words = np.bincount(band, minlength=BANDS)
+    width, groups = np.full(BANDS, 2), np.full(BANDS, GROUPS[-1])
+    if not classes or not len(n):
+        return Plan(width, groups)
+    mean_size = held.sum() / classes
+    need = math.ceil(((1 - threshold) * mean_size + 1) * slack * steps)
+    least, via = [0.0] + [math.inf] * need, [[None] * (need + 1) for _ in range(BANDS)]
+    for b in range(BANDS):
+        if not held[b]:
+            continue
+        x, each = held[b] / classes, held[b] / words[b]
+        options = [(x, x * (PROBE_COST if b else 0) + x * each / 2, 1, 1)]
+        for w in WIDTHS[1:]:
+            for g in GROUPS:
+                p, k = _poisson(x / g), np.arange(60)
+                probes = g * (x / g) ** w / math.factorial(w)
+                options.append((g * float((p * np.maximum(k - w + 1, 0)).sum()), probes * (PROBE_COST + classes * (each / classes) ** w / 2), w, g))
+        new = [math.inf] * (need + 1)
+        for q, cost in enumerate(least):
+            if cost == math.inf:
+                continue
+            if q == need:
+                if cost < new[q]:
+                    new[q], via[b][q] = cost, (q, 0, 0)
+                continue
+            for gain, own, w, g in options:
+                step = int(gain * steps)
+                # A set stops at the word with which the sum is reached: of the last band it uses a part.
+                part = min(1.0, (need - q) / max(gain * steps, 1e-9))
+                to = min(need, q + step)
+                if (total := cost + own * part) < new[to]:
+                    new[to], via[b][to] = total, (q, w, g)
+        least = new
+    q = need if least[need] < math.inf else max((i for i, c in enumerate(least) if c < math.inf), default=0)
+    for b in range(BANDS - 1, -1, -1):
+        if via[b][q]:
+            q, w, g = via[b][q]
+            if w:
+                width[b], groups[b] = w, g
+    return Plan(width, groups)
+
+
+def _thresholds(s: Sets, plan: Plan, t: int) -> tuple[np.ndarray, ...]:
+    """(part, before, use, deficient, need): of each word its partition, the sum of (threshold + 1) before it and whether it is
+    looked at; of each set whether its partitions don't reach the sum, and the sum."""
+    need = s.sizes - -(-t * s.sizes // 1000) + 1
+    band = np.minimum(np.log2(np.maximum(s.often, 1)).astype(np.int64), BANDS - 1)
+    width = plan.width[band]
+    part = (s.row * BANDS + band) * GROUPS[-1] + ((s.words >> np.uint64(7)) % plan.groups[band].astype(np.uint64)).astype(np.int64)
+    wide = np.flatnonzero(width > 1)
+    order = wide[np.argsort(part[wide], kind="stable")]
+    first = np.flatnonzero(np.diff(part[order], prepend=-1))
+    rank = np.zeros(len(part), np.int64)
+    rank[order] = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
+    unit = (rank >= width - 1).astype(np.int64)
+    after = np.cumsum(unit)
+    ends = np.cumsum(s.sizes)
+    total = np.append(0, after)[ends]
+    start = np.append(0, after)[ends - s.sizes]
+    before = after - unit - start[s.row]
+    return part, before, before < need[s.row], total - start < need, need
+
+
+def _size_class(n: np.ndarray) -> np.ndarray:
+    return (np.log2(np.maximum(n, 1)) * 2).astype(np.int64)
+
+
+def asked_words(classes: DataFrame, counts: np.ndarray, plan: Plan, threshold: float = THRESHOLD) -> np.ndarray:
+    """The single words that deficient sets ask for, as sorted codes of size class and hash bucket: at most ASKED for each of
+    the few size classes."""
     t = round(threshold * 1000)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                s = _sets(batch, counts)
+                _, _, _, deficient, need = _thresholds(s, plan, t)
+                hit = deficient[s.row] & (s.place < need[s.row]) & (s.often > 1)
+                yield pa.record_batch({"code": np.unique(_size_class(s.sizes[s.row[hit]]) * ASKED + _bucket(s.words[hit], ASKED))})
+
+    return np.sort(classes.select("class", "words").mapInArrow(run, "code bigint").distinct().toArrow().column("code").to_numpy())
+
+
+def signatures(classes: DataFrame, counts: np.ndarray, plan: Plan, asked: np.ndarray, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, class, p0, p1, p2): one row per class and signature.
+
+    key packs 32 bits of the signature's hash, the number of words, and the most words that a partner may have: the sum
+    before the signature is what must be missing if it is the first one in common. Numbers beyond 65,535 count as that,
+    which only lets pairs through. p0, p1 and p2 have the parities of the words' bits.
+    """
+    t, most_words = round(threshold * 1000), 65_535
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 2000):
-                ids, words, starts = _flat(whole.slice(lo, 2000))
-                sizes = np.diff(np.append(starts, len(words)))
-                row = np.repeat(np.arange(len(ids)), sizes)
-                bits = (words * np.uint32(0x85EBCA6B)) >> np.uint32(16)
-                at_bit = (bits % np.uint32(BITS)).astype(np.uint64)
-                one = np.uint64(1) << (at_bit & np.uint64(63))
-                sketch = [np.bitwise_xor.reduceat(np.where(at_bit >> np.uint64(6) == i, one, np.uint64(0)), starts) for i in range(len(SKETCH))]
-                often = counts[_bucket(words)]
-                order = np.lexsort((words, often, row))
-                words, often = words[order], often[order]
-                place = np.arange(len(words)) - starts[row]
-                n = sizes[row]
-                use = (often > 1) & (place <= n - -(-t * n // 1000))
-                words, often, place, n, row = words[use], often[use].astype(np.int64), place[use], n[use], row[use]
-                blocks = -(-often // block)
-                one_block = blocks == 1
-                word = words.astype(np.int64) << 32
-                out = [(word[one_block], row[one_block], (n << 32 | place << 2 | 3)[one_block])]
-                for i in np.nonzero(~one_block)[0]:
-                    every, own = np.arange(blocks[i]), int(ids[row[i]]) % int(blocks[i])
-                    for side, keys in ((1, own << 16 | every), (2, every << 16 | own)):
-                        out.append((word[i] | keys, np.full(len(every), row[i]), np.full(len(every), n[i] << 32 | place[i] << 2 | side)))
-                key, row, at = (np.concatenate(x) for x in zip(*out))
-                yield pa.record_batch({"key": key, "class": ids[row], "at": at} | {c: h[row].view(np.int64) for c, h in zip(SKETCH, sketch)})
-
-    return classes.select("class", "words").mapInArrow(run, "key bigint, class bigint, at bigint, " + ", ".join(f"{c} bigint" for c in SKETCH))
-
-
-def _prefix_pairs(t: int):
-    """Pairs of rows of one key that no filter excludes: of length, of position, and of the parities' distance."""
-    kinds = [np.int64] * 3 + [np.uint64] * len(SKETCH)
-    rows_at_once, columns_at_once = 128, 1024
-
-    def pairs(rows: list[np.ndarray], found: list) -> None:
-        _, ids, at, *sketch = rows
-        n, place, side = at >> 32, (at & 0xFFFFFFFF) >> 2, at & 3
-        # Of two sets the rarest common word has all other common ones after it: both sizes together are at most `cap`.
-        cap = (n - place) * (1000 + t) // t
-        small = np.nonzero((side & 1 > 0) & (cap >= 2 * n))[0]
-        large = np.nonzero(side & 2)[0]
-        if not len(small) or len(ids) < 2:
-            return
-        small = small[np.argsort(n[small], kind="stable")]
-        most = np.minimum(n, cap - n)
-        large = large[np.lexsort((n[large], 8 * most[large] // n[large]))]
-        sizes, left = n[small], [h[small] for h in sketch]
-        for lo in range(0, len(large), rows_at_once):
-            own = large[lo : lo + rows_at_once]
-            first = int(np.searchsorted(sizes, -(-t * int(n[own].min()) // 1000)))
-            last = int(np.searchsorted(sizes, int(most[own].max()), "right"))
-            right, widest = [h[own][:, None] for h in sketch], int(n[own].max())
-            for c in range(first, last, columns_at_once):
-                end = min(c + columns_at_once, last)
-                apart = np.bitwise_count(left[0][c:end] ^ right[0])
-                for x, y in zip(left[1:2], right[1:2]):
-                    apart += np.bitwise_count(x[c:end] ^ y)
-                near = np.flatnonzero(apart <= (int(sizes[end - 1]) + widest) * (1000 - t) // (1000 + t))
-                if not len(near):
+                s = _sets(whole.slice(lo, 2000), counts)
+                if not len(s.words):
                     continue
-                a, b, d = small[c + near % (end - c)], own[near // (end - c)], apart.ravel()[near].astype(np.int64)
-                for h in sketch[2:]:
-                    d += np.bitwise_count(h[a] ^ h[b])
-                both = n[a] + n[b]
-                ok = (n[a] <= n[b]) & (n[a] * 1000 >= n[b] * t) & (both <= cap[a]) & (both <= cap[b]) & (d * (1000 + t) <= both * (1000 - t)) & (ids[a] != ids[b])
-                if ok.any():
-                    x, y = ids[a[ok]], ids[b[ok]]
-                    found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+                part, before, use, deficient, need = _thresholds(s, plan, t)
+                bits = ((s.words * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32)) % np.uint64(64 * len(PARITY))
+                one, starts = np.uint64(1) << (bits & np.uint64(63)), np.cumsum(s.sizes) - s.sizes
+                parity = [np.bitwise_xor.reduceat(np.where(bits >> np.uint64(6) == i, one, np.uint64(0)), starts) for i in range(len(PARITY))]
+                fine = ~deficient[s.row]
+                width = plan.width[np.minimum(np.log2(np.maximum(s.often, 1)).astype(np.int64), BANDS - 1)]
+                use &= fine & (s.often > 1)  # a word of one set makes no signature
+                one = np.flatnonzero(use & (width == 1))
+                keys, at = [_mix(s.words[one], np.uint64(0))], [one]
+                wide = np.flatnonzero(use & (width > 1))
+                i = wide[np.argsort(part[wide], kind="stable")]
+                p, step = part[i], 1
+                pairs = np.arange(len(i))
+                while len(pairs := pairs[pairs + step < len(i)]):
+                    pairs = pairs[p[pairs] == p[pairs + step]]
+                    a, b = i[pairs], i[pairs + step]
+                    two = width[a] == 2
+                    keys.append(_mix(s.words[a[two]], s.words[b[two]]))
+                    at.append(b[two])
+                    three = pairs[~two]
+                    more = 1
+                    while len(three := three[three + step + more < len(i)]):
+                        three = three[p[three] == p[three + step + more]]
+                        c = i[three + step + more]
+                        keys.append(_mix(_mix(s.words[i[three]], s.words[i[three + step]]), s.words[c]))
+                        at.append(c)
+                        more += 1
+                    step += 1
+                places = [before[x] for x in at]
+                if len(asked):
+                    single = (s.place < need[s.row]) & (s.often > 1)
+                    own, wanted = _size_class(s.sizes)[s.row], _bucket(s.words, ASKED)
+                    hit = deficient[s.row] & single
+                    for d in (-2, -1, 0, 1, 2):
+                        code = (own + d) * ASKED + wanted
+                        found = np.minimum(np.searchsorted(asked, code), len(asked) - 1)
+                        hit |= single & (asked[found] == code)
+                    x = np.flatnonzero(hit)
+                    keys.append(_mix(s.words[x], np.uint64(1)))
+                    at.append(x)
+                    places.append(s.place[x])
+                x, key, gone = np.concatenate(at), np.concatenate(keys), np.concatenate(places)
+                row = s.row[x]
+                n = s.sizes[row]
+                most = (n - gone) * (1000 + t) // t - n
+                key = (key & np.uint64(0xFFFFFFFF00000000)).view(np.int64) | np.minimum(n, most_words) << 16 | np.clip(most, 0, most_words)
+                yield pa.record_batch({"key": key, "class": s.ids[row]} | {c: h[row].view(np.int64) for c, h in zip(PARITY, parity)})
+
+    return classes.select("class", "words").mapInArrow(run, "key bigint, class bigint, " + ", ".join(f"{c} bigint" for c in PARITY))
+
+
+def _met(key: np.ndarray, ids: np.ndarray, parity: list[np.ndarray], t: int) -> list[np.ndarray]:
+    """Pairs (2, n) of the rows of equal signatures that sizes and parities allow. Rows are sorted by key, so by size within a signature."""
+    group, n, most = key >> 32, (key >> 16) & 0xFFFF, key & 0xFFFF
+    # Partners of a row follow it up to the last one small enough.
+    limit = np.minimum(np.minimum(n * 1000 // t, most), 0xFFFF)
+    end = np.searchsorted(key, (group << 32) | (limit << 16) | 0xFFFF, "right")
+    length = np.maximum(end - np.arange(len(key)) - 1, 0)
+    found: list[np.ndarray] = []
+
+    def keep(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> None:
+        ok = (apart.astype(np.int64) * (1000 + t) <= (n[a] + n[b]) * (1000 - t)) & (most[b] >= n[a]) & (ids[a] != ids[b])
+        if ok.any():
+            x, y = ids[a[ok]], ids[b[ok]]
+            found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
+
+    # Long runs: blocks of rows against blocks of columns; short ones: all rows against the one that stands `step` after them.
+    tall, wide, far = 64, 1024, 24
+    big = np.flatnonzero(length > far)
+    both, one, more = np.empty(tall * wide, np.uint64), np.empty(tall * wide, np.uint8), np.empty(tall * wide, np.uint8)
+    for piece in np.split(big, np.flatnonzero(np.diff(big) > 1) + 1) if len(big) else ():
+        for lo in range(0, len(piece), tall):
+            rows = piece[lo : lo + tall]
+            r, last, widest = len(rows), int(end[rows].max()), int(n[rows].max())
+            own = [h[rows][:, None] for h in parity]
+            for c in range(int(rows[0]) + 1, last, wide):
+                z = min(c + wide, last)
+                size = r * (z - c)
+                x, apart, extra = (m[:size].reshape(r, z - c) for m in (both, one, more))
+                for k, (h, mine) in enumerate(zip(parity, own)):
+                    np.bitwise_xor(mine, h[c:z], out=x)
+                    np.bitwise_count(x, out=extra if k else apart)
+                    if k:
+                        np.add(apart, extra, out=apart)
+                near = np.flatnonzero(apart <= min(255, (int(n[c:z].max()) + widest) * (1000 - t) // (1000 + t)))
+                if len(near):
+                    a, b = rows[near // (z - c)], c + near % (z - c)
+                    ok = (b > a) & (b < end[a])
+                    keep(a[ok], b[ok], one[near[ok]])
+    small = np.flatnonzero((length > 0) & (length <= far))
+    small = small[np.argsort(-length[small], kind="stable")]
+    ahead = -length[small]
+    step, left = 1, len(small)
+    while left:
+        a = small[:left]
+        b = a + step
+        apart = sum(np.bitwise_count(h[a] ^ h[b]) for h in parity)
+        near = apart <= np.minimum((n[a] + n[b]) * (1000 - t) // (1000 + t), 255)
+        keep(a[near], b[near], apart[near])
+        step += 1
+        left = int(np.searchsorted(ahead, -step, "right"))
+    return found
+
+
+def _near_pairs(t: int, block: int | None):
+    """Pairs of classes of rows sorted by key. A signature of more than `block` rows is named instead, as (signature, signature, true)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come sorted by key. The last run of a batch may go on: its pieces are carried until the key ends.
-        carried: list[list[np.ndarray]] = []
-
-        def of(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            found: list[np.ndarray] = []
-            ends = np.append(np.flatnonzero(np.diff(rows[0])) + 1, len(rows[0]))
-            for a, b in zip(np.append(0, ends[:-1]), ends):
-                if b - a > 1:
-                    pairs([r[a:b] for r in rows], found)
+        def of(parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            key, ids, *parity = (np.concatenate(x) for x in zip(*parts))
+            found = _met(key, ids, parity, t)
             if found:
                 a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.record_batch({"a": a, "b": b})
+                yield pa.record_batch({"a": a, "b": b, "hot": np.zeros(len(a), bool)})
 
+        # Rows of whole signatures are gathered until they are worth while; the last signature of a batch may go on.
+        gathered, held, last, lasting, hot = [], 0, [], 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(i).to_numpy().view(k) for i, k in enumerate(kinds)]
-            if carried and rows[0][-1] == carried[0][0][0]:
-                carried.append(rows)
-                continue
-            whole = int(np.searchsorted(rows[0], rows[0][-1]))
-            done = [*carried, [r[:whole] for r in rows]]
-            carried = [[r[whole:].copy() for r in rows]]
-            yield from of([np.concatenate(x) for x in zip(*done)])
-        if carried:
-            yield from of([np.concatenate(x) for x in zip(*carried)])
+            rows = [batch.column(i).to_numpy().view(np.int64 if i < 2 else np.uint64) for i in range(2 + len(PARITY))]
+            group = rows[0] >> 32
+            if hot is not None:
+                rows = [x[np.searchsorted(group, hot, "right") :] for x in rows]
+                if not len(rows[0]):
+                    continue
+                group, hot = rows[0] >> 32, None
+            cut = int(np.searchsorted(group, group[-1]))
+            if last and group[0] != last[0][0][0] >> 32:
+                gathered, held, last, lasting = gathered + last, held + lasting, [], 0
+            if cut:
+                gathered, held, last, lasting = gathered + last + [[x[:cut] for x in rows]], held + lasting + cut, [], 0
+            last.append([x[cut:].copy() for x in rows])
+            lasting += len(rows[0]) - cut
+            if block and lasting > block:
+                hot, last, lasting = int(group[-1]), [], 0
+                yield pa.record_batch({"a": [hot], "b": [hot], "hot": [True]})
+            if held > TOGETHER:
+                yield from of(gathered)
+                gathered, held = [], 0
+        if gathered or last:
+            yield from of(gathered + last)
 
     return run
 
 
-def prefix_candidates(classes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """(a, b): distinct pairs of classes, among them every pair at the threshold; the filters exclude no such pair."""
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = prefixes(classes, word_counts(classes), threshold, block).repartition(parts, "key").sortWithinPartitions("key")
-    return rows.mapInArrow(_prefix_pairs(round(threshold * 1000)), "a bigint, b bigint").distinct()
+def candidates(classes: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """(a, b): distinct pairs of classes, among them every pair at the threshold. classes: (class, words), a kept table."""
+    t, spark = round(threshold * 1000), classes.sparkSession
+    counts = word_counts(classes)
+    plan = allocate(counts, classes.count(), threshold)
+    rows = signatures(classes, counts, plan, asked_words(classes, counts, plan, threshold), threshold)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    of = F.shiftright("key", 32)
+    near = rows.repartition(parts, of).sortWithinPartitions("key").mapInArrow(_near_pairs(t, block), "a bigint, b bigint, hot boolean")
+    met = kept(near.distinct())
+    found = met.where("NOT hot").select("a", "b")
+    keys = met.where("hot").select(F.col("a").alias("signature"))
+    if not keys.isEmpty():
+        # The rows of a hot signature in blocks, each pair of blocks being a signature of its own.
+        own = kept(rows.withColumn("signature", of).join(keys, "signature", "left_semi"))
+        size = own.groupBy("signature").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+        mine = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+        cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.xxhash64("signature", F.least(mine, j), F.greatest(mine, j)))
+        spread = own.join(size, "signature").select(F.explode(cells).alias("cell"), "key", "class", *PARITY)
+        rekeyed = spread.select(F.shiftleft(F.shiftright("cell", 32), 32).bitwiseOR(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))).alias("key"), "class", *PARITY)
+        found = found.unionByName(rekeyed.repartition(parts, of).sortWithinPartitions("key").mapInArrow(_near_pairs(t, None), "a bigint, b bigint, hot boolean").select("a", "b")).distinct()
+    return found
+
+
+def verified(pairs: DataFrame, classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, jaccard): the pairs whose word sets are as similar as the threshold, exactly. pairs is a kept table."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    w = classes.join(ends, "class", "left_semi").select("class", "words")
+    both = pairs.join(w.withColumnsRenamed({"class": "a", "words": "wa"}), "a").join(w.withColumnsRenamed({"class": "b", "words": "wb"}), "b")
+    shared = F.size(F.array_intersect("wa", "wb"))
+    union = F.size("wa") + F.size("wb") - shared
+    return both.select("a", "b", shared.alias("s"), union.alias("u")).where(F.col("s") * 1000 >= F.col("u") * round(threshold * 1000)).select("a", "b", (F.col("s") / F.col("u")).alias("jaccard"))
 
 
 def word_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """docs: (id, words) or (id, class, words), rows of one id being equal. Returns members (id, class) and classes (class, words), the latter a
-    kept table. Equal word sets are one class."""
+    """docs: (id, words) or (id, class, words), rows of one id being equal. Returns members (id, class), each once, and classes
+    (class, words), one row per class. Both are read from one table written here.
+
+    Of a class with several rows the first one stands for it; only classes with several rows are joined, the words of the
+    others stay where they are.
+    """
     if "class" not in docs.columns:
         docs = docs.withColumn("class", F.xxhash64("words"))
-    docs = kept(docs.where(F.size("words") > 0).select("id", "class", "words"))
-    return docs.select("id", "class").distinct(), kept(docs.groupBy("class").agg(F.first("words").alias("words")))
-
+    docs = kept(docs.where(F.size("words") > 0).select("id", "class", "words").withColumn("row", F.monotonically_increasing_id()))
+    first = kept(docs.groupBy("class").agg(F.min("row").alias("first"), F.count("*").alias("n")).where("n > 1").select("class", "first"))
+    classes = docs.select("class", "words", "row").join(first, "class", "left").where("first IS NULL OR first = row").select("class", "words")
+    return docs.select("id", "class").distinct(), classes
 
-def similar_classes(classes: DataFrame, threshold: float = THRESHOLD, miss: float = 0.0) -> DataFrame:
-    """(a, b, jaccard) of all pairs of classes at the threshold; each class once. classes is a kept table.
 
-    With `miss`, the pigeonhole search, which may miss that share of the pairs at the threshold itself.
-    """
-    if not miss:
-        return verified(kept(prefix_candidates(classes, threshold)), classes, threshold)
-    n = classes.count()
-    parts = allocate(agreeing_pairs(classes), n, threshold, miss)
-    return verified(kept(candidates(classes, parts, threshold)), classes, threshold)
+def similar_classes(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, jaccard) of all pairs of classes at the threshold, each once."""
+    return verified(kept(candidates(classes, threshold)), classes, threshold)
 
 
 def expanded(members: DataFrame, links: DataFrame) -> DataFrame:

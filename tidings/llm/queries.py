@@ -137,10 +137,14 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near.expanded(members, _near.similar_classes(classes))
 
 
+def p6_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, class): which reports have the same words; with p6_links the whole result, copies not expanded into pairs."""
+    return _near.word_classes(_word_sets(spark, sf_dir))[0]
+
+
 def p6_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of classes (different word sets) and their similarity."""
-    _, classes = _near.word_classes(_word_sets(spark, sf_dir))
-    return _near.similar_classes(classes)
+    """(a, b, jaccard): pairs of classes of p6_members and their similarity."""
+    return _near.similar_classes(_near.word_classes(_word_sets(spark, sf_dir))[1])
 
 
 # --- 7: token ids
