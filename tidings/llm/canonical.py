@@ -102,6 +102,11 @@ def has_foreign_shared(c: Column) -> Column:
 
 
 _HIT = re.compile(f"[{_UNSTABLE}]")
+# The quick check of a text: classes of characters below U+10000 are looked up in one table, with others among them range by
+# range; so the others are asked for apart, by the few blocks that they stand in.
+_BLOCKS_ABOVE = "".join(f"{chr(a)}-{chr(b - 1)}" for a, b in COMPATIBLE_BLOCKS if a > 0xFFFF)
+_QUICK = re.compile("[" + "".join(c for c in (INVISIBLE, BLANKS, MARKS)) + _ranges(sorted(ord(c) for c in COMPATIBLE if ord(c) < 0x10000)) + "]")
+_QUICK_ABOVE = re.compile(f"[{_BLOCKS_ABOVE}]")
 _HIT_OR_MIXED = re.compile(f"[{_UNSTABLE}]|{_MIXED}")
 _OTHER_SCRIPT = re.compile("[\u0370-\u052f]")
 _PART = re.compile(rf"[\w{_UNSTABLE}]")
@@ -150,7 +155,10 @@ def canonical_text(text: str | None, usual: dict[str, str] | None = None) -> str
     """The whole text with its unstable segments replaced. `usual` has the usual form of words made of shared letters."""
     if not text:
         return text
-    hits = _HIT_OR_MIXED if _OTHER_SCRIPT.search(text) else _HIT
+    other = _OTHER_SCRIPT.search(text)
+    if not other and not _QUICK.search(text) and not _QUICK_ABOVE.search(text):
+        return _RUN.sub(lambda m: usual.get(m.group(0), m.group(0)), text) if usual else text
+    hits = _HIT_OR_MIXED if other else _HIT
     out, done, part = [], 0, _PART.match
     for m in hits.finditer(text):
         a, z = m.span()

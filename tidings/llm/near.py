@@ -91,11 +91,11 @@ def word_sets(docs: DataFrame, usual: dict[tuple[str, str], str]) -> DataFrame:
                     text = f"{title}\n{content}" if title else content
                     text = canonical_text(text, forms.get(script_of(text)) if forms else None)
                     own = set(find(text.lower()))
-                    for w in own:
-                        h = known.get(w)
-                        if h is None:
-                            h = known[w] = hasher(w.encode())
-                        flat.append(h)
+                    hashes = [*map(known.get, own)]
+                    if None in hashes:
+                        known |= {w: hasher(w.encode()) for w in own if w not in known}
+                        hashes = [*map(known.get, own)]
+                    flat += hashes
                     sizes.append(len(own))
                 row = np.repeat(np.arange(len(sizes)), sizes)
                 words = np.array(flat, np.uint64).view(np.int64)
