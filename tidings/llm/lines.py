@@ -72,6 +72,20 @@ class Remover:
         return line_key(line) in self.keys
 
 
+def removers_of(lines: pa.ListArray, known: dict[bytes, Remover]) -> list[Remover | None]:
+    """The remover of each row's lines, None where there are none; `known` holds those made so far, one per source."""
+    offsets, keys = lines.offsets.to_numpy().tolist(), lines.values.to_numpy(zero_copy_only=False)
+    out: list[Remover | None] = []
+    for a, b in zip(offsets, offsets[1:]):
+        if a == b:
+            out.append(None)
+            continue
+        own = keys[a:b]
+        name = own.tobytes()
+        out.append(known.get(name) or known.setdefault(name, Remover(own.tolist())))
+    return out
+
+
 def _first(line: Column) -> Column:
     """The first character's code; it is the key's low 16 bits, the rest is a hash of the line."""
     return F.ascii(line).bitwiseAND(F.lit(0xFFFF)).cast("bigint")

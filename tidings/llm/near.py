@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .canonical import by_script, canonical_text, script_of
 from .common import kept
-from .lines import Remover
+from .lines import removers_of
 
 THRESHOLD = 0.6
 #: Hash buckets that words are counted in, and those of words asked for singly: tables of fixed size, whatever the vocabulary.
@@ -80,13 +80,9 @@ def word_sets(docs: DataFrame, usual: dict[tuple[str, str], str]) -> DataFrame:
                 if len(known) > REMEMBERED:
                     known.clear()
                 flat, sizes = [], []
-                for title, content, lines in zip(*(batch.column(c).to_pylist() for c in ("title", "content", "lines"))):
+                for title, content, remove in zip(batch.column("title").to_pylist(), batch.column("content").to_pylist(), removers_of(batch.column("lines"), removers)):
                     content = content or ""
-                    if lines:
-                        key = tuple(lines)
-                        remove = removers.get(key)
-                        if remove is None:
-                            remove = removers[key] = Remover(key)
+                    if remove:
                         content = remove(content)
                     text = f"{title}\n{content}" if title else content
                     text = canonical_text(text, forms.get(script_of(text)) if forms else None)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .canonical import script_of
 from .common import kept
-from .lines import Remover, line_key, line_keys, without_lines
+from .lines import Remover, line_key, line_keys, removers_of, without_lines
 from .near import _WORD
 
 #: A line of furniture follows another line in at least this share of all reports, and in so many (fewer can't be told from chance).
@@ -160,17 +160,14 @@ def contexts(df: DataFrame, general: frozenset[int] | None = None) -> DataFrame:
     has been done.
     """
     everywhere = Remover(general) if general is not None else None
+    removers: dict[bytes, Remover] = {}
 
     def messages(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray]:
         texts = batch.column("text").to_pylist()
         if everywhere is not None:
-            removers: dict[tuple, Remover] = {}
-            for i, lines in enumerate(batch.column("lines").to_pylist()):
+            for i, remove in enumerate(removers_of(batch.column("lines"), removers)):
                 text = everywhere(texts[i])
-                if lines:
-                    key = tuple(lines)
-                    text = (removers.get(key) or removers.setdefault(key, Remover(key)))(text)
-                texts[i] = message_of(text)
+                texts[i] = message_of(remove(text) if remove else text)
         full = np.array([bool(t) for t in texts])
         return [t for t in texts if t], full
 
