@@ -2,7 +2,9 @@
 
 Lines are nodes of one graph per source, consecutive lines are its edges, both weighted by the number of distinct
 reports that hold them. Nodes and edges of high support stay; the connected components of what stays are the
-boilerplate blocks (legal notice, share prompt, byline under one another); every occurrence of a node is deleted.
+boilerplate blocks (legal notice, share prompt, byline under one another). Where lines of one block follow one another in a
+document, blank ones between them included, the block occurs there and is deleted; a line that stands alone in the graph is
+a block of one line.
 
 Counting never gathers a source: (source, line, report) is reduced first, and the counts are partial aggregates. What
 stays is small by proof: a node stands in at least a tenth of its source's reports, so a source keeps at most ten times
@@ -32,13 +34,17 @@ _OTHER_BLANK = r"\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028
 _UNEVEN = f"[{_OTHER_BLANK}][ {_OTHER_BLANK}]*| [ {_OTHER_BLANK}]+"
 
 
-def line_keys(text: Column) -> Column:
-    """The key of every line of a text, null at blank lines: equal for lines that differ only in the amount of blanks,
-    letter case or the digits of their numbers. The rules are applied to the whole text at once, before it is split."""
+def line_texts(text: Column) -> Column:
+    """The lines of a text in the form in which they are compared: lines that differ only in the amount of blanks, letter
+    case or the digits of their numbers are equal. The rules are applied to the whole text at once, before it is split."""
     low = F.lower(text)
     even = F.when(low.contains("  ") | low.rlike(f"[{_OTHER_BLANK}]"), F.regexp_replace(low, _UNEVEN, " ")).otherwise(low)
-    even = F.regexp_replace(even, r"\p{Nd}+", "0")
-    return F.transform(F.split(even, "\n"), lambda line: F.when(F.trim(line) != "", F.xxhash64(F.trim(line)).bitwiseAND(F.lit(~0xFFFF)).bitwiseOR(_first(F.trim(line)))))
+    return F.transform(F.split(F.regexp_replace(even, r"\p{Nd}+", "0"), "\n"), lambda line: F.trim(line))
+
+
+def line_keys(text: Column) -> Column:
+    """The key of every line of a text, equal for lines of equal line_texts(); null at blank lines."""
+    return F.transform(line_texts(text), lambda line: F.when(line != "", F.xxhash64(line).bitwiseAND(F.lit(~0xFFFF)).bitwiseOR(_first(line))))
 
 
 _ODD_BLANK = re.compile("[\t\x0b\f\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -185,6 +191,46 @@ def per_source(nodes: DataFrame) -> DataFrame:
     return if_small(nodes.groupBy("source").agg(F.collect_set("line").alias("lines")))
 
 
+def block_of(keys: Column, marks: Column) -> Column:
+    """Of every line key the block that the line belongs to, null if none. marks: an array of (line, block), or null."""
+    known = F.map_from_entries(marks)
+    return F.transform(keys, lambda k: F.when(k.isNotNull(), F.try_element_at(known, k)))
+
+
+def marks_per_source(blocks: DataFrame) -> DataFrame:
+    """(source, marks): the lines of a source's blocks as one array of (line, block); marked for broadcast if that is small."""
+    return if_small(blocks.groupBy("source").agg(F.collect_list(F.struct("line", "block")).alias("marks")))
+
+
+def without_blocks(docs: DataFrame, text: str) -> DataFrame:
+    """(id, text): each text without the occurrences of its source's blocks. docs: (id, text, marks), marks of marks_per_source()."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for t, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if t and marks:
+                    known = {m["line"]: m["block"] for m in marks}
+                    kept_lines, blanks, before = [], [], None
+                    for line in t.split("\n"):
+                        key = line_key(line)
+                        if key is None:
+                            blanks.append(line)
+                            continue
+                        block = known.get(key)
+                        # Blank lines go only if the same block stands on both sides of them.
+                        if block is None or block != before:
+                            kept_lines += blanks
+                        if block is None:
+                            kept_lines.append(line)
+                        blanks, before = [], block
+                    t = "\n".join(kept_lines + blanks)
+                out.append(t)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["id", text])
+
+    return docs.select("id", text, "marks").mapInArrow(run, f"id string, {text} string")
+
+
 def without_lines(text: Column, lines: Column) -> Column:
     """The text without the lines whose key is in `lines` (null: none); the others stay as they are.
 

@@ -34,16 +34,27 @@ def _keyed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines.keyed(usable_source(reports, table(spark, sf_dir, "sources")).where("source IS NOT NULL"), "content").dropDuplicates(["id"])
 
 
+def _blocks(docs: DataFrame) -> DataFrame:
+    return kept(_lines.blocks(_lines.repeated_lines(docs), _lines.repeated_edges(docs)))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = kept(_keyed_reports(spark, sf_dir))
-    marks = _lines.blocks(_lines.repeated_lines(docs), _lines.repeated_edges(docs))
-    own = docs.join(_lines.per_source(marks), "source").select("id", F.posexplode("keys").alias("line_no", "key"), "lines")
-    return own.where(F.array_contains("lines", F.col("key"))).select("id", "line_no")
+    own = docs.join(_lines.marks_per_source(_blocks(docs)), "source")
+    return own.select("id", F.posexplode(_lines.block_of(F.col("keys"), F.col("marks"))).alias("line_no", "block")).where("block IS NOT NULL").select("id", "line_no")
 
 
 def p2_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source, block, line, reports) of each line of a source's blocks, in the form in which lines are compared; a block is named by its first line."""
+    sources = table(spark, sf_dir, "sources")
     docs = kept(_keyed_reports(spark, sf_dir))
-    return _lines.blocks(_lines.repeated_lines(docs), _lines.repeated_edges(docs))
+    marks = _blocks(docs)
+    reports = usable_source(table(spark, sf_dir, "reports").where("id IS NOT NULL").select("source_name", "content"), sources).where("source IS NOT NULL")
+    own = reports.join(_lines.marks_per_source(marks), "source").select("source", "marks", F.arrays_zip(_lines.line_keys(F.col("content")).alias("line"), _lines.line_texts(F.col("content")).alias("text")).alias("z"))
+    texts = own.select("source", F.inline(F.filter("z", lambda x: F.exists("marks", lambda m: m["line"] == x["line"])))).groupBy("source", "line").agg(F.min("text").alias("text"))
+    named = marks.join(texts, ["source", "line"])
+    first = named.groupBy("source", "block").agg(F.min("text").alias("name"))
+    return named.join(first, ["source", "block"]).select("source", F.col("name").alias("block"), F.col("text").alias("line"), "reports")
 
 
 def _source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,9 +69,10 @@ def _report_source(reports: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(id, content) of each report, without the repeated lines of its source."""
-    reports = usable_source(table(spark, sf_dir, "reports").select("id", "source_name", "content"), table(spark, sf_dir, "sources"))
-    return reports.join(_source_lines(spark, sf_dir), "source", "left").select("id", _lines.without_lines(F.col("content"), F.col("lines")).alias("content"))
+    """(id, content) of each report, without the occurrences of its source's blocks."""
+    reports = usable_source(table(spark, sf_dir, "reports").where("id IS NOT NULL").select("id", "source_name", "content"), table(spark, sf_dir, "sources"))
+    marks = _lines.marks_per_source(_blocks(kept(_keyed_reports(spark, sf_dir))))
+    return _lines.without_blocks(reports.join(marks, "source", "left"), "content").dropDuplicates(["id"])
 
 
 # --- 3: text cut off by field limits

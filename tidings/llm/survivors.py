@@ -1,9 +1,11 @@
 """Problem 1: the best value of each field among the reports of one event.
 
-One aggregation by dedup_key takes, for each field, the maximum of a composite struct (usable, rank ..., value, id).
+One aggregation by dedup_key takes, for each field, the maximum of a composite struct (usable, source's trust, time of
+publication, value, id); occurred_at has no other rank than its value.
 Maxima combine before the shuffle, so a key that holds a third of all rows sends one row per task and no more.
 
-Ties: equal ranks are decided by the larger value, then the larger id. A group without a usable value has null there.
+Ties: of equally trusted sources the later published report wins (no time counts as the earliest), then the larger value,
+then the larger id. A group without a usable value has null there.
 Rows without dedup_key form no group; a group needs two distinct ids. Rows stored twice change no maximum.
 """
 
@@ -29,7 +31,8 @@ def ranked(reports: DataFrame, sources: DataFrame) -> DataFrame:
     at = F.col("occurred_at")
     fine = at.isNotNull() & (F.year(at) >= FIRST_YEAR) & (F.col("ingested_at").isNull() | (at <= F.col("ingested_at")))
     return df.select(
-        *[c for c in reports.columns if c not in ("source_name", "severity", "occurred_at")],
+        *[c for c in reports.columns if c not in ("source_name", "severity", "occurred_at", "published_at")],
+        F.coalesce("published_at", F.timestamp_seconds(F.lit(0))).alias("told_at"),
         F.coalesce(F.when(F.col("source_id").isNotNull(), F.col("t_id")).otherwise(F.col("t_name")), F.lit(-(2**31))).alias("trust"),
         F.col("s_name").alias("source_name"),
         F.when(severity.isin(*SEVERITIES), severity).alias("severity"),
@@ -45,18 +48,18 @@ def best(value: str, *rank: str) -> Column:
 
 def survivors(reports: DataFrame, sources: DataFrame) -> DataFrame:
     """One row per dedup_key of two or more ids: each field's surviving value and the id it comes from, and the group's least and greatest id."""
-    df = ranked(reports.select("id", "dedup_key", "source_id", "source_name", "severity", "occurred_at", "ingested_at").where("dedup_key IS NOT NULL AND id IS NOT NULL"), sources)
+    df = ranked(reports.select("id", "dedup_key", "source_id", "source_name", "severity", "occurred_at", "ingested_at", "published_at").where("dedup_key IS NOT NULL AND id IS NOT NULL"), sources)
     made = df.groupBy("dedup_key").agg(
         F.min("id").alias("first_id"),
         F.max("id").alias("last_id"),
-        best("source_name", "trust").alias("n"),
-        best("severity", "trust").alias("s"),
+        best("source_name", "trust", "told_at").alias("n"),
+        best("severity", "trust", "told_at").alias("s"),
         best("occurred_at").alias("o"),
     )
     return made.where("first_id <> last_id").select(
         "dedup_key",
-        F.col("n._1").alias("source_name"), F.col("n._2").alias("source_name_id"),
-        F.col("s._1").alias("severity"), F.col("s._2").alias("severity_id"),
+        F.col("n._2").alias("source_name"), F.col("n._3").alias("source_name_id"),
+        F.col("s._2").alias("severity"), F.col("s._3").alias("severity_id"),
         F.col("o._0").alias("occurred_at"), F.col("o._1").alias("occurred_at_id"),
     )
 
