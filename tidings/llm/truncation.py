@@ -7,7 +7,9 @@ of what is left are the value's final context.
 A backward character model of order three - last character, the one before it given the last, the third given both -
 is trained twice for each language and column: on the contexts at the texts' ends, and on the contexts inside texts, where
 the text continues. All positions of all texts are counted. The log-odds of a context is the difference of its two
-log-likelihoods; rare contexts shrink towards none. Per language and column the log-odds of the values fall into two
+log-likelihoods; rare contexts shrink towards none. What the second and third character add counts only as far as it does not hang
+on the value itself: it is also reckoned with one and with two ends of that context fewer (a copy may be among the values), and
+the smallest counts, none if they differ in sign. Per language and column the log-odds of the values fall into two
 clusters, and the threshold is put between them (largest variance between the two sides), the fewer values there are, the
 more by those of all languages together. Values below it are cut.
 
@@ -35,10 +37,8 @@ from .near import _WORD
 SHARE, LEAST = 0.001, 3
 #: The texts around a line of furniture have on average less than this share of their words in common; copies have more.
 ALIKE, SAMPLES = 0.5, 8
-#: How much weight the pooled estimate has; bins of the histogram.
-WEIGHT, BINS, BOUND = 20.0, 60, 8.0
-#: The most that the second and the third character may each add or take: a slip of the pen there must not decide alone.
-MOST = 1.0
+#: How much weight the pooled estimate has, for the last character and for those before it; ends left out; bins of the histogram.
+WEIGHT, WEIGHT_BEFORE, LEFT_OUT, BINS, BOUND = 20.0, 100.0, 2, 60, 8.0
 FURNITURE_LIMIT = 20_000
 #: A language's histogram is filled up with the one of all languages together, which weighs as much as so many values.
 ENOUGH = 200
@@ -213,8 +213,9 @@ def contexts(df: DataFrame, general: frozenset[int] | None = None) -> DataFrame:
     return df.select("tbl", "id", "text", "lines").mapInArrow(run, "tbl string, id string, lang string, context int, inside bigint, ending bigint")
 
 
-def log_odds(counts: DataFrame) -> DataFrame:
-    """(tbl, lang, context, odds, ending) of every context seen at an end. counts: (tbl, lang, context, inside, ending)."""
+def log_odds(counts: DataFrame, pairs: tuple[tuple[str, str], ...] = (("2", "1"), ("3", "2"))) -> DataFrame:
+    """(tbl, lang, context, odds, ending) of every context seen at an end. counts: (tbl, lang, context, inside, ending).
+    pairs: the orders that are used beside the first one."""
     two, one = F.col("context").bitwiseAND(F.lit(0xFFFF)), F.col("context").bitwiseAND(F.lit(0xFF))
     df = counts.withColumn("two", two).withColumn("one", one)
     group = ["tbl", "lang"]
@@ -222,14 +223,22 @@ def log_odds(counts: DataFrame) -> DataFrame:
         w = W.partitionBy(*by)
         df = df.withColumn(f"i{name}", F.sum("inside").over(w)).withColumn(f"e{name}", F.sum("ending").over(w))
 
-    def share(n: str, of: str, pooled: Column) -> Column:
-        return (F.col(n) + F.lit(WEIGHT) * pooled) / (F.col(of) + WEIGHT)
-
-    odds = F.log(share("e1", "e0", F.lit(1 / SIZE))) - F.log(share("i1", "i0", F.lit(1 / SIZE)))
-    for a, b in (("2", "1"), ("3", "2")):
-        pooled = (F.col(f"i{a}") + F.col(f"e{a}")) / (F.col(f"i{b}") + F.col(f"e{b}"))
-        more = F.log(share(f"e{a}", f"e{b}", pooled)) - F.log(share(f"i{a}", f"i{b}", pooled))
-        odds = odds + F.greatest(F.least(more, F.lit(MOST)), F.lit(-MOST))
+    def share(n: Column, of: Column, pooled: Column, weight: float) -> Column:
+        return (n + F.lit(weight) * pooled) / (of + F.lit(weight))
+
+    def more(a: str, b: str, fewer: int) -> Column:
+        """What the log-odds gain by one character more, with so many ends of the context left out."""
+        end, of = F.greatest(F.col(f"e{a}") - fewer, F.lit(0)), F.greatest(F.col(f"e{b}") - fewer, F.lit(0))
+        pooled = F.greatest((F.col(f"i{a}") + end) / F.greatest(F.col(f"i{b}") + of, F.lit(1)), F.lit(1e-7))
+        return F.log(share(end, of, pooled, WEIGHT_BEFORE)) - F.log(share(F.col(f"i{a}"), F.col(f"i{b}"), pooled, WEIGHT_BEFORE))
+
+    flat = F.lit(1 / SIZE)
+    odds = F.log(share(F.col("e1"), F.col("e0"), flat, WEIGHT)) - F.log(share(F.col("i1"), F.col("i0"), flat, WEIGHT))
+    for i, (a, b) in enumerate(pairs):
+        for fewer in range(LEFT_OUT + 1):
+            df = df.withColumn(f"m{i}_{fewer}", more(a, b, fewer))
+        ms = [F.col(f"m{i}_{fewer}") for fewer in range(LEFT_OUT + 1)]
+        odds = odds + F.when(F.least(*ms) > 0, F.least(*ms)).when(F.greatest(*ms) < 0, F.greatest(*ms)).otherwise(0.0)
     return df.where("ending > 0").select(*group, "context", "ending", odds.alias("odds"))
 
 
