@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidings.functions import text, tokens
 from tidings.functions.lexicon import Reject, RulePack
-from tidings.operators import duplicates, enrich, events, operations, places, screening, severity
+from tidings.operators import duplicates, enrich, events, operations, places, saving, screening, severity
 
 T = datetime(2026, 1, 1, 12)
 
@@ -125,32 +125,65 @@ def test_asof_edges(spark):
     assert {r.id: r.found for r in duplicates.latest_before(p, e).collect()} == {"a": "e1"}
 
 
+def _us(t):
+    return None if t is None else int((t - datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+
+
+def _item(**of):
+    return of | {"published_at": _us(of.get("published_at"))}
+
+
 def test_event_fold():
-    e = events.Event()
-    e.add({"source_id": "a", "external_id": "1", "source_name": "A", "content": "אזעקות נשמעו בקריית שמונה ובסביבה", "severity": "high", "published_at": T})
-    e.add({"source_id": "a", "external_id": "1", "source_name": "A", "content": "אזעקות נשמעו בקריית שמונה ובסביבה", "severity": "low", "published_at": T})
+    e = saving.Event()
+    e.add(_item(source_id="a", external_id="1", source_name="A", content="אזעקות נשמעו בקריית שמונה ובסביבה", severity="high", published_at=T))
+    e.add(_item(source_id="a", external_id="1", source_name="A", content="אזעקות נשמעו בקריית שמונה ובסביבה", severity="low", published_at=T))
     assert (e.sources, e.severity, e.content.count("\n")) == (1, "high", 0)
-    e.add({"source_id": "b", "external_id": "2", "source_name": "B", "content": "פצוע פונה לבית החולים בצפת", "severity": "critical", "published_at": T - timedelta(minutes=5)})
-    assert (e.sources, e.severity, e.first_source) == (2, "critical", "B") and "עדכון (B, 13:55:00): פצוע" in e.content
+    e.add(_item(source_id="b", external_id="2", source_name="B", source_url="u", content="פצוע פונה לבית החולים בצפת", severity="critical", published_at=T - timedelta(minutes=5), media=["m1", "m1", None, "m2"]))
+    assert (e.sources, e.severity, e.source_name, e.source_id, e.source_url, e.external_id) == (2, "critical", "B", "b", "u", "2") and "עדכון (B, 13:55:00): פצוע" in e.content
+    assert e.media == ["m1", "m2"]
     # A day earlier is no earlier report of this event.
-    e.add({"source_id": "c", "external_id": "3", "source_name": "C", "content": "נזק", "published_at": T - timedelta(days=2)})
-    assert e.first_source == "B"
-    e.add({"source_id": "d", "external_id": "4", "content": "האירוע הסתיים", "severity": "critical", "published_at": None})
-    assert (e.status, e.severity, e.sources) == ("dismissed", "low", 4)
-    e.add({"source_id": "e", "external_id": "5", "content": None, "severity": "high", "published_at": T})
+    e.add(_item(source_id="c", external_id="3", source_name="C", content="נזק", published_at=T - timedelta(days=2)))
+    assert e.source_name == "B"
+    e.add(_item(source_id="d", external_id="4", content="האירוע הסתיים", severity="critical"), summarize=lambda t: "תמצית")
+    assert (e.status, e.severity, e.sources) == ("dismissed", "low", 4) and e.content.endswith("\n\n\nסיכום: תמצית")
+    e.add(_item(source_id="d", external_id="5", content="חזרה לשגרה בכל האזור עכשיו"), summarize=lambda t: "עוד אחת")
+    assert e.content.count("סיכום:") == 1
+    e.add(_item(source_id="e", external_id="6", content=None, severity="high", published_at=T))
     assert (e.status, e.severity) == ("dismissed", "high")
 
 
+def test_lines_nearly_the_same_are_not_told_again():
+    """A note nearly the same as one line of a long event is a repetition, however little of the whole event it is."""
+    lines = [f"שורה מספר {i} על עניין אחר לגמרי ובו פרטים רבים" for i in range(9)] + ["מגן דוד אדום פינה שלושה פצועים במצב בינוני לבית החולים"]
+    e = saving.Event(content="\n".join([lines[0]] + [f"עדכון (מקור, 10:00:0{i}): {x}" for i, x in enumerate(lines[1:])]))
+    same = "מגן דוד אדום פינה שלושה פצועים במצב בינוני לבית החולים הקרוב"
+    assert e.tells(saving.tokens_of(same)) and not e.tells(saving.tokens_of("כבאים משתלטים על דליקה שפרצה במחסן"))
+    assert not saving.Event().tells(saving.tokens_of(same))
+    again = saving.Event.of(e.json())
+    assert again.lines == e.lines and again.tokens == e.tokens and all("מקור" not in line for line in e.lines[1:])
+
+
+def test_restored_events_go_on_as_if_never_stored():
+    texts = ["אזעקות נשמעו בקריית שמונה ובסביבה", "פצוע פונה לבית החולים בצפת", "עוד פצוע פונה לבית החולים בצפת הבוקר", "דליקה פרצה בשטח פתוח ליד הגדר"]
+    whole, stepwise = saving.Event(), saving.Event()
+    for i, t in enumerate(texts):
+        item = _item(source_id="s", external_id=str(i), source_name="S", content=t, published_at=T + timedelta(minutes=i))
+        whole.add(item)
+        stepwise = saving.Event.of(stepwise.json())
+        stepwise.add(item)
+    assert whole.json() == stepwise.json() and whole.content.count("\n") == 2
+
+
 def test_folded_equals_the_fold(spark):
     rows = [(f"r{i % 3}" if i % 7 else None, f"i{i:02}", f"s{i % 4}", f"S{i % 4}", str(i % 5), None, f"טקסט מספר {i % 6} על אירוע", "low" if i % 4 else "high", T + timedelta(minutes=(i * 37) % 50)) for i in range(40)]
     columns = "report_id string, id string, source_id string, source_name string, external_id string, title string, content string, severity string, published_at timestamp"
     got = {r.report_id: r for r in events.folded(spark.createDataFrame(rows, columns)).collect()}
     names = [c.split(" ")[0] for c in columns.split(", ")]
     for key in ("r0", "r1", "r2"):
-        e = events.Event()
+        e = saving.Event()
         for row in sorted((r for r in rows if r[0] == key), key=lambda r: (r[8], r[1])):
-            e.add(dict(zip(names, row)))
-        assert (got[key].content, got[key].severity, got[key].sources, got[key].first_at) == (e.content, e.severity, e.sources, e.first_at)
+            e.add(_item(**dict(zip(names, row))))
+        assert (got[key].content, got[key].severity, got[key].sources, _us(got[key].first_at)) == (e.content, e.severity, e.sources, e.occurred_at)
     assert events.folded(spark.createDataFrame([], columns)).count() == 0
 
 

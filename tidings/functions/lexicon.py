@@ -50,6 +50,13 @@ BOILERPLATE = [
     rf"{WS}*\({DIGIT}+{WS}*שניות\)",
 ]
 
+# What a text must hold for each of these patterns to match, in the same order.
+SIGNS = [
+    "שלחו לנו ידיעות", "להצטרפות לערוץ", "לחצו כאן להצטרפות", "הצטרפו לערוץ", "שיתוף בוואטסאפ", "@", "#", "צילום:",
+    "צילום:", "עכשיו בחנויות", "אפליקציית ", "יש לכם דיווח", "לכוחותינו שלום", "הישארו מעודכנים", "לתוכן נוסף הצטרפו ל",
+    "תגוב", "לכל מה שקורה ביו", "חדשות לפני כולם בטלגרם", "שומרון", "השומרון", "הלל ביטון רוזן בטלגרם", "צבע אדום", "):", "שניות)",
+]
+
 # Letters attached to words, endings taken off (the first that fits), and words that carry no meaning.
 ATTACHED = "בלמכשו"
 ATTACHED_TO_NAMES = "בלמכשוה"

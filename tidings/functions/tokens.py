@@ -10,8 +10,8 @@ from . import lexicon as X
 
 def without_attached(w: Column) -> Column:
     """A word without the letter attached to it; short words stay."""
-    n, rest = F.length(w), F.substring(w, 2, 10_000)
-    inner = F.when((F.length(rest) > 3) & rest.startswith("ה"), F.substring(rest, 2, 10_000)).otherwise(rest)
+    n, rest = F.length(w), F.substring(w, F.lit(2), F.length(w))
+    inner = F.when((F.length(rest) > 3) & rest.startswith("ה"), F.substring(rest, F.lit(2), n)).otherwise(rest)
     return F.when((n > 3) & w.rlike(f"^[{X.ATTACHED}]"), inner).when((n > 3) & w.startswith("ה"), rest).otherwise(w)
 
 

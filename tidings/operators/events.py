@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from datetime import datetime, timedelta
-from zoneinfo import ZoneInfo
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,10 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
 from ..functions.text import strip
-from ..functions.tokens import STOP, stem_literal
-from .severity import RANK, gravest
+from .saving import FOLLOW_UP_CHARS, MEDIA, Event, tokens_of  # noqa: F401
+from .severity import gravest
 
-GUARD_HOURS, MEDIA, STALE_HOURS, FOLLOW_UP_CHARS, NEAR = 24, 8, 3, 60, 0.30
+STALE_HOURS = 3
 
 
 def is_follow_up(title: Column, content: Column) -> Column:
@@ -73,101 +70,49 @@ def closed_if_stale(reports: DataFrame, as_of: Column, hours: int = STALE_HOURS)
 
 # --- the ordered fold -------------------------------------------------------------------------------------------------
 
+FOLD = ("id", "source_id", "source_name", "source_url", "external_id", "title", "content", "severity", "published_at", "media")
+FOLD_SCHEMA = "report_id string, content string, severity string, status string, sources int, first_at timestamp, first_source string, first_source_id string, first_url string, first_external_id string, last_at timestamp, media array<string>"
 
-def tokens_of(text: str) -> set[str]:
-    """The token set of one text on a Python worker, as tokens.token_set makes it."""
-    from ..functions.text import matchable_literal
-
-    out = set()
-    for w in matchable_literal(text).split():
-        if len(w) > 3 and w[0] in X.ATTACHED:
-            w = w[1:]
-            if len(w) > 3:
-                w = w.removeprefix("ה")
-        elif len(w) > 3 and w[0] == "ה":
-            w = w[1:]
-        w = stem_literal(w)
-        if len(w) > 2:
-            out.add(w)
-    return out - set(STOP)
-
-
-@dataclass
-class Event:
-    """One event as it stands. add() takes the next item in order of arrival."""
-
-    content: str = ""
-    severity: str = "low"
-    status: str = "verified"
-    sources: int = 0
-    first_at: datetime | None = None
-    first_source: str | None = None
-    last_at: datetime | None = None
-    seen: set = field(default_factory=set)
-    lines: list[set] = field(default_factory=list)
-    zone: str = "Asia/Jerusalem"
-
-    def add(self, item: dict, note: bool = False) -> None:
-        text = (item.get("content") or "").strip()
-        at = item.get("published_at")
-        key = tuple("" if item.get(k) is None else str(item[k]) for k in ("source_id", "external_id"))
-        if key not in self.seen:
-            self.seen.add(key)
-            self.sources += 1
-        if RANK.get(item.get("severity") or "low", 0) > RANK.get(self.severity, 0):
-            self.severity = item["severity"]
-        if at is not None:
-            # The earliest publisher comes first, but never one from more than a day before.
-            if self.first_at is None or at < self.first_at < at + timedelta(hours=GUARD_HOURS):
-                self.first_at, self.first_source = at, item.get("source_name")
-            self.last_at = at if self.last_at is None else max(self.last_at, at)
-        self._tell(text, item, at, note)
-        if any(m in (text or (item.get("title") or "")) for m in X.RESOLVED):
-            self.status, self.severity = "dismissed", "low"
-
-    def _tell(self, text: str, item: dict, at: datetime | None, note: bool) -> None:
-        if not text or text in self.content:
-            return
-        own = tokens_of(text)
-        if not note and self.content and any(own and line and len(own & line) / len(own | line) >= NEAR for line in self.lines):
-            return
-        if self.content:
-            name = item.get("source_name")
-            when = pd.Timestamp(at).tz_localize("UTC").astimezone(ZoneInfo(self.zone)).strftime("%H:%M:%S") if at is not None else None
-            self.content += "\n" + ("עדכון: " if not name else f"עדכון ({name}, {when}): " if when else f"עדכון ({name}): ") + text
-        else:
-            self.content = text
-        self.lines += [tokens_of(line) for line in text.split("\n")]
-
-    def row(self) -> dict:
-        return {"content": self.content, "severity": self.severity, "status": self.status, "sources": self.sources, "first_at": self.first_at, "first_source": self.first_source, "last_at": self.last_at}
-
-
-FOLD_SCHEMA = "report_id string, content string, severity string, status string, sources int, first_at timestamp, first_source string, last_at timestamp"
+
+def fold_row(report_id: str, e: Event) -> dict:
+    at = lambda micros: None if micros is None else pd.Timestamp(micros, unit="us")
+    return {
+        "report_id": report_id, "content": e.content, "severity": e.severity, "status": e.status, "sources": e.sources, "first_at": at(e.occurred_at), "first_source": e.source_name,
+        "first_source_id": e.source_id, "first_url": e.source_url, "first_external_id": e.external_id, "last_at": at(e.published_at), "media": e.media,
+    }
+
+
+def fold_items(pdf: pd.DataFrame) -> Iterator[dict]:
+    """The items of a batch of rows, times as microseconds, in the rows' order."""
+    pdf = pdf.assign(published_at=pdf.published_at.astype("datetime64[us]").astype("int64").astype(object).where(pdf.published_at.notna(), None))
+    columns = [c for c in pdf.columns if c != "media"]
+    for values, media in zip(zip(*(pdf[c].astype(object).where(pdf[c].notna(), None) for c in columns)), pdf["media"] if "media" in pdf else [None] * len(pdf)):
+        yield dict(zip(columns, values)) | {"media": () if media is None else list(media)}
 
 
 def folded(items: DataFrame) -> DataFrame:
     """Each report's event after its items in order of publication (then id).
 
-    items: (report_id, id, source_id, source_name, external_id, title, content, severity, published_at). The fold depends
-    on order, so a report's items stream through one task in sorted order; what is held is the event, never its items.
-    Rows without report_id are left out; items without a time come first.
+    items: (report_id, FOLD ...); source_url and media may be missing. The fold depends on order, so a report's items stream
+    through one task in sorted order; what is held is the event, never its items, and a new line is held only against lines
+    that share a token with it. Rows without report_id are left out; items without a time come first.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, event = None, Event()
         for pdf in batches:
             out = []
-            for item in pdf.astype(object).where(pdf.notna(), None).to_dict("records"):
+            for item in fold_items(pdf):
                 if item["report_id"] != key:
                     if key is not None:
-                        out.append({"report_id": key} | event.row())
+                        out.append(fold_row(key, event))
                     key, event = item["report_id"], Event()
                 event.add(item)
             if out:
                 yield pd.DataFrame(out)
         if key is not None:
-            yield pd.DataFrame([{"report_id": key} | event.row()])
+            yield pd.DataFrame([fold_row(key, event)])
 
-    rows = items.where("report_id IS NOT NULL").select("report_id", "id", "source_id", "source_name", "external_id", "title", "content", "severity", "published_at")
+    missing = {"source_url": "string", "media": "array<string>"}
+    rows = items.where("report_id IS NOT NULL").select("report_id", *[F.col(c) if c in items.columns or c not in missing else F.lit(None).cast(missing[c]).alias(c) for c in FOLD])
     return rows.repartition("report_id").sortWithinPartitions("report_id", "published_at", "id").mapInPandas(run, FOLD_SCHEMA)

@@ -8,36 +8,36 @@ which is an equality, and the rest of the name is compared as an array. The long
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as X
-from ..functions.text import clean_normalized, matchable, nfkc, strip
+from ..functions.text import clean, matchable, strip
+from ..sources.shared import kept
 
 
 def gazetteer(places: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(rank, name, core, tolerant, rest, latitude, longitude): names and aliases, the longest first, then in table order.
+    """(rank, name, core, tolerant, rest, latitude, longitude): names and aliases; the least rank is that of the longest, then as
+    in the table. A kept table: names are cleaned once, not wherever the gazetteer is read.
 
     places: (place_id, name, latitude, longitude); aliases: (alias, place_id). Names without letters are left out.
     """
     names = places.select(F.lit(0).alias("kind"), "place_id", F.col("name").alias("term"), "name", "latitude", "longitude")
     other = aliases.join(places.select("place_id", "name", "latitude", "longitude"), "place_id").select(F.lit(1).alias("kind"), "place_id", F.col("alias").alias("term"), "name", "latitude", "longitude")
-    terms = names.unionByName(other).withColumn("words", F.split(matchable(clean_normalized(nfkc(F.col("term")))), " ")).where("words[0] <> ''")
-    # The gazetteer is one small table; its order is taken in one partition.
-    rank = F.row_number().over(W.orderBy(F.length("term").desc(), "kind", "place_id", "term"))
+    terms = names.unionByName(other).withColumn("words", F.split(matchable(clean(F.col("term"))), " ")).where("words[0] <> ''")
+    rank = F.struct((-F.length("term")).alias("length"), "kind", "place_id", "term")
     first = F.col("words")[0]
-    core = F.when(first.startswith("ה") & (F.length(first) > 3), F.substring(first, 2, 10_000)).otherwise(first)
+    core = F.when(first.startswith("ה") & (F.length(first) > 3), F.substring(first, F.lit(2), F.length(first))).otherwise(first)
     tolerant = (F.length(core) >= 4) | (F.size("words") > 1)
-    return terms.select(
+    return kept(terms.select(
         rank.alias("rank"), "name", F.when(tolerant, core).otherwise(first).alias("core"), tolerant.alias("tolerant"),
-        F.slice("words", 2, 10_000).alias("rest"), "latitude", "longitude",
-    )
+        F.slice("words", F.lit(2), F.size("words")).alias("rest"), "latitude", "longitude",
+    ))
 
 
 def _cores(word: Column) -> Column:
     """(core, bare) forms of a word: itself, and without attached letters."""
     cls = f"[{X.ATTACHED_TO_NAMES}]"
-    off = lambda n: F.struct(F.substring(word, n + 1, 10_000).alias("core"), F.lit(False).alias("bare"))
+    off = lambda n: F.struct(F.substring(word, F.lit(n + 1), F.length(word)).alias("core"), F.lit(False).alias("bare"))
     return F.array_compact(
         F.array(
             F.struct(word.alias("core"), F.lit(True).alias("bare")),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +11,7 @@ from ..functions import language, lexicon, text, tokens
 from ..functions.lexicon import Reject, RulePack
 from ..operators import duplicates, enrich, events, operations, places, screening, severity
 from ..sources import readers, sinks
+from ..sources.shared import kept, table
 from . import oracle as O
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,22 +35,6 @@ PACK = RulePack(
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def written(df: DataFrame) -> DataFrame:
-    """The rows as a table in the folder that all executors share: for steps that read them several times."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tidings-"))
-    path = f"{spark.conf.get('spark.checkpoint.dir')}/tidings-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def query(sql: str = ""):
     def add(f: Callable[[SparkSession, str], DataFrame]):
         QUERIES[f.__name__] = f
@@ -238,7 +221,7 @@ def idempotent_ingest(spark, sf_dir):
 def _event_tokens(spark, sf_dir) -> DataFrame:
     df = table(spark, sf_dir, "reports").select("id", F.col("published_at").alias("ts"), "content", "location_name").dropDuplicates(["id"])
     df = df.withColumn("tokens", tokens.token_set(text.matchable(text.clean(F.col("content"))))).withColumn("place", F.col("location_name"))
-    return written(df.withColumn("place_tokens", tokens.token_set(text.matchable(text.clean(F.coalesce("location_name", F.lit("")))))).drop("content", "location_name"))
+    return kept(df.withColumn("place_tokens", tokens.token_set(text.matchable(text.clean(F.coalesce("location_name", F.lit("")))))).drop("content", "location_name"))
 
 
 _EVENTS = (
@@ -253,7 +236,7 @@ _EVENTS = (
 )
 def similar_earlier_reports(spark, sf_dir):
     e = _event_tokens(spark, sf_dir)
-    return duplicates.best_earlier(e, written(duplicates.similar_earlier(e))).withColumn("score", F.round("score", 6))
+    return duplicates.best_earlier(e, kept(duplicates.similar_earlier(e))).withColumn("score", F.round("score", 6))
 
 
 def _tight_sql() -> str:

@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..operators.events import STALE_HOURS, Event
+from ..operators.events import FOLD_SCHEMA, STALE_HOURS, Event, fold_items, fold_row
 
-STATE = "content string, severity string, status string, sources int, first_at timestamp, first_source string, last_at timestamp, seen array<string>"
-OUTPUT = "report_id string, content string, severity string, status string, sources int, first_at timestamp, first_source string, last_at timestamp, closed boolean"
+OUTPUT = FOLD_SCHEMA + ", closed boolean"
 LATENESS = "24 hours"
+#: Hours after which the state of a closed event goes.
+KEEP_HOURS = 24
 
 
 def once(items: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -22,53 +23,55 @@ def once(items: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 
 class EventMerger(StatefulProcessor):
-    """State is the event as it stands; its size grows with distinct sources and lines, not with repeats."""
+    """State is the event as it stands; its size grows with distinct sources and lines, not with repeats. An event without an
+    item for STALE_HOURS is closed; its state goes KEEP_HOURS later."""
+
+    def __init__(self, stale_ms: int = STALE_HOURS * 3_600_000, keep_ms: int = KEEP_HOURS * 3_600_000) -> None:
+        self.stale_ms, self.keep_ms = stale_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("event", STATE)
+        self.state = handle.getValueState("event", "event string, closed boolean")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        event = self._event()
-        every = pd.concat(list(rows)).sort_values(["published_at", "id"], kind="stable")
-        for item in every.astype(object).where(every.notna(), None).to_dict("records"):
+        event = Event.of(self.state.get()[0]) if self.state.exists() else Event()
+        for item in fold_items(pd.concat(list(rows)).sort_values(["published_at", "id"], kind="stable", na_position="first")):
             event.add(item)
-        self._keep(event)
-        for t in self.handle.listTimers():
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(int(timerValues.getCurrentProcessingTimeInMs()) + STALE_HOURS * 3_600_000)
+        self.state.update((event.json(), False))
+        self._wake(timerValues, self.stale_ms)
         yield self._row(key, event, False)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        event = self._event()
-        if event.status != "dismissed":
-            event.status, event.severity = "dismissed", "low"
-            self._keep(event)
+        if not self.state.exists():
+            return
+        text, closed = self.state.get()
+        if closed:
+            self.state.clear()
+            return
+        event = Event.of(text)
+        told = event.status != "dismissed"
+        event.status, event.severity = "dismissed", "low"
+        self.state.update((event.json(), True))
+        self._wake(timerValues, self.keep_ms)
+        if told:
             yield self._row(key, event, True)
 
+    def _wake(self, timerValues: Any, after: int) -> None:
+        for t in self.handle.listTimers():
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(int(timerValues.getCurrentProcessingTimeInMs()) + after)
+
     def close(self) -> None:
         pass
 
-    def _event(self) -> Event:
-        from ..operators.events import tokens_of
-
-        if not self.state.exists():
-            return Event()
-        content, severity, status, sources, first_at, first_source, last_at, seen = self.state.get()
-        return Event(content, severity, status, sources, first_at, first_source, last_at, {tuple(s.split("\x1f", 1)) for s in seen}, [tokens_of(line) for line in content.split("\n")])
-
-    def _keep(self, e: Event) -> None:
-        seen = ["\x1f".join(k) for k in e.seen]
-        self.state.update((e.content, e.severity, e.status, e.sources, e.first_at, e.first_source, e.last_at, seen))
-
     def _row(self, key: Any, e: Event, closed: bool) -> pd.DataFrame:
-        return pd.DataFrame([{"report_id": key[0]} | e.row() | {"closed": closed}])
+        return pd.DataFrame([fold_row(key[0], e) | {"closed": closed}])
 
 
-def merged_events(items: DataFrame) -> DataFrame:
+def merged_events(items: DataFrame, merger: EventMerger | None = None) -> DataFrame:
     """Updates of events: a row for each key with new items, and one when it was closed for silence. Repeated messages
     don't count again, as the state knows them.
 
     Needs the RocksDB state store: spark.sql.streaming.stateStore.providerClass.
     """
-    return items.groupBy("report_id").transformWithStateInPandas(EventMerger(), OUTPUT, "update", "ProcessingTime")
+    return items.groupBy("report_id").transformWithStateInPandas(merger or EventMerger(), OUTPUT, "update", "ProcessingTime")
