@@ -273,7 +273,8 @@ def canonical(df: DataFrame, columns: list[str], corpus: DataFrame | None = None
     run = _canonical_udf({})
     for c in columns:
         t = F.col(c)
-        df = df.withColumn(c, F.coalesce(run(F.when(unstable(t), t)), t)).withColumn("_row", F.monotonically_increasing_id())
+        # Written once: both sides of the join must number the rows alike.
+        df = kept(df.withColumn(c, F.coalesce(run(F.when(unstable(t), t)), t)).withColumn("_row", F.monotonically_increasing_id()))
         found = (
             df.where(has_foreign_shared(t))
             .select("_row", main_script(t).alias("ctx"), F.explode(shared_words(t)).alias("form"))

@@ -2,46 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a local one only where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="tidings-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def kept(df: DataFrame, *partition_by: str) -> DataFrame:
-    """Write the rows to the shared folder as Parquet and read them again: cuts the lineage, survives a lost executor.
-
-    The folder goes when the session's file system closes.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tidings-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
-
-
-def if_small(df: DataFrame, most: int = 20_000) -> DataFrame:
-    """The rows as a kept table, marked for broadcast if they are at most `most`; else the join is left to the planner."""
-    df = kept(df)
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+from ..sources.shared import if_small, kept, table  # noqa: F401
 
 
 def unique_reports(reports: DataFrame, *columns: str) -> DataFrame:

@@ -105,7 +105,8 @@ def known_furniture(lines: DataFrame) -> frozenset[int] | None:
 
 def without_furniture(df: DataFrame, text: str, lines: DataFrame) -> DataFrame:
     """df with `text` less its lines in `lines`, by a join: for more lines than a task should be sent."""
-    df = df.withColumn("_n", F.monotonically_increasing_id()).withColumn("_k", line_keys(F.col(text)))
+    # Written once: both sides of the join must number the rows alike.
+    df = kept(df.withColumn("_n", F.monotonically_increasing_id()).withColumn("_k", line_keys(F.col(text))))
     hit = df.select("_n", F.explode("_k").alias("line")).join(lines, "line").groupBy("_n").agg(F.collect_set("line").alias("_hit"))
     df = df.join(hit, "_n", "left")
     return df.withColumn(text, F.when(F.col("_hit").isNull(), F.col(text)).otherwise(without_lines(F.col(text), F.col("_hit")))).drop("_n", "_k", "_hit")
