@@ -226,3 +226,53 @@ def test_judged_same(spark):
         return candidates.index("c5") if content == "one" else 9
 
     assert [tuple(r) for r in enrich.judged_same(items, seen, judge).collect()] == [("a", "e5")]
+
+
+def test_judged_candidates_are_the_newest_within_the_window(spark):
+    import random
+
+    r = random.Random(2)
+    columns = "id string, ts timestamp, content string, place string, tokens array<string>"
+    rows = [(f"e{i:02}", T + timedelta(minutes=r.randint(0, 240)), f"c{i}", None, []) for i in range(60)]
+    asked = spark.sparkContext.accumulator(0)
+    got = {}
+
+    def judge(content, candidates):
+        asked.add(1)
+        return next((k for k, c in enumerate(candidates) if c == "c7"), None)
+
+    df = spark.createDataFrame(rows, columns)
+    for x in enrich.judged_same(df, df, judge).collect():
+        got[x.id] = x.other
+    want = {}
+    for a in rows:
+        near = sorted((b for b in rows if b[0] != a[0] and abs(a[1] - b[1]) <= timedelta(minutes=20)), key=lambda b: (b[1], b[0]), reverse=True)[:6]
+        if "c7" in [b[2] for b in near]:
+            want[a[0]] = "e07"
+    assert got == want and want
+
+
+def test_busy_tokens_are_salted(spark):
+    rows, df = _events(spark)
+    whole = {tuple(r) for r in duplicates.tight_earlier(df).collect()}
+    assert {tuple(r) for r in duplicates.tight_earlier(df, hot=3).collect()} == whole and whole
+    some = {(r.id, r.other): r.score for r in duplicates.eligible_earlier(df).collect()}
+    similar = {(r.id, r.other): r.score for r in duplicates.similar_earlier(df).collect()}
+    assert set(some) == set(similar) | {(a, b) for a, b, _ in whole} and all(some[k] == v for k, v in similar.items())
+
+
+def test_asof_matches_brute_force(spark):
+    import random
+
+    r = random.Random(6)
+    probes = [(f"p{i}", r.choice(["s", "t", None]), r.choice([None] + [T + timedelta(minutes=r.randint(0, 200))] * 9)) for i in range(80)]
+    told = [(f"r{i % 30}", r.choice(["s", "t", None]), r.choice([None] + [T + timedelta(minutes=r.randint(0, 200))] * 9)) for i in range(80)]
+    reports = [(f"r{i}", T + timedelta(minutes=7 * i)) for i in range(25)]
+    got = {x.id: (x.report_id, x.told_at) for x in duplicates.latest_report(spark.createDataFrame(probes, "id string, source_id string, ts timestamp"), spark.createDataFrame(told, "report_id string, source_id string, published_at timestamp"), spark.createDataFrame(reports, "id string, created_at timestamp")).collect()}
+    want = {}
+    for i, s, t in probes:
+        rows = [(at, x) for x, src, at in told if src == s and at] if s else [(at, x) for x, at in reports]
+        rows = [(at, x) for at, x in rows if t and t - timedelta(minutes=15) <= at <= t]
+        if rows and max(rows)[1] in dict(reports):
+            want[i] = max(rows)[::-1]
+    assert got == want and len(want) > 20

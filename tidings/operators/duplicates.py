@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 WINDOW_HOURS, TIGHT_MINUTES, ATTACH_MINUTES, THRESHOLD = 6, 90, 15, 0.30
+#: Rows of one join key in one piece; keys with more are salted.
+HOT = 20_000
 
 
 def unseen(items: DataFrame, *seen: DataFrame) -> DataFrame:
-    """Items whose (source_id, external_id) none of the tables has; equal items count once. Null keys never count as seen."""
+    """Items whose (source_id, external_id) none of the tables has; of items of one key the one that sorts first by its other
+    columns. Null keys never count as seen."""
     known = seen[0].select("source_id", "external_id")
     for s in seen[1:]:
         known = known.unionByName(s.select("source_id", "external_id"))
-    fresh = items.join(known.distinct(), ["source_id", "external_id"], "left_anti")
-    keyed = fresh.where("source_id IS NOT NULL AND external_id IS NOT NULL").dropDuplicates(["source_id", "external_id"])
-    return keyed.unionByName(fresh.where("source_id IS NULL OR external_id IS NULL"))
+    fresh = items.join(known.where("source_id IS NOT NULL AND external_id IS NOT NULL").distinct(), ["source_id", "external_id"], "left_anti").select(*items.columns)
+    keyed = fresh.where("source_id IS NOT NULL AND external_id IS NOT NULL")
+    others = [f.name for f in fresh.schema.fields if f.name not in ("source_id", "external_id") and f.dataType.typeName() not in ("map", "variant")]
+    # A window that keeps one row is cut within each task before the exchange, so a message stored a million times is no hot group.
+    first = keyed.withColumn("_n", F.row_number().over(W.partitionBy("source_id", "external_id").orderBy(*others or [F.lit(0)]))).where("_n = 1").drop("_n")
+    return first.unionByName(fresh.where("source_id IS NULL OR external_id IS NULL"))
 
 
 def _bucket(ts: Column, seconds: int) -> Column:
@@ -45,25 +52,46 @@ def similar_earlier(events: DataFrame, hours: int = WINDOW_HOURS, threshold: flo
     return both.select("id", "other", (shared / (F.size("a") + F.size("b") - shared)).alias("score")).where(F.col("score") >= threshold)
 
 
-def tight_earlier(events: DataFrame, minutes: int = TIGHT_MINUTES) -> DataFrame:
+def salted(left: DataFrame, right: DataFrame, keys: list[str], id: str, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a column `salt` to be joined on as well: the right rows of a key that has more than `hot` of
+    them are parted by their `id`, the left rows of that key are repeated for each part. Counts combine before the exchange."""
+    many = right.groupBy(*keys).agg(F.ceil(F.count("*") / hot).cast("int").alias("_parts")).where("_parts > 1")
+    parts = F.coalesce("_parts", F.lit(1))
+    l = left.join(many, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return l, right.join(many, keys, "left").withColumn("salt", F.pmod(F.xxhash64(id), parts).cast("int")).drop("_parts")
+
+
+def tight_earlier(events: DataFrame, minutes: int = TIGHT_MINUTES, hot: int = HOT) -> DataFrame:
     """(id, other, shared): earlier events close in time, of no other place, that share tokens beside those of the place.
 
-    events: (id, ts, tokens, place, place_tokens). One shared token is enough if either names a place, else two. The join
-    is on shared tokens and time buckets.
+    events: (id, ts, tokens, place, place_tokens). One shared token is enough if either names a place, else two; so every shared
+    token can make a pair, and the join is on tokens and time buckets, those of a busy time salted.
     """
     e = events.where("ts IS NOT NULL AND size(tokens) > 0").withColumn("place", F.nullif(F.col("place"), F.lit("")))
-    keyed = e.select("id", "ts", "place", "place_tokens", F.explode("tokens").alias("token")).withColumn("b", _bucket(F.col("ts"), minutes * 60))
-    later = keyed.select("token", "id", F.col("ts").alias("t1"), F.col("place").alias("p1"), F.col("place_tokens").alias("x1"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
-    earlier = keyed.select("token", "b", F.col("id").alias("other"), F.col("ts").alias("t2"), F.col("place").alias("p2"), F.col("place_tokens").alias("x2"))
+    of_place = F.coalesce(F.array_contains("place_tokens", F.col("token")), F.lit(False))
+    keyed = e.select("id", "ts", F.col("place"), "place_tokens", F.explode("tokens").alias("token")).select("id", "ts", F.xxhash64("place").alias("h"), F.col("place").isNotNull().alias("named"), of_place.alias("own"), "token", _bucket(F.col("ts"), minutes * 60).alias("b"))
+    later = keyed.select("token", "id", F.col("ts").alias("t1"), F.col("h").alias("h1"), F.col("named").alias("n1"), F.col("own").alias("o1"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
+    earlier = keyed.select("token", "b", F.col("id").alias("other"), F.col("ts").alias("t2"), F.col("h").alias("h2"), F.col("named").alias("n2"), F.col("own").alias("o2"))
+    later, earlier = salted(later, earlier, ["token", "b"], "other", hot)
     apart = F.unix_micros("t1") - F.unix_micros("t2")
     before = ((apart > 0) | ((apart == 0) & (F.col("other") < F.col("id")))) & (apart <= minutes * 60_000_000)
-    same = F.col("p1").isNull() | F.col("p2").isNull() | (F.col("p1") == F.col("p2"))
-    of_place = F.array_contains(F.when(F.col("p1").isNotNull(), F.col("x1")).otherwise(F.col("x2")), F.col("token"))
-    met = later.join(earlier, ["token", "b"]).where(before & same & ~F.coalesce(of_place, F.lit(False)))
-    shared = met.groupBy("id", "other").agg(F.count("*").alias("shared"), F.bool_or(F.col("p1").isNotNull() | F.col("p2").isNotNull()).alias("placed"))
+    same = ~F.col("n1") | ~F.col("n2") | (F.col("h1") == F.col("h2"))
+    met = later.join(earlier, ["token", "b", "salt"]).where(before & same & ~F.when(F.col("n1"), F.col("o1")).otherwise(F.col("o2")))
+    shared = met.groupBy("id", "other").agg(F.count("*").alias("shared"), F.bool_or(F.col("n1") | F.col("n2")).alias("placed"))
     return shared.where((F.col("shared") >= 2) | F.col("placed")).select("id", "other", "shared")
 
 
+def eligible_earlier(events: DataFrame, hours: int = WINDOW_HOURS, minutes: int = TIGHT_MINUTES, threshold: float = THRESHOLD) -> DataFrame:
+    """(id, other, score): the earlier events that an event may repeat: similar enough within hours, or else close in time with
+    tokens in common (as of tight_earlier); score is the Jaccard of the tokens. events: as for tight_earlier."""
+    similar = similar_earlier(events, hours, threshold)
+    tight = tight_earlier(events, minutes).join(similar.select("id", "other"), ["id", "other"], "left_anti").select("id", "other")
+    t = events.select("id", "tokens")
+    both = tight.join(t.withColumnRenamed("tokens", "a"), "id").join(t.select(F.col("id").alias("other"), F.col("tokens").alias("b")), "other")
+    shared = F.size(F.array_intersect("a", "b"))
+    return similar.unionByName(both.select("id", "other", (shared / (F.size("a") + F.size("b") - shared)).alias("score")))
+
+
 def best_earlier(events: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, links, best, score): of each event with partners, their number and the best: highest score, then newest, then greatest id."""
     times = events.select(F.col("id").alias("other"), F.col("ts").alias("other_ts"))
@@ -72,11 +100,24 @@ def best_earlier(events: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def latest_before(probes: DataFrame, events: DataFrame, minutes: int = ATTACH_MINUTES) -> DataFrame:
     """(id, found, found_at): backward as-of join: of each probe (id, source_id, ts) the latest event (event_id, source_id, ts)
-    of its source not later and within the tolerance, both ends included. An equi-join on source and time bucket; ties in
-    time go to the greatest event_id. A source that holds a third of the rows is spread over its time buckets."""
+    of its source not later and within the tolerance, both ends included. Ties in time go to the greatest event_id.
+
+    Both sides are sorted once by source and time, in time buckets as long as the tolerance (events stand in their own and in the
+    next one), so a source with a third of the rows is spread over its buckets and no probe meets more than one event."""
     s = minutes * 60
-    p = probes.where("source_id IS NOT NULL AND ts IS NOT NULL").select("id", "source_id", "ts", F.explode(F.array(_bucket(F.col("ts"), s), _bucket(F.col("ts"), s) - 1)).alias("b"))
-    e = events.where("source_id IS NOT NULL AND ts IS NOT NULL").select("event_id", "source_id", F.col("ts").alias("at"), _bucket(F.col("ts"), s).alias("b"))
-    apart = F.unix_micros("ts") - F.unix_micros("at")
-    met = p.join(e, ["source_id", "b"]).where((apart >= 0) & (apart <= s * 1_000_000))
-    return met.groupBy("id").agg(F.max(F.struct("at", "event_id")).alias("m")).select("id", F.col("m.event_id").alias("found"), F.col("m.at").alias("found_at"))
+    p = probes.where("source_id IS NOT NULL AND ts IS NOT NULL").select("source_id", _bucket(F.col("ts"), s).alias("b"), "ts", F.lit(1).alias("kind"), "id", F.lit(None).cast(events.schema["event_id"].dataType).alias("event_id"))
+    e = events.where("source_id IS NOT NULL AND ts IS NOT NULL").select("source_id", F.explode(F.array(_bucket(F.col("ts"), s), _bucket(F.col("ts"), s) + 1)).alias("b"), "ts", F.lit(0).alias("kind"), F.lit(None).cast(probes.schema["id"].dataType).alias("id"), "event_id")
+    upto = W.partitionBy("source_id", "b").orderBy("ts", "kind", F.col("event_id").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
+    last = F.last(F.when(F.col("kind") == 0, F.struct("event_id", F.col("ts").alias("at"))), ignorenulls=True).over(upto)
+    met = p.unionByName(e).withColumn("m", last).where("kind = 1 AND m IS NOT NULL")
+    return met.where(F.unix_micros("ts") - F.unix_micros("m.at") <= s * 1_000_000).select("id", F.col("m.event_id").alias("found"), F.col("m.at").alias("found_at"))
+
+
+def latest_report(probes: DataFrame, bridge: DataFrame, reports: DataFrame, minutes: int = ATTACH_MINUTES) -> DataFrame:
+    """(id, report_id, told_at): the report that a probe's (id, source_id, ts) source told of last, by the bridge (report_id,
+    source_id, published_at), if `reports` (id, created_at) still has it; for a probe without a source the report made last."""
+    own = latest_before(probes, bridge.select(F.col("report_id").alias("event_id"), "source_id", F.col("published_at").alias("ts")), minutes)
+    rest = probes.where("source_id IS NULL").withColumn("source_id", F.lit(""))
+    made = latest_before(rest, reports.select(F.col("id").alias("event_id"), F.lit("").alias("source_id"), F.col("created_at").alias("ts")), minutes)
+    known = reports.select(F.col("id").alias("found")).distinct()
+    return own.unionByName(made).join(known, "found").select("id", F.col("found").alias("report_id"), F.col("found_at").alias("told_at"))

@@ -40,12 +40,21 @@ def judged_same(items: DataFrame, events: DataFrame, judge: Callable[[str, list[
     most. judge(content, candidates) gives an index or None; an index outside the list is None. Plausible is the same
     place, any shared token, or no place on either side.
     """
-    window = JUDGE_MINUTES * 60
-    bucket = lambda c: F.floor(F.unix_timestamp(c) / window)
-    a = items.where("ts IS NOT NULL").withColumn("b", F.explode(F.array(bucket(F.col("ts")) - 1, bucket(F.col("ts")), bucket(F.col("ts")) + 1)))
-    e = events.where("ts IS NOT NULL").select(F.col("id").alias("other"), F.col("ts").alias("t2"), F.col("content").alias("c2"), F.col("place").alias("p2"), F.col("tokens").alias("k2"), bucket(F.col("ts")).alias("b"))
-    near = a.join(e, "b").where((F.abs(F.unix_micros("ts") - F.unix_micros("t2")) <= window * 1_000_000) & (F.col("id") != F.col("other")))
-    top = near.withColumn("n", F.row_number().over(W.partitionBy("id").orderBy(F.desc("t2"), F.desc("other")))).where(F.col("n") <= JUDGE_CANDIDATES)
+    # Candidates are the last events not later than the item's time and the window. Both sides are sorted once by time, in buckets
+    # twice as long as the window, which numbers the events; an item then meets just those with the last numbers it can see.
+    window = JUDGE_MINUTES * 60_000_000
+    bucket = lambda micros: F.floor(micros / (2 * window))
+    e = events.where("ts IS NOT NULL").select(F.unix_micros("ts").alias("u"), F.col("id").alias("other"))
+    e = e.select(F.explode(F.array(bucket(F.col("u")), bucket(F.col("u")) + 1)).alias("b"), "u", F.lit(0).alias("kind"), "other")
+    i = items.where("ts IS NOT NULL").select((F.unix_micros("ts") + window).alias("u"), F.col("id").alias("other"))
+    order = W.partitionBy("b").orderBy("u", "kind", "other").rowsBetween(W.unboundedPreceding, 0)
+    row = e.unionByName(i.select(bucket(F.col("u")).alias("b"), "u", F.lit(1).alias("kind"), "other")).withColumn("n", F.sum(1 - F.col("kind")).over(order))
+    # One more than the limit, as the item itself may be among them.
+    asked = row.where("kind = 1").select("b", F.col("other").alias("id"), F.col("u").alias("until"), F.explode(F.sequence(F.col("n"), F.col("n") - JUDGE_CANDIDATES, F.lit(-1))).alias("n"))
+    near = asked.join(row.where("kind = 0").select("b", "n", "u", "other"), ["b", "n"]).where((F.col("until") - F.col("u") <= 2 * window) & (F.col("id") != F.col("other")))
+    seen = near.withColumn("n", F.row_number().over(W.partitionBy("id").orderBy(F.desc("u"), F.desc("other")))).where(F.col("n") <= JUDGE_CANDIDATES).select("id", "other", "n")
+    e = events.select(F.col("id").alias("other"), F.col("content").alias("c2"), F.col("place").alias("p2"), F.col("tokens").alias("k2"))
+    top = seen.join(items, "id").join(e, "other")
     plausible = F.coalesce((F.col("place") == F.col("p2")), F.lit(False)) | F.arrays_overlap("tokens", "k2") | (F.col("place").isNull() & F.col("p2").isNull())
     listed = top.groupBy("id").agg(F.first("content").alias("content"), F.array_sort(F.collect_list(F.struct("n", "other", F.coalesce("c2", F.lit("")).alias("c2"), F.coalesce(plausible, F.lit(False)).alias("ok")))).alias("list"))
 
