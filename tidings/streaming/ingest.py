@@ -61,7 +61,7 @@ class Ingest:
         sources = self.sources()
         messages = messages_of(batch, sources).withColumn("arrived_at", F.coalesce("arrived_at", "published_at"))
         fresh = kept(unseen(messages, seen, bridge))
-        now = F.lit(fresh.agg(F.max("arrived_at")).first()[0]).cast("timestamp")
+        now = F.lit(messages.agg(F.max("arrived_at")).first()[0]).cast("timestamp")
         texts = fresh.where(has_text(F.col("text")))
         screened = kept(self._screened(texts))
         passing = kept(screened.where("keep").withColumn("id", _new_id()).select("id", "source_id", "source_name", "source_url", "external_id", "title", "content", "severity", "status", F.col("location_name").alias("place"), "published_at", "arrived_at", media_urls(F.col("media")).alias("media")))
