@@ -276,3 +276,29 @@ def test_asof_matches_brute_force(spark):
         if rows and max(rows)[1] in dict(reports):
             want[i] = max(rows)[::-1]
     assert got == want and len(want) > 20
+
+
+def test_official_sources_pass_as_they_are(spark):
+    columns = "id int, title string, content string, severity string, status string, place string, source_type string, raw struct<channel:string,filter:string,promoted:boolean>"
+    rows = [(1, "plain", "words", "high", "new", None, "OREF", None), (2, "אזעקה דחוף בצפון", "", "low", "verified", None, "rss", ("c", None, None)), (3, "plain", None, "low", "verified", None, None, None)]
+    got = {r.id: r for r in screening.screened(spark.createDataFrame(rows, columns), PACK, place="place", official=("oref",), raw="raw").collect()}
+    assert (got[1].keep, got[1].reason, got[1].content, got[1].severity, got[1].status, got[1].filter, got[1].raw) == (True, "official", "words", "high", "new", "none", None)
+    assert got[2].keep and tuple(got[2].raw) == ("c", "heuristic", True)
+    assert not got[3].keep and got[3].raw is None
+
+
+def test_judges_in_a_chain_and_rule_counts():
+    def broken(text):
+        raise RuntimeError
+
+    assert screening.judge_chain(lambda t: None, broken, lambda t: {"relevant": True})("x") == {"relevant": True}
+    assert screening.judge_chain(broken)("x") is None
+    assert screening.rule_counts(PACK) == {"suppress": 2, "promote": 1, "review": 1}
+
+
+def test_sessions_and_outcomes(spark):
+    rows = [("r", T), ("r", T + timedelta(hours=3)), ("r", T + timedelta(hours=6, seconds=1)), (None, T), ("s", None)]
+    got = sorted((r.started, r.items) for r in events.sessions(spark.createDataFrame(rows, "k string, at timestamp"), "k", "at").collect())
+    assert got == [(T, 2), (T + timedelta(hours=6, seconds=1), 1)]
+    bridge = spark.createDataFrame([("r", "s", "1", T, "a"), ("r", "s", "1", T, "b"), ("r", "t", "2", T + timedelta(1), "c"), ("q", None, None, None, "d")], "report_id string, source_id string, external_id string, published_at timestamp, id string")
+    assert sorted((r.source_id or "", r.outcome) for r in operations.message_outcomes(bridge).collect()) == [("", "inserted"), ("s", "inserted"), ("s", "skipped"), ("t", "deduped")]

@@ -61,6 +61,14 @@ def gallery(items: DataFrame, key: str, url: str, order: str, most: int = MEDIA)
     return top.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "url"))), lambda x: x["url"]).alias("media"))
 
 
+def sessions(rows: DataFrame, key: str, at: str, hours: int = STALE_HOURS) -> DataFrame:
+    """(key, started, ended, items): the runs of each key's rows with at most `hours` between neighbours; null keys and times are left out.
+    Sessions combine before the exchange, so a key with a third of the rows sends its sessions, not its rows."""
+    gap = F.session_window(at, f"{hours} hours 1 microsecond")  # the gap itself is still within
+    made = rows.where(F.col(key).isNotNull() & F.col(at).isNotNull()).groupBy(key, gap).agg(F.min(at).alias("started"), F.max(at).alias("ended"), F.count("*").alias("items"))
+    return made.select(key, "started", "ended", "items")
+
+
 def closed_if_stale(reports: DataFrame, as_of: Column, hours: int = STALE_HOURS) -> DataFrame:
     """reports with status dismissed and severity low where the last publication is older; a null status or time stays."""
     stale = F.coalesce((F.col("published_at") < as_of - F.expr(f"INTERVAL {hours} HOURS")) & (F.col("status") != "dismissed"), F.lit(False))

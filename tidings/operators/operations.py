@@ -22,6 +22,15 @@ def run_counters(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("source_id").agg(F.count("*").alias("fetched"), *[F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES])
 
 
+def message_outcomes(bridge: DataFrame) -> DataFrame:
+    """(source_id, outcome) of each row of a bridge (report_id, source_id, external_id, published_at, id), by time: the first message
+    of a report opened it, later ones joined it, a message told again was skipped. Rows without a time come first."""
+    first = F.row_number().over(W.partitionBy("report_id", "source_id", "external_id").orderBy(F.col("published_at").asc_nulls_first(), "id")) == 1
+    opened = bridge.groupBy("report_id").agg(F.min_by("id", F.struct(F.coalesce("published_at", F.timestamp_seconds(F.lit(0))), F.col("id"))).alias("_first"))
+    rows = bridge.withColumn("_fresh", first).join(opened, "report_id")
+    return rows.select("source_id", F.when(~F.col("_fresh"), "skipped").when(F.col("id") == F.col("_first"), "inserted").otherwise("deduped").alias("outcome"))
+
+
 def totals(counters: DataFrame) -> DataFrame:
     return counters.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("fetched", *OUTCOMES)])
 

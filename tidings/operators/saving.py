@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as X
 from ..functions.text import EXCERPT_CHARS, UPDATE_PREFIX, matchable_literal
 from ..functions.tokens import STOP, stem_literal
+from ..sources.shared import kept
 
 GUARD_HOURS, MEDIA, FOLLOW_UP_CHARS, NEAR = 24, 8, 60, 0.30
 WINDOW_HOURS, CANDIDATES, TIGHT_MINUTES, JUDGE_MINUTES, JUDGE_CANDIDATES, ATTACH_MINUTES = 6, 40, 90, 20, 6, 15
@@ -281,7 +282,8 @@ def saved(
     first item are read. An event has the id of the item that opened it.
     """
     of = F.coalesce(F.col(shard).cast("string"), F.lit("")) if shard else F.lit("")
-    rows = items.withColumn("_shard", of).withColumn("_at", F.unix_micros(F.coalesce("arrived_at", "published_at").cast("timestamp")))
+    # Written once: what made the items is not done again for each of the three reads below.
+    rows = kept(items).withColumn("_shard", of).withColumn("_at", F.unix_micros(F.coalesce("arrived_at", "published_at").cast("timestamp")))
     rows = _micros(rows, "published_at")
     keyed = F.col("source_id").isNotNull() & F.col("external_id").isNotNull()
     # Spark keeps the first row of a window group within each task before the exchange, so a message sent a million times is no hot group.

@@ -85,12 +85,49 @@ def rules_from(table: DataFrame, pack: RulePack) -> RulePack:
     return replace(pack, blocks=blocks, promote=tuple(promote), review=tuple(review))
 
 
-def screened(df: DataFrame, pack: RulePack, place: str | None = None, verdicts: Callable[[str], dict | None] | None = None) -> DataFrame:
+def rule_counts(pack: RulePack) -> dict[str, int]:
+    """How many words a pack's rules have, by kind."""
+    return {"suppress": sum(map(len, pack.blocks.values())), "promote": len(pack.promote), "review": len(pack.review)}
+
+
+def judge_chain(*judges: Callable[[str], dict | None]) -> Callable[[str], dict | None]:
+    """The judges in order: the first that gives a verdict counts, one that raises counts as silent."""
+
+    def verdict(text: str) -> dict | None:
+        for judge in judges:
+            try:
+                if (found := judge(text)) is not None:
+                    return found
+            except Exception:  # noqa: BLE001, S112  a judge that fails must not stop the others
+                continue
+        return None
+
+    return verdict
+
+
+def marked(raw: Column, fields: str, marks: dict[str, Column]) -> Column:
+    """The struct (of type `fields`) with the marks that are not null in place of its own fields; the others stay. A null struct
+    becomes one if there is a mark."""
+    some = F.coalesce(raw, F.when(F.coalesce(*[m.cast("string") for m in marks.values()]).isNotNull(), F.from_json(F.lit("{}"), fields))) if marks else raw
+    for name, mark in marks.items():
+        some = some.withField(name, F.coalesce(mark, some[name]))
+    return some
+
+
+def screened(
+    df: DataFrame, pack: RulePack, place: str | None = None, verdicts: Callable[[str], dict | None] | None = None, official: tuple[str, ...] = (), raw: str | None = None
+) -> DataFrame:
     """df (title, content, severity, status, ...) with keep, reason, promoted, filter, and status, content and severity as screened.
 
     verdicts: an optional judge of a text, called once a row through an iterator of batches; None of it means no judgement.
+    official: kinds of source (source_type, in any case) whose items pass as they are. raw: a struct column that gets the marks
+    filter, promoted, category and reason, of those fields that it has.
     """
     both = F.concat_ws(". ", F.coalesce("title", F.lit("")), F.coalesce("content", F.lit("")))
+    free = F.coalesce(F.lower("source_type").isin(*official), F.lit(False)) if official else F.lit(False)
+    # What screening reads of a row; an official item's columns are put back at the end.
+    own = [c for c in ("content", "severity", "status") if official]
+    df = df.withColumn("_free", free).withColumns({f"_own_{c}": F.col(c) for c in own})
     df = df.withColumn("_t", both).withColumn("_m", matchable(clean(both)))
     t, m = F.col("_t"), F.col("_m")
     where = F.col(place) if place else None
@@ -107,7 +144,7 @@ def screened(df: DataFrame, pack: RulePack, place: str | None = None, verdicts:
     df = df.withColumn("_reject", reject).withColumn("_good", good).withColumn("_why", reason).withColumn("promoted", promoted)
     verdict = F.lit(None).cast(f"struct<{VERDICT.replace(' ', ':')}>".replace(",:", ","))
     if verdicts is not None:
-        verdict = _judge(verdicts)(F.when(F.col("_reject").isNull(), t))
+        verdict = _judge(verdicts)(F.when(F.col("_reject").isNull() & ~F.col("_free"), t))
     df = df.withColumn("_v", verdict)
     v = F.col("_v")
     text_of = lambda c: matchable(clean(F.coalesce(c, F.lit(""))))
@@ -124,7 +161,14 @@ def screened(df: DataFrame, pack: RulePack, place: str | None = None, verdicts:
         .withColumn("content", F.when(F.col("keep") & (final != ""), final).otherwise(F.col("content")))
         .withColumn("severity", F.when(use & v["severity"].isin("low", "medium", "high", "critical"), v["severity"]).otherwise(F.col("severity")))
     )
-    return out.drop("_t", "_m", "_reject", "_good", "_why", "_v")
+    if official:
+        as_is = {"keep": F.lit(True), "reason": F.lit("official"), "promoted": F.lit(False), "filter": F.lit("none")} | {c: F.col(f"_own_{c}") for c in own}
+        out = out.withColumns({c: F.when(F.col("_free"), v).otherwise(F.col(c)) for c, v in as_is.items()})
+    if raw is not None:
+        marks = {"filter": F.when(F.col("keep") & ~F.col("_free"), F.col("filter")), "promoted": F.when(F.col("keep") & F.col("promoted"), F.lit(True)), "category": F.when(use & F.col("keep"), v["category"]), "reason": F.when(use & F.col("keep"), v["reason"])}
+        kind = df.schema[raw].dataType
+        out = out.withColumn(raw, marked(F.col(raw), kind.simpleString(), {k: m for k, m in marks.items() if k in kind.fieldNames()}))
+    return out.drop("_t", "_m", "_reject", "_good", "_why", "_v", "_free", *[f"_own_{c}" for c in own])
 
 
 def _judge(verdicts: Callable[[str], dict | None]):

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import language, lexicon, text, tokens
 from ..functions.lexicon import Reject, RulePack
-from ..operators import duplicates, enrich, events, operations, places, screening, severity
+from ..operators import duplicates, enrich, events, operations, places, saving, screening, severity
 from ..sources import readers, sinks
 from ..sources.shared import kept, table
 from . import oracle as O
@@ -19,19 +20,27 @@ SQL: dict[str, str] = {}
 
 # An editorial line to run the cascade with; a real one is the caller's.
 PACK = RulePack(
-    blocks={"sponsored": ["תוכן שיווקי"], "weather": ["ערפל", "мороз"], "accident": ["תאונה", "שריפה", "הפסקת חשמל"], "crime": ["אופנוע גנוב", "פריצה"]},
-    ambiguous=("accident", "crime"),
-    context=("מחבל", "פיגוע", "מטען", "רחפן", "ירי", "חדירה"),
+    blocks={
+        "sponsored": ["תוכן שיווקי", "מבצע סוף עונה", "רוצים לפרסם"], "weather": ["ערפל", "מזג האוויר", "гололёд", "мороз"], "accident": ["תאונה", "שריפה", "הפסקת חשמל", "צינור גז", "דליפה"],
+        "crime": ["אופנוע גנוב", "פריצה", "גניבה", "רכב נטוש"], "politics": ["הוועדה", "מועצה"], "sport": ["ליגה", "אימון"],
+    },
+    ambiguous=("accident", "crime", "politics"),
+    context=("מחבל", "פיגוע", "מטען", "רחפן", "ירי", "חדירה", "מיירט", "אזעקות", "משגרים"),
     no_context=("בית הסוהר",),
     ignored=("בית כנסת",),
     rejects=(
-        Reject("routine arrest", (("נעצר", "עצורים"),), ("פיגוע", "ירי")),
-        Reject("unknown blast", (("פיצוץ",), ("לא ידוע", "לא ברור")), ("נפצע", "פצועים", "רסיסים")),
-        Reject("old case", (("החקירה",), ("בניגוד לפרסום", "שבוע השלישי")), pattern="מ(?:ינואר|פברואר|מרץ) האחרון"),
+        Reject("criminal context", (("סכסוך", "העצור הודה", "על רקע פלילי"),)),
+        Reject("routine arrest", (("נעצר", "עצורים", "מסרו לחקירה"),), ("פיגוע", "ירי", "מחבל")),
+        Reject("old case", (("החקירה", "הודה"), ("בניגוד לפרסום", "שבוע השלישי")), pattern="מ(?:ינואר|פברואר|מרץ) האחרון"),
+        Reject("stones", (("יידוי אבנים", "אבנים לעבר"),), ("נפצע", "פצוע", "פונו")),
+        Reject("unknown blast", (("פיצוץ", "הבזק"), ("לא ידוע", "לא ברור")), ("נפצע", "פצועים", "רסיסים")),
+        Reject("petty", (("לאומני", "הצתה"), ("גרפיטי", "מחסן", "ריסוס")), ("פצוע", "פצועים", "מחבל")),
+        Reject("own equipment", (("תקלה במערכת", "תקלה טכנית", "צנח"),), ("חוסל", "מחבל", "ירי")),
+        Reject("abroad", (("אוקראינה", "סוריה", "גבול הצפון", "לוחית זרה"),), ("ישראל", "צה״ל", "הגליל"), no_place=True),
     ),
-    live=("כרגע", "נכון לשעה"), past=("אתמול", "אמש"), statement=("הותר לפרסם", "לדברי"),
-    impact=("ירי", "נפילה", "אזעקות", "יירוט", "חדירה", "רסיסים", "דריסה"), weak=("רסיסים",), outbound=("תקיפה", "פינו"),
-    resolution=("חזרה לשגרה",), promote=("אזעקות",), review=("זיהוי שגוי",),
+    live=("כרגע", "נכון לשעה", "לפני זמן קצר"), past=("אתמול", "אמש", "בחודש שעבר"), statement=("הותר לפרסם", "לדברי", "אמר:"),
+    impact=("ירי", "נפילה", "אזעקות", "יירוט", "חדירה", "רסיסים", "דריסה", "פצועים", "מיירט"), weak=("רסיסים", "מיירט"), outbound=("תקיפה", "פינו", "תקפו"),
+    resolution=("חזרה לשגרה", "האירוע הסתיים"), promote=("אזעקות רצופות", "דחוף"), review=("זיהוי שגוי", "לא ברור עדיין"),
 )
 
 
@@ -131,25 +140,33 @@ def _screen_sql() -> str:
         parts = [O.has_any(m, w) for w in r.needs]
         if r.pattern:
             parts[-1] = f"({parts[-1]} OR regexp_matches(m, {O.lit(r.pattern)}))"
-        rules += f" WHEN {' AND '.join(parts)} AND NOT {O.has_any(open_m, r.unless)} THEN {O.lit(r.reason)}"
+        rules += f" WHEN {' AND '.join(parts)} AND NOT {O.has_any(open_m, r.unless)}" + (" AND place IS NULL" if r.no_place else "") + f" THEN {O.lit(r.reason)}"
     live = " OR ".join(O.term_in(m, w) for w in p.live)
     first = lambda kind, words: " ".join(f"WHEN {O.term_in(m, w)} THEN {O.lit(f'{kind}: {w}')}" for w in words)
     not_live = f"CASE WHEN {live} THEN NULL {first('past', p.past)} {first('statement', p.statement)} END"
     reason = f"CASE WHEN {O.has_any(m, p.resolution)} THEN 'closing' WHEN {O.has_any(m, [w for w in p.impact if w not in p.weak])} OR ({O.has_any(m, p.impact)} AND NOT {O.has_any(m, p.outbound)}) THEN 'impact' WHEN {O.has_any(m, p.outbound)} THEN 'outbound' ELSE 'no sign' END"
     n, h, a = (f"(length(t) - length(regexp_replace(t, {O.lit(x)}, '', 'g')))" for x in (r"[\p{L}\p{Nl}\p{No}]", p.letters, p.other_letters))
     both = "coalesce(title, '') || '. ' || coalesce(content, '')"
+    cut = _CUT.format(t="s", n=750)
     return (
-        f"WITH d AS (SELECT DISTINCT id, title, content, status FROM reports), i AS (SELECT id, status, {both} AS t FROM d), {O.clean_steps('i', 'id', 't')}, "
-        f"x AS (SELECT id, status, m, CASE WHEN NOT ({n} >= 10 AND {h} >= {n} * 0.25) THEN 'language' WHEN {a} > 3 THEN 'other script' {blocks} {rules} ELSE {not_live} END AS reject, {reason} AS why FROM cleaned JOIN i USING (id)), "
-        f"y AS (SELECT *, {O.has_any(m, p.promote)} AND why <> 'outbound' AS promoted FROM x) "
-        f"SELECT id, reject IS NULL AND (why IN ('closing', 'impact') OR promoted) AS keep, coalesce(reject, why) AS reason, promoted, CASE WHEN {O.has_any(m, p.review)} THEN 'reviewing' ELSE status END AS status FROM y"
+        f"WITH d AS (SELECT DISTINCT id, title, content, severity, status, source_type, location_name AS place, raw.filter AS f, raw.channel AS channel FROM reports), i AS (SELECT *, {both} AS t FROM d), {O.clean_steps('i', 'id', 't')}, "
+        f"x AS (SELECT i.*, m, CASE WHEN NOT ({n} >= 10 AND {h} >= {n} * 0.25) THEN 'language' WHEN {a} > 3 THEN 'other script' {blocks} {rules} ELSE {not_live} END AS reject, {reason} AS why FROM cleaned JOIN i USING (id)), "
+        f"y AS (SELECT *, lower(source_type) = 'oref' IS TRUE AS free, {O.has_any(m, p.promote)} AND why <> 'outbound' AS promo, reject IS NULL AND (why IN ('closing', 'impact') OR ({O.has_any(m, p.promote)} AND why <> 'outbound')) AS ok, {O.strip("coalesce(content, '')")} AS s FROM x), "
+        f"e AS (SELECT id, unnest(string_split(regexp_replace(s, '([.!?]){lexicon.WS}+', '\\1' || chr(1), 'g'), chr(1))) AS p, generate_subscripts(string_split(regexp_replace(s, '([.!?]){lexicon.WS}+', '\\1' || chr(1), 'g'), chr(1)), 1) AS i FROM y WHERE length(s) > 750),"
+        " r AS (SELECT id, p, i, sum(length(p) + 1) OVER (PARTITION BY id ORDER BY i) AS n FROM e),"
+        " k AS (SELECT id, string_agg(p, ' ' ORDER BY i) AS o FROM r WHERE CASE WHEN i = 1 THEN n <= 750 ELSE n - 1 <= 750 END GROUP BY id) "
+        f"SELECT id, free OR ok AS keep, CASE WHEN free THEN 'official' ELSE coalesce(reject, why) END AS reason, NOT free AND promo AS promoted, CASE WHEN NOT free AND {O.has_any(m, p.review)} THEN 'reviewing' ELSE status END AS status, severity, "
+        f"CASE WHEN free OR NOT ok OR s = '' THEN content WHEN length(s) <= 750 THEN s ELSE coalesce(o, {cut}) END AS content, CASE WHEN free THEN 'none' WHEN reject IS NOT NULL THEN 'rule' ELSE 'heuristic' END AS filter, "
+        "channel, CASE WHEN ok AND NOT free THEN 'heuristic' ELSE f END AS raw_filter FROM y LEFT JOIN k USING (id)"
     )
 
 
 @query(_screen_sql())
 def screen_reasons(spark, sf_dir):
-    reports = table(spark, sf_dir, "reports").select("id", "title", "content", "severity", "status").distinct()
-    return screening.screened(reports, PACK).select("id", "keep", "reason", "promoted", "status")
+    """All filters of the cascade, official sources passing, and the marks that the raw struct gets."""
+    reports = table(spark, sf_dir, "reports").select("id", "title", "content", "severity", "status", "source_type", F.col("location_name").alias("place"), "raw").distinct()
+    made = screening.screened(reports, PACK, place="place", official=(readers.ALERT_TYPE,), raw="raw")
+    return made.select("id", "keep", "reason", "promoted", "status", "severity", "content", "filter", "raw.channel", F.col("raw.filter").alias("raw_filter"))
 
 
 @query(
@@ -210,12 +227,23 @@ def resolved_areas(spark, sf_dir):
 
 
 # --- duplicates
+_CUT_AT = "TIMESTAMPTZ '2026-04-01 12:00:00+00'"
+
+
+def _cut_at():
+    return F.lit("2026-04-01 12:00:00+00").cast("timestamp")
+
+
 @query(
-    "WITH i AS (SELECT DISTINCT source_id, external_id FROM report_sources) SELECT source_id, count(*) AS fresh FROM i WHERE NOT EXISTS (SELECT 1 FROM reports r WHERE r.source_id = i.source_id AND r.external_id = i.external_id) AND source_id IS NOT NULL AND external_id IS NOT NULL GROUP BY source_id"
+    f"WITH i AS (SELECT DISTINCT source_id, external_id FROM report_sources WHERE published_at >= {_CUT_AT}), s AS (SELECT source_id, external_id FROM reports WHERE status = 'dismissed' UNION SELECT source_id, external_id FROM report_sources WHERE published_at < {_CUT_AT} UNION SELECT source_id, external_id FROM reports WHERE created_at < {_CUT_AT}) "
+    "SELECT source_id, count(*) AS fresh FROM i WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.source_id = i.source_id AND s.external_id = i.external_id) AND source_id IS NOT NULL AND external_id IS NOT NULL GROUP BY source_id"
 )
 def idempotent_ingest(spark, sf_dir):
-    items = table(spark, sf_dir, "report_sources").select("source_id", "external_id")
-    return duplicates.unseen(items, table(spark, sf_dir, "reports")).where("source_id IS NOT NULL AND external_id IS NOT NULL").groupBy("source_id").agg(F.count("*").alias("fresh"))
+    """Messages of the later half that neither the log of seen ones, the bridge of the earlier half nor the earlier reports have."""
+    bridge, reports = table(spark, sf_dir, "report_sources"), table(spark, sf_dir, "reports")
+    seen = reports.where("status = 'dismissed'")
+    fresh = duplicates.unseen(bridge.where(F.col("published_at") >= _cut_at()), seen, bridge.where(F.col("published_at") < _cut_at()), reports.where(F.col("created_at") < _cut_at()))
+    return fresh.where("source_id IS NOT NULL AND external_id IS NOT NULL").groupBy("source_id").agg(F.count("*").alias("fresh"))
 
 
 def _event_tokens(spark, sf_dir) -> DataFrame:
@@ -258,13 +286,27 @@ def tight_window_links(spark, sf_dir):
 
 
 @query(
-    "WITH p AS (SELECT DISTINCT id, source_id, published_at AS ts FROM reports WHERE source_id IS NOT NULL AND published_at IS NOT NULL), e AS (SELECT DISTINCT id AS event_id, source_id, published_at AS seen_at FROM report_sources WHERE source_id IS NOT NULL AND published_at IS NOT NULL) "
-    "SELECT p.id, arg_max(event_id, (seen_at, event_id)) AS found, max(seen_at) AS found_at FROM p JOIN e ON p.source_id = e.source_id AND seen_at <= ts AND seen_at >= ts - INTERVAL 15 MINUTE GROUP BY p.id"
+    _tight_sql().rsplit("SELECT id, count(*) AS links", 1)[0].rstrip() + ", w AS (SELECT id, other FROM p WHERE n >= 2 OR (placed AND n >= 1)), "
+    "v AS (SELECT a.id, b.id AS other, len(list_intersect(a.t, b.t)) / (len(a.t) + len(b.t) - len(list_intersect(a.t, b.t))) AS score, b.ts AS ots FROM e a JOIN e b ON (b.ts < a.ts OR (b.ts = a.ts AND b.id < a.id)) AND b.ts >= a.ts - INTERVAL 6 HOUR WHERE len(a.t) > 0 AND len(b.t) > 0), "
+    "q AS (SELECT v.* FROM v LEFT JOIN w ON w.id = v.id AND w.other = v.other WHERE score >= 0.3 OR w.id IS NOT NULL) "
+    "SELECT id, count(*) AS links, arg_max(other, (score, ots, other)) AS best, round(max(score), 6) AS score FROM q GROUP BY id"
+)
+def duplicate_candidates(spark, sf_dir):
+    """Of each report the earlier ones it may repeat, by either rule, and the best of them."""
+    e = _event_tokens(spark, sf_dir)
+    return duplicates.best_earlier(e, kept(duplicates.eligible_earlier(e))).withColumn("score", F.round("score", 6))
+
+
+@query(
+    "WITH p AS (SELECT DISTINCT id, CASE WHEN lower(source_type) = 'rss' THEN NULL ELSE source_id END AS source_id, published_at AS ts FROM reports WHERE published_at IS NOT NULL), e AS (SELECT DISTINCT report_id, source_id, published_at AS seen_at FROM report_sources WHERE source_id IS NOT NULL AND published_at IS NOT NULL), c AS (SELECT DISTINCT id AS report_id, created_at AS seen_at FROM reports), "
+    "f AS (SELECT p.id, arg_max(report_id, (seen_at, report_id)) AS report_id, max(seen_at) AS told_at FROM p JOIN e ON p.source_id = e.source_id AND seen_at <= ts AND seen_at >= ts - INTERVAL 15 MINUTE GROUP BY p.id "
+    "UNION ALL SELECT p.id, arg_max(report_id, (seen_at, report_id)), max(seen_at) FROM p JOIN c ON p.source_id IS NULL AND seen_at <= ts AND seen_at >= ts - INTERVAL 15 MINUTE GROUP BY p.id) SELECT * FROM f WHERE report_id IN (SELECT id FROM reports)"
 )
 def asof_attach(spark, sf_dir):
-    probes = table(spark, sf_dir, "reports").select("id", "source_id", F.col("published_at").alias("ts")).distinct()
-    rows = table(spark, sf_dir, "report_sources").select(F.col("id").alias("event_id"), "source_id", F.col("published_at").alias("ts")).distinct()
-    return duplicates.latest_before(probes, rows)
+    """The report that a report's source told of last before it, through the bridge; for feeds, taken as without a source, the report made last."""
+    reports = table(spark, sf_dir, "reports").select("id", "source_id", "source_type", "published_at", "created_at").distinct()
+    probes = reports.select("id", F.when(F.lower("source_type") != "rss", F.col("source_id")).when(F.col("source_type").isNull(), F.col("source_id")).alias("source_id"), F.col("published_at").alias("ts"))
+    return duplicates.latest_report(probes, table(spark, sf_dir, "report_sources").select("report_id", "source_id", "published_at").distinct(), reports)
 
 
 # --- events
@@ -279,12 +321,13 @@ def severity_escalation(spark, sf_dir):
 
 
 @query(
-    "WITH m AS (SELECT source_id, unnest(raw.media).url AS url, published_at FROM reports), f AS (SELECT source_id, url, min(published_at) AS first_seen FROM m WHERE url IS NOT NULL AND url <> '' AND source_id IS NOT NULL GROUP BY ALL), "
-    "n AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY first_seen NULLS FIRST, url) AS n FROM f) SELECT source_id, string_agg(url, ' ' ORDER BY n) AS media FROM n WHERE n <= 8 GROUP BY source_id"
+    "WITH m AS (SELECT dedup_key, unnest(raw.media).url AS url, published_at FROM reports), f AS (SELECT dedup_key, url, min(published_at) AS first_seen FROM m WHERE url IS NOT NULL AND url <> '' AND dedup_key IS NOT NULL GROUP BY ALL), "
+    "n AS (SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY first_seen NULLS FIRST, url) AS n FROM f) SELECT dedup_key, string_agg(url, ' ' ORDER BY n) AS media FROM n WHERE n <= 8 GROUP BY dedup_key"
 )
 def media_gallery(spark, sf_dir):
-    items = table(spark, sf_dir, "reports").select("source_id", "published_at", F.explode("raw.media.url").alias("url"))
-    return events.gallery(items, "source_id", "url", "published_at").select("source_id", F.array_join("media", " ").alias("media"))
+    """The media of all reports of one event."""
+    items = table(spark, sf_dir, "reports").select("dedup_key", "published_at", F.explode("raw.media.url").alias("url"))
+    return events.gallery(items, "dedup_key", "url", "published_at").select("dedup_key", F.array_join("media", " ").alias("media"))
 
 
 @query(
@@ -296,45 +339,98 @@ def stale_close(spark, sf_dir):
     return events.closed_if_stale(reports, F.lit("2026-06-01 00:00:00+00").cast("timestamp")).select("id", "severity", "status", "closed")
 
 
-@query()
+def _fold_items(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "report_sources").select("report_id", "id", "source_id", "source_name", "source_url", "external_id", F.lit(None).cast("string").alias("title"), F.col("excerpt").alias("content"), "published_at").distinct()
+    return rows.withColumn("m", text.matchable(text.clean(F.col("content")))).withColumn("severity", severity.severity(F.col("m"))).drop("m")
+
+
+_RANK_SQL = "(CASE severity WHEN 'medium' THEN 1 WHEN 'high' THEN 2 WHEN 'critical' THEN 3 ELSE 0 END)"
+
+
+@query(
+    f"WITH d AS (SELECT DISTINCT id, report_id, source_id, source_name, source_url, external_id, excerpt, published_at FROM report_sources WHERE report_id IS NOT NULL), {O.clean_steps('d', 'id', 'excerpt')}, "
+    f"i AS (SELECT d.*, {O.severity('m')} AS severity, {O.strip(chr(99) + 'oalesce(excerpt, ' + chr(39) * 2 + ')')} AS s FROM d JOIN cleaned USING (id)), "
+    "r AS (SELECT *, " + " OR ".join(f"contains(s, {O.lit(w)})" for w in lexicon.RESOLVED) + " AS closing, row_number() OVER (PARTITION BY report_id ORDER BY published_at NULLS FIRST, id) AS n FROM i), "
+    "l AS (SELECT report_id, max(n) FILTER (closing) AS last_closing FROM r GROUP BY report_id), "
+    f"g AS (SELECT report_id, max({_RANK_SQL}) FILTER (last_closing IS NULL OR n > last_closing) AS rank, max(last_closing) IS NOT NULL AS closed, count(DISTINCT (coalesce(source_id, ''), coalesce(external_id, '')))::INT AS sources, max(published_at) AS last_at, "
+    "list_reduce(list({'at': published_at, 'name': source_name, 'id': source_id, 'url': source_url, 'ext': external_id} ORDER BY n) FILTER (published_at IS NOT NULL), lambda a, b: CASE WHEN b.at < a.at AND a.at < b.at + INTERVAL 24 HOUR THEN b ELSE a END) AS f FROM r JOIN l USING (report_id) GROUP BY report_id) "
+    "SELECT report_id, ['low', 'medium', 'high', 'critical'][coalesce(rank, 0) + 1] AS severity, CASE WHEN closed THEN 'dismissed' ELSE 'verified' END AS status, sources, f.at AS first_at, f.name AS first_source, f.id AS first_source_id, f.url AS first_url, f.ext AS first_external_id, last_at FROM g"
+)
 def folded_events(spark, sf_dir):
-    items = table(spark, sf_dir, "report_sources").select("report_id", "id", "source_id", "source_name", "external_id", F.lit(None).cast("string").alias("title"), F.col("excerpt").alias("content"), "published_at").distinct()
-    items = items.withColumn("c", text.clean(F.col("content"))).withColumn("m", text.matchable(F.col("c")))
-    return events.folded(items.withColumn("severity", severity.severity(F.col("m"))))
+    """Each report's event after all its messages in order, but for its content (folded_contents)."""
+    return events.folded(_fold_items(spark, sf_dir)).drop("content", "media")
+
+
+@query()
+def folded_contents(spark, sf_dir):
+    return events.folded(_fold_items(spark, sf_dir)).select("report_id", "content")
+
+
+def _saved(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Every message in order of arrival through the save machine, a shard for each source's kind."""
+    kinds = table(spark, sf_dir, "sources").select(F.col("id").alias("source_id"), F.coalesce(F.lower("source_type"), F.lit("")).alias("kind"))
+    items = table(spark, sf_dir, "report_sources").select("id", "source_id", "source_name", "source_url", "external_id", F.col("excerpt").alias("content"), "published_at", F.col("created_at").alias("arrived_at")).distinct().join(kinds, "source_id", "left")
+    items = items.withColumn("m", text.matchable(text.clean(F.col("content")))).withColumn("severity", severity.severity(F.col("m"))).drop("m")
+    return items, kept(saving.saved(items, shard="kind"))
+
+
+@query()
+def saved_items(spark, sf_dir):
+    return saving.outcomes(_saved(spark, sf_dir)[1])
+
+
+@query()
+def saved_events(spark, sf_dir):
+    return saving.changed_events(_saved(spark, sf_dir)[1]).drop("media")
 
 
 @query(
     "WITH i AS (SELECT DISTINCT report_id, id, published_at FROM report_sources WHERE report_id IS NOT NULL AND published_at IS NOT NULL), g AS (SELECT *, CASE WHEN published_at <= lag(published_at) OVER w + INTERVAL 3 HOUR THEN 0 ELSE 1 END AS new FROM i WINDOW w AS (PARTITION BY report_id ORDER BY published_at, id)), "
-    "s AS (SELECT *, sum(new) OVER (PARTITION BY report_id ORDER BY published_at, id) AS n FROM g) SELECT report_id, min(published_at) AS started, count(*) AS items FROM s GROUP BY report_id, n"
+    "s AS (SELECT *, sum(new) OVER (PARTITION BY report_id ORDER BY published_at, id) AS n FROM g) SELECT report_id, min(published_at) AS started, max(published_at) AS ended, count(*) AS items FROM s GROUP BY report_id, n"
 )
 def quiet_sessions(spark, sf_dir):
-    rows = table(spark, sf_dir, "report_sources").select("report_id", "id", "published_at").distinct().where("report_id IS NOT NULL AND published_at IS NOT NULL")
-    return rows.groupBy("report_id", F.session_window("published_at", "3 hours 1 microsecond")).agg(F.min("published_at").alias("started"), F.count("*").alias("items")).select("report_id", "started", "items")
+    return events.sessions(table(spark, sf_dir, "report_sources").select("report_id", "id", "published_at").distinct(), "report_id", "published_at")
 
 
 # --- sources and sinks
 @query(
-    "WITH d AS (SELECT DISTINCT external_id, raw.cat AS cat, title, raw.areas AS a FROM reports WHERE raw.areas IS NOT NULL), f AS (SELECT *, list_filter(list_transform(a, lambda x: " + O.strip("x") + "), lambda x: x <> '')[:12] AS b FROM d WHERE len(a) > 0) "
-    "SELECT external_id, array_to_string(b, '|') AS areas, b[1] AS area, cat FROM f WHERE len(b) > 0 AND external_id IS NOT NULL AND external_id <> ''"
+    "WITH d AS (SELECT DISTINCT external_id, raw.cat AS cat, title, raw.areas AS a FROM reports WHERE raw.areas IS NOT NULL), t0 AS (SELECT *, row_number() OVER (ORDER BY external_id, title, cat) AS k FROM d WHERE len(a) > 0), "
+    f"{O.clean_steps('t0', 'k', 'title')}, f AS (SELECT t0.*, c, list_transform(a, lambda x: {O.strip('x')}) AS w, list_filter(list_transform(a, lambda x: {O.strip('x')}), lambda x: x <> '')[:12] AS b FROM t0 JOIN cleaned USING (k)), "
+    "n AS (SELECT *, coalesce(nullif(CASE WHEN k % 2 = 0 THEN external_id END, ''), sha1(c || '|' || array_to_string(w, ','))[:16]) AS i FROM f WHERE len(b) > 0) "
+    "SELECT i AS external_id, array_to_string(b, '|') AS areas, b[1] AS area, cat, CASE WHEN len(b) = 1 THEN c || ' - ' || b[1] ELSE c || ' - ' || array_to_string(b, ', ')[:70] END AS title, c || ': ' || array_to_string(b, ', ') AS content FROM n"
 )
 def alert_snapshots(spark, sf_dir):
-    rows = table(spark, sf_dir, "reports").where("raw.areas IS NOT NULL AND external_id <> ''").select("external_id", "raw.cat", "title", "raw.areas").distinct()
-    bodies = rows.select(F.to_json(F.struct(F.col("external_id").alias("id"), "cat", "title", F.col("areas").alias("data"))).alias("body"))
-    return readers.alert_items(readers.alerts(bodies, "body")).select("external_id", F.array_join("areas", "|").alias("areas"), "area", "cat")
+    """Snapshots of every shape: an object, a list that holds the alert among other things, and bodies without any alert."""
+    rows = table(spark, sf_dir, "reports").where("raw.areas IS NOT NULL").select("external_id", "raw.cat", "title", "raw.areas").distinct().where("size(areas) > 0")
+    rows = rows.withColumn("k", F.row_number().over(W.orderBy("external_id", "title", "cat")))  # a handful of alerts
+    one = F.to_json(F.struct(F.when(F.col("k") % 2 == 0, F.col("external_id")).alias("id"), "cat", F.coalesce("title", F.lit("")).alias("title"), F.col("areas").alias("data")))
+    bodies = rows.select(F.when(F.col("k") % 3 == 0, F.concat(F.lit("[5, "), one, F.lit(', {"id": "x", "title": "none", "data": []}]'))).otherwise(one).alias("body"))
+    odd = spark.createDataFrame([("{}",), ("",), (None,), ("[]",), ("no json",), ("7",), ('{"id": "y", "title": "z"}',)], "body string")
+    return readers.alert_items(readers.alerts(bodies.unionByName(odd), "body")).select("external_id", F.array_join("areas", "|").alias("areas"), "area", "cat", "title", "content")
 
 
-@query("SELECT id, source_type, priority FROM sources WHERE is_active AND lower(source_type) IN ('rss', 'web', 'news')")
+_SOURCE = "id, name, url, handle, source_type, priority, trust_score, default_severity, fetch_interval_sec, last_fetched_at, error_count"
+
+
+@query(f"SELECT {_SOURCE}, row_number() OVER (ORDER BY priority DESC NULLS LAST, id) AS place FROM sources WHERE is_active AND lower(source_type) IN ('rss', 'web', 'news')")
 def active_feeds(spark, sf_dir):
-    return operations.active_sources(table(spark, sf_dir, "sources"), readers.FEED_TYPES).select("id", "source_type", "priority")
+    feeds = operations.active_sources(table(spark, sf_dir, "sources"), readers.FEED_TYPES)
+    return feeds.select(*_SOURCE.split(", ")).withColumn("place", F.row_number().over(W.orderBy(F.desc("priority"), "id")))  # one row per source
 
 
 @query(
-    "WITH u AS (SELECT DISTINCT report_id, source_id, external_id, published_at, created_at, excerpt FROM report_sources WHERE report_id IS NOT NULL AND source_id IS NOT NULL AND external_id IS NOT NULL) "
-    "SELECT report_id, source_id, external_id, max(created_at) AS created_at, count(DISTINCT created_at) > 0 AS kept FROM u GROUP BY report_id, source_id, external_id"
+    f"WITH u AS (SELECT DISTINCT report_id, source_id, external_id, created_at FROM report_sources WHERE report_id IS NOT NULL AND source_id IS NOT NULL AND external_id IS NOT NULL), o AS (SELECT report_id, source_id, external_id, max(created_at) AS at FROM u WHERE created_at < {_CUT_AT} GROUP BY ALL), "
+    f"n AS (SELECT report_id, source_id, external_id, max(created_at) AS at FROM u WHERE created_at >= {_CUT_AT} - INTERVAL 20 DAY GROUP BY ALL) "
+    "SELECT report_id, source_id, external_id, greatest(o.at, n.at) AS created_at, CASE WHEN o.at IS NULL THEN 'new' WHEN n.at IS NULL THEN 'stored' ELSE 'both' END AS origin FROM o FULL JOIN n USING (report_id, source_id, external_id)"
 )
 def bridge_upsert(spark, sf_dir):
-    rows = table(spark, sf_dir, "report_sources").select("report_id", "source_id", "external_id", "created_at").where("report_id IS NOT NULL AND source_id IS NOT NULL AND external_id IS NOT NULL")
-    return sinks.merged(rows.limit(0), rows, ["report_id", "source_id", "external_id"], "created_at").withColumn("kept", F.col("created_at").isNotNull())
+    """Later messages merged into a table of the earlier ones; twenty days stand in both."""
+    keys = ["report_id", "source_id", "external_id"]
+    rows = table(spark, sf_dir, "report_sources").select(*keys, "created_at").where("report_id IS NOT NULL AND source_id IS NOT NULL AND external_id IS NOT NULL")
+    stored, updates = rows.where(F.col("created_at") < _cut_at()), rows.where(F.col("created_at") >= _cut_at() - F.expr("INTERVAL 20 DAYS"))
+    made = sinks.merged(sinks.merged(stored.limit(0), stored, keys, "created_at"), updates, keys, "created_at")
+    sides = made.join(stored.select(*keys, F.lit(True).alias("o")).distinct(), keys, "left").join(updates.select(*keys, F.lit(True).alias("n")).distinct(), keys, "left")
+    return sides.select(*keys, "created_at", F.when(F.col("o").isNull(), "new").when(F.col("n").isNull(), "stored").otherwise("both").alias("origin"))
 
 
 @query("SELECT report_id, count(*) AS rows_left FROM report_sources s WHERE NOT EXISTS (SELECT 1 FROM reports r WHERE r.id = s.report_id AND r.status = 'dismissed') GROUP BY report_id")
@@ -383,23 +479,31 @@ def source_health(spark, sf_dir):
     return operations.health(table(spark, sf_dir, "ingest_log").select("id", "source_id", "run_at", "ok", "error"))
 
 
-_OUTCOME = "CASE WHEN NOT ok THEN 'skipped' WHEN inserted > 0 THEN 'inserted' WHEN deduped > 0 THEN 'deduped' ELSE 'filtered' END"
+_OUTCOMES = (
+    "WITH d AS (SELECT DISTINCT id, report_id, source_id, external_id, published_at FROM report_sources), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY report_id, source_id, external_id ORDER BY published_at NULLS FIRST, id) AS n, row_number() OVER (PARTITION BY report_id ORDER BY coalesce(published_at, TIMESTAMPTZ '1970-01-01 00:00:00+00'), id) AS k FROM d), "
+    "o AS (SELECT source_id, CASE WHEN n > 1 THEN 'skipped' WHEN k = 1 THEN 'inserted' ELSE 'deduped' END AS o FROM r) "
+)
 
 
-@query(f"SELECT source_id, count(*) AS fetched, " + ", ".join(f"count(*) FILTER (o = '{o}') AS {o}" for o in operations.OUTCOMES) + f" FROM (SELECT source_id, {_OUTCOME} AS o FROM ingest_log) GROUP BY source_id")  # noqa: F541
+@query(_OUTCOMES + "SELECT source_id, count(*) AS fetched, " + ", ".join(f"count(*) FILTER (o = '{o}') AS {o}" for o in operations.OUTCOMES) + " FROM o GROUP BY source_id")
 def run_counters(spark, sf_dir):
-    return operations.run_counters(table(spark, sf_dir, "ingest_log").select("source_id", F.expr(_OUTCOME).alias("outcome")))
+    """What became of every message, by source."""
+    rows = table(spark, sf_dir, "report_sources").select("id", "report_id", "source_id", "external_id", "published_at").distinct()
+    return operations.run_counters(operations.message_outcomes(rows))
 
 
-@query("SELECT count(*) AS fetched, " + ", ".join(f"count(*) FILTER (o = '{o}') AS {o}" for o in operations.OUTCOMES) + f" FROM (SELECT {_OUTCOME} AS o FROM ingest_log)")
+@query(_OUTCOMES + "SELECT count(*) AS fetched, " + ", ".join(f"count(*) FILTER (o = '{o}') AS {o}" for o in operations.OUTCOMES) + " FROM o")
 def run_totals(spark, sf_dir):
     return operations.totals(run_counters(spark, sf_dir))
 
 
 @query("SELECT source_id, max(run_at) AS updated_at, arg_max(detail, (run_at, detail, ok)) AS detail, arg_max(ok, (run_at, detail, ok)) AS connected FROM (SELECT source_id, run_at, coalesce(error, '')[:200] AS detail, ok FROM ingest_log WHERE source_id IS NOT NULL) GROUP BY source_id")
 def heartbeat_upsert(spark, sf_dir):
+    """The heartbeats of the later runs merged into the status table that the earlier ones left."""
     log = table(spark, sf_dir, "ingest_log").select(F.col("source_id").alias("key"), F.col("ok").alias("connected"), F.col("run_at").alias("updated_at"), F.col("error").alias("detail"))
-    return operations.heartbeat(log).withColumnRenamed("key", "source_id")
+    stored, updates = (operations.heartbeat(log.where(c)) for c in (F.col("updated_at") < _cut_at(), F.col("updated_at") >= _cut_at()))
+    return sinks.merged(stored, updates, ["key"], "updated_at").withColumnRenamed("key", "source_id")
 
 
 @query("WITH d AS (SELECT DISTINCT id, source_id, published_at FROM report_sources WHERE source_id IS NOT NULL), n AS (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY published_at DESC NULLS LAST, id) AS n FROM d) SELECT source_id, id, published_at FROM n WHERE n <= 10")

@@ -80,10 +80,7 @@ class Ingest:
         """Items as the cascade leaves them: official ones as they are."""
         pack = self.pack if self.rules is None else screening.rules_from(self.rules(), self.pack)
         items = enriched(texts.withColumn("_key", F.xxhash64("source_id", "external_id")), "_key", "text", self.gazetteer(), F.coalesce("default_severity", F.lit("low"))).withColumn("status", F.lit("verified"))
-        free = F.lower("source_type").isin(*self.official)
-        passed = screening.screened(items.where(~F.coalesce(free, F.lit(False))), pack, place="location_name", verdicts=self.verdicts)
-        official = items.where(free).withColumn("keep", F.lit(True)).withColumn("reason", F.lit("official")).withColumn("promoted", F.lit(False)).withColumn("filter", F.lit("none"))
-        return passed.unionByName(official, allowMissingColumns=True)
+        return screening.screened(items, pack, place="location_name", verdicts=self.verdicts, official=self.official)
 
     def _with_media(self, events: DataFrame, reports: DataFrame, bridge: DataFrame, told: DataFrame, short: DataFrame, now: Column) -> DataFrame:
         """The batch's events, and older ones, with the media of messages that are nothing but media."""
