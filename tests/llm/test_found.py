@@ -428,6 +428,19 @@ def test_allocation_widens_as_the_collection_grows():
     assert max(widths[:2]) < widths[2] <= widths[3]
 
 
+def test_words_of_a_batch_are_hashed_as_one_by_one():
+    r = random.Random(21)
+    alphabet = list("abAB אבגß İıé１٣₂_ \n.,-'🚒𝐀𐐀中") + ["\u0301", "\ud800"]
+    texts = ["", " ", "one", "One ONE two"] + ["".join(r.choice(alphabet) for _ in range(r.randint(0, 40))) for _ in range(1500)]
+    row, got = near.word_hashes(texts)
+    sets = [sorted({w for w in re.findall(r"[^\W_]+", t.lower())}) for t in texts]
+    words = sorted({w for own in sets for w in own})
+    one = {w: int(near.word_hashes([w])[1][0]) for w in words}
+    assert len(set(one.values())) == len(words) > 1000
+    assert [got[row == i].tolist() for i in range(len(texts))] == [sorted(one[w] for w in own) for own in sets]
+    assert len(near.word_hashes(["", "!"])[0]) == 0
+
+
 # --- 7
 def test_ids_equal_the_library(spark, tables):
     from tokenizers import Tokenizer
