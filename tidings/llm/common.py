@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from ..sources.shared import if_small, kept, table  # noqa: F401
 
 
-def unique_reports(reports: DataFrame, *columns: str) -> DataFrame:
-    """Rows stored twice count once, by id (rows of one id are equal); rows without an id are left out."""
-    return reports.select("id", *[c for c in columns if c != "id"]).where(F.col("id").isNotNull()).dropDuplicates(["id"])
-
-
 def blank_trim(c: Column | str) -> Column:
     """Without outer white space of any kind, carriage returns included."""
     c = F.col(c) if isinstance(c, str) else c
