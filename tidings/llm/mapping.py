@@ -152,8 +152,10 @@ def mapped(values: DataFrame, places: DataFrame, aliases: DataFrame, differ: int
     edits = F.levenshtein("form", "entry", 2)
     swapped = (edits == 2) & (F.length("form") == F.length("entry")) & (letters(F.col("form")) == letters(F.col("entry")))
     close = close.withColumn("edits", F.when(edits >= 0, F.when(edits < 2, edits).when(swapped, 1))).where("edits = 0 OR (edits = 1 AND length(entry) >= 5)")
-    # Spans with a word of some kind of place beside them.
-    beside = forms.select("value", "beside", F.explode("beside").alias("kind")).join(kind_words(places), "kind", "left_semi").select("value", "beside", F.lit(True).alias("other_kind")).distinct()
-    found = forms.join(close, "form").join(entries, "entry").where("edits = 0 OR NOT exact").join(beside, ["value", "beside"], "left").where("whole OR other_kind IS NULL")
+    # Parts of a name with a word of some kind of place beside them mean another place; only such matches are asked.
+    found = kept(forms.join(close, "form").join(entries, "entry").where("edits = 0 OR NOT exact").select("value", "beside", "entry", "place_id", "whole", "exact", "jaccard"))
+    parts = found.where("NOT whole")
+    other = parts.select("value", "beside", F.explode("beside").alias("kind")).join(kind_words(places), "kind", "left_semi").select("value", "beside").distinct()
+    found = found.where("whole").unionByName(parts.join(other, ["value", "beside"], "left_anti").select(*found.columns))
     best = found.groupBy("value").agg(F.min(F.struct((-F.col("jaccard")).alias("j"), "exact", (~F.col("whole")).alias("part"), (-F.length("entry")).alias("l"), "place_id")).alias("b"))
     return values.join(best, "value", "left").select("value", F.coalesce(F.col("b.place_id"), F.lit(-1)).cast("int").alias("place_id"), (-F.col("b.j")).alias("jaccard"))
