@@ -236,6 +236,28 @@ def test_lines_of_the_source_hide_no_cut_excerpt(spark, tables):
     assert {f"e{i}" for i in range(10)} <= got and got <= {f"e{i}" for i in range(75)}
 
 
+def test_rates_count_the_values_of_each_source(spark, tables):
+    r = random.Random(18)
+    words = ["אזעקה", "בצפון", "הכוחות", "סורקים", "שריפה", "ליד", "הכביש", "נפצע", "בדרך", "לעיר", "מכולה", "גדר"]
+    rows, excerpts, want = [], [], {}
+    for i in range(600):
+        body, cut = " ".join(r.choice(words) for _ in range(r.randint(6, 12))) + ".", i % 5 == 0
+        body = body[: r.randint(len(body) // 2, len(body) - 3)].rstrip() if cut else body
+        source = r.choice(["s1", "s2", None])
+        tbl = r.choice(["reports", "report_sources"])
+        if tbl == "reports":
+            rows.append(report(f"r{i}", content=body, source_id=source))
+        else:
+            excerpts.append((f"r{i}", source, None, body))
+        n, c = want.get((tbl, source), (0, 0))
+        want[tbl, source] = (n + 1, c + cut)
+    d = tables(reports=rows + rows[:9] + [report("none"), report("blank", content=" ")], report_sources=excerpts + excerpts[:9])
+    got = {(x.tbl, x.source_id): (x["values"], x.cut, x.share) for x in queries.p3_rates(spark, d).collect()}
+    assert set(got) == set(want)
+    for k, (n, c) in want.items():
+        assert got[k][0] == n and abs(got[k][1] - c) <= 1 and got[k][2] == got[k][1] / n
+
+
 def test_threshold_lies_between_the_clusters():
     n = np.zeros(60)
     n[[10, 11, 40, 41]] = [5, 5, 30, 9]
@@ -292,6 +314,14 @@ def test_the_quick_check_knows_every_compatible_letter(spark):
     assert [t for t, u in got.items() if u != (canonical.canonical_text(t) != t)] == []
 
 
+def test_every_title_and_content_comes_out_in_one_form(spark, tables):
+    rows = [report("a", title="Fіеld report", content="６８５ fires\r\nnext"), report("b", title=None, content=""), report("c", title="plain", content=None), report("a", title="Fіеld report", content="６８５ fires\r\nnext")]
+    d = tables(reports=rows)
+    got = sorted((x.id, x.title, x.content) for x in queries.p4_canonical(spark, d).distinct().collect())
+    assert got == [("a", "Field report", "685 fires\r\nnext"), ("b", None, ""), ("c", "plain", None)]
+    assert sorted(map(tuple, queries.p4_found(spark, d).collect())) == [("a", "content"), ("a", "title")]
+
+
 # --- 5
 PLACES = [(1, "קריית בייררה", "Kiryat Biyerra"), (2, "נווה אשריית", "Neve Ashriit"), (3, "רמת אשריית", "Ramat Ashriit"), (4, "תיפלאן", "Tipelaan"), (5, "גבעת גלרינה", "Givat Galrina")]
 
