@@ -1,14 +1,23 @@
-"""Earlier reports of the same event, and the latest report of a source: time-banded joins without nested loops."""
+"""Earlier reports of the same event, and the latest report of a source: chunks of time and as-of joins."""
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 WINDOW_HOURS, TIGHT_MINUTES, ATTACH_MINUTES, THRESHOLD = 6, 90, 15, 0.30
-#: Rows of one join key in one piece; keys with more are salted.
-HOT = 20_000
+#: Later events of one chunk of time in one task; chunks with more are parted.
+HOT = 100_000
+#: Cells of the table of later and earlier events that are counted at once.
+_CELLS = 1 << 20
 
 
 def unseen(items: DataFrame, *seen: DataFrame) -> DataFrame:
@@ -29,67 +38,165 @@ def _bucket(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_timestamp(ts) / seconds)
 
 
-def similar_earlier(events: DataFrame, hours: int = WINDOW_HOURS, threshold: float = THRESHOLD) -> DataFrame:
+def _counts(local: np.ndarray, code: np.ndarray, low: np.ndarray, high: np.ndarray, keys: np.ndarray, n: int, rows: int, first: int, span: int) -> np.ndarray:
+    """How many of its tokens each of `rows` later events shares with each of the `span` events from `first` on. local, code: row
+    and token of each entry, low, high: the events that the row may meet; keys: token * n + event of all events, sorted."""
+    out = np.zeros(rows * span, np.int64)
+    a, b = np.searchsorted(keys, code * n + low), np.searchsorted(keys, code * n + high)
+    size = np.maximum(b - a, 0)
+    met = np.flatnonzero(size)
+    a, size, base = a[met], size[met], local[met] * span - code[met] * n - first
+    ends = np.cumsum(size)
+    cut = 0
+    while cut < len(met):  # bounded: a token that all events have meets all of them
+        done = ends[cut - 1] if cut else 0
+        to = max(cut + 1, int(np.searchsorted(ends, done + _CELLS, "right")))
+        k = size[cut:to]
+        at = np.arange(ends[to - 1] - done) + np.repeat(a[cut:to] - (ends[cut:to] - k - done), k)
+        out += np.bincount(keys[at] + np.repeat(base[cut:to], k), minlength=rows * span)
+        cut = to
+    return out.reshape(rows, span)
+
+
+def _own_entries(code: np.ndarray, row: np.ndarray, places: pa.ListArray, words: pa.Array) -> np.ndarray:
+    """Which of the entries (token and event) are tokens of the event's own place."""
+    found = pc.index_in(places.flatten(), value_set=words)
+    known = found.is_valid().to_numpy(zero_copy_only=False)
+    at = np.repeat(np.arange(len(places)), pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False))[known]
+    return np.isin(row * len(words) + code, at * len(words) + found.drop_null().to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def _met(group: pa.Table, similar: int | None, tight: int | None, threshold: float, pairs: bool, schema: pa.Schema) -> pa.Table:
+    """The pairs of one chunk of events, or what they come to for each later event; similar, tight: microseconds of the rules."""
+    group = group.sort_by([("t", "ascending"), ("id", "ascending")]).combine_chunks()
+    n, t = len(group), group.column("t").to_numpy()
+    tokens = group.column("tokens").combine_chunks()
+    coded = tokens.flatten().dictionary_encode()
+    code, size = coded.indices.to_numpy().astype(np.int64), pc.list_value_length(tokens).to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(n), size)
+    offset = np.concatenate(([0], np.cumsum(size)))
+    keys = np.sort(code * n + row)
+    if tight is not None:
+        place = pc.fill_null(group.column("place").combine_chunks().dictionary_encode().indices, -1).to_numpy().astype(np.int64)
+        own = _own_entries(code, row, group.column("place_tokens").combine_chunks(), coded.dictionary)
+        own_keys = np.sort((code * n + row)[own])
+    reach = max(x for x in (similar, tight) if x is not None)
+    low = np.searchsorted(t, t - reach)
+    later = np.flatnonzero(group.column("own").to_numpy(zero_copy_only=False))
+    out: list[list[np.ndarray]] = []
+    k = 0
+    while k < len(later):
+        width = later[k] - low[later[k]] + 1
+        r = later[k : k + max(1, min(_CELLS // width, max(32, width // 2)))]
+        k += len(r)
+        first, span = low[r[0]], r[-1] - low[r[0]]
+        if not span:
+            continue
+        entry = np.concatenate([np.arange(offset[i], offset[i + 1]) for i in r])
+        local, c = np.repeat(np.arange(len(r)), size[r]), code[entry]
+        at = np.arange(first, first + span)
+        every = _counts(local, c, low[r][local], r[local], keys, n, len(r), first, span)
+        score = every / (size[r][:, None] + size[at][None, :] - every)
+        ok = shared = None
+        if similar is not None:
+            ok = (score >= threshold) & (every > 0)
+            if similar < reach:
+                ok &= t[at][None, :] >= (t[r] - similar)[:, None]
+        if tight is not None:
+            # Tokens of the later event's place don't count, or if it has none, those of the earlier one's.
+            p, q = place[r][:, None], place[at][None, :]
+            shared = every
+            mine, theirs = own[entry] & (place[r] >= 0)[local], (place[r] < 0)[local]
+            for part, of in ((mine, keys), (theirs, own_keys)):
+                if part.any() and len(of):
+                    shared = shared - _counts(local[part], c[part], low[r][local[part]], r[local[part]], of, n, len(r), first, span)
+            close = (shared >= np.where((p >= 0) | (q >= 0), 1, 2)) & ((p < 0) | (q < 0) | (p == q))
+            if tight < reach:
+                close &= t[at][None, :] >= (t[r] - tight)[:, None]
+            ok = close if ok is None else ok | close
+        if pairs:
+            i, j = np.nonzero(ok)
+            out.append([r[i], at[j], score[i, j] if similar is not None else shared[i, j]])
+        else:
+            links = ok.sum(1)
+            some = np.flatnonzero(links)
+            # Events stand by time, then id: the last of the highest is the newest, of those the greatest id.
+            best = np.where(ok[some], score[some] if similar is not None else shared[some], -1)[:, ::-1]
+            j = best.argmax(1)
+            out.append([r[some], at[span - 1 - j], best[np.arange(len(some)), j], links[some]])
+    if not out:
+        return schema.empty_table()
+    i, j, value, *links = (np.concatenate(x) for x in zip(*out))
+    ids = group.column("id")
+    return pa.Table.from_arrays([ids.take(i), *([] if pairs else [pa.array(links[0])]), ids.take(j), pa.array(value)], schema.names).cast(schema)
+
+
+def _earlier(events: DataFrame, hours: float | None, minutes: float | None, threshold: float, pairs: bool, hot: int = HOT) -> DataFrame:
+    """Earlier events by the rule of similarity (hours), by that of closeness (minutes), or by either.
+
+    Events are parted by time, in chunks of twice the longest window; an event also goes to the next chunk if one there may
+    reach it. A chunk's pairs are counted within its task over an index of tokens and only rows of the result leave it, so
+    what is shuffled is in proportion to the events, not to their pairs. Later events of a chunk with more than `hot` of them
+    are dealt to several tasks by id."""
+    windows = [None if x is None else round(x * 1_000_000) for x in (hours and hours * 3600, minutes and minutes * 60)]
+    reach = max(1, math.ceil(max(x for x in windows if x is not None) / 1_000_000))
+    placed = [] if minutes is None else [F.nullif(F.col("place"), F.lit("")).alias("place"), F.coalesce("place_tokens", F.array().cast("array<string>")).alias("place_tokens")]
+    e = events.where("id IS NOT NULL AND ts IS NOT NULL AND size(tokens) > 0")
+    counts = e.groupBy(_bucket(F.col("ts"), 2 * reach).alias("c")).count().where(F.col("count") > hot).collect()  # chunks, few rows
+    second = F.unix_timestamp("ts")
+    rows = e.select("id", "ts", F.unix_micros("ts").alias("t"), "tokens", *placed, F.floor(second / (2 * reach)).alias("b"), F.explode(F.sequence(F.floor(second / (2 * reach)), F.floor((second + reach) / (2 * reach)))).alias("c"))
+    if counts:
+        parts = F.coalesce(F.create_map(*[F.lit(x) for r in counts for x in (r["c"], -(-r["count"] // hot))])[F.col("c")], F.lit(1))
+        rows = rows.withColumn("parts", parts).withColumn("part", F.explode(F.sequence(F.lit(0), (F.col("parts") - 1).cast("int"))))
+        rows = rows.withColumn("own", (F.col("b") == F.col("c")) & (F.pmod(F.xxhash64("id"), F.col("parts")) == F.col("part"))).drop("parts")
+    else:
+        rows = rows.withColumn("part", F.lit(0)).withColumn("own", F.col("b") == F.col("c"))
+    kind = events.schema["id"].dataType
+    value = ("score", T.DoubleType()) if hours is not None else ("shared", T.LongType())
+    names = [("id", kind), ("other", kind), value] if pairs else [("id", kind), ("links", T.LongType()), ("best", kind), value]
+    made = T.StructType([T.StructField(*x) for x in names])
+
+    def run(group: pa.Table) -> pa.Table:
+        return _met(group, *windows, threshold, pairs, to_arrow_schema(made))
+
+    return rows.drop("b", "ts").groupBy("c", "part").applyInArrow(run, made)
+
+
+def similar_earlier(events: DataFrame, hours: int = WINDOW_HOURS, threshold: float = THRESHOLD, hot: int = HOT) -> DataFrame:
     """(id, other, score): each earlier event of the window whose tokens are as similar as the threshold.
 
-    events: (id, ts, tokens), distinct ids, tokens a set. Exact: two sets of that similarity share one of their rarest
-    tokens (n - ceil(t n) + 1 of each), so the join is on such tokens and neighbouring time buckets, rare tokens first.
-    Equal times are ordered by id.
+    events: (id, ts, tokens), distinct ids, tokens a set. Equal times are ordered by id.
     """
-    e = events.where("ts IS NOT NULL AND size(tokens) > 0").select("id", "ts", "tokens")
-    rows = e.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    ranked = e.select("id", F.explode("tokens").alias("token")).join(rows, "token").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("o"))
-    n = F.size("o")
-    rare = ranked.select("id", F.explode(F.transform(F.slice("o", F.lit(1), (n - F.ceil(n * threshold) + 1).cast("int")), lambda x: x["token"])).alias("token"))
-    keyed = e.select("id", "ts").join(rare, "id").withColumn("b", _bucket(F.col("ts"), hours * 3600))
-    later = keyed.select("token", F.col("id").alias("id"), F.col("ts").alias("t1"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
-    earlier = keyed.select("token", "b", F.col("id").alias("other"), F.col("ts").alias("t2"))
-    apart = F.unix_micros("t1") - F.unix_micros("t2")
-    before = (apart > 0) | ((apart == 0) & (F.col("other") < F.col("id")))
-    pairs = later.join(earlier, ["token", "b"]).where(before & (apart <= hours * 3_600_000_000)).select("id", "other").distinct()
-    both = pairs.join(e.select("id", F.col("tokens").alias("a")), "id").join(e.select(F.col("id").alias("other"), F.col("tokens").alias("b")), "other")
-    shared = F.size(F.array_intersect("a", "b"))
-    return both.select("id", "other", (shared / (F.size("a") + F.size("b") - shared)).alias("score")).where(F.col("score") >= threshold)
-
-
-def salted(left: DataFrame, right: DataFrame, keys: list[str], id: str, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a join with a column `salt` to be joined on as well: the right rows of a key that has more than `hot` of
-    them are parted by their `id`, the left rows of that key are repeated for each part. Counts combine before the exchange."""
-    many = right.groupBy(*keys).agg(F.ceil(F.count("*") / hot).cast("int").alias("_parts")).where("_parts > 1")
-    parts = F.coalesce("_parts", F.lit(1))
-    l = left.join(many, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
-    return l, right.join(many, keys, "left").withColumn("salt", F.pmod(F.xxhash64(id), parts).cast("int")).drop("_parts")
+    return _earlier(events, hours, None, threshold, True, hot)
 
 
 def tight_earlier(events: DataFrame, minutes: int = TIGHT_MINUTES, hot: int = HOT) -> DataFrame:
     """(id, other, shared): earlier events close in time, of no other place, that share tokens beside those of the place.
 
-    events: (id, ts, tokens, place, place_tokens). One shared token is enough if either names a place, else two; so every shared
-    token can make a pair, and the join is on tokens and time buckets, those of a busy time salted.
+    events: (id, ts, tokens, place, place_tokens). One shared token is enough if either names a place, else two.
     """
-    e = events.where("ts IS NOT NULL AND size(tokens) > 0").withColumn("place", F.nullif(F.col("place"), F.lit("")))
-    of_place = F.coalesce(F.array_contains("place_tokens", F.col("token")), F.lit(False))
-    keyed = e.select("id", "ts", F.col("place"), "place_tokens", F.explode("tokens").alias("token")).select("id", "ts", F.xxhash64("place").alias("h"), F.col("place").isNotNull().alias("named"), of_place.alias("own"), "token", _bucket(F.col("ts"), minutes * 60).alias("b"))
-    later = keyed.select("token", "id", F.col("ts").alias("t1"), F.col("h").alias("h1"), F.col("named").alias("n1"), F.col("own").alias("o1"), F.explode(F.array(F.col("b"), F.col("b") - 1)).alias("b"))
-    earlier = keyed.select("token", "b", F.col("id").alias("other"), F.col("ts").alias("t2"), F.col("h").alias("h2"), F.col("named").alias("n2"), F.col("own").alias("o2"))
-    later, earlier = salted(later, earlier, ["token", "b"], "other", hot)
-    apart = F.unix_micros("t1") - F.unix_micros("t2")
-    before = ((apart > 0) | ((apart == 0) & (F.col("other") < F.col("id")))) & (apart <= minutes * 60_000_000)
-    same = ~F.col("n1") | ~F.col("n2") | (F.col("h1") == F.col("h2"))
-    met = later.join(earlier, ["token", "b", "salt"]).where(before & same & ~F.when(F.col("n1"), F.col("o1")).otherwise(F.col("o2")))
-    shared = met.groupBy("id", "other").agg(F.count("*").alias("shared"), F.bool_or(F.col("n1") | F.col("n2")).alias("placed"))
-    return shared.where((F.col("shared") >= 2) | F.col("placed")).select("id", "other", "shared")
-
-
-def eligible_earlier(events: DataFrame, hours: int = WINDOW_HOURS, minutes: int = TIGHT_MINUTES, threshold: float = THRESHOLD) -> DataFrame:
+    return _earlier(events, None, minutes, THRESHOLD, True, hot)
+
+
+def eligible_earlier(events: DataFrame, hours: int = WINDOW_HOURS, minutes: int = TIGHT_MINUTES, threshold: float = THRESHOLD, hot: int = HOT) -> DataFrame:
     """(id, other, score): the earlier events that an event may repeat: similar enough within hours, or else close in time with
     tokens in common (as of tight_earlier); score is the Jaccard of the tokens. events: as for tight_earlier."""
-    similar = similar_earlier(events, hours, threshold)
-    tight = tight_earlier(events, minutes).join(similar.select("id", "other"), ["id", "other"], "left_anti").select("id", "other")
-    t = events.select("id", "tokens")
-    both = tight.join(t.withColumnRenamed("tokens", "a"), "id").join(t.select(F.col("id").alias("other"), F.col("tokens").alias("b")), "other")
-    shared = F.size(F.array_intersect("a", "b"))
-    return similar.unionByName(both.select("id", "other", (shared / (F.size("a") + F.size("b") - shared)).alias("score")))
+    return _earlier(events, hours, minutes, threshold, True, hot)
+
+
+def best_similar(events: DataFrame, hours: int = WINDOW_HOURS, threshold: float = THRESHOLD, hot: int = HOT) -> DataFrame:
+    """best_earlier(events, similar_earlier(events)), without the pairs: they grow with the square of the events."""
+    return _earlier(events, hours, None, threshold, False, hot)
+
+
+def best_eligible(events: DataFrame, hours: int = WINDOW_HOURS, minutes: int = TIGHT_MINUTES, threshold: float = THRESHOLD, hot: int = HOT) -> DataFrame:
+    """best_earlier(events, eligible_earlier(events)), without the pairs."""
+    return _earlier(events, hours, minutes, threshold, False, hot)
+
+
+def tight_links(events: DataFrame, minutes: int = TIGHT_MINUTES, hot: int = HOT) -> DataFrame:
+    """(id, links, shared): the number of each event's tight_earlier() and the most tokens shared with one, without the pairs."""
+    return _earlier(events, None, minutes, THRESHOLD, False, hot).drop("best")
 
 
 def best_earlier(events: DataFrame, pairs: DataFrame) -> DataFrame:
