@@ -11,13 +11,17 @@ All times are microseconds since 1970, so that an event can be kept as JSON betw
 
 from __future__ import annotations
 
+import heapq
 import json
-from collections import Counter
+from array import array
+from bisect import bisect_left, insort
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import lru_cache
 from zoneinfo import ZoneInfo
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -34,8 +38,11 @@ MINUTE, HOUR = 60_000_000, 3_600_000_000
 RANK = {s: i for i, s in enumerate(X.SEVERITIES)}
 SUMMARY_MARK = "סיכום:"
 _STOP = frozenset(STOP)
+#: Lines of an event from which on they are looked up in an index.
+INDEXED = 32
 
 
+@lru_cache(1_000)
 def tokens_of(text: str) -> frozenset[str]:
     """The token set of one text on a Python worker, as tokens.token_set makes it."""
     out = set()
@@ -66,6 +73,95 @@ def _clock(micros: int, zone: str) -> str:
     return datetime.fromtimestamp(micros / 1e6, timezone.utc).astimezone(ZoneInfo(zone)).strftime("%H:%M:%S")
 
 
+class _Text:
+    """A text that grows by lines, and whether it holds another one. A long text is not searched from end to end: words inside
+    the other text, with blanks on both sides, stand side by side in one of its lines, so pairs of words lead to the lines."""
+
+    def __init__(self, text: str) -> None:
+        self.lines = text.split("\n") if text else []
+        self.joined: str | None = text
+        self.of_pair: dict[int, array] | None = None
+        self.searched: dict[str, int] = {}
+
+    def __bool__(self) -> bool:
+        return bool(self.lines)
+
+    def __str__(self) -> str:
+        if self.joined is None:
+            self.joined = "\n".join(self.lines)
+        return self.joined
+
+    def append(self, text: str) -> None:
+        self.joined, self.lines = None, self.lines or [""]
+        for line in text.split("\n"):
+            if self.of_pair is not None:
+                self._index(line, len(self.lines))
+            self.lines.append(line)
+        if self.of_pair is None and len(self.lines) > INDEXED:
+            self.of_pair = {}
+            for i, line in enumerate(self.lines):
+                self._index(line, i)
+
+    def _index(self, line: str, i: int) -> None:
+        words = line.split(" ")
+        for pair in {hash(x) for x in zip(words, words[1:])}:
+            if (found := self.of_pair.get(pair)) is None:
+                found = self.of_pair[pair] = array("i")
+            found.append(i)
+
+    def holds(self, text: str) -> bool:
+        if self.of_pair is None:
+            return text in str(self)
+        if "\n" in text:
+            return all(self.holds(x) for x in text.split("\n") if x) and text in str(self)
+        words = text.split(" ")[1:-1]
+        if len(words) > 1:
+            found = [self.of_pair.get(hash(x), ()) for x in zip(words, words[1:])]
+            return any(text in self.lines[i] for i in min(found, key=len))
+        # Few words: only lines that came since the text was last looked for; -1: it was found, and nothing is ever taken out.
+        at = self.searched.get(text, 0)
+        if at >= 0:
+            at = self.searched[text] = -1 if any(text in line for line in self.lines[at:]) else len(self.lines)
+        return at < 0
+
+
+class _Lines:
+    """The token sets of an event's lines: as they are while they are few, else the lines of each token."""
+
+    def __init__(self) -> None:
+        self.few: list[frozenset] = []
+        self.sizes = array("i")
+        self.of_token: dict[str, array] = {}
+
+    def add(self, own: frozenset) -> None:
+        if len(self.sizes) == INDEXED:
+            for i, line in enumerate(self.few):
+                self._index(line, i)
+            self.few = []
+        if len(self.sizes) < INDEXED:
+            self.few.append(own)
+        else:
+            self._index(own, len(self.sizes))
+        self.sizes.append(len(own))
+
+    def _index(self, own: frozenset, i: int) -> None:
+        for token in own:
+            if (found := self.of_token.get(token)) is None:
+                found = self.of_token[token] = array("i")
+            found.append(i)
+
+    def near(self, own: frozenset) -> bool:
+        for line in self.few:
+            n = len(own & line)
+            if n and n >= NEAR * (len(own) + len(line) - n):
+                return True
+        found = [np.frombuffer(x, np.int32) for t in own if (x := self.of_token.get(t)) is not None]
+        if not found:
+            return False
+        n = np.bincount(np.concatenate(found), minlength=len(self.sizes))
+        return bool((n >= NEAR * (len(own) + np.frombuffer(self.sizes, np.int32) - n)).any())
+
+
 @dataclass
 class Event:
     """One event as it stands; add() takes the next item. Null keys of a source count as one value."""
@@ -88,11 +184,10 @@ class Event:
     zone: str = "Asia/Jerusalem"
     keys: set = field(default_factory=set)
     tokens: set = field(default_factory=set)
-    lines: list = field(default_factory=list)
-    _of_token: dict = field(default_factory=dict)
+    _lines: _Lines = field(default_factory=lambda: _Lines(), repr=False, compare=False)
 
     def __post_init__(self) -> None:
-        if self.content and not self.lines:
+        if self.content:
             self._learn(self.content)
 
     def _learn(self, text: str) -> None:
@@ -101,14 +196,11 @@ class Event:
         for line in text.split("\n"):
             own = tokens_of(UPDATE_PREFIX.sub("", line).strip())
             if own:
-                for token in own:
-                    self._of_token.setdefault(token, []).append(len(self.lines))
-                self.lines.append(own)
+                self._lines.add(own)
 
     def tells(self, own: frozenset) -> bool:
-        """Whether a line of the event is nearly the same; only lines that share a token are looked at."""
-        shared = Counter(i for token in own for i in self._of_token.get(token, ()))
-        return any(n >= NEAR * (len(own) + len(self.lines[i]) - n) for i, n in shared.items())
+        """Whether a line of the event is nearly the same."""
+        return self._lines.near(own)
 
     def add(self, item: dict, note: bool = False, now: int | None = None, summarize: Callable[[str], str | None] | None = None) -> None:
         text, at = (item.get("content") or "").strip(), item.get("published_at")
@@ -128,7 +220,7 @@ class Event:
         self._tell(text, item, at, note)
         if any(m in (text or (item.get("title") or "")) for m in X.RESOLVED):
             if summarize is not None and SUMMARY_MARK not in self.content and (told := summarize(self.content)):
-                self.content += f"\n\n\n{SUMMARY_MARK} {told}"
+                self._text.append(f"\n\n{SUMMARY_MARK} {told}")
                 self._learn(f"{SUMMARY_MARK} {told}")
             self.status, self.severity = "dismissed", "low"
         for url in item.get("media") or ():
@@ -136,9 +228,9 @@ class Event:
                 self.media.append(url)
 
     def _tell(self, text: str, item: dict, at: int | None, note: bool) -> None:
-        if not text or text in self.content:
+        if not text or self._text.holds(text):
             return
-        if not self.content:
+        if not self._text:
             self.content = text
             self._learn(text)
             return
@@ -146,13 +238,13 @@ class Event:
             return
         name = item.get("source_name")
         line = ("עדכון: " if not name else f"עדכון ({name}, {_clock(at, self.zone)}): " if at is not None else f"עדכון ({name}): ") + text
-        self.content += "\n" + line
+        self._text.append(line)
         self._learn(line)
 
     def json(self) -> str:
         """The event between batches; token sets are made anew from its content."""
-        out = {k: v for k, v in self.__dict__.items() if k not in ("tokens", "lines", "_of_token")}
-        return json.dumps(out | {"keys": sorted(self.keys)}, ensure_ascii=False)
+        out = {k: v for k, v in self.__dict__.items() if k != "tokens" and k[0] != "_"}
+        return json.dumps(out | {"content": self.content, "keys": sorted(self.keys)}, ensure_ascii=False)
 
     @classmethod
     def of(cls, text: str) -> Event:
@@ -160,6 +252,14 @@ class Event:
         return cls(**raw | {"keys": {tuple(k) for k in raw["keys"]}})
 
 
+def _set_content(e: Event, text: str) -> None:
+    e._text = _Text(text)
+
+
+#: A text that lines are added to at little cost, joined when it is read.
+Event.content = property(lambda e: str(e._text), _set_content)
+
+
 @dataclass
 class Desk:
     """The events of one shard within the window, and who told of them when."""
@@ -169,8 +269,34 @@ class Desk:
     window_hours: int = WINDOW_HOURS
     keep_hours: int = GUARD_HOURS
     events: dict[str, Event] = field(default_factory=dict)
-    told: dict[str, list[tuple[int, str, str]]] = field(default_factory=dict)
+    #: Of each source what it told of, by time; the number of the event, so that one opened anew under an old id is another.
+    told: dict[str, list[tuple[int, str, str, int]]] = field(default_factory=dict)
     touched: set[str] = field(default_factory=set)
+    _held: dict[str, tuple[int, int | None, int | None]] = field(default_factory=dict)  # number, published_at, created_at as sorted
+    _recent: list[tuple[int, str]] = field(default_factory=list)
+    _made: list[tuple[int, str]] = field(default_factory=list)
+    _ages: list[tuple[int, str, int]] = field(default_factory=list)
+    _numbers: int = 0
+    _horizon: int | None = None
+
+    def hold(self, event: Event) -> None:
+        """Take in an event, or take note of its new times."""
+        number, *times = self._held.get(event.id, (None, None, None))
+        for at, rows, old in ((event.published_at, self._recent, times[0]), (event.created_at, self._made, times[1])):
+            if at != old:
+                if old is not None:
+                    del rows[bisect_left(rows, (old, event.id))]
+                if at is not None:
+                    insort(rows, (at, event.id))
+        if number is None:
+            number = self._numbers = self._numbers + 1
+            heapq.heappush(self._ages, (self._last(event), event.id, number))
+        self._held[event.id] = (number, event.published_at, event.created_at)
+        self.events[event.id] = event
+
+    @staticmethod
+    def _last(e: Event) -> int:
+        return max(x for x in (e.published_at, e.created_at, 0) if x is not None)
 
     def save(self, item: dict, now: int) -> tuple[str, str | None]:
         """(outcome, event) of an item that was not seen before; now is the time of its arrival."""
@@ -189,13 +315,14 @@ class Desk:
         event.published_at = item.get("published_at")
         event.source_id, event.source_name, event.source_url, event.external_id = (item.get(k) for k in ("source_id", "source_name", "source_url", "external_id"))
         event._learn(event.content)
-        self.events[event.id] = event
+        self.hold(event)
         self.touched.add(event.id)
         self._note(item, event)
         return "inserted", event.id
 
     def _attach(self, event: Event, item: dict, now: int, note: bool) -> tuple[str, str]:
         event.add(item, note, now, self.summarize)
+        self.hold(event)
         self.touched.add(event.id)
         self._note(item, event)
         return "deduped", event.id
@@ -204,31 +331,43 @@ class Desk:
         self.tell(item.get("source_id"), item.get("published_at"), str(item.get("external_id") or ""), event.id)
 
     def tell(self, source_id: str | None, at: int | None, external_id: str, event_id: str) -> None:
-        if source_id is not None and at is not None:
-            self.told.setdefault(source_id, []).append((at, external_id, event_id))
+        if source_id is not None and at is not None and event_id in self._held:
+            rows = self.told.setdefault(source_id, [])
+            insort(rows, (at, external_id, event_id, self._held[event_id][0]))
+            if self._horizon is not None and rows[len(rows) // 2][0] < self._horizon:
+                del rows[: bisect_left(rows, (self._horizon,))]
 
     def latest(self, source_id: str | None, at: int, minutes: int = ATTACH_MINUTES) -> Event | None:
         """The event that the source told of last, not after `at` and not long before; without a source the one opened last."""
-        if source_id is not None:
-            rows = [r for r in self.told.get(source_id, ()) if at - minutes * MINUTE <= r[0] <= at]
-            return self.events.get(max(rows)[2]) if rows else None
-        rows = [(e.created_at, e.id) for e in self.events.values() if e.created_at is not None and at - minutes * MINUTE <= e.created_at <= at]
-        return self.events[max(rows)[1]] if rows else None
+        since = at - minutes * MINUTE
+        if source_id is None:
+            i = bisect_left(self._made, (at + 1,)) - 1
+            return self.events[self._made[i][1]] if i >= 0 and self._made[i][0] >= since else None
+        rows = self.told.get(source_id, [])
+        if self._horizon is not None:
+            since = max(since, self._horizon)
+        for i in range(bisect_left(rows, (at + 1,)) - 1, -1, -1):
+            if rows[i][0] < since:
+                break
+            if self._held.get(rows[i][2], (None,))[0] == rows[i][3]:
+                return self.events[rows[i][2]]
+        return None
 
     def same(self, item: dict, now: int) -> Event | None:
         """The event of the window that the item is about: the most similar of those that are similar enough, or close in time
         with a token in common beside the place's. Of equal similarity the newest."""
         own, place, at = tokens_of(item.get("content") or ""), item.get("place") or None, item.get("published_at")
-        recent = [e for e in self.events.values() if e.published_at is not None and e.published_at >= now - self.window_hours * HOUR]
-        recent = sorted(recent, key=lambda e: (e.published_at, e.id), reverse=True)[:CANDIDATES]
+        since = bisect_left(self._recent, (now - self.window_hours * HOUR,))
+        recent = [self.events[x] for _, x in self._recent[: max(since, len(self._recent) - CANDIDATES) - len(self._recent) - 1 : -1]]
         best, score = None, 0.0
         for e in recent:
-            s = jaccard(own, e.tokens)
+            both = own & e.tokens
+            if not both or (s := len(both) / (len(own) + len(e.tokens) - len(both))) <= score:
+                continue
             fits = s >= NEAR
             if not fits and at is not None and (not place or not e.place or place == e.place) and abs(at - e.published_at) <= TIGHT_MINUTES * MINUTE:
-                shared = (own & e.tokens) - tokens_of(place or e.place or "")
-                fits = len(shared) >= (1 if place or e.place else 2)
-            if fits and s > score:
+                fits = len(both - tokens_of(place or e.place or "")) >= (1 if place or e.place else 2)
+            if fits:
                 best, score = e, s
         if best is None and self.judge is not None and at is not None:
             near = [e for e in recent if abs(at - e.published_at) <= JUDGE_MINUTES * MINUTE][:JUDGE_CANDIDATES]
@@ -241,13 +380,20 @@ class Desk:
 
     def forget(self, now: int) -> list[Event]:
         """Let go of what no later item can reach: events and notes older than `keep_hours`. Returns the events."""
-        old = [e for e in self.events.values() if max(x for x in (e.published_at, e.created_at, 0) if x is not None) < now - self.keep_hours * HOUR]
-        for e in old:
-            del self.events[e.id]
-        for source, rows in list(self.told.items()):
-            self.told[source] = [r for r in rows if r[0] >= now - self.keep_hours * HOUR and r[2] in self.events]
-            if not self.told[source]:
-                del self.told[source]
+        before = now - self.keep_hours * HOUR
+        self._horizon = before if self._horizon is None else max(self._horizon, before)
+        old = []
+        while self._ages and self._ages[0][0] < before:
+            _, id_, number = heapq.heappop(self._ages)
+            e = self.events[id_]
+            if self._last(e) >= before:  # it was added to since
+                heapq.heappush(self._ages, (self._last(e), id_, number))
+                continue
+            _, published, created = self._held.pop(id_)
+            for at, rows in ((published, self._recent), (created, self._made)):
+                if at is not None:
+                    del rows[bisect_left(rows, (at, id_))]
+            old.append(self.events.pop(id_))
         return old
 
 
@@ -316,7 +462,7 @@ def saved(
                     shard, desk = own, Desk(judge, summarize, window_hours, keep_hours)
                 row = json.loads(text)
                 if kind == 0:
-                    desk.events[id_] = Event(**{k: v for k, v in row.items() if v is not None})
+                    desk.hold(Event(**{k: v for k, v in row.items() if v is not None}))
                 elif kind == 1:
                     if id_ in desk.events:
                         desk.events[id_].keys.add(("" if row.get("source_id") is None else row["source_id"], row.get("external_id") or ""))
