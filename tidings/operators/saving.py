@@ -13,16 +13,18 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from functools import lru_cache
+from math import ceil
 from zoneinfo import ZoneInfo
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,26 +39,36 @@ WINDOW_HOURS, CANDIDATES, TIGHT_MINUTES, JUDGE_MINUTES, JUDGE_CANDIDATES, ATTACH
 MINUTE, HOUR = 60_000_000, 3_600_000_000
 RANK = {s: i for i, s in enumerate(X.SEVERITIES)}
 SUMMARY_MARK = "סיכום:"
-_STOP = frozenset(STOP)
+_STOP, _NONE, _PLAIN = frozenset(STOP), frozenset([""]), re.compile(r"[\w ]+")
 #: Lines of an event from which on they are looked up in an index.
 INDEXED = 32
 
 
+@lru_cache(100_000)
+def _token(w: str) -> str:
+    """The token of a word, empty if it carries no meaning."""
+    if len(w) > 3 and w[0] in X.ATTACHED:
+        w = w[1:]
+        if len(w) > 3:
+            w = w.removeprefix("ה")
+    elif len(w) > 3 and w[0] == "ה":
+        w = w[1:]
+    w = stem_literal(w)
+    return w if len(w) > 2 and w not in _STOP else ""
+
+
 @lru_cache(1_000)
 def tokens_of(text: str) -> frozenset[str]:
     """The token set of one text on a Python worker, as tokens.token_set makes it."""
-    out = set()
-    for w in matchable_literal(text).split():
-        if len(w) > 3 and w[0] in X.ATTACHED:
-            w = w[1:]
-            if len(w) > 3:
-                w = w.removeprefix("ה")
-        elif len(w) > 3 and w[0] == "ה":
-            w = w[1:]
-        w = stem_literal(w)
-        if len(w) > 2:
-            out.add(w)
-    return frozenset(out - _STOP)
+    return frozenset(map(_token, matchable_literal(text).split())) - _NONE
+
+
+@lru_cache(1_000)
+def _tokens_before(name: str) -> frozenset[str] | None:
+    """What the prefix of updates of a source adds to the tokens of any text after it (a clock's numbers are too short to count);
+    None if the name may run together with the text when they are cleaned: then the whole line has to be read."""
+    plain = _PLAIN.fullmatch(name) and not any(sign in name for sign in X.SIGNS)
+    return tokens_of(f"עדכון ({name}): ") if plain else None
 
 
 def jaccard(a: frozenset | set, b: frozenset | set) -> float:
@@ -70,7 +82,8 @@ def is_follow_up(item: dict) -> bool:
 
 
 def _clock(micros: int, zone: str) -> str:
-    return datetime.fromtimestamp(micros / 1e6, timezone.utc).astimezone(ZoneInfo(zone)).strftime("%H:%M:%S")
+    t = datetime.fromtimestamp(micros / 1e6, timezone.utc).astimezone(ZoneInfo(zone))
+    return f"{t.hour:02}:{t.minute:02}:{t.second:02}"
 
 
 class _Text:
@@ -104,7 +117,7 @@ class _Text:
 
     def _index(self, line: str, i: int) -> None:
         words = line.split(" ")
-        for pair in {hash(x) for x in zip(words, words[1:])}:
+        for pair in set(map(hash, zip(words, words[1:]))):
             if (found := self.of_pair.get(pair)) is None:
                 found = self.of_pair[pair] = array("i")
             found.append(i)
@@ -116,8 +129,8 @@ class _Text:
             return all(self.holds(x) for x in text.split("\n") if x) and text in str(self)
         words = text.split(" ")[1:-1]
         if len(words) > 1:
-            found = [self.of_pair.get(hash(x), ()) for x in zip(words, words[1:])]
-            return any(text in self.lines[i] for i in min(found, key=len))
+            pairs = list(map(hash, zip(words, words[1:])))
+            return all(map(self.of_pair.__contains__, pairs)) and any(text in self.lines[i] for i in min(map(self.of_pair.get, pairs), key=len))
         # Few words: only lines that came since the text was last looked for; -1: it was found, and nothing is ever taken out.
         at = self.searched.get(text, 0)
         if at >= 0:
@@ -130,7 +143,7 @@ class _Lines:
 
     def __init__(self) -> None:
         self.few: list[frozenset] = []
-        self.sizes = array("i")
+        self.sizes = array("q")
         self.of_token: dict[str, array] = {}
 
     def add(self, own: frozenset) -> None:
@@ -147,7 +160,7 @@ class _Lines:
     def _index(self, own: frozenset, i: int) -> None:
         for token in own:
             if (found := self.of_token.get(token)) is None:
-                found = self.of_token[token] = array("i")
+                found = self.of_token[token] = array("q")
             found.append(i)
 
     def near(self, own: frozenset) -> bool:
@@ -155,11 +168,20 @@ class _Lines:
             n = len(own & line)
             if n and n >= NEAR * (len(own) + len(line) - n):
                 return True
-        found = [np.frombuffer(x, np.int32) for t in own if (x := self.of_token.get(t)) is not None]
+        found = b"".join(filter(None, map(self.of_token.get, own)))
         if not found:
             return False
-        n = np.bincount(np.concatenate(found), minlength=len(self.sizes))
-        return bool((n >= NEAR * (len(own) + np.frombuffer(self.sizes, np.int32) - n)).any())
+        n, size = np.bincount(np.frombuffer(found, np.int64)), len(own)
+        # The line with the most tokens in common mostly decides; no union is smaller than the text's own tokens.
+        top = n.argmax()
+        most, least = int(n[top]), ceil(NEAR * size)
+        if most < least:
+            return False
+        if most >= NEAR * (size + self.sizes[top] - most):
+            return True
+        some = (n >= least).nonzero()[0]
+        n = n[some]
+        return bool((n >= NEAR * (size + np.frombuffer(self.sizes, np.int64)[some] - n)).any())
 
 
 @dataclass
@@ -218,7 +240,7 @@ class Event:
         if bump is not None:
             self.published_at = bump if self.published_at is None else max(self.published_at, bump)
         self._tell(text, item, at, note)
-        if any(m in (text or (item.get("title") or "")) for m in X.RESOLVED):
+        if any(map((text or item.get("title") or "").__contains__, X.RESOLVED)):
             if summarize is not None and SUMMARY_MARK not in self.content and (told := summarize(self.content)):
                 self._text.append(f"\n\n{SUMMARY_MARK} {told}")
                 self._learn(f"{SUMMARY_MARK} {told}")
@@ -239,7 +261,15 @@ class Event:
         name = item.get("source_name")
         line = ("עדכון: " if not name else f"עדכון ({name}, {_clock(at, self.zone)}): " if at is not None else f"עדכון ({name}): ") + text
         self._text.append(line)
-        self._learn(line)
+        before = _tokens_before(name) if name and "\n" not in text else None
+        if before is None:
+            self._learn(line)
+            return
+        own = tokens_of(text)  # as _learn finds them, without cleaning the text again behind its prefix
+        self.tokens |= before
+        if own:
+            self.tokens |= own
+            self._lines.add(own)
 
     def json(self) -> str:
         """The event between batches; token sets are made anew from its content."""
@@ -359,16 +389,23 @@ class Desk:
         own, place, at = tokens_of(item.get("content") or ""), item.get("place") or None, item.get("published_at")
         since = bisect_left(self._recent, (now - self.window_hours * HOUR,))
         recent = [self.events[x] for _, x in self._recent[: max(since, len(self._recent) - CANDIDATES) - len(self._recent) - 1 : -1]]
-        best, score = None, 0.0
-        for e in recent:
-            both = own & e.tokens
-            if not both or (s := len(both) / (len(own) + len(e.tokens) - len(both))) <= score:
+
+        def tight(e: Event) -> bool:
+            return at is not None and -TIGHT_MINUTES * MINUTE <= at - e.published_at <= TIGHT_MINUTES * MINUTE and (not place or not e.place or place == e.place)
+
+        best, score, first, size = None, 0.0, 0, len(own)
+        # Events much larger than the item come last: no similarity is above that of the sizes, so most need no comparison then.
+        order = [(i, e, n) for i, e in enumerate(recent) if (n := len(e.tokens))] if own else []
+        for i, e, n in [x for x in order if x[2] <= 8 * size] + [x for x in order if x[2] > 8 * size]:
+            most = size / n if size < n else n / size
+            if most < score or most < NEAR and not tight(e):
                 continue
-            fits = s >= NEAR
-            if not fits and at is not None and (not place or not e.place or place == e.place) and abs(at - e.published_at) <= TIGHT_MINUTES * MINUTE:
-                fits = len(both - tokens_of(place or e.place or "")) >= (1 if place or e.place else 2)
-            if fits:
-                best, score = e, s
+            both = len(common := own & e.tokens)
+            s = both / (size + n - both)
+            if not both or s < score or s == score and i > first:
+                continue
+            if s >= NEAR or tight(e) and (len(common - tokens_of(place or e.place)) >= 1 if place or e.place else both >= 2):
+                best, score, first = e, s, i
         if best is None and self.judge is not None and at is not None:
             near = [e for e in recent if abs(at - e.published_at) <= JUDGE_MINUTES * MINUTE][:JUDGE_CANDIDATES]
             i = self.judge(item.get("content") or "", [e.content for e in near]) if near else None
@@ -416,7 +453,7 @@ def _payload(df: DataFrame, columns: Iterable[str]) -> Column:
 def saved(
     items: DataFrame, events: DataFrame | None = None, bridge: DataFrame | None = None, shard: str | None = None,
     judge: Callable[[str, list[str]], int | None] | None = None, summarize: Callable[[str], str | None] | None = None,
-    window_hours: int = WINDOW_HOURS, keep_hours: int = GUARD_HOURS,
+    window_hours: int = WINDOW_HOURS, keep_hours: int = GUARD_HOURS, states: bool = True, distinct: bool = False,
 ) -> DataFrame:
     """(shard, item, outcome, report_id, event): a row per item with its outcome (inserted, deduped, skipped) and event, and a row
     per event that changed, without an item, with the event's last state.
@@ -425,58 +462,73 @@ def saved(
     They are taken by arrival, then id. Of items with equal (source_id, external_id) the first counts, the others are skipped;
     what was seen in earlier batches is to be taken out before (duplicates.unseen). events: rows of an events table, bridge:
     (report_id, source_id, external_id, published_at), what earlier batches left; only those within keep_hours before the
-    first item are read. An event has the id of the item that opened it.
+    first item are read. An event has the id of the item that opened it. Without `states` the events' rows are left out.
+    With `distinct` rows that are equal in all columns count once.
     """
     of = F.coalesce(F.col(shard).cast("string"), F.lit("")) if shard else F.lit("")
-    # Written once: what made the items is not done again for each of the three reads below.
-    rows = kept(items).withColumn("_shard", of).withColumn("_at", F.unix_micros(F.coalesce("arrived_at", "published_at").cast("timestamp")))
+    # Read once, except where the first item's time is needed before.
+    rows = (items if events is None else kept(items)).withColumn("_shard", of).withColumn("_at", F.unix_micros(F.coalesce("arrived_at", "published_at").cast("timestamp")))
     rows = _micros(rows, "published_at")
     keyed = F.col("source_id").isNotNull() & F.col("external_id").isNotNull()
-    # Spark keeps the first row of a window group within each task before the exchange, so a message sent a million times is no hot group.
-    first = F.row_number().over(W.partitionBy("source_id", "external_id").orderBy(F.col("_at").asc_nulls_first(), "id"))
-    fresh = rows.where(keyed).withColumn("_n", first).where("_n = 1").drop("_n").unionByName(rows.where(~keyed))
-    none = F.lit(None).cast("string")
-    repeated = rows.where(keyed).join(fresh.select("id"), "id", "left_anti").select(F.col("_shard").alias("shard"), F.col("id").alias("item"), F.lit("skipped").alias("outcome"), none.alias("report_id"), F.lit(None).cast(_OUT.split("event ", 1)[1]).alias("event"))
-    stream = fresh.select("_shard", F.lit(2).alias("kind"), F.coalesce("_at", F.lit(0)).alias("at"), "id", _payload(fresh, ITEM).alias("row"))
+    # Items without a key are each their own group. Those seen before go with the others, but as a mere id: one shuffle does for both.
+    group = W.partitionBy("source_id", "external_id", "_own").orderBy(F.col("_at").asc_nulls_first(), "id")
+    rows = rows.withColumn("_own", F.when(~keyed, F.col("id")))
+    if distinct:  # within the shuffle that the groups need
+        rows = rows.repartition("source_id", "external_id", "_own").distinct()
+    rows = rows.withColumn("_n", F.row_number().over(group)).withColumn("_first", F.first("id").over(group))
+    fresh = ~keyed | (F.col("_n") == 1)
+    names = [c for c in ITEM if c in rows.columns and (states or c not in ("source_url", "severity", "status", "media"))]  # those decide on no outcome
+    stream = rows.where(fresh | (F.col("id") != F.col("_first"))).select("_shard", F.when(fresh, F.lit(2)).otherwise(F.lit(3)).alias("kind"), F.coalesce("_at", F.lit(0)).alias("at"), "id", F.lit(None).cast("string").alias("row"), *[F.when(fresh, F.col(c)).alias(c) for c in names if c != "id"])
     if events is not None:
-        start = fresh.agg(F.min("_at")).first()[0]
+        start = rows.where(fresh).agg(F.min("_at")).first()[0]
         since = (start or 0) - keep_hours * HOUR
         e = _micros(events.withColumn("_shard", of if shard and shard in events.columns else F.lit("")), *TIMES).where(F.greatest(F.coalesce("published_at", F.lit(0)), F.coalesce("created_at", F.lit(0))) >= since)
-        names = [c.split(" ")[0] for c in EVENT.split(", ")]
-        stream = stream.unionByName(e.select("_shard", F.lit(0).alias("kind"), F.lit(0).alias("at"), "id", _payload(e, names).alias("row")))
+        stream = stream.unionByName(e.select("_shard", F.lit(0).alias("kind"), F.lit(0).alias("at"), "id", _payload(e, [c.split(" ")[0] for c in EVENT.split(", ")]).alias("row")), allowMissingColumns=True)
         if bridge is not None:
             b = _micros(bridge, "published_at").join(e.select(F.col("id").alias("report_id"), "_shard"), "report_id")
-            stream = stream.unionByName(b.select("_shard", F.lit(1).alias("kind"), F.lit(0).alias("at"), F.col("report_id").alias("id"), _payload(b, ("source_id", "external_id", "published_at")).alias("row")))
+            stream = stream.unionByName(b.select("_shard", F.lit(1).alias("kind"), F.lit(0).alias("at"), F.col("report_id").alias("id"), _payload(b, ("source_id", "external_id", "published_at")).alias("row")), allowMissingColumns=True)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, desk = None, Desk()
 
         def changed(gone: Iterable[Event]) -> list[tuple]:
-            return [(shard, None, None, e.id, _row(e)) for e in gone if e.id in desk.touched]
+            return [(shard, None, None, e.id, _row(e)) for e in gone if e.id in desk.touched] if states else []
 
-        for pdf in batches:
+        for batch in batches:
             out: list[tuple] = []
-            for own, kind, at, id_, text in zip(*(pdf[c] for c in ("_shard", "kind", "at", "id", "row"))):
+            rows = batch.to_pydict()
+            for own, kind, at, id_, text, *values in zip(*(rows[c] for c in ("_shard", "kind", "at", "id", "row", *names))):
                 if own != shard:
                     out += changed(desk.events.values())
                     shard, desk = own, Desk(judge, summarize, window_hours, keep_hours)
-                row = json.loads(text)
                 if kind == 0:
-                    desk.hold(Event(**{k: v for k, v in row.items() if v is not None}))
+                    desk.hold(Event(**{k: v for k, v in json.loads(text).items() if v is not None}))
                 elif kind == 1:
                     if id_ in desk.events:
+                        row = json.loads(text)
                         desk.events[id_].keys.add(("" if row.get("source_id") is None else row["source_id"], row.get("external_id") or ""))
                         desk.tell(row.get("source_id"), row.get("published_at"), row.get("external_id") or "", id_)
+                elif kind == 2:
+                    out += changed(desk.forget(at))
+                    out.append((shard, id_, *desk.save(dict(zip(names, values)), at), None))
                 else:
-                    out += changed(desk.forget(int(at)))
-                    outcome, event = desk.save(row, int(at))
-                    out.append((shard, id_, outcome, event, None))
+                    out.append((shard, id_, "skipped", None, None))
             if out:
-                yield pd.DataFrame(out, columns=["shard", "item", "outcome", "report_id", "event"])
+                yield _batch(out)
         if last := changed(desk.events.values()):
-            yield pd.DataFrame(last, columns=["shard", "item", "outcome", "report_id", "event"])
+            yield _batch(last)
+
+    return stream.repartition("_shard").sortWithinPartitions("_shard", "kind", "at", "id").mapInArrow(run, _OUT)
+
+
+_ARROW = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "array<string>": pa.list_(pa.string())}
+
 
-    return stream.repartition("_shard").sortWithinPartitions("_shard", "kind", "at", "id").mapInPandas(run, _OUT).unionByName(repeated)
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of saved()."""
+    event = pa.struct([(c.split(" ")[0], _ARROW[c.split(" ")[1]]) for c in EVENT.split(", ")])
+    kinds = dict(shard=pa.string(), item=pa.string(), outcome=pa.string(), report_id=pa.string(), event=event)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], names=list(kinds))
 
 
 def _row(e: Event) -> dict:
