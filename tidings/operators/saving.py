@@ -163,6 +163,15 @@ class _Lines:
                 found = self.of_token[token] = array("q")
             found.append(i)
 
+    def sets(self) -> list[frozenset]:
+        if len(self.sizes) <= INDEXED:
+            return self.few
+        out: list[set] = [set() for _ in self.sizes]
+        for token, lines in self.of_token.items():
+            for i in lines:
+                out[i].add(token)
+        return [frozenset(x) for x in out]
+
     def near(self, own: frozenset) -> bool:
         for line in self.few:
             n = len(own & line)
@@ -220,6 +229,10 @@ class Event:
             if own:
                 self._lines.add(own)
 
+    @property
+    def lines(self) -> list[frozenset]:
+        return self._lines.sets()
+
     def tells(self, own: frozenset) -> bool:
         """Whether a line of the event is nearly the same."""
         return self._lines.near(own)
