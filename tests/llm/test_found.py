@@ -6,6 +6,7 @@ import unicodedata
 from datetime import datetime, timedelta
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -471,6 +472,73 @@ def test_words_of_a_batch_are_hashed_as_one_by_one():
     assert len(near.word_hashes(["", "!"])[0]) == 0
 
 
+def _word_batch(seed, n=400):
+    r = np.random.default_rng(seed)
+    sets = [np.unique(r.zipf(1.3, r.integers(1, 80)) % 4000).astype(np.int64) * 7919 for _ in range(n)]
+    return pa.record_batch({"class": np.arange(n), "words": pa.array([x.tolist() for x in sets], pa.list_(pa.int64()))})
+
+
+def test_only_sets_that_may_be_deficient_are_ordered(monkeypatch):
+    """The pass over all sets for the words asked for sorts none whose words of width 1 reach the sum, and leaves out no deficient one."""
+    batch = _word_batch(1)
+    counts = np.bincount(near._bucket(near._flat(batch)[1]), minlength=near.BUCKETS).astype(np.uint32)
+    bands = np.arange(near.BANDS)
+    for narrow in (near.BANDS, 6, 3, 0):
+        plan = near.Plan(np.where(bands < narrow, 1, 2), np.ones(near.BANDS, int))
+        may = near._maybe_deficient(batch, counts, plan, 600)
+        deficient = near._thresholds(near._sets(batch, counts), plan, 600)[3]
+        assert not (deficient & ~may).any() and (narrow < near.BANDS or not may.any()) and (narrow > 0 or deficient.any())
+
+    class Table:
+        def mapInArrow(self, run, schema):
+            self.rows = pa.Table.from_batches(run(iter([batch])), pa.schema({"code": pa.int64()}))
+            return self
+
+        select = distinct = lambda self, *columns: self
+        toArrow = lambda self: self.rows
+
+    monkeypatch.setattr(near, "_sets", None)
+    assert not len(near.asked_words(Table(), counts, near.Plan(np.ones(near.BANDS, int), np.ones(near.BANDS, int))))
+
+
+@pytest.mark.parametrize("shift", [1, 2**30])
+def test_words_of_sets_stand_rarest_first_then_by_hash(shift):
+    batch = _word_batch(2)
+    if shift > 1:  # words that begin alike: the first bits don't tell them apart
+        batch = pa.record_batch({"class": batch["class"], "words": pa.ListArray.from_arrays(batch["words"].offsets, pa.array(batch["words"].values.to_numpy() // 7919))})
+    counts = np.random.default_rng(3).choice([1, 2, 3, 2**24 + 1, 2**24 + 5, 2**31], near.BUCKETS).astype(np.uint32)
+    s, (_, words, _) = near._sets(batch, counts), near._flat(batch)
+    order = np.lexsort((words, counts[near._bucket(words)], s.row))
+    assert s.words.tolist() == words[order].tolist() and s.often.tolist() == counts[near._bucket(words)][order].tolist()
+
+
+def test_long_runs_of_a_signature_lose_no_pair():
+    """All pairs that sizes, words before the signature and parities allow, in runs long and short, for sets of some and of very many words."""
+    r = np.random.default_rng(4)
+    n = np.concatenate([r.integers(1, 120, 1500), r.integers(200, 3000, 200)])
+    most = (n - (n * 0.4 * r.random(len(n))).astype(int)) * 1600 // 600 - n
+    key = np.sort((r.choice([5, 5, 5, 6, 9], len(n)) << 32) | n << 16 | np.clip(most, 0, 65535))
+    ids, parity = np.arange(len(n)), [r.integers(0, 2**63, len(n)).astype(np.uint64) & r.integers(0, 2**63, len(n)).astype(np.uint64) for _ in near.PARITY]
+    group, n, most = key >> 32, (key >> 16) & 0xFFFF, key & 0xFFFF
+    a, b = np.triu_indices(len(n), 1)
+    apart = sum(np.bitwise_count(h[a] ^ h[b]).astype(int) for h in parity)
+    ok = (group[a] == group[b]) & (n[b] <= n[a] * 1000 // 600) & (n[b] <= most[a]) & (n[a] <= most[b]) & (apart * 1600 <= (n[a] + n[b]) * 400)
+    got = np.concatenate(near._met(key, ids, parity, 600), axis=1)
+    assert set(map(tuple, got.T.tolist())) == set(zip(a[ok].tolist(), b[ok].tolist())) and got.shape[1] == ok.sum() > 1000
+
+
+def test_texts_together_become_canonical_as_one_by_one():
+    r = random.Random(31)
+    alphabet = list("abAcB אבגعא АВсеяΟικ\n.,-'״־") + ["\u0301", "\ud800", "\uffff", "\u200b", "\u00a0", "\ufb01", "ĳ", "é", "🚒", "\u200d", "𝐀", "𝟙", "𐐀", "\U0002f800"]
+    texts = ["", "a", "е", "\u200b", "𝐀"] + ["".join(r.choice(alphabet) for _ in range(r.randint(0, 30))) for _ in range(3000)]
+    texts += ["שלום " + w for w in ("се", "ce", "а", "хс.", "се2")]
+    for forms in ({}, {"H": {"се": "ce", "а": "a"}, "C": {"A": "А", "ce": "се"}, "L": {"е": "e"}}):
+        want = [canonical.canonical_text(t, forms.get(canonical.script_of(t))) for t in texts]
+        assert canonical.canonical_texts(texts, forms) == want
+        assert sum(a != b for a, b in zip(texts, want)) > 1000
+    assert canonical.canonical_texts([], {}) == []
+
+
 # --- 7
 def test_ids_equal_the_library(spark, tables):
     from tokenizers import Tokenizer

@@ -20,8 +20,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -153,29 +155,42 @@ def canonical_segment(segment: str, before: str = "", after: str = "") -> str:
     return _composed(_RUN.sub(_one_script, segment))
 
 
-def canonical_text(text: str | None, usual: dict[str, str] | None = None) -> str | None:
-    """The whole text with its unstable segments replaced. `usual` has the usual form of words made of shared letters."""
-    if not text:
+def _with_usual(text: str, usual: dict[str, str] | None) -> str:
+    """Words of shared letters in their usual form; a text that holds none of the unusual forms is only searched."""
+    if not usual or usual.keys().isdisjoint(_RUN.findall(text)):
         return text
-    other = _OTHER_SCRIPT.search(text)
-    if not other and not _QUICK.search(text) and not _QUICK_ABOVE.search(text):
-        return _RUN.sub(lambda m: usual.get(m.group(0), m.group(0)), text) if usual else text
-    hits = _HIT_OR_MIXED if other else _HIT
-    out, done, part = [], 0, _PART.match
-    for m in hits.finditer(text):
-        a, z = m.span()
+    return _RUN.sub(lambda m: usual.get(m.group(0), m.group(0)), text)
+
+
+@lru_cache(10_000)
+def _in_segment(c: str) -> bool:
+    return _PART.match(c) is not None
+
+
+def _spliced(text: str, hits: Iterable[int]) -> str:
+    """The text with the segments around these places replaced."""
+    out, done = [], 0
+    for a in hits:
         if a < done:
             continue
-        while a > done and part(text, a - 1):
+        z = a + 1
+        while a > done and _in_segment(text[a - 1]):
             a -= 1
-        while z < len(text) and part(text, z):
+        while z < len(text) and _in_segment(text[z]):
             z += 1
         out += [text[done:a], canonical_segment(text[a:z], text[a - 1 : a], text[z : z + 1])]
         done = z
-    out = "".join(out) + text[done:]
-    if usual:
-        out = _RUN.sub(lambda m: usual.get(m.group(0), m.group(0)), out)
-    return out
+    return "".join(out) + text[done:]
+
+
+def canonical_text(text: str | None, usual: dict[str, str] | None = None) -> str | None:
+    """The whole text with its unstable segments replaced. `usual` has the usual form of words made of shared letters."""
+    if not text:
+        return text
+    other = _OTHER_SCRIPT.search(text)
+    if other or _QUICK.search(text) or _QUICK_ABOVE.search(text):
+        text = _spliced(text, (m.start() for m in (_HIT_OR_MIXED if other else _HIT).finditer(text)))
+    return _with_usual(text, usual)
 
 
 _OWN_LETTERS = {"H": "[\u05d0-\u05ea]", "A": "[\u0621-\u064a]", "C": f"(?![{_ONLY['C']}])[\u0400-\u052f]", "G": f"(?![{_ONLY['G']}])[\u0370-\u03ff]"}
@@ -192,6 +207,47 @@ def script_of(text: str) -> str:
     return next((k for k, rx in _OWN_RX.items() if rx.search(text)), "L")
 
 
+# Of each code point below U+10000 whether it is unstable (1), its script among those that may mix (2, 4, 8), whether it is a mark (16).
+_SCRIPTS, _LETTERS = 2 + 4 + 8, 2 + 4 + 8 + 16
+
+
+def _kinds() -> np.ndarray:
+    every, out = "".join(map(chr, range(0x10000))), np.zeros(0x10000, np.uint8)
+    for bit, rx in ((1, _QUICK), (2, _OWN["L"]), (4, _OWN["C"]), (8, _OWN["G"]), (16, re.compile(f"[{MARKS}]"))):
+        out[[m.start() for m in rx.finditer(every)]] |= bit
+    return out
+
+
+_KINDS, _ABOVE = _kinds(), np.array(sorted(ord(c) for c in COMPATIBLE if ord(c) > 0xFFFF), np.uint32)
+
+
+def canonical_texts(texts: list[str], forms: dict[str, dict[str, str]]) -> list[str]:
+    """canonical_text() of each text, with the usual forms of its main script (`forms`).
+
+    Unstable places are looked for in all texts at once, character by character in a table, instead of by searches text by text.
+    """
+    out, ends = list(texts), np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    codes = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kinds = _KINDS[np.minimum(codes, 0xFFFF)]
+    high = np.flatnonzero(codes > 0xFFFF)
+    kinds[high] = np.isin(codes[high], _ABOVE)
+    script = kinds & _SCRIPTS
+    hit = (kinds & 1).astype(bool)
+    hit[:-1] |= (script[:-1] != script[1:]) & (script[:-1] > 0) & (script[1:] > 0)
+    at = np.flatnonzero(hit)
+    row = np.searchsorted(ends, at, "right")
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    for i, lo, hi in zip(row[first].tolist(), first.tolist(), np.append(first[1:], len(row)).tolist()):
+        out[i] = _spliced(texts[i], (at[lo:hi] - (ends[i] - len(texts[i]) - 1)).tolist())
+    if forms:
+        asking = np.zeros(len(texts), bool)
+        asking[row] = True
+        asking[np.searchsorted(ends, np.flatnonzero(kinds & _LETTERS), "right")] = True
+        for i in np.flatnonzero(asking).tolist():
+            out[i] = _with_usual(out[i], forms.get(script_of(texts[i])))
+    return out
+
+
 _SHARED_WORD = re.compile(_SHARED)
 
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .canonical import by_script, canonical_text, script_of
+from .canonical import by_script, canonical_texts
 from .common import kept
 from .lines import removers_of
 
@@ -124,9 +124,8 @@ def word_sets(docs: DataFrame, usual: dict[tuple[str, str], str]) -> DataFrame:
                     content = content or ""
                     if remove:
                         content = remove(content)
-                    text = f"{title}\n{content}" if title else content
-                    texts.append(canonical_text(text, forms.get(script_of(text)) if forms else None))
-                row, words = word_hashes(texts)
+                    texts.append(f"{title}\n{content}" if title else content)
+                row, words = word_hashes(canonical_texts(texts, forms))
                 ends = np.searchsorted(row, np.arange(len(texts) + 1)).astype(np.int32)
                 data = words.tobytes()
                 classes = np.array([hasher(data[a * 8 : b * 8]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], np.uint64).view(np.int64)
@@ -166,9 +165,15 @@ def _sets(batch: pa.RecordBatch, counts: np.ndarray) -> Sets:
     ids, words, sizes = _flat(batch)
     row = np.repeat(np.arange(len(ids)), sizes)
     often = counts[_bucket(words)]
-    order = np.lexsort((words, often, row))
     starts = np.cumsum(sizes) - sizes
-    return Sets(ids, sizes, row, words[order], often[order], np.arange(len(words)) - starts[row])
+    place = np.arange(len(words)) - starts[row]
+    # One sort of the rows, counts and first bits of the words together; a full one if these bits were not enough.
+    order = np.argsort((row.astype(np.uint64) << np.uint64(48)) | np.minimum(often, 2**24 - 1).astype(np.uint64) << np.uint64(24) | words >> np.uint64(40))
+    w, n = words[order], often[order]
+    if len(ids) > 65_536 or ((place[1:] > 0) & ((n[1:] < n[:-1]) | ((n[1:] == n[:-1]) & (w[1:] < w[:-1])))).any():
+        order = np.lexsort((words, often, row))
+        w, n = words[order], often[order]
+    return Sets(ids, sizes, row, w, n, place)
 
 
 def word_counts(classes: DataFrame) -> np.ndarray:
@@ -275,6 +280,14 @@ def _thresholds(s: Sets, plan: Plan, t: int) -> tuple[np.ndarray, ...]:
     return part, before, before < need[s.row], total - start < need, need
 
 
+def _maybe_deficient(batch: pa.RecordBatch, counts: np.ndarray, plan: Plan, t: int) -> np.ndarray:
+    """Whether a set's words of width 1, which bring 1 each, fall short of the sum: only such a set can be deficient."""
+    _, words, sizes = _flat(batch)
+    single = plan.width[np.minimum(np.log2(np.maximum(counts[_bucket(words)], 1)).astype(np.int64), BANDS - 1)] == 1
+    brought, ends = np.append(0, np.cumsum(single)), np.cumsum(sizes)
+    return brought[ends] - brought[ends - sizes] < sizes - -(-t * sizes // 1000) + 1
+
+
 def _size_class(n: np.ndarray) -> np.ndarray:
     return (np.log2(np.maximum(n, 1)) * 2).astype(np.int64)
 
@@ -286,6 +299,7 @@ def asked_words(classes: DataFrame, counts: np.ndarray, plan: Plan, threshold: f
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(_maybe_deficient(batch, counts, plan, t)))
             if batch.num_rows:
                 s = _sets(batch, counts)
                 _, _, _, deficient, need = _thresholds(s, plan, t)
@@ -376,29 +390,37 @@ def _met(key: np.ndarray, ids: np.ndarray, parity: list[np.ndarray], t: int) ->
             x, y = ids[a[ok]], ids[b[ok]]
             found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
 
-    # Long runs: blocks of rows against blocks of columns; short ones: all rows against the one that stands `step` after them.
-    tall, wide, far = 64, 1024, 24
+    # Long runs: tiles of rows against blocks of columns, two of the parities first, the last where those allow the pair. The rows of a
+    # stretch are taken by where their partners end, and columns that want smaller partners than the tile has are left out: a row's
+    # words before the signature narrow its partners so much that most pairs of a signature needn't be looked at.
+    tall, wide, stretch, far = 64, 1024, 512, 24
     big = np.flatnonzero(length > far)
     both, one, more = np.empty(tall * wide, np.uint64), np.empty(tall * wide, np.uint8), np.empty(tall * wide, np.uint8)
-    for piece in np.split(big, np.flatnonzero(np.diff(big) > 1) + 1) if len(big) else ():
-        for lo in range(0, len(piece), tall):
-            rows = piece[lo : lo + tall]
-            r, last, widest = len(rows), int(end[rows].max()), int(n[rows].max())
-            own = [h[rows][:, None] for h in parity]
-            for c in range(int(rows[0]) + 1, last, wide):
-                z = min(c + wide, last)
-                size = r * (z - c)
-                x, apart, extra = (m[:size].reshape(r, z - c) for m in (both, one, more))
-                for k, (h, mine) in enumerate(zip(parity, own)):
-                    np.bitwise_xor(mine, h[c:z], out=x)
-                    np.bitwise_count(x, out=extra if k else apart)
-                    if k:
-                        np.add(apart, extra, out=apart)
-                near = np.flatnonzero(apart <= min(255, (int(n[c:z].max()) + widest) * (1000 - t) // (1000 + t)))
-                if len(near):
-                    a, b = rows[near // (z - c)], c + near % (z - c)
-                    ok = (b > a) & (b < end[a])
-                    keep(a[ok], b[ok], one[near[ok]])
+    edges = np.append(np.flatnonzero(np.diff(group[big], prepend=-(2**40))), len(big)).tolist()
+    for begin, stop in zip(edges, edges[1:]):
+        for lo in range(begin, stop, stretch):
+            by_end = big[lo : min(lo + stretch, stop)]
+            by_end = by_end[np.argsort(end[by_end], kind="stable")]
+            for k in range(0, len(by_end), tall):
+                rows = by_end[k : k + tall]
+                r, start, least, widest = len(rows), int(rows.min()) + 1, n[rows].min(), int(n[rows].max())
+                columns = start + np.flatnonzero(most[start : end[rows[-1]]] >= least)
+                own = [h[rows][:, None] for h in parity]
+                for c in range(0, len(columns), wide):
+                    cols = columns[c : c + wide]
+                    size = r * len(cols)
+                    x, apart, extra = (m[:size].reshape(r, len(cols)) for m in (both, one, more))
+                    for i, (h, mine) in enumerate(zip(parity, own)):
+                        np.bitwise_xor(mine, h[cols], out=x)
+                        np.bitwise_count(x, out=extra if i else apart)
+                        if i:
+                            np.add(apart, extra, out=apart)
+                    bound = np.minimum((n[cols] + widest) * (1000 - t) // (1000 + t), 255).astype(np.uint8)
+                    near = np.flatnonzero(apart <= bound)
+                    if len(near):
+                        a, b = rows[near // len(cols)], cols[near % len(cols)]
+                        ok = (b > a) & (b < end[a])
+                        keep(a[ok], b[ok], one[near[ok]])
     small = np.flatnonzero((length > 0) & (length <= far))
     small = small[np.argsort(-length[small], kind="stable")]
     ahead = -length[small]
