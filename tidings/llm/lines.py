@@ -53,7 +53,7 @@ _DIGITS = re.compile(r"\d+")
 
 
 def _evened(text: str) -> str:
-    """Each run of blanks within a line as one blank; most texts have only single ones, which a plain search tells at half the time."""
+    """Each run of blanks within a line as one blank; only texts with others than single ones are rewritten."""
     return _EVEN.sub(" ", text) if "  " in text or _ODD_BLANK.search(text) else text
 
 
