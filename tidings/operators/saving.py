@@ -3,7 +3,8 @@
 An item that was seen before is skipped. A short follow-up goes to the latest event of its own source, or is skipped. Any
 other item joins the most similar event of the last hours, else a judge may name one, else it opens an event of its own. An
 event's content grows with the items that join it, and later items are compared with what it has become, so the outcome
-depends on order: the items of a shard go through one task, in order of arrival, and only the events of the window are held.
+depends on order: the items of a shard go through one task, in order of arrival, and only the events that an item to come may
+reach are held. All events of the window are looked at, through an index of their tokens.
 Shards (a region, a country, a tenant: whatever never shares events) run side by side; without one there is one shard.
 
 All times are microseconds since 1970, so that an event can be kept as JSON between batches.
@@ -35,12 +36,12 @@ from ..functions.tokens import STOP, stem_literal
 from ..sources.shared import kept
 
 GUARD_HOURS, MEDIA, FOLLOW_UP_CHARS, NEAR = 24, 8, 60, 0.30
-WINDOW_HOURS, CANDIDATES, TIGHT_MINUTES, JUDGE_MINUTES, JUDGE_CANDIDATES, ATTACH_MINUTES = 6, 40, 90, 20, 6, 15
+WINDOW_HOURS, TIGHT_MINUTES, JUDGE_MINUTES, JUDGE_CANDIDATES, ATTACH_MINUTES = 6, 90, 20, 6, 15
 MINUTE, HOUR = 60_000_000, 3_600_000_000
 RANK = {s: i for i, s in enumerate(X.SEVERITIES)}
 SUMMARY_MARK = "סיכום:"
 _STOP, _NONE, _PLAIN = frozenset(STOP), frozenset([""]), re.compile(r"[\w ]+")
-#: Lines of an event from which on they are looked up in an index.
+#: Lines of an event, and events of the window, from which on they are looked up in an index.
 INDEXED = 32
 
 
@@ -216,6 +217,7 @@ class Event:
     keys: set = field(default_factory=set)
     tokens: set = field(default_factory=set)
     _lines: _Lines = field(default_factory=lambda: _Lines(), repr=False, compare=False)
+    _new: list[str] | None = field(default=None, repr=False, compare=False)  # tokens since the event was last put in an index
 
     def __post_init__(self) -> None:
         if self.content:
@@ -223,12 +225,18 @@ class Event:
 
     def _learn(self, text: str) -> None:
         """Token sets of the text's lines, without the prefix of updates, and of the whole text with it."""
-        self.tokens |= tokens_of(text)
+        self._have(tokens_of(text))
         for line in text.split("\n"):
             own = tokens_of(UPDATE_PREFIX.sub("", line).strip())
             if own:
                 self._lines.add(own)
 
+    def _have(self, tokens: frozenset) -> None:
+        if new := tokens - self.tokens:
+            self.tokens |= new
+            if self._new is not None:
+                self._new += new
+
     @property
     def lines(self) -> list[frozenset]:
         return self._lines.sets()
@@ -279,9 +287,9 @@ class Event:
             self._learn(line)
             return
         own = tokens_of(text)  # as _learn finds them, without cleaning the text again behind its prefix
-        self.tokens |= before
+        self._have(before)
         if own:
-            self.tokens |= own
+            self._have(own)
             self._lines.add(own)
 
     def json(self) -> str:
@@ -303,9 +311,83 @@ def _set_content(e: Event, text: str) -> None:
 Event.content = property(lambda e: str(e._text), _set_content)
 
 
+class _Index:
+    """Events by token. Each has a slot; the slot of an event that was taken out has no time left."""
+
+    GONE = -(1 << 62)
+
+    def __init__(self) -> None:
+        self.events: list[Event] = []
+        self.slots: dict[str, int] = {}
+        self.times, self.sizes, self.places = array("q"), array("q"), array("q")
+        self.of_token: dict[str, array] = {}
+        self.of_place: dict[str, int] = {}
+
+    def put(self, e: Event) -> None:
+        """Take in an event, or what has become of it; one without a time is in no window."""
+        slot = self.slots.get(e.id)
+        if slot is not None and self.events[slot] is not e:
+            self.drop(e.id)
+            slot = None
+        if e.published_at is None:
+            return
+        if slot is None:
+            slot = self.slots[e.id] = len(self.events)
+            self.events.append(e)
+            self.times.append(0)
+            self.sizes.append(0)
+            self.places.append(self.of_place.setdefault(e.place, len(self.of_place) + 1) if e.place else 0)
+            e._new = list(e.tokens)
+        for token in e._new:
+            if (found := self.of_token.get(token)) is None:
+                found = self.of_token[token] = array("q")
+            found.append(slot)
+        e._new = []
+        self.times[slot], self.sizes[slot] = e.published_at, len(e.tokens)
+
+    def drop(self, id_: str) -> None:
+        if (slot := self.slots.pop(id_, None)) is not None:
+            self.times[slot] = self.GONE
+
+    def common(self, tokens: Iterable[str]) -> np.ndarray:
+        """How many of the tokens the event of each slot has; slots behind the last that has any are left out."""
+        found = b"".join(filter(None, map(self.of_token.get, tokens)))
+        return np.bincount(np.frombuffer(found, np.int64))
+
+    def best(self, own: frozenset, place: str | None, at: int | None, since: int) -> Event | None:
+        """Of the events from `since` on the most similar of those that are similar enough or fit otherwise; the newest of equals."""
+        both = self.common(own)
+        some = both.nonzero()[0]
+        times = np.frombuffer(self.times, np.int64)[some]
+        some, times = some[times >= since], times[times >= since]
+        if not len(some):
+            return None
+        n = both[some]
+        score = n / (len(own) + np.frombuffer(self.sizes, np.int64)[some] - n)
+        fits = score >= NEAR
+        if at is not None and not fits.all():
+            places, tight = np.frombuffer(self.places, np.int64)[some], np.abs(times - at) <= TIGHT_MINUTES * MINUTE
+            if place:
+                beside = np.zeros(len(both), np.int64)
+                found = self.common(own - tokens_of(place))
+                beside[: len(found)] = found
+                fits |= tight & ((places == 0) | (places == self.of_place.get(place, -1))) & (beside[some] >= 1)
+            else:
+                fits |= tight & (n >= np.where(places == 0, 2, 1))
+        some, times, score = some[fits], times[fits], score[fits]
+        while len(some):
+            top = score.max()
+            tied = score == top
+            for _, _, e in sorted(((t, self.events[i].id, self.events[i]) for i, t in zip(some[tied].tolist(), times[tied].tolist())), key=lambda x: x[:2], reverse=True):
+                if top >= NEAR or place or not e.place or (own & e.tokens) - tokens_of(e.place):
+                    return e
+            some, times, score = some[~tied], times[~tied], score[~tied]
+        return None
+
+
 @dataclass
 class Desk:
-    """The events of one shard within the window, and who told of them when."""
+    """The events of one shard that items may reach, and who told of them when. Time, as given to forget() and save(), does not go back."""
 
     judge: Callable[[str, list[str]], int | None] | None = None
     summarize: Callable[[str], str | None] | None = None
@@ -321,6 +403,26 @@ class Desk:
     _ages: list[tuple[int, str, int]] = field(default_factory=list)
     _numbers: int = 0
     _horizon: int | None = None
+    _index: _Index | None = None  # none while few events are in the window
+    #: Follow-ups to come that ask for what is older than `keep_hours` by then: of each source the times asked for and of arrival.
+    _asks: dict[str | None, list[tuple[int, int]]] = field(default_factory=dict)
+    #: What they may find, as in `told`, and until when an event is held for them.
+    _asked: dict[str, list[tuple[int, str, str, int]]] = field(default_factory=dict)
+    _until: dict[str, int] = field(default_factory=dict)
+
+    def ask(self, item: dict, now: int) -> None:
+        """Take note of a late item to come, before the events it may ask for: they are held until it arrives."""
+        if is_follow_up(item):
+            insort(self._asks.setdefault(item.get("source_id"), []), (item["published_at"], now))
+
+    def _held_for(self, source_id: str | None, at: int, event_id: str) -> bool:
+        """Whether a follow-up to come asks for what the source told then (without a source: for an event made then)."""
+        asks = self._asks.get(source_id, ())
+        until = max((asks[i][1] for i in range(bisect_left(asks, (at,)), bisect_left(asks, (at + ATTACH_MINUTES * MINUTE + 1,)))), default=None)
+        if until is None:
+            return False
+        self._until[event_id] = max(until, self._until.get(event_id, until))
+        return True
 
     def hold(self, event: Event) -> None:
         """Take in an event, or take note of its new times."""
@@ -336,6 +438,10 @@ class Desk:
             heapq.heappush(self._ages, (self._last(event), event.id, number))
         self._held[event.id] = (number, event.published_at, event.created_at)
         self.events[event.id] = event
+        if event.created_at not in (None, times[1]):
+            self._held_for(None, event.created_at, event.id)
+        if self._index is not None:
+            self._index.put(event)
 
     @staticmethod
     def _last(e: Event) -> int:
@@ -375,8 +481,10 @@ class Desk:
 
     def tell(self, source_id: str | None, at: int | None, external_id: str, event_id: str) -> None:
         if source_id is not None and at is not None and event_id in self._held:
-            rows = self.told.setdefault(source_id, [])
-            insort(rows, (at, external_id, event_id, self._held[event_id][0]))
+            rows, row = self.told.setdefault(source_id, []), (at, external_id, event_id, self._held[event_id][0])
+            insort(rows, row)
+            if self._held_for(source_id, at, event_id):
+                insort(self._asked.setdefault(source_id, []), row)
             if self._horizon is not None and rows[len(rows) // 2][0] < self._horizon:
                 del rows[: bisect_left(rows, (self._horizon,))]
 
@@ -386,22 +494,41 @@ class Desk:
         if source_id is None:
             i = bisect_left(self._made, (at + 1,)) - 1
             return self.events[self._made[i][1]] if i >= 0 and self._made[i][0] >= since else None
-        rows = self.told.get(source_id, [])
-        if self._horizon is not None:
-            since = max(since, self._horizon)
-        for i in range(bisect_left(rows, (at + 1,)) - 1, -1, -1):
-            if rows[i][0] < since:
-                break
-            if self._held.get(rows[i][2], (None,))[0] == rows[i][3]:
-                return self.events[rows[i][2]]
+        late = self._horizon is not None and since < self._horizon
+        for rows, first in ((self.told, self._horizon if late else since), *([(self._asked, since)] if late else [])):
+            rows = rows.get(source_id, [])
+            for i in range(bisect_left(rows, (at + 1,)) - 1, -1, -1):
+                if rows[i][0] < first:
+                    break
+                if self._held.get(rows[i][2], (None,))[0] == rows[i][3]:
+                    return self.events[rows[i][2]]
         return None
 
     def same(self, item: dict, now: int) -> Event | None:
         """The event of the window that the item is about: the most similar of those that are similar enough, or close in time
         with a token in common beside the place's. Of equal similarity the newest."""
         own, place, at = tokens_of(item.get("content") or ""), item.get("place") or None, item.get("published_at")
-        since = bisect_left(self._recent, (now - self.window_hours * HOUR,))
-        recent = [self.events[x] for _, x in self._recent[: max(since, len(self._recent) - CANDIDATES) - len(self._recent) - 1 : -1]]
+        since = now - self.window_hours * HOUR
+        first = bisect_left(self._recent, (since,))
+        if len(self._recent) - first > INDEXED:
+            if self._index is None:
+                self._put_in_index(first)
+            best = self._index.best(own, place, at, since) if own else None
+        else:
+            best = self._best([self.events[x] for _, x in self._recent[: first - len(self._recent) - 1 : -1]], own, place, at)
+        if best is None and self.judge is not None and at is not None:
+            first, end = (bisect_left(self._recent, (x,)) for x in (max(since, at - JUDGE_MINUTES * MINUTE), at + JUDGE_MINUTES * MINUTE + 1))
+            near = [self.events[x] for _, x in self._recent[max(first, end - JUDGE_CANDIDATES) : end][::-1]]
+            i = self.judge(item.get("content") or "", [e.content for e in near]) if near else None
+            if i is not None and 0 <= i < len(near):
+                e = near[i]
+                if (place and place == e.place) or own & e.tokens or not (place or e.place):
+                    best = e
+        return best
+
+    @staticmethod
+    def _best(recent: list[Event], own: frozenset, place: str | None, at: int | None) -> Event | None:
+        """As _Index.best, event by event."""
 
         def tight(e: Event) -> bool:
             return at is not None and -TIGHT_MINUTES * MINUTE <= at - e.published_at <= TIGHT_MINUTES * MINUTE and (not place or not e.place or place == e.place)
@@ -419,31 +546,41 @@ class Desk:
                 continue
             if s >= NEAR or tight(e) and (len(common - tokens_of(place or e.place)) >= 1 if place or e.place else both >= 2):
                 best, score, first = e, s, i
-        if best is None and self.judge is not None and at is not None:
-            near = [e for e in recent if abs(at - e.published_at) <= JUDGE_MINUTES * MINUTE][:JUDGE_CANDIDATES]
-            i = self.judge(item.get("content") or "", [e.content for e in near]) if near else None
-            if i is not None and 0 <= i < len(near):
-                e = near[i]
-                if (place and place == e.place) or own & e.tokens or not (place or e.place):
-                    best = e
         return best
 
+    def _put_in_index(self, first: int) -> None:
+        self._index = _Index()
+        for _, id_ in self._recent[first:]:
+            self._index.put(self.events[id_])
+
     def forget(self, now: int) -> list[Event]:
-        """Let go of what no later item can reach: events and notes older than `keep_hours`. Returns the events."""
+        """Let go of what no later item can reach: events and notes older than `keep_hours`, other than those that late items
+        ask for. Returns the events."""
         before = now - self.keep_hours * HOUR
         self._horizon = before if self._horizon is None else max(self._horizon, before)
         old = []
         while self._ages and self._ages[0][0] < before:
             _, id_, number = heapq.heappop(self._ages)
             e = self.events[id_]
-            if self._last(e) >= before:  # it was added to since
-                heapq.heappush(self._ages, (self._last(e), id_, number))
+            last = max(self._last(e), self._until.get(id_, before) - self.keep_hours * HOUR)
+            if last >= before:  # it was added to since, or is asked for
+                heapq.heappush(self._ages, (last, id_, number))
                 continue
+            self._until.pop(id_, None)
+            if self._index is not None:
+                self._index.drop(id_)
             _, published, created = self._held.pop(id_)
             for at, rows in ((published, self._recent), (created, self._made)):
                 if at is not None:
                     del rows[bisect_left(rows, (at, id_))]
             old.append(self.events.pop(id_))
+        if self._index is not None:
+            first = bisect_left(self._recent, (now - self.window_hours * HOUR,))
+            n = len(self._recent) - first
+            if n <= INDEXED // 2:
+                self._index = None
+            elif len(self._index.events) > 3 * n:  # most are out of the window
+                self._put_in_index(first)
         return old
 
 
@@ -475,8 +612,10 @@ def saved(
     They are taken by arrival, then id. Of items with equal (source_id, external_id) the first counts, the others are skipped;
     what was seen in earlier batches is to be taken out before (duplicates.unseen). events: rows of an events table, bridge:
     (report_id, source_id, external_id, published_at), what earlier batches left; only those within keep_hours before the
-    first item are read. An event has the id of the item that opened it. Without `states` the events' rows are left out.
-    With `distinct` rows that are equal in all columns count once.
+    first item, or from what its latest item may ask for on, are read. An event has the id of the item that opened it.
+    What is older than keep_hours is let go, other than what follow-ups that arrive later than that ask for: these go through the
+    task a first time before all others. Without `states` the events' rows are left out. With `distinct` rows that are equal in
+    all columns count once.
     """
     of = F.coalesce(F.col(shard).cast("string"), F.lit("")) if shard else F.lit("")
     # Read once, except where the first item's time is needed before.
@@ -491,10 +630,14 @@ def saved(
     rows = rows.withColumn("_n", F.row_number().over(group)).withColumn("_first", F.first("id").over(group))
     fresh = ~keyed | (F.col("_n") == 1)
     names = [c for c in ITEM if c in rows.columns and (states or c not in ("source_url", "severity", "status", "media"))]  # those decide on no outcome
-    stream = rows.where(fresh | (F.col("id") != F.col("_first"))).select("_shard", F.when(fresh, F.lit(2)).otherwise(F.lit(3)).alias("kind"), F.coalesce("_at", F.lit(0)).alias("at"), "id", F.lit(None).cast("string").alias("row"), *[F.when(fresh, F.col(c)).alias(c) for c in names if c != "id"])
+    asked = F.col("published_at") - ATTACH_MINUTES * MINUTE
+    late = fresh & (asked < F.coalesce("_at", F.lit(0)) - keep_hours * HOUR)
+    kind = F.explode(F.when(late, F.array(F.lit(-1), F.lit(2))).when(fresh, F.array(F.lit(2))).otherwise(F.array(F.lit(3))))
+    stream = rows.where(fresh | (F.col("id") != F.col("_first"))).select("_shard", kind.alias("kind"), F.coalesce("_at", F.lit(0)).alias("at"), "id", F.lit(None).cast("string").alias("row"), *[F.when(fresh, F.col(c)).alias(c) for c in names if c != "id"])
     if events is not None:
-        start = rows.where(fresh).agg(F.min("_at")).first()[0]
+        start, first = rows.where(fresh).agg(F.min("_at"), F.min(F.when(late, asked))).first()
         since = (start or 0) - keep_hours * HOUR
+        since = since if first is None else min(since, first)
         e = _micros(events.withColumn("_shard", of if shard and shard in events.columns else F.lit("")), *TIMES).where(F.greatest(F.coalesce("published_at", F.lit(0)), F.coalesce("created_at", F.lit(0))) >= since)
         stream = stream.unionByName(e.select("_shard", F.lit(0).alias("kind"), F.lit(0).alias("at"), "id", _payload(e, [c.split(" ")[0] for c in EVENT.split(", ")]).alias("row")), allowMissingColumns=True)
         if bridge is not None:
@@ -514,7 +657,9 @@ def saved(
                 if own != shard:
                     out += changed(desk.events.values())
                     shard, desk = own, Desk(judge, summarize, window_hours, keep_hours)
-                if kind == 0:
+                if kind == -1:
+                    desk.ask(dict(zip(names, values)), at)
+                elif kind == 0:
                     desk.hold(Event(**{k: v for k, v in json.loads(text).items() if v is not None}))
                 elif kind == 1:
                     if id_ in desk.events:
